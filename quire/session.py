@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "quire") -> SparkSession:
+                app_name: str = "quire", driver_memory: str = "12g") -> SparkSession:
     """Build (or reuse) a session tuned for the operators in this package.
 
     On a cluster the master and most settings come from spark-submit; the
@@ -17,7 +17,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+    if master and master.startswith("local"):
+        # Local mode runs everything in the driver JVM.
+        b = b.config("spark.driver.memory", driver_memory)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
