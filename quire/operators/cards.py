@@ -143,12 +143,12 @@ NUMBER_PATTERN = r"[0-9]+"
 MIN_SENTENCE_CHARS = 20
 
 
-def extractive_cards(chapters: DataFrame, n: int = 5) -> DataFrame:
-    """Split a chapter into sentences; a sentence with a number becomes a
-    cloze card (first number hidden), a sentence 'X is/are a/an/the Y' a
-    definition card; the first ``n`` candidates per chapter by position.
-    Row-local: the whole chapter is one row, so no window is needed."""
-    sentences = F.transform(F.regexp_extract_all(F.col("content"), F.lit(SENTENCE_PATTERN), 0), lambda s: T.strip(s))
+def extractive_candidates(content, n: int = 5) -> Column:
+    """The first ``n`` card candidates of a text as
+    ``array<struct<card_type, front, back>>``: a sentence (at least 20
+    characters) with a number becomes a cloze card hiding its first number,
+    a sentence 'X is/are a/an/the Y' a definition card."""
+    sentences = F.transform(F.regexp_extract_all(content, F.lit(SENTENCE_PATTERN), 0), lambda s: T.strip(s))
 
     def candidate(s: Column) -> Column:
         is_cloze = s.rlike(NUMBER_PATTERN)
@@ -160,8 +160,15 @@ def extractive_cards(chapters: DataFrame, n: int = 5) -> DataFrame:
         back = F.when(is_cloze, F.regexp_extract(s, NUMBER_PATTERN, 0)).otherwise(s)
         return F.struct(kind.alias("card_type"), front.alias("front"), back.alias("back"))
 
-    picked = F.slice(F.filter(F.transform(sentences, candidate), lambda c: c["card_type"].isNotNull()), 1, n)
-    e = chapters.select("book_id", "chapter_number", "title", F.posexplode(picked).alias("pos", "c"))
+    return F.slice(F.filter(F.transform(sentences, candidate), lambda c: c["card_type"].isNotNull()), 1, n)
+
+
+def extractive_cards(chapters: DataFrame, n: int = 5) -> DataFrame:
+    """Extractive card candidates per chapter (stands in for the remote
+    model so that the pipeline runs end to end). Row-local: the whole
+    chapter is one row, so no window is needed."""
+    e = chapters.select("book_id", "chapter_number", "title",
+                        F.posexplode(extractive_candidates(F.col("content"), n)).alias("pos", "c"))
     return e.select(
         "book_id", "chapter_number", (F.col("pos") + 1).alias("card_no"),
         F.col("c.front").alias("front"), F.col("c.back").alias("back"), F.col("c.card_type").alias("card_type"),

@@ -51,19 +51,10 @@ def noise_profile(lines: DataFrame) -> DataFrame:
     )
 
 
-def page_text(lines: DataFrame) -> DataFrame:
-    """Cleaned text of each page with at least one kept line: kept lines
-    joined by newline in line order (``book_id, page_num, ptext``)."""
-    return (
-        kept_lines(lines)
-        .groupBy("book_id", "page_num")
-        .agg(F.expr("listagg(clean, '\\n') WITHIN GROUP (ORDER BY line_no)").alias("ptext"))
-    )
-
-
-def text_pages(lines: DataFrame) -> DataFrame:
-    """Skinny form of L5: the pages that have text (``book_id, page_num``)."""
-    return kept_lines(lines).select("book_id", "page_num").distinct()
+def page_text(pages: DataFrame) -> DataFrame:
+    """Cleaned text of each page with at least one kept line (kept lines
+    joined by newline in line order). ``pages`` is ``segment.page_facts``."""
+    return pages.where(F.col("ptext").isNotNull()).select("book_id", "page_num", "ptext")
 
 
 def page_counts(lines: DataFrame) -> DataFrame:

@@ -49,31 +49,68 @@ def _with_strategy(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn("strategy", F.lit(name)).withColumn("priority", F.lit(STRATEGIES[name]))
 
 
+# ---------------------------------------------------------------------------
+# Page facts: one pass over the lines
+# ---------------------------------------------------------------------------
+
+
+def page_facts(lines: DataFrame) -> DataFrame:
+    """One row per page: ``book_id, page_num, ptext, heads``.
+
+    ``ptext`` is the cleaned page text (L5; null when no line survives the
+    header/footer filter) and ``heads`` the page's heading lines (L8) as
+    ``array<struct<line_no, rule, title>>`` in line order. Every line is
+    cleaned and tested once; the page is the grouping unit, so the shuffle
+    is spread over pages, not books."""
+    lf = lines.select(
+        "book_id", "page_num", "line_no",
+        _once(T.clean_line(F.col("line")).alias("clean"), T.heading_rule(F.col("line")).alias("rule"),
+              T.strip(F.col("line")).alias("title")),
+    ).withColumn("kept", T.noise_rule(F.col("clean")).isNull())
+    return lf.groupBy("book_id", "page_num").agg(
+        F.expr("listagg(CASE WHEN kept THEN clean END, '\\n') WITHIN GROUP (ORDER BY line_no)").alias("ptext"),
+        F.array_sort(F.collect_list(F.when(F.col("rule").isNotNull(), F.struct("line_no", "rule", "title")))).alias("heads"),
+    )
+
+
+def book_pages(pages: DataFrame) -> DataFrame:
+    """Pages per book (``book_id, page_count``); blank pages count."""
+    return pages.groupBy("book_id").agg((F.max("page_num") + 1).cast("long").alias("page_count"))
+
+
+def with_next_text(pages: DataFrame) -> DataFrame:
+    """``book_id, page_num, next_text``: first page at or after this one that
+    has text (null when none). A range [s, e) has text iff next_text(s) < e.
+    The window runs over the pages of one book (one input record)."""
+    w = Window.partitionBy("book_id").orderBy(F.col("page_num").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    nt = F.min(F.when(F.col("ptext").isNotNull(), F.col("page_num"))).over(w)
+    return pages.select("book_id", "page_num", nt.alias("next_text"))
+
+
 # ---------------------------------------------------------------------------
 # Boundary strategies
+#
+# Boundaries leave ``end_page`` null when they run to the end of the book;
+# ``finish`` fills it with the page count and formats the file names.
 # ---------------------------------------------------------------------------
 
+RAW_COLS = ["book_id", "strategy", "priority", "ordinal", "title", "start_page", "end_page"]
+
 
-def toc_boundaries(toc: DataFrame, page_counts: DataFrame) -> DataFrame:
+def toc_boundaries(toc: DataFrame) -> DataFrame:
     """B2: outline entries with level <= 2, in outline order; a boundary ends
-    where the next kept entry starts, the last one at the page count. The
-    ordinal counts every kept entry (numbers have gaps where text is empty)."""
+    where the next kept entry starts, the last one at the end of the book.
+    The ordinal counts every kept entry (numbers have gaps where text is
+    empty)."""
     w = Window.partitionBy("book_id").orderBy("entry_no")
-    kept = toc.where(F.col("level") <= 2).select(
-        "book_id", "entry_no", F.col("title"),
-        # 0-based start; a page <= 0 is clamped to 0 (the reference would
-        # index from the end of the book).
-        F.greatest(F.col("page") - 1, F.lit(0)).cast("long").alias("start_page"),
+    # 0-based start; a page <= 0 is clamped to 0 (the reference would index
+    # from the end of the book).
+    start = F.greatest(F.col("page") - 1, F.lit(0)).cast("long")
+    b = toc.where(F.col("level") <= 2).select(
+        "book_id", "title", start.alias("start_page"),
+        F.row_number().over(w).alias("ordinal"), F.lead(start).over(w).alias("end_page"),
     )
-    b = kept.select(
-        "book_id", "title", "start_page",
-        F.row_number().over(w).alias("ordinal"),
-        F.lead("start_page").over(w).alias("next_start"),
-    ).join(page_counts, "book_id")
-    b = b.withColumn("end_page", F.coalesce("next_start", "page_count").cast("long"))
-    b = b.withColumn("file_name", _fmt("page_", (F.col("start_page") + 1).cast("string"), "_to_",
-                                       F.col("end_page").cast("string"), ".pdf"))
-    return _with_strategy(b, "toc").select(*BOUNDARY_COLS)
+    return _with_strategy(b, "toc").select(*RAW_COLS)
 
 
 def font_candidates(spans: DataFrame, max_pages: int = 10) -> DataFrame:
@@ -93,66 +130,47 @@ def modal_font_size(candidates: DataFrame) -> DataFrame:
     )
 
 
-def font_boundaries(spans: DataFrame, page_counts: DataFrame, max_pages: int = 10) -> DataFrame:
+def font_boundaries(spans: DataFrame, max_pages: int = 10) -> DataFrame:
     """Sorted distinct pages having a candidate at least as large as the
     modal size minus one; title = first candidate on that page (among all
     candidates), else 'Chapter {i}'."""
     cands = font_candidates(spans, max_pages)
-    mode = modal_font_size(cands)
-    pages = (
-        cands.join(mode, "book_id")
-        .where(F.col("font_size") >= F.col("heading_size") - 1)
-        .select("book_id", "page_num")
-        .distinct()
-    )
+    per_page = cands.groupBy("book_id", "page_num").agg(
+        F.min_by("text", "span_no").alias("first_text"), F.max("font_size").alias("max_size"))
+    chosen = per_page.join(modal_font_size(cands), "book_id").where(
+        F.col("max_size") >= F.col("heading_size") - 1)
     w = Window.partitionBy("book_id").orderBy("page_num")
-    firsts = cands.groupBy("book_id", "page_num").agg(F.min_by("text", "span_no").alias("first_text"))
-    b = (
-        pages.select("book_id", F.col("page_num").alias("start_page"),
-                     F.row_number().over(w).alias("ordinal"),
-                     F.lead("page_num").over(w).alias("next_start"))
-        .join(page_counts, "book_id")
-        .join(firsts.withColumnRenamed("page_num", "start_page"), ["book_id", "start_page"], "left")
-    )
-    b = b.select(
-        "book_id", "ordinal", "start_page",
-        F.coalesce("next_start", "page_count").cast("long").alias("end_page"),
-        F.coalesce("first_text", _fmt("Chapter ", F.col("ordinal").cast("string"))).alias("title"),
-        _fmt("chapter_", F.col("ordinal").cast("string"), ".pdf").alias("file_name"),
-    )
-    return _with_strategy(b, "font").select(*BOUNDARY_COLS)
+    b = chosen.select(
+        "book_id", F.col("page_num").alias("start_page"),
+        F.row_number().over(w).alias("ordinal"), F.lead("page_num").over(w).alias("end_page"),
+        "first_text",
+    ).withColumn("title", F.coalesce("first_text", _fmt("Chapter ", F.col("ordinal").cast("string"))))
+    return _with_strategy(b, "font").select(*RAW_COLS)
 
 
-def heading_lines(lines: DataFrame) -> DataFrame:
-    """L8 over raw lines: lines matching a heading pattern, with the rule id and
-    the stripped line (original case) as title."""
-    h = lines.select("book_id", "page_num", "line_no",
-                     _once(T.heading_rule(F.col("line")).alias("rule"), T.strip(F.col("line")).alias("title")))
-    return h.where(F.col("rule").isNotNull())
+def heading_lines(pages: DataFrame) -> DataFrame:
+    """Heading lines (``book_id, page_num, line_no, rule, title``)."""
+    return pages.select("book_id", "page_num", F.explode("heads").alias("h")).select(
+        "book_id", "page_num", "h.line_no", "h.rule", "h.title")
 
 
-def pattern_boundaries(lines: DataFrame, page_counts: DataFrame) -> DataFrame:
+def pattern_boundaries(pages: DataFrame) -> DataFrame:
     """Every heading line starts a chapter that ends at the next heading's
     page; several headings on one page leave all but the last empty."""
     w = Window.partitionBy("book_id").orderBy("line_no")
-    b = heading_lines(lines).select(
+    b = heading_lines(pages).select(
         "book_id", "title", F.col("page_num").alias("start_page"),
-        F.row_number().over(w).alias("ordinal"), F.lead("page_num").over(w).alias("next_start"),
-    ).join(page_counts, "book_id")
-    b = b.select(
-        "book_id", "ordinal", "title", "start_page",
-        F.coalesce("next_start", "page_count").cast("long").alias("end_page"),
-        _fmt("chapter_", F.col("ordinal").cast("string"), ".pdf").alias("file_name"),
+        F.row_number().over(w).alias("ordinal"), F.lead("page_num").over(w).alias("end_page"),
     )
-    return _with_strategy(b, "pattern").select(*BOUNDARY_COLS)
+    return _with_strategy(b, "pattern").select(*RAW_COLS)
 
 
-def chunk_boundaries(page_counts: DataFrame, pages_per_chunk: int = 10) -> DataFrame:
+def chunk_boundaries(book_pages_df: DataFrame, pages_per_chunk: int = 10) -> DataFrame:
     """B7 (before numbering): fixed chunks of ``pages_per_chunk`` pages. The
-    ordinal here is the chunk index; titles and chapter numbers are dense over
-    the non-empty chunks and are set by ``resolve``."""
+    ordinal is the chunk index; chapter numbers and 'Section {n}' titles are
+    dense over the non-empty chunks and are set by ``resolve``."""
     n = pages_per_chunk
-    b = page_counts.select(
+    b = book_pages_df.select(
         "book_id", "page_count",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("page_count") - 1, F.lit(n).cast("long"))).alias("start_page"),
     )
@@ -161,96 +179,96 @@ def chunk_boundaries(page_counts: DataFrame, pages_per_chunk: int = 10) -> DataF
         (F.floor(F.col("start_page") / n) + 1).cast("int").alias("ordinal"),
         F.least(F.col("start_page") + n, F.col("page_count")).cast("long").alias("end_page"),
         F.lit(None).cast("string").alias("title"),
-        _fmt("pages_", (F.col("start_page") + 1).cast("string"), "_to_",
-             F.least(F.col("start_page") + n, F.col("page_count")).cast("string"), ".pdf").alias("file_name"),
-    )
-    return _with_strategy(b, "chunks").select(*BOUNDARY_COLS)
-
-
-# ---------------------------------------------------------------------------
-# Range join (J3 / L6) and the cascade
-# ---------------------------------------------------------------------------
-
-
-def covered_pages(boundaries: DataFrame, page_counts: DataFrame) -> DataFrame:
-    """Pages covered by each boundary: ``[start, min(end, page_count))``.
-    Empty ranges produce no rows (``sequence`` would count down)."""
-    b = boundaries.join(page_counts, "book_id")
-    hi = F.least(F.col("end_page"), F.col("page_count"))
-    return b.where(F.col("start_page") < hi).select(
-        "book_id", "priority", "ordinal",
-        F.explode(F.sequence(F.col("start_page"), hi - 1)).alias("page_num"),
-    )
-
-
-def range_text(boundaries: DataFrame, page_counts: DataFrame, page_text: DataFrame) -> DataFrame:
-    """Text of each boundary's pages: the cleaned pages with text, joined
-    by a blank line in page order ('' when none). Equi-join on
-    ``(book_id, page_num)`` after expanding ranges to pages."""
-    cov = covered_pages(boundaries, page_counts).join(page_text, ["book_id", "page_num"])
-    txt = cov.groupBy("book_id", "priority", "ordinal").agg(
-        F.expr("listagg(ptext, '\\n\\n') WITHIN GROUP (ORDER BY page_num)").alias("content")
     )
-    return boundaries.join(txt, ["book_id", "priority", "ordinal"], "left").withColumn(
-        "content", F.coalesce("content", F.lit(""))
+    return _with_strategy(b, "chunks").select(*RAW_COLS)
+
+
+def finish(raw: DataFrame, book_pages_df: DataFrame) -> DataFrame:
+    """Close open-ended boundaries at the page count and add file names
+    (T9)."""
+    b = raw.join(book_pages_df, "book_id").withColumn(
+        "end_page", F.coalesce("end_page", "page_count").cast("long"))
+    s1, e = (F.col("start_page") + 1).cast("string"), F.col("end_page").cast("string")
+    name = (
+        F.when(F.col("strategy") == "toc", _fmt("page_", s1, "_to_", e, ".pdf"))
+        .when(F.col("strategy") == "chunks", _fmt("pages_", s1, "_to_", e, ".pdf"))
+        .otherwise(_fmt("chapter_", F.col("ordinal").cast("string"), ".pdf"))
     )
+    return b.withColumn("file_name", name)
 
 
-def non_empty(boundaries: DataFrame, page_counts: DataFrame, text_pages: DataFrame) -> DataFrame:
-    """Boundaries whose range holds at least one page with text (skinny)."""
-    hits = (
-        covered_pages(boundaries, page_counts)
-        .join(text_pages, ["book_id", "page_num"], "left_semi")
-        .select("book_id", "priority", "ordinal")
-        .distinct()
+def all_boundaries(pages: DataFrame, toc: DataFrame, spans: DataFrame, book_pages_df: DataFrame,
+                   pages_per_chunk: int = 10) -> DataFrame:
+    raw = (
+        toc_boundaries(toc).unionByName(font_boundaries(spans)).unionByName(pattern_boundaries(pages))
+        .unionByName(chunk_boundaries(book_pages_df, pages_per_chunk))
     )
-    return boundaries.join(hits, ["book_id", "priority", "ordinal"], "left_semi")
+    return finish(raw, book_pages_df)
 
 
-def all_boundaries(lines: DataFrame, toc: DataFrame, spans: DataFrame, page_counts: DataFrame,
-                   pages_per_chunk: int = 10) -> DataFrame:
-    return (
-        toc_boundaries(toc, page_counts)
-        .unionByName(font_boundaries(spans, page_counts))
-        .unionByName(pattern_boundaries(lines, page_counts))
-        .unionByName(chunk_boundaries(page_counts, pages_per_chunk))
-    )
+# ---------------------------------------------------------------------------
+# Emptiness, the cascade (B8) and text assembly
+# ---------------------------------------------------------------------------
 
 
-def resolve(boundaries: DataFrame, page_counts: DataFrame, text_pages: DataFrame) -> DataFrame:
-    """Per book the first strategy (by priority) with at least one
-    non-empty boundary wins; its non-empty boundaries become the chapters.
-    Adds ``chapter_number`` (the ordinal; dense for chunks, which also get
-    their 'Section {n}' titles)."""
-    ne = non_empty(boundaries, page_counts, text_pages)
-    winner = ne.groupBy("book_id").agg(F.min("priority").alias("priority"))
-    won = ne.join(winner, ["book_id", "priority"], "left_semi")
-    dense = F.row_number().over(Window.partitionBy("book_id", "priority").orderBy("start_page"))
+def mark_text(boundaries: DataFrame, pages: DataFrame) -> DataFrame:
+    """Add ``has_text``: the range [start, min(end, page_count)) holds a page
+    with text. One equi-join on the start page, no range join."""
+    nt = with_next_text(pages).withColumnRenamed("page_num", "start_page")
+    b = boundaries.join(nt, ["book_id", "start_page"], "left")
+    hi = F.least(F.col("end_page"), F.col("page_count"))
+    return b.withColumn("has_text", F.coalesce(F.col("next_text") < hi, F.lit(False))).drop("next_text")
+
+
+def resolve(boundaries: DataFrame, pages: DataFrame) -> DataFrame:
+    """Per book the first strategy (by priority) with a non-empty
+    boundary wins; its non-empty boundaries become the chapters.
+    ``chapter_number`` is the ordinal, dense for chunks (which also get their
+    'Section {n}' titles). The windows run over one book's boundaries."""
+    ne = mark_text(boundaries, pages).where("has_text")
+    best = F.min("priority").over(Window.partitionBy("book_id"))
+    won = ne.withColumn("_best", best).where(F.col("priority") == F.col("_best")).drop("_best")
+    dense = F.row_number().over(Window.partitionBy("book_id").orderBy("start_page"))
     is_chunk = F.col("strategy") == "chunks"
-    won = won.withColumn("chapter_number", F.when(is_chunk, dense).otherwise(F.col("ordinal")))
+    won = won.withColumn("chapter_number", F.when(is_chunk, dense).otherwise(F.col("ordinal")).cast("int"))
     return won.withColumn(
         "title", F.when(is_chunk, _fmt("Section ", F.col("chapter_number").cast("string"))).otherwise(F.col("title"))
     )
 
 
-def chapters_from_boundaries(resolved: DataFrame, page_counts: DataFrame, page_text: DataFrame) -> DataFrame:
-    """Assemble chapter text for resolved boundaries (the one wide join)."""
-    t = range_text(resolved, page_counts, page_text)
-    return t.select("book_id", "strategy", F.col("chapter_number").cast("int").alias("chapter_number"),
-                    "title", "content", "file_name", "start_page", "end_page")
+def assemble(boundaries: DataFrame, pages: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Text of each boundary: its pages with text, in page order,
+    joined by a blank line. Ranges are expanded to pages and equi-joined on
+    ``(book_id, page_num)``, so the join is spread over pages."""
+    b = boundaries.withColumn("_hi", F.least(F.col("end_page"), F.col("page_count")))
+    b = b.withColumn("page_num", F.explode_outer(
+        F.when(F.col("start_page") < F.col("_hi"), F.sequence(F.col("start_page"), F.col("_hi") - 1))))
+    txt = pages.where(F.col("ptext").isNotNull()).select("book_id", "page_num", "ptext")
+    j = b.join(txt, ["book_id", "page_num"], "left" if keep_empty else "inner")
+    keys = [c for c in boundaries.columns]
+    out = j.groupBy(*keys).agg(
+        F.expr("listagg(ptext, '\\n\\n') WITHIN GROUP (ORDER BY page_num)").alias("content"))
+    return out.withColumn("content", F.coalesce("content", F.lit("")))
 
 
 def paged_chapters(lines: DataFrame, toc: DataFrame, spans: DataFrame, pages_per_chunk: int = 10) -> DataFrame:
     """Whole paged path: lines (+ outline, spans) -> resolved chapters."""
-    pc = L.page_counts(lines)
-    tp = L.text_pages(lines)
-    b = all_boundaries(lines, toc, spans, pc, pages_per_chunk)
-    return chapters_from_boundaries(resolve(b, pc, tp), pc, L.page_text(lines))
+    pages = page_facts(lines)
+    bp = book_pages(pages)
+    r = resolve(all_boundaries(pages, toc, spans, bp, pages_per_chunk), pages)
+    return chapter_rows(assemble(r, pages))
+
+
+def chapter_rows(assembled: DataFrame) -> DataFrame:
+    return assembled.select("book_id", "strategy", F.col("chapter_number").cast("int").alias("chapter_number"),
+                            "title", "content", "file_name", "start_page", "end_page")
 
 
-def strategy_chapters(boundaries: DataFrame, page_counts: DataFrame, page_text: DataFrame) -> DataFrame:
-    """Chapters one strategy alone would produce (non-empty boundaries)."""
-    t = range_text(boundaries, page_counts, page_text).where(F.col("content") != "")
+def strategy_chapters(raw: DataFrame, pages: DataFrame, book_pages_df: DataFrame) -> DataFrame:
+    """Chapters one strategy alone would produce (its non-empty boundaries,
+    numbered by ordinal)."""
+    b = mark_text(finish(raw, book_pages_df), pages).where("has_text").drop("has_text")
+    t = assemble(b, pages)
     return t.select("book_id", F.col("ordinal").cast("int").alias("chapter_number"), "title", "content", "file_name")
 
 

@@ -37,8 +37,12 @@ class Corpus:
         return fx.lines(self.spark, self.sf)
 
     @cached_property
-    def page_counts(self) -> DataFrame:
-        return L.page_counts(self.lines)
+    def pages(self) -> DataFrame:
+        return S.page_facts(self.lines)
+
+    @cached_property
+    def book_pages(self) -> DataFrame:
+        return S.book_pages(self.pages)
 
     @cached_property
     def toc(self) -> DataFrame:
@@ -48,22 +52,13 @@ class Corpus:
     def spans(self) -> DataFrame:
         return fx.spans(self.lines)
 
-    @cached_property
-    def page_text(self) -> DataFrame:
-        return L.page_text(self.lines)
-
-    @cached_property
-    def text_pages(self) -> DataFrame:
-        return L.text_pages(self.lines)
-
     @cached_property
     def boundaries(self) -> DataFrame:
-        return S.all_boundaries(self.lines, self.toc, self.spans, self.page_counts)
+        return S.all_boundaries(self.pages, self.toc, self.spans, self.book_pages)
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return S.chapters_from_boundaries(S.resolve(self.boundaries, self.page_counts, self.text_pages),
-                                          self.page_counts, self.page_text)
+        return S.chapter_rows(S.assemble(S.resolve(self.boundaries, self.pages), self.pages))
 
     # spine books
     @cached_property
@@ -187,11 +182,11 @@ def line_noise_profile(c: Corpus) -> DataFrame:
 
 
 def page_text(c: Corpus) -> DataFrame:
-    return c.page_text
+    return L.page_text(c.pages)
 
 
 def range_text(c: Corpus) -> DataFrame:
-    t = S.range_text(S.toc_boundaries(c.toc, c.page_counts), c.page_counts, c.page_text)
+    t = S.assemble(S.finish(S.toc_boundaries(c.toc), c.book_pages), c.pages, keep_empty=True)
     return t.select("book_id", "ordinal", "start_page", "end_page", "content")
 
 
@@ -201,7 +196,7 @@ def heading_like(c: Corpus) -> DataFrame:
 
 
 def heading_pattern(c: Corpus) -> DataFrame:
-    return S.heading_lines(c.lines).select("book_id", "line_no", "rule", "title")
+    return S.heading_lines(c.pages).select("book_id", "line_no", "rule", "title")
 
 
 # --- boundaries and chapters ------------------------------------------------
@@ -211,7 +206,7 @@ def boundaries(c: Corpus) -> DataFrame:
 
 
 def toc_chapters(c: Corpus) -> DataFrame:
-    return S.strategy_chapters(S.toc_boundaries(c.toc, c.page_counts), c.page_counts, c.page_text)
+    return S.strategy_chapters(S.toc_boundaries(c.toc), c.pages, c.book_pages)
 
 
 def font_candidates(c: Corpus) -> DataFrame:
@@ -223,16 +218,16 @@ def modal_font_size(c: Corpus) -> DataFrame:
 
 
 def font_chapters(c: Corpus) -> DataFrame:
-    return S.strategy_chapters(S.font_boundaries(c.spans, c.page_counts), c.page_counts, c.page_text)
+    return S.strategy_chapters(S.font_boundaries(c.spans), c.pages, c.book_pages)
 
 
 def pattern_chapters(c: Corpus) -> DataFrame:
-    return S.strategy_chapters(S.pattern_boundaries(c.lines, c.page_counts), c.page_counts, c.page_text)
+    return S.strategy_chapters(S.pattern_boundaries(c.pages), c.pages, c.book_pages)
 
 
 def page_chunks(c: Corpus) -> DataFrame:
-    r = S.resolve(S.chunk_boundaries(c.page_counts), c.page_counts, c.text_pages)
-    return _chapter_cols(S.chapters_from_boundaries(r, c.page_counts, c.page_text))
+    r = S.resolve(S.finish(S.chunk_boundaries(c.book_pages), c.book_pages), c.pages)
+    return _chapter_cols(S.assemble(r, c.pages))
 
 
 def chapters_resolved(c: Corpus) -> DataFrame:
@@ -253,7 +248,7 @@ def numbering_audit(c: Corpus) -> DataFrame:
 
 
 def book_totals(c: Corpus) -> DataFrame:
-    return A.book_totals(c.page_counts, c.resolved)
+    return A.book_totals(c.book_pages, c.resolved)
 
 
 def spine_chapters(c: Corpus) -> DataFrame:
@@ -411,19 +406,20 @@ def export_deck_rows(c: Corpus) -> DataFrame:
 
 def corpus_cards(c: Corpus) -> DataFrame:
     """End-to-end plan: paged books through the strategy cascade, the
-    suitability filter and extractive cards, summarised per book."""
-    ch = c.resolved
-    good = SU.suitable_chapters(ch.select("book_id", "chapter_number", "title", "content"))
-    cards = C.extractive_cards(good, 5)
-    totals = A.book_totals(c.page_counts, ch)
-    per_book = cards.groupBy("book_id").agg(F.count(F.lit(1)).alias("flashcards"))
-    suit = good.groupBy("book_id").agg(F.count(F.lit(1)).alias("suitable_chapters"))
-    return (
-        totals.join(suit, "book_id", "left").join(per_book, "book_id", "left")
-        .select("book_id", "chapters", "words",
-                F.coalesce("suitable_chapters", F.lit(0)).cast("long").alias("suitable_chapters"),
-                F.coalesce("flashcards", F.lit(0)).cast("long").alias("flashcards"))
+    suitability filter and extractive cards, summarised per book. Every
+    chapter is read once: words, suitability and card candidates are
+    row-local columns, then one aggregate per book."""
+    ch = SU.suitability_columns(c.resolved.select("book_id", "chapter_number", "title", "content"))
+    n_cards = F.when(F.col("suitable"), F.size(C.extractive_candidates(F.col("content"), 5))).otherwise(0)
+    per_book = ch.groupBy("book_id").agg(
+        F.count(F.lit(1)).alias("chapters"),
+        F.sum(T.word_count(F.col("content"))).cast("long").alias("words"),
+        F.count_if("suitable").alias("suitable_chapters"),
+        F.sum(n_cards).cast("long").alias("flashcards"),
     )
+    return c.book_pages.select("book_id").join(per_book, "book_id", "left").select(
+        "book_id", *[F.coalesce(x, F.lit(0)).cast("long").alias(x)
+                     for x in ("chapters", "words", "suitable_chapters", "flashcards")])
 
 
 QUERY_FUNCS: list[Callable[[Corpus], DataFrame]] = [
