@@ -133,23 +133,31 @@ def _difficulty(v: Column) -> Column:
     return F.struct(ok.alias("ok"), value.alias("value"))
 
 
+def card_fields(card: Column) -> Column:
+    """Stage 1 of the card check: the card's kind and its raw fields (each
+    looked up once)."""
+    f = {k: _field(card, k) for k in ("front", "back", "card_type", "tags", "source", "difficulty")}
+    return F.struct(_kind(card).alias("kind"), *[v.alias(k) for k, v in f.items()])
+
+
 def card_check(card: Column, default_source: Column) -> Column:
-    """C7 + C8 for one card: struct(status, front, back, card_type, tags,
-    source, difficulty) with status 'ok', 'skip' (not an object or a required
-    key missing: only this card is dropped) or 'fatal' (a present value of the
-    wrong type: the whole reply is dropped). Missing keys win over types."""
-    is_obj = _kind(card).startswith("OBJECT")
+    """C7 + C8 for one card (given as ``card_fields``): struct(status, front,
+    back, card_type, tags, source, difficulty) with status 'ok', 'skip' (not
+    an object or a required key missing: only this card is dropped) or
+    'fatal' (a present value of the wrong type: the whole reply is dropped).
+    Missing keys win over types."""
+    is_obj = card["kind"].startswith("OBJECT")
     present = F.lit(True)
-    for k in REQUIRED_KEYS:
-        present = present & _field(card, k).isNotNull()
     strings_ok = F.lit(True)
     for k in REQUIRED_KEYS:
-        strings_ok = strings_ok & (_kind(_field(card, k)) == "STRING")
-    tags_v, source_v, diff_v = _field(card, "tags"), _field(card, "source"), _field(card, "difficulty")
+        present = present & card[k].isNotNull()
+        strings_ok = strings_ok & (_kind(card[k]) == "STRING")
+    tags_v, source_v, diff_v = card["tags"], card["source"], card["difficulty"]
+    tags_kind = _kind(tags_v)
     tags_arr = F.try_variant_get(tags_v, "$", "array<string>")
     tags_ok = tags_v.isNull() | (
-        ((_kind(tags_v) == "ARRAY<STRING>") & ~F.exists(tags_arr, lambda x: x.isNull()))
-        | ((_kind(tags_v) == "ARRAY<VOID>") & (F.size(tags_arr) == 0))
+        ((tags_kind == "ARRAY<STRING>") & ~F.exists(tags_arr, lambda x: x.isNull()))
+        | ((tags_kind == "ARRAY<VOID>") & (F.size(tags_arr) == 0))
     )
     source_ok = source_v.isNull() | (_kind(source_v) == "STRING")
     diff = _difficulty(diff_v)
@@ -165,9 +173,9 @@ def card_check(card: Column, default_source: Column) -> Column:
 
     return F.struct(
         status.alias("status"),
-        get_str(_field(card, "front")).alias("front"),
-        get_str(_field(card, "back")).alias("back"),
-        get_str(_field(card, "card_type")).alias("card_type"),
+        get_str(card["front"]).alias("front"),
+        get_str(card["back"]).alias("back"),
+        get_str(card["card_type"]).alias("card_type"),
         F.coalesce(tags_arr, F.array().cast("array<string>")).alias("tags"),
         F.coalesce(get_str(source_v), default_source).alias("source"),
         F.when(diff_v.isNotNull(), diff["value"]).alias("difficulty"),

@@ -47,45 +47,49 @@ def parse_replies(responses: DataFrame, text: str = "response_text") -> DataFram
 
 
 def checked_cards(parsed: DataFrame, default_source: str = "chapter_title") -> DataFrame:
-    """Per reply: array of checked cards and whether any is fatal."""
-    checked = F.transform(R.cards_list(F.col("reply")), lambda c: R.card_check(c, F.col(default_source)))
-    return parsed.withColumn("_cards", checked).withColumn(
-        "_fatal", F.exists("_cards", lambda c: c["status"] == "fatal")
-    )
+    """One row per element of each reply's cards list (``card_no`` from 1)
+    with its check result ``c`` and ``reply_fatal``. The checks are plain
+    column expressions on the exploded cards (code-generated); the
+    reply-level flag is a window over the cards of one reply, which come
+    from a single input row."""
+    e = parsed.select("reply_id", "book_id", default_source,
+                      F.posexplode(R.cards_list(F.col("reply"))).alias("pos", "card"))
+    e = e.select("reply_id", "book_id", (F.col("pos") + 1).alias("card_no"),
+                 R.card_check(R.card_fields(F.col("card")), F.col(default_source)).alias("c"))
+    fatal = F.max(F.col("c.status") == "fatal").over(Window.partitionBy("reply_id"))
+    return e.withColumn("reply_fatal", fatal)
 
 
 def exploded_cards(parsed: DataFrame) -> DataFrame:
     """Every element of the cards list with its position and status."""
-    c = checked_cards(parsed)
-    return c.select("reply_id", "book_id", F.posexplode("_cards").alias("pos", "card"), "_fatal").select(
-        "reply_id", "book_id", (F.col("pos") + 1).alias("card_no"), F.col("card.status").alias("status"),
-        F.col("_fatal").alias("reply_fatal"),
-    )
+    return checked_cards(parsed).select("reply_id", "book_id", "card_no", F.col("c.status").alias("status"),
+                                        "reply_fatal")
 
 
 def valid_cards(parsed: DataFrame) -> DataFrame:
     """C7 + C8: typed cards of replies without a fatal card, order kept."""
-    c = checked_cards(parsed).where(~F.col("_fatal"))
-    e = c.select("reply_id", "book_id", F.posexplode("_cards").alias("pos", "card"))
-    return e.where(F.col("card.status") == "ok").select(
-        "reply_id", "book_id", (F.col("pos") + 1).alias("card_no"),
-        "card.front", "card.back", "card.card_type", "card.tags", "card.source", "card.difficulty",
-    )
+    c = checked_cards(parsed).where(~F.col("reply_fatal") & (F.col("c.status") == "ok"))
+    return c.select("reply_id", "book_id", "card_no", "c.front", "c.back", "c.card_type", "c.tags", "c.source",
+                    "c.difficulty")
 
 
 def reply_report(parsed: DataFrame) -> DataFrame:
     """One row per reply: stage, shape, counts per card status and the
-    number of cards kept."""
+    number of cards kept (replies without cards count zeros)."""
     c = checked_cards(parsed)
-
-    def count(status: str) -> Column:
-        return F.size(F.filter("_cards", lambda x: x["status"] == status))
-
-    return c.select(
+    st = F.col("c.status")
+    per = c.groupBy("reply_id").agg(
+        F.count(F.lit(1)).cast("int").alias("items"),
+        F.count_if(st == "ok").cast("int").alias("ok"),
+        F.count_if(st == "skip").cast("int").alias("skipped"),
+        F.count_if(st == "fatal").cast("int").alias("fatal"),
+    )
+    r = parsed.select("reply_id", "book_id", "stage", "shape").join(per, "reply_id", "left")
+    z = F.lit(0)
+    return r.select(
         "reply_id", "book_id", "stage", "shape",
-        F.size("_cards").alias("items"),
-        count("ok").alias("ok"), count("skip").alias("skipped"), count("fatal").alias("fatal"),
-        F.when(F.col("_fatal"), 0).otherwise(count("ok")).alias("cards"),
+        *[F.coalesce(x, z).cast("int").alias(x) for x in ("items", "ok", "skipped", "fatal")],
+        F.when(F.coalesce("fatal", z) > 0, 0).otherwise(F.coalesce("ok", z)).cast("int").alias("cards"),
     )
 
 

@@ -127,7 +127,7 @@ def run_accounting(c: Corpus) -> DataFrame:
 
 
 def html_text(c: Corpus) -> DataFrame:
-    p = read_table(c.spark, c.sf, "pages", "page_id", "html")
+    p = read_table(c.spark, c.sf, "pages", "page_id", "html", spread_out=True)
     return p.select("page_id", T.html_text(F.col("html")).alias("text"))
 
 
@@ -148,7 +148,7 @@ def book_metadata(c: Corpus) -> DataFrame:
 
 
 def word_count(c: Corpus) -> DataFrame:
-    d = read_table(c.spark, c.sf, "documents", "doc_id", "text")
+    d = read_table(c.spark, c.sf, "documents", "doc_id", "text", spread_out=True)
     return d.select("doc_id", T.word_count(F.col("text")).cast("long").alias("words"))
 
 

@@ -31,7 +31,7 @@ def _host(url: Column) -> Column:
 # --- B1. Paged books: one document = one book, 4 lines = one page ----------
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", spread_out=True)
     return docs.select(
         F.col("doc_id").alias("book_id"),
         F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"),
@@ -93,7 +93,7 @@ def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
+    p = read_table(spark, sf_dir, "pages", "page_id", "url", "html", spread_out=True)
     pid, h = F.col("page_id"), F.col("html")
 
     def rep(c: Column, a: str, b: str) -> Column:
@@ -135,7 +135,7 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    d = read_table(spark, sf_dir, "documents", "doc_id", "source", "text", spread_out=True)
     i, t = F.col("doc_id"), F.col("text")
     title = (
         F.when(i % 9 == 1, F.lit("Discover the Market")).when(i % 9 == 2, F.lit("About this book"))
@@ -162,7 +162,7 @@ def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- B4. Model replies: one assistant turn = one reply ---------------------
 
 def reply_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text", spread_out=True)
     flat = F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), F.lit('"'), F.lit(" "))
     cid = F.col("conv_id")
     return c.where(F.col("role") == "assistant").select(
