@@ -95,7 +95,9 @@ HTML_ENTITIES = {
 
 
 def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    if isinstance(x, str):
+        return F.col(x)
+    return x if isinstance(x, Column) else F.lit(x)
 
 
 def strip(col) -> Column:

@@ -157,18 +157,19 @@ def write_cards(books: DataFrame, chapters: DataFrame, cards: DataFrame, path: s
         log.warning("unknown card format %r, writing json", fmt)
         f = "json"
     if f == "json":
-        rows, sep = render_json(books, chapters, cards, run_ts, order).withColumnRenamed("block", "line"), "\n"
+        rows = render_json(books, chapters, cards, run_ts, order).withColumnRenamed("block", "line")
     elif f == "csv":
-        rows, sep = render_csv(books, cards, order), CSV_LINE_END
+        # CRLF line ends: the text writer ends every row with '\n'.
+        rows = render_csv(books, cards, order)
+        rows = rows.withColumn("line", F.concat("line", F.lit(CSV_LINE_END[:-1])))
     else:
-        rows, sep = render_deck(books, cards, order, escape), "\n"
+        rows = render_deck(books, cards, order, escape)
     keys = ["file_stem", "part", *order]
     (
         rows.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .select("file_stem", F.col("line").alias("value"))
         .write.mode("overwrite")
-        .option("lineSep", sep)
         .partitionBy("file_stem")
         .text(path)
     )
