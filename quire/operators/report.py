@@ -56,7 +56,9 @@ def cards_per_book(books: DataFrame, cards: DataFrame) -> DataFrame:
 
 def books_without_cards(books: DataFrame, cards: DataFrame) -> DataFrame:
     """Books that get no export file (they stay in the summary)."""
-    return books.join(cards.select("book_id"), "book_id", "left_anti")
+    # Distinct ids are reduced map-side, so a book with very many cards
+    # sends one key per task into the shuffle.
+    return books.join(cards.select("book_id").distinct(), "book_id", "left_anti")
 
 
 def generation_summary(books: DataFrame, chapters: DataFrame, cards: DataFrame) -> DataFrame:
