@@ -100,6 +100,13 @@ def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+def once(*named: Column) -> Column:
+    """Evaluate expensive expressions once per row. Use in ``select``: the
+    generator's outputs are fresh attributes, so later filters on them are
+    not pushed below it (which would re-run the expressions)."""
+    return F.inline(F.array(F.struct(*named)))
+
+
 def strip(col) -> Column:
     """Python ``str.strip()``: trims every Unicode white-space character
     (Spark's ``trim`` only removes spaces)."""

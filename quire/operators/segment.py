@@ -34,11 +34,7 @@ STRATEGIES = {"toc": 1, "font": 2, "pattern": 3, "chunks": 4}
 BOUNDARY_COLS = ["book_id", "strategy", "priority", "ordinal", "title", "start_page", "end_page", "file_name"]
 
 
-def _once(*named: Column) -> Column:
-    """Evaluate expensive expressions once per row: the generator output is a
-    fresh attribute, so later filters cannot be pushed below it and re-run
-    the expressions."""
-    return F.inline(F.array(F.struct(*named)))
+_once = T.once
 
 
 def _fmt(*parts) -> Column:

@@ -48,9 +48,10 @@ def suitability_columns(df: DataFrame, title: str = "title", content: str = "con
     """Add the rule columns: long_enough, title_ok, skip_count, legal_ratio,
     suitable and first_reason (null when suitable)."""
     low_c, low_t = "_low_content", "_low_title"
-    x = df.withColumn(low_c, F.lower(F.col(content))).withColumn(low_t, F.lower(F.col(title)))
+    x = df.select("*", T.once(F.lower(F.col(content)).alias(low_c), F.lower(F.col(title)).alias(low_t),
+                              F.length(T.strip(F.col(content))).alias("_stripped_len")))
     lc, lt = F.col(low_c), F.col(low_t)
-    long_enough = F.length(T.strip(F.col(content))) >= MIN_CONTENT_CHARS
+    long_enough = F.col("_stripped_len") >= MIN_CONTENT_CHARS
     title_hit = F.lit(False)
     for p in SKIP_TITLE_PATTERNS:
         title_hit = title_hit | lt.contains(p)
