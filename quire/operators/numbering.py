@@ -10,7 +10,9 @@ without a size bound we number in two levels:
 2. the per-bucket row counts (a small table: one row per key and bucket) give
    each bucket its offset with a running sum over the buckets of a key.
 
-The result equals the plain window exactly. The big side is shuffled once (by
+The result equals the plain window exactly. ``order`` should be a dense integer
+position (a spine position, a record number); sparse identifiers should be
+ranked first, otherwise buckets hold few rows and the offset table grows. The big side is shuffled once (by
 ``key, b``); the offset table joins on the same keys, so it is the only side
 that moves again.
 """

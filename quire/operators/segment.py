@@ -79,8 +79,11 @@ def with_next_text(pages: DataFrame) -> DataFrame:
     has text (null when none). A range [s, e) has text iff next_text(s) < e.
     The window runs over the pages of one book (one input record)."""
     w = Window.partitionBy("book_id").orderBy(F.col("page_num").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    nt = F.min(F.when(F.col("ptext").isNotNull(), F.col("page_num"))).over(w)
-    return pages.select("book_id", "page_num", nt.alias("next_text"))
+    # Reduce the page to a flag first so that only skinny rows are shuffled
+    # for the window.
+    flags = pages.select("book_id", "page_num", F.col("ptext").isNotNull().alias("has_text"))
+    nt = F.min(F.when(F.col("has_text"), F.col("page_num"))).over(w)
+    return flags.select("book_id", "page_num", nt.alias("next_text"))
 
 
 # ---------------------------------------------------------------------------
