@@ -64,8 +64,9 @@ def render_json(books: DataFrame, chapters: DataFrame, cards: DataFrame, run_ts:
     with newlines in ``(part, order)`` order they give the document written
     by ``json.dump(indent=2, ensure_ascii=False)``."""
     rows = _card_rows(books, cards)
-    last = rows.groupBy("book_id").agg(F.max(F.struct(*order)).alias("_last"))
-    n_cards = rows.groupBy("book_id").agg(F.count(F.lit(1)).alias("total_flashcards"))
+    # One per-book aggregate gives the header fields and the last card.
+    stats = rows.groupBy("book_id", "file_stem", "book_title", "book_author").agg(
+        F.count(F.lit(1)).alias("total_flashcards"), F.max(F.struct(*order)).alias("_last"))
     n_chapters = chapters.groupBy("book_id").agg(F.count(F.lit(1)).alias("total_chapters"))
     tags = F.when(F.size("tags") == 0, F.lit("[]")).otherwise(
         _lit("[\n", F.array_join(F.transform("tags", lambda t: _lit("        ", json_string(t))), ",\n"), "\n      ]"))
@@ -80,12 +81,9 @@ def render_json(books: DataFrame, chapters: DataFrame, cards: DataFrame, run_ts:
         '      "tags": ', tags, "\n",
         "    }", F.when(is_last, F.lit("")).otherwise(F.lit(",")),
     )
-    body = rows.join(last, "book_id").select(
+    body = rows.join(stats.select("book_id", "_last"), "book_id").select(
         "book_id", "file_stem", F.lit(1).alias("part"), *order, card_block.alias("block"))
-    heads = (
-        rows.select("book_id", "file_stem", "book_title", "book_author").distinct()
-        .join(n_cards, "book_id").join(n_chapters, "book_id", "left")
-    )
+    heads = stats.join(n_chapters, "book_id", "left")
     header = _lit(
         "{\n",
         '  "metadata": {\n',
@@ -98,9 +96,11 @@ def render_json(books: DataFrame, chapters: DataFrame, cards: DataFrame, run_ts:
         '  "flashcards": [',
     )
     nulls = [F.lit(None).cast(body.schema[c].dataType).alias(c) for c in order]
-    head_rows = heads.select("book_id", "file_stem", F.lit(0).alias("part"), *nulls, header.alias("block"))
-    foot_rows = heads.select("book_id", "file_stem", F.lit(2).alias("part"), *nulls, F.lit("  ]\n}").alias("block"))
-    return head_rows.unionByName(body).unionByName(foot_rows)
+    # Header and footer rows of a book come from one pass over its stats row.
+    ends = F.inline(F.array(F.struct(F.lit(0).alias("part"), header.alias("block")),
+                            F.struct(F.lit(2).alias("part"), F.lit("  ]\n}").alias("block"))))
+    edge_rows = heads.select("book_id", "file_stem", ends).select("book_id", "file_stem", "part", *nulls, "block")
+    return edge_rows.unionByName(body)
 
 
 def csv_field(col) -> Column:
