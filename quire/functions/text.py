@@ -8,6 +8,7 @@ in RE2 (DuckDB), which the oracle queries rely on.
 
 from __future__ import annotations
 
+import json
 import sys
 
 from pyspark.sql import Column
@@ -201,7 +202,8 @@ def decode_entities(col) -> Column:
     """Decode character references in one text node, in a single left-to-right
     pass (so '&amp;lt;' becomes '&lt;', as a real HTML parser does)."""
     c = _c(col)
-    emap = F.create_map(*[x for k, v in HTML_ENTITIES.items() for x in (F.lit(k), F.lit(v))])
+    # One constant map (a JSON literal folded at planning time).
+    emap = F.from_json(F.lit(json.dumps(HTML_ENTITIES)), "map<string,string>")
 
     def piece(p: Column, i: Column) -> Column:
         name = F.regexp_extract(p, _ENTITY_HEAD, 1)
