@@ -50,7 +50,6 @@ def _space_codes() -> list[int]:
 # so neither engine's \s can be used; the class is spelled out instead.
 WS_CHARS = "".join(chr(c) for c in _space_codes())
 WS = "[" + _ranges(_space_codes()) + "]"
-NOT_WS = "[^" + _ranges(_space_codes()) + "]"
 DIGITLIKE = _digit_like_class()
 DIGIT = r"\p{Nd}"  # Python's \d for str patterns (category Nd)
 SPACES = " " * len(WS_CHARS)
@@ -127,10 +126,6 @@ def word_count(col) -> Column:
     return F.coalesce(F.regexp_count(spaces_only(col), F.lit("[^ ]+")), F.lit(0))
 
 
-def is_blank(col) -> Column:
-    return F.length(strip(col)) == 0
-
-
 def preview(col, n: int) -> Column:
     """First ``n`` characters plus '...' only when the text is longer."""
     c = _c(col)

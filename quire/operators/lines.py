@@ -55,8 +55,3 @@ def page_text(pages: DataFrame) -> DataFrame:
     """Cleaned text of each page with at least one kept line (kept lines
     joined by newline in line order). ``pages`` is ``segment.page_facts``."""
     return pages.where(F.col("ptext").isNotNull()).select("book_id", "page_num", "ptext")
-
-
-def page_counts(lines: DataFrame) -> DataFrame:
-    """Pages per book, counting pages without text."""
-    return lines.groupBy("book_id").agg((F.max("page_num") + 1).alias("page_count"))

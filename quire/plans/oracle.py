@@ -10,7 +10,7 @@ parsing JSON, an independent check of the Spark parser.
 
 from __future__ import annotations
 
-from quire.functions.text import DIGIT, DIGITLIKE, HEADING_RULES, HEADING_WORDS, NOT_WS, WS, WS_CHARS
+from quire.functions.text import DIGIT, DIGITLIKE, HEADING_RULES, HEADING_WORDS, WS, WS_CHARS
 from quire.operators.suitability import LEGAL_PATTERNS, SKIP_CONTENT_PATTERNS, SKIP_TITLE_PATTERNS
 
 WSL = "'" + WS_CHARS + "'"
