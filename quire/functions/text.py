@@ -200,8 +200,12 @@ def decode_entities(col) -> Column:
     # One constant map (a JSON literal folded at planning time).
     emap = F.from_json(F.lit(json.dumps(HTML_ENTITIES)), "map<string,string>")
 
-    def piece(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, _ENTITY_HEAD, 1)
+    def split_piece(p: Column, i: Column) -> Column:
+        # The reference name is extracted once per piece.
+        return F.struct(p.alias("p"), i.alias("i"), F.regexp_extract(p, _ENTITY_HEAD, 1).alias("name"))
+
+    def piece(x: Column) -> Column:
+        p, i, name = x["p"], x["i"], x["name"]
         rest = F.substring(p, F.length(name) + 2, F.lit(1 << 30))
         num = F.when(
             name.startswith("#x") | name.startswith("#X"),
@@ -214,9 +218,8 @@ def decode_entities(col) -> Column:
         decoded = F.when((name != "") & value.isNotNull(), F.concat(value, rest))
         return F.when(i == 0, p).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), p)))
 
-    return F.when(
-        c.contains("&"), F.array_join(F.transform(F.split(c, "&", -1), piece), "")
-    ).otherwise(c)
+    pieces = F.transform(F.split(c, "&", -1), split_piece)
+    return F.when(c.contains("&"), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
 
 
 # Blocks whose content is not text: comments, script, style, template.
@@ -316,10 +319,15 @@ def heading_like(col) -> Column:
     return words | numbered | titled
 
 
+# Every heading rule starts with one of these; lines that do not are skipped
+# without running the rules.
+HEADING_PREFIX = rf"^(?:ch|part|section|{DIGIT})"
+
+
 def heading_rule(line) -> Column:
     """Id of the first heading pattern the raw line matches, or null."""
     low = F.lower(strip(_c(line)))
     out = None
     for rule_id, pat in HEADING_RULES:
         out = F.when(low.rlike(pat), F.lit(rule_id)) if out is None else out.when(low.rlike(pat), F.lit(rule_id))
-    return out
+    return F.when(low.rlike(HEADING_PREFIX), out)
