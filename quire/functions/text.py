@@ -8,6 +8,7 @@ in RE2 (DuckDB), which the oracle queries rely on.
 
 from __future__ import annotations
 
+import html.entities
 import json
 import sys
 
@@ -75,19 +76,12 @@ HEADING_RULES = [
 # Characters replaced by '_' in export file names.
 UNSAFE_FILENAME_CHARS = '<>:"/\\|?*'
 
-# Named character references decoded in HTML text (the common subset; numeric
-# references are decoded generically).
-HTML_ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
-    "AMP": "&", "LT": "<", "GT": ">", "QUOT": '"',
-    "nbsp": "\xa0", "copy": "\xa9", "COPY": "\xa9", "reg": "\xae", "REG": "\xae",
-    "trade": "™", "middot": "\xb7", "mdash": "—", "ndash": "–",
-    "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“",
-    "rdquo": "”", "laquo": "\xab", "raquo": "\xbb", "bull": "•",
-    "deg": "\xb0", "euro": "€", "pound": "\xa3", "yen": "\xa5", "cent": "\xa2",
-    "sect": "\xa7", "para": "\xb6", "times": "\xd7", "divide": "\xf7",
-    "shy": "\xad", "iexcl": "\xa1", "iquest": "\xbf",
-}
+# Named character references decoded in HTML text: the standard HTML5 table
+# (from the Python standard library), references written with a ';'.
+HTML_ENTITIES = {k[:-1]: v for k, v in html.entities.html5.items() if k.endswith(";")}
+# References resolved without a table lookup (the most frequent in text).
+COMMON_ENTITIES = ["amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "middot", "reg", "trade", "mdash",
+                   "ndash", "hellip", "lsquo", "rsquo", "ldquo", "rdquo", "laquo", "raquo", "bull", "euro"]
 
 # ---------------------------------------------------------------------------
 # Basic string helpers
@@ -206,6 +200,11 @@ def decode_entities(col) -> Column:
 
     def piece(x: Column) -> Column:
         p, i, name = x["p"], x["i"], x["name"]
+        # Frequent references are resolved directly; the full table (a
+        # linear lookup) is only consulted for the rest.
+        common = F.when(name == "amp", F.lit("&"))
+        for k in COMMON_ENTITIES[1:]:
+            common = common.when(name == k, F.lit(HTML_ENTITIES[k]))
         rest = F.substring(p, F.length(name) + 2, F.lit(1 << 30))
         num = F.when(
             name.startswith("#x") | name.startswith("#X"),
@@ -214,7 +213,7 @@ def decode_entities(col) -> Column:
         value = F.when(
             name.startswith("#"),
             F.when((num > 0) & (num <= 0x10FFFF), _codepoint(num)),
-        ).otherwise(F.try_element_at(emap, name))
+        ).otherwise(common.otherwise(F.try_element_at(emap, name)))
         decoded = F.when((name != "") & value.isNotNull(), F.concat(value, rest))
         return F.when(i == 0, p).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), p)))
 
