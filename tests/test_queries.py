@@ -26,6 +26,11 @@ def test_plan_has_no_python_udf_or_nested_loop(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
         assert op not in plan, f"{name}: {op}"
+    # Column pruning reaches the scans: columns no operator uses are never read.
+    schemas = [line.split("ReadSchema: ", 1)[1] for line in plan.splitlines() if "ReadSchema: " in line]
+    assert schemas, name
+    for unused in ("lang:", "n_chars:", "embedding:"):
+        assert all(unused not in s for s in schemas), f"{name} reads {unused}"
 
 
 @pytest.fixture(scope="module")
