@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, pii
+from quire.llm import bpe, fingerprint, pii, urlfilter
 from quire.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -23,12 +23,24 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
         "op2_bpe": op2_bpe,
+        "op3_fingerprints": op3_fingerprints,
+        "op7_url_filter": op7_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_url_filter": urlfilter.op7_sql(),
+    }
