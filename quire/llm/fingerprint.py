@@ -31,6 +31,7 @@ UNIFORM = 16
 SIGNS = 64
 LANES = UNIFORM + SIGNS + 1
 MODULUS = 1 << 32
+NO_ID = -(1 << 63)  # stands for a missing id inside the joins
 # Up to seven words that do not end a sentence, then one word of any kind.
 PHRASE = r"(?:\S*[^\s.!?]\s+){0,7}\S+"
 
@@ -131,22 +132,27 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     The texts cross the network once, dealt by id; the second use of that
     exchange and all per-document sums need no other. Heads are cut to the
     length they are needed for before they move."""
-    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(f"`{text_col}`", F.lit("")).alias("_text"))
-    sizes = docs.groupBy("doc_id").agg(F.floor(F.max(F.char_length("_text")) / 4).cast("int").alias("_need"))
+    # Both joins use the same two columns and a key that is never null, so that
+    # they read one exchange.
+    docs = df.select(F.coalesce(f"`{id_col}`", F.lit(NO_ID)).alias("_key"),
+                     F.coalesce(f"`{text_col}`", F.lit("")).alias("_text"))
+    own_id = F.when(F.col("_key") != NO_ID, F.col("_key")).alias("doc_id")
+    sizes = (docs.groupBy("_key").agg(F.floor(F.max(F.char_length("_text")) / 4).cast("int").alias("_need"))
+             .select(own_id, "_need"))
     links = next_ids(sizes, "doc_id").join(sizes, "doc_id")
     heads = (links.select(F.col("doc_id").alias("_for"), "next_id", "_need")
-             .join(docs.withColumnRenamed("doc_id", "next_id"), "next_id")
+             .join(docs, F.col("next_id") == F.col("_key"))
              .select("_for", "next_id", F.expr("substring(_text, 1, _need)").alias("_head"))
              .groupBy("_for", "next_id").agg(F.min("_head").alias("_head"))
-             .withColumnRenamed("_for", "doc_id"))
+             .withColumnRenamed("_for", "_key"))
     n = F.char_length("_text")
     kept = n - F.floor(n / 4).cast("int")
-    edited = (docs.join(heads, "doc_id", "left")
+    edited = (docs.join(heads, "_key", "left")
               .withColumn("_row", F.monotonically_increasing_id())
-              .select("doc_id", "_row", "next_id", n.cast("long").alias("n_chars"), "_text",
+              .select("_key", "_row", "next_id", n.cast("long").alias("n_chars"), "_text",
                       F.concat(F.substring("_text", F.lit(1), kept),
                                F.substring(F.coalesce("_head", F.lit("")), F.lit(1), n - kept)).alias("_edited")))
-    keys = ["doc_id", "_row", "next_id", "n_chars"]
+    keys = ["_key", "_row", "next_id", "n_chars"]
     numbered = edited.select(
         *keys, F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
         F.posexplode(F.array("_text", "_edited")).alias("_version", "_version_text"))
@@ -155,9 +161,9 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.first(F.when(F.col("_version") == 0, F.col("lanes")), ignorenulls=True).alias("lanes"),
         F.first(F.when(F.col("_version") == 1, F.col("lanes")), ignorenulls=True).alias("edited_lanes"))
     base = staged(paired, "fingerprints")
-    following = base.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("lanes").alias("_next_lanes"))
+    following = base.groupBy(F.col("_key").alias("next_id")).agg(F.min("lanes").alias("_next_lanes"))
     return base.join(following, "next_id", "left").select(
-        "doc_id", "n_chars", "edited_sha256", to_string(F.col("lanes")).alias("fingerprint"),
+        own_id, "n_chars", "edited_sha256", to_string(F.col("lanes")).alias("fingerprint"),
         to_string(F.col("edited_lanes")).alias("edited_fingerprint"),
         likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"),
         F.coalesce(likeness(F.col("lanes"), F.col("_next_lanes")), F.lit(0.0)).alias("near_next"))
