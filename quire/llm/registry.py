@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, fingerprint, pii, urlfilter
+from quire.llm import ann, bpe, fingerprint, pii, quality, urlfilter
 from quire.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +27,14 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search_every(table(spark, sf_dir, "embeddings"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
@@ -36,6 +44,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": op1_pii,
         "op2_bpe": op2_bpe,
         "op3_fingerprints": op3_fingerprints,
+        "op5_neighbours": op5_neighbours,
+        "op6_quality": op6_quality,
         "op7_url_filter": op7_url_filter,
     }
 
