@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import ann, bpe, fingerprint, pii, quality, urlfilter
+from quire.llm import ann, bpe, fingerprint, minhash, pii, quality, urlfilter
 from quire.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -39,6 +39,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -47,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_neighbours": op5_neighbours,
         "op6_quality": op6_quality,
         "op7_url_filter": op7_url_filter,
+        "op8_near_duplicates": op8_near_duplicates,
     }
 
 
