@@ -11,9 +11,11 @@ Work per group of copies stays linear:
   * equal sets are one class (a pre-aggregated group-by), which goes on as one row;
   * each class is first compared with the smallest class of the buckets it is in,
     and confirmed links are joined to components;
-  * only buckets that still hold several components are looked at again: their
-    members are paired across components, sketches that rule a link out are
-    dropped, and the rest is confirmed too. No candidate is left untested.
+  * in buckets that still hold several components, each member is compared with a
+    few hubs of its buckets, twice;
+  * in buckets that then still hold several, members are paired across components,
+    pairs that sizes or sketches rule out are dropped within the join, and the rest
+    is confirmed too. No candidate is left untested.
 
 Every confirmation compares whole shingle sets. Sets are computed again from the
 texts that occur in candidate pairs, so they are never stored for all documents.
@@ -33,13 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import shared_dir, staged
+from quire.llm.common import shared_dir, staged, tasks
 
 COLLECTIONS = 18
 ROWS = 4
 SKETCH = 64          # minhashes that also give two bits each to a sketch
 SKETCH_LEAST = 39    # equal two-bit values of 64; at similarity 0.8 fewer come once in 10 million pairs
 BLOOM_BYTES = 64 << 20
+STARS = 2            # linear rounds before the exact one
+SPOKES = 4           # partners a member gets in a linear round
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _known: dict[bytes, int] = {}
@@ -228,50 +232,70 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     classes = staged(by_class, "classes")
 
-    table_rows = classes.select("v", "values").mapInPandas(_tables, "key long, v long")
+    # Classes are few bytes each but make many table rows: deal them out first.
+    table_rows = (classes.select("v", "values").repartition(tasks(docs.sparkSession), "v")
+                  .mapInPandas(_tables, "key long, v long"))
     leaders = table_rows.groupBy("key").agg(F.min("v").alias("leader"), F.max("v").alias("last")) \
         .where("leader < last").select("key", "leader")
     members = staged(table_rows.join(leaders, "key").distinct(), "buckets")  # buckets of two and more
 
     sizes = classes.select("v", "n", "s1", "s2")
+    evens = F.lit(0x5555555555555555)
 
-    def possible(pairs: DataFrame) -> DataFrame:
-        """Drop pairs that sizes or sketches rule out."""
-        xs = sizes.toDF("x", "nx", "x1", "x2")
-        ys = sizes.toDF("y", "ny", "y1", "y2")
-        evens = F.lit(0x5555555555555555)
+    def equal(p: str, q: str):
+        """Equal two-bit values of two halves of a sketch."""
+        d = F.col(p).bitwiseXOR(F.col(q))
+        return F.bit_count(F.bitwise_not(d.bitwiseOR(F.shiftrightunsigned(d, 1))).bitwiseAND(evens))
 
-        def equal(p: str, q: str):
-            d = F.col(p).bitwiseXOR(F.col(q))
-            return F.bit_count(F.bitwise_not(d.bitwiseOR(F.shiftrightunsigned(d, 1))).bitwiseAND(evens))
+    # Sizes and sketches rule most other pairs out.
+    may_link = ((100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+                & (equal("x1", "y1") + equal("x2", "y2") >= SKETCH_LEAST))
 
-        return (pairs.join(xs, "x").join(ys, "y")
-                .where((100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-                       & (equal("x1", "y1") + equal("x2", "y2") >= SKETCH_LEAST)).select("x", "y").distinct())
+    def possible(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(sizes.toDF("x", "nx", "x1", "x2"), "x").join(sizes.toDF("y", "ny", "y1", "y2"), "y")
+                .where(may_link).select("x", "y").distinct())
+
+    def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
+        """Labels after components are joined by more links."""
+        of, to = labels.toDF("x", "cx"), labels.toDF("y", "cy")
+        roots = components(links.join(of, "x").join(to, "y").where("cx <> cy")
+                           .select(F.col("cx").alias("x"), F.col("cy").alias("y")).distinct())
+        return (labels.join(roots.toDF("c", "root"), "c", "left")
+                .select("v", F.coalesce("root", "c").alias("c")).checkpoint())
+
+    def mixed(labels: DataFrame) -> DataFrame:
+        """(key, v, c) of the buckets that hold several components."""
+        placed = members.select("key", "v").join(labels, "v")
+        several = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+        return placed.join(several.select("key"), "key", "left_semi")
 
     first = members.where("v <> leader").groupBy(F.col("v").alias("x")).agg(F.min("leader").alias("y"))
-    links = confirm(possible(first), docs, words, percent)
-    labels = components(links)
-
-    # Buckets that hold several components: pair their members across components.
-    placed = staged(members.select("key", "v").join(labels, "v", "left")
-                    .select("key", "v", F.coalesce("c", "v").alias("c")), "placed")
-    mixed = (placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key"))
-    open_ = placed.join(mixed, "key").distinct()
-    held = open_.select("key", "c").distinct()
-    across = (held.join(held.select("key", F.col("c").alias("d")), "key").where("c < d")
-              .join(open_.select("key", "c", F.col("v").alias("x")), ["key", "c"])
-              .join(open_.select("key", F.col("c").alias("d"), F.col("v").alias("y")), ["key", "d"])
-              .select("x", "y").distinct())
-    more = confirm(possible(across), docs, words, percent)
-    of = labels.select(F.col("v").alias("x"), F.col("c").alias("cx"))
-    to = labels.select(F.col("v").alias("y"), F.col("c").alias("cy"))
-    joined = (more.join(of, "x", "left").join(to, "y", "left")
-              .select(F.coalesce("cx", "x").alias("x"), F.coalesce("cy", "y").alias("y")).distinct())
-    roots = components(joined)
-    place = (classes.select("a", "b", "v").join(labels, "v", "left").select("a", "b", F.coalesce("c", "v").alias("c"))
-             .join(roots.select(F.col("v").alias("c"), F.col("c").alias("root")), "c", "left")
-             .select("a", "b", F.coalesce("root", "c").alias("component_id")))
+    labels = relabel(members.select("v").distinct().withColumn("c", F.col("v")).checkpoint(),
+                     confirm(possible(first), docs, words, percent))
+    # Linear rounds: a member against a few members of its buckets that any other
+    # member of the bucket is compared with too.
+    for seed in range(STARS):
+        open_ = mixed(labels)
+        turn = F.xxhash64("v", F.lit(seed))
+        hubs = open_.groupBy("key").agg(F.min(F.struct(turn.alias("h"), "v", "c")).alias("hub"))
+        spokes = (open_.join(hubs, "key").where("c <> hub.c")
+                  .select(F.col("v").alias("x"), F.col("hub.v").alias("y"), "hub.h").distinct())
+        nearest = Window.partitionBy("x").orderBy("h")
+        few = spokes.withColumn("_k", F.row_number().over(nearest)).where(F.col("_k") <= SPOKES).select("x", "y")
+        labels = relabel(labels, confirm(possible(few), docs, words, percent))
+
+    # What is left is exact: members of one bucket, across its components. The
+    # smaller component is laid out and the larger one is tested within the join.
+    open_ = staged(mixed(labels).join(sizes, "v"), "mixed")
+    held = open_.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
+    other = held.select("key", F.col("c").alias("d"), F.col("m").alias("md"))
+    lower = held.join(other, "key").where("c <> d AND (m < md OR (m = md AND c < d))").select("key", "c", "d")
+    laid = lower.join(open_.toDF("x", "key", "c", "nx", "x1", "x2"), ["key", "c"]).alias("p")
+    against = open_.toDF("y", "key", "d", "ny", "y1", "y2").alias("q")
+    across = laid.join(against, (F.col("p.key") == F.col("q.key")) & (F.col("p.d") == F.col("q.d")) & may_link)
+    labels = relabel(labels, confirm(across.select("x", "y").distinct(), docs, words, percent))
+    place = classes.select("a", "b", "v").join(labels, "v", "left").select(
+        "a", "b", F.coalesce("c", "v").alias("component_id"))
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "a", "b").join(place, ["a", "b"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
