@@ -150,9 +150,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that the classifier does not reject, all columns unchanged."""
-    with_x = features(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                                  F.col("doc_id").alias("_id"), F.col("text").alias("_text")), "_text", ["_row", "_id"])
-    statistics = staged(with_x.select("_row", F.col("_id").alias("doc_id"), "x"), "statistics")
-    score = score_column(docs.sparkSession, fit_on(statistics, labels))
-    return statistics.where(score("x") >= threshold).select("_row.*")
+    """The rows that the classifier does not reject, all columns unchanged. Texts
+    are read twice (training, filtering) and neither moved nor stored."""
+    model = fit_on(features(docs, "text", ["doc_id"]), labels)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
+    score = score_column(docs.sparkSession, model)
+    return features(packed, "_text", ["_row"]).where(score("x") >= threshold).select("_row.*")

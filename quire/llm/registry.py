@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import ann, bpe, fingerprint, minhash, pii, quality, urlfilter
+from quire.llm import ann, bpe, fingerprint, minhash, packing, pii, quality, urlfilter
 from quire.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -43,6 +43,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_by_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": op6_quality,
         "op7_url_filter": op7_url_filter,
         "op8_near_duplicates": op8_near_duplicates,
+        "op10_packing": op10_packing,
     }
 
 
