@@ -117,11 +117,11 @@ class Codec:
             if len(known) + len(new) > CACHE_ENTRIES:
                 known.clear()
                 new = list(set(words))
-            known.update(self._learn([w for w in new if len(w) <= CACHE_CHARS]))
-            long = self._learn([w for w in new if len(w) > CACHE_CHARS])
-            if long:
-                known = known | long
+            known.update(self._learn(new))
         ids = array("I", chain.from_iterable(map(known.__getitem__, words)))
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                del known[w]
         if ids.itemsize != 4 or struct.pack("=I", 1) != b"\x01\0\0\0":
             return struct.pack(f"<{len(ids)}I", *ids)
         return ids.tobytes()
