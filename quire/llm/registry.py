@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quire.llm import ann, bpe, fingerprint, minhash, packing, pii, quality, urlfilter
+from quire.llm import ann, bpe, fingerprint, minhash, packing, pii, pitmanyor, quality, quotes, urlfilter
 from quire.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,6 +28,15 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations hold no quotations, so every message first gets those of
+    the two messages before it; cleaning and linking must undo that."""
+    sent = quotes.with_quotations(table(spark, sf_dir, "conversations"))
+    return quotes.link_quotations(sent).select(
+        "conv_id", "turn", "role", "position", "parent_turn",
+        F.sha2(F.col("clean_text").cast("binary"), 256).alias("clean_sha256"))
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search_every(table(spark, sf_dir, "embeddings"))
 
@@ -43,6 +53,10 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_by_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -52,15 +66,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pii": op1_pii,
         "op2_bpe": op2_bpe,
         "op3_fingerprints": op3_fingerprints,
+        "op4_quotations": op4_quotations,
         "op5_neighbours": op5_neighbours,
         "op6_quality": op6_quality,
         "op7_url_filter": op7_url_filter,
         "op8_near_duplicates": op8_near_duplicates,
+        "op9_pitman_yor": op9_pitman_yor,
         "op10_packing": op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_quotations": quotes.op4_sql(),
         "op7_url_filter": urlfilter.op7_sql(),
     }
