@@ -96,7 +96,7 @@ class Codec:
         self.odd, self.strict = _unicode_gap(pattern)
 
     def split(self, text: str) -> list[str]:
-        if self.odd is not None and not text.isascii() and self.odd.search(text):
+        if self.odd and not text.isascii() and not self.odd.isdisjoint(text):
             return self.strict.findall(text)
         return self.pattern.findall(text)
 
@@ -134,8 +134,8 @@ class Codec:
 
 def _unicode_gap(pattern: str):
     """Letters and numbers that the pattern library knows and tiktoken's does
-    not, or the reverse (their Unicode versions differ): a test for them and
-    the pattern with exactly tiktoken's classes. (None, None) if there are none."""
+    not, or the reverse (their Unicode versions differ), and the pattern with
+    exactly tiktoken's classes (None if there are no such characters)."""
     import regex
     import tiktoken
 
@@ -151,11 +151,11 @@ def _unicode_gap(pattern: str):
         inner = f"[{name}--[{less}]]" if less else name
         classes[name] = f"[{inner}||[{more}]]" if more else inner
     if not gap:
-        return None, None
+        return frozenset(), None
     strict = pattern
     for name, exact in classes.items():
         strict = strict.replace(name, exact)
-    return regex.compile("[" + "".join(map(regex.escape, sorted(gap))) + "]"), regex.compile(strict, regex.V1)
+    return frozenset(gap), regex.compile(strict, regex.V1)
 
 
 _codecs: dict[str, Codec] = {}
