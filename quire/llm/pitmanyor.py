@@ -41,7 +41,7 @@ from quire.llm.common import staged
 CONTEXTS = 4_096
 SWEEPS = 3
 STRENGTH = 1.0          # concentration of every restaurant
-BUCKET_BYTES = 12 << 20  # text bytes that make one bucket
+BUCKET_BYTES = 8 << 20  # text bytes that make one bucket
 HOT_SAMPLE = 0.02       # share of the documents that names frequent words; it sets who is split, never a result
 
 END = np.uint64(0x9AE16A3B2F90404F)
@@ -66,7 +66,7 @@ def uniform(key: np.ndarray, sweep: int, step: int) -> np.ndarray:
 def tokens(text: str | None) -> np.ndarray:
     """Hashes of the words (A-Z lower-cased, ASCII white space) and of the end."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if len(_known) > 500_000:
+    if len(_known) > 200_000:
         _known.clear()
     known, out = _known, np.empty(len(words) + 1, np.uint64)
     for i, w in enumerate(words):
@@ -129,9 +129,9 @@ class Totals:
 class Bucket:
     """Words, contexts and postings of a bucket, as sorted dishes."""
 
-    def __init__(self, rows: pd.DataFrame):
+    def __init__(self, blobs: list[bytes]):
         self.docs, word, context, doc, count, train = [], [], [], [], [], []
-        for blob in rows.blob:
+        for blob in blobs:
             n_docs, n = np.frombuffer(blob, np.int64, 2)
             at = 16
             ids = np.frombuffer(blob, np.int64, n_docs, at)
@@ -256,17 +256,18 @@ def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int):
 
 
 def pack_documents(docs: DataFrame, hot: dict[int, int], buckets: int) -> DataFrame:
-    """(bucket, blob) of columns row, doc_id and text, staged by bucket."""
+    """(bucket, blobs) of columns row, doc_id and text."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         for pdf in batches:
-            for lo in range(0, len(pdf), 20_000):
-                if len(pdf.iloc[lo:lo + 20_000]):
-                    out = list(_pack(pdf.iloc[lo:lo + 20_000], shared.value, buckets))
-                    yield pd.DataFrame(out, columns=["bucket", "blob"])
+            for lo in range(0, len(pdf), 2_000):
+                out = list(_pack(pdf.iloc[lo:lo + 2_000], shared.value, buckets))
+                yield pd.DataFrame(out, columns=["bucket", "blob"])
 
-    return docs.select("row", "doc_id", "text").mapInPandas(run, "bucket long, blob binary")
+    packed = docs.select("row", "doc_id", "text").mapInPandas(run, "bucket long, blob binary")
+    # A bucket is about BUCKET_BYTES of text: one row, so that later passes need no shuffle.
+    return packed.groupBy("bucket").agg(F.collect_list("blob").alias("blobs"))
 
 
 def frequent_words(docs: DataFrame, buckets: int) -> dict[int, int]:
@@ -290,14 +291,23 @@ def frequent_words(docs: DataFrame, buckets: int) -> dict[int, int]:
             for r in rows.where(F.col("n") >= F.lit(total * share)).where("n > 0").collect()}
 
 
+def _each(run):
+    """Apply ``run`` to every bucket of every batch."""
+    def batches_of(batches):
+        for pdf in batches:
+            for blobs in pdf.blobs:
+                yield run(blobs)
+    return batches_of
+
+
 def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int, int]) -> Totals:
     """One pass over all buckets; adds the totals of ``sweep``."""
     spark = buckets.sparkSession
     shared = spark.sparkContext.broadcast((totals, hot))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(blobs: list[bytes]) -> pd.DataFrame:
         totals, hot = shared.value
-        b = Bucket(pdf)
+        b = Bucket(blobs)
         if totals is None:
             tables = np.minimum(b.customers, 1)
             customers, root_tables = np.bincount(b.word_of, weights=tables, minlength=len(b.words)), None
@@ -321,7 +331,7 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
         return pd.DataFrame(rows, columns=["kind", "id", "x", "y"])
 
     # Summed by Spark; CONTEXTS + 5 rows and those of split words reach the driver.
-    rows = (buckets.groupBy("bucket").applyInPandas(run, "kind string, id long, x double, y double")
+    rows = (buckets.select("blobs").mapInPandas(_each(run), "kind string, id long, x double, y double")
             .groupBy("kind", "id").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect())
     got = {(r["kind"], r["id"]): (r["x"], r["y"]) for r in rows}
     zero = (0.0, 0.0)
@@ -363,9 +373,9 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
     """Per bucket and document: tokens, known tokens, base and model log10."""
     shared = buckets.sparkSession.sparkContext.broadcast(totals)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(blobs: list[bytes]) -> pd.DataFrame:
         totals = shared.value
-        b = Bucket(pdf)
+        b = Bucket(blobs)
         known = b.whole(b.word_count, totals.split_count)
         base = np.log10((known + 1) / (totals.training + totals.words + 1))
         total = np.zeros(len(b.word))
@@ -384,7 +394,7 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
         return pd.DataFrame({"row": b.doc_ids, "n": sums[0].astype(int), "k": sums[1].astype(int),
                              "base": sums[2], "model": sums[3]}).groupby("row", as_index=False).sum()
 
-    return buckets.groupBy("bucket").applyInPandas(run, "row long, n long, k long, base double, model double")
+    return buckets.select("blobs").mapInPandas(_each(run), "row long, n long, k long, base double, model double")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -396,7 +406,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     hot = frequent_words(docs, buckets) if buckets > 1 else {}
     # Rows are known by their place in the input, so that repeated ids stay apart.
     rows = docs.withColumn("row", F.monotonically_increasing_id())
-    packed = staged(pack_documents(rows, hot, buckets).repartition(buckets, "bucket"), "postings")
+    packed = staged(pack_documents(rows, hot, buckets), "postings")
     totals = train(packed, hot)
     scores = score_buckets(packed, totals).groupBy("row").agg(
         *[F.sum(c).alias(c) for c in ("n", "k", "base", "model")])

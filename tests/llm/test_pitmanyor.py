@@ -70,8 +70,8 @@ def test_probabilities_of_a_context_sum_to_one(spark):
     held = [(next(x for x in range(5000, 5999) if zlib.crc32(str(x).encode()) % 7 == 2), "a")]
     df = spark.createDataFrame(rows + asks + held, "doc_id long, text string")
     buckets = py.pack_documents(df.selectExpr("monotonically_increasing_id() row", "doc_id", "text"), {}, 1).toPandas()
-    b = py.Bucket(buckets)
-    totals = py.train(spark.createDataFrame(buckets, "bucket long, blob binary"), {})
+    b = py.Bucket(buckets.blobs[0])
+    totals = py.train(py.pack_documents(df.selectExpr("monotonically_increasing_id() row", "doc_id", "text"), {}, 1), {})
     context = int(py.mix(py.tokens("a")[:1])[0] % np.uint64(py.CONTEXTS))
     sweep, tables, customers, root_tables = list(b.sweeps(totals, 1))[-1]
     parent = b.parent(customers, root_tables, totals, 1)
