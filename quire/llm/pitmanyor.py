@@ -41,7 +41,7 @@ from quire.llm.common import staged
 CONTEXTS = 4_096
 SWEEPS = 3
 STRENGTH = 1.0          # concentration of every restaurant
-BUCKET_BYTES = 8 << 20  # text bytes that make one bucket
+BUCKET_BYTES = 5 << 20  # text bytes that make one bucket
 HOT_SAMPLE = 0.02       # share of the documents that names frequent words; it sets who is split, never a result
 
 END = np.uint64(0x9AE16A3B2F90404F)
