@@ -249,8 +249,9 @@ def _has_element(html: Column, tag: str) -> Column:
 
 def title_parts(col) -> Column:
     """T2 without the fallback: struct(title, source) where source is one of
-    title / h1 / h2 / h3 and title is null when none applies."""
-    h = _c(col)
+    title / h1 / h2 / h3 and title is null when none applies. Elements inside
+    comments, scripts, styles and templates do not count."""
+    h = F.regexp_replace(_c(col), _NON_TEXT_BLOCKS, "")
     t_inner = _first_element_text(h, "title")
     # <title> counts only when it holds exactly one non-empty string; a
     # white-space-only title is returned as '' (truthy before the strip).

@@ -48,16 +48,17 @@ def parse_replies(responses: DataFrame, text: str = "response_text") -> DataFram
 
 def checked_cards(parsed: DataFrame, default_source: str = "chapter_title") -> DataFrame:
     """One row per element of each reply's cards list (``card_no`` from 1)
-    with its check result ``c`` and ``reply_fatal``. The checks are plain
-    column expressions on the exploded cards (code-generated); the
-    reply-level flag is a window over the cards of one reply, which come
-    from a single input row."""
-    e = parsed.select("reply_id", "book_id", default_source,
-                      F.posexplode(R.cards_list(F.col("reply"))).alias("pos", "card"))
-    e = e.select("reply_id", "book_id", (F.col("pos") + 1).alias("card_no"),
-                 R.card_check(R.card_fields(F.col("card")), F.col(default_source)).alias("c"))
-    fatal = F.max(F.col("c.status") == "fatal").over(Window.partitionBy("reply_id"))
-    return e.withColumn("reply_fatal", fatal)
+    with its check result ``c`` and ``reply_fatal``. Checks and the
+    reply-level flag are made on the reply's own array before it is exploded:
+    no shuffle, and replies that share an id (or have none) do not meet."""
+    def check(card: Column) -> Column:
+        return R.card_check(R.card_fields(card), F.col(default_source))
+
+    checked = parsed.select("reply_id", "book_id", F.transform(R.cards_list(F.col("reply")), check).alias("cs"))
+    flagged = checked.select("reply_id", "book_id", "cs",
+                             F.exists("cs", lambda c: c["status"] == "fatal").alias("reply_fatal"))
+    return flagged.select("reply_id", "book_id", "reply_fatal", F.posexplode("cs").alias("pos", "c")).select(
+        "reply_id", "book_id", (F.col("pos") + 1).alias("card_no"), "c", "reply_fatal")
 
 
 def exploded_cards(parsed: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ is unset (tests).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,11 +47,14 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def run(spark: SparkSession, inputs: PagedInputs, replies: DataFrame | None, out_dir: str, run_id: str,
-        fmt: str = "json", chapter_cap: int | None = None, cards_per_chapter: int = 5) -> dict[str, DataFrame]:
+        fmt: str = "json", chapter_cap: int | None = None, cards_per_chapter: int = 5,
+        run_ts: str | None = None) -> dict[str, DataFrame]:
     """Chapters (cascade) -> suitable chapters -> card requests; replies ->
     typed cards -> exports; summaries. ``replies`` is the output table of a
     batch-inference job over the requests (``reply_id, book_id,
     chapter_title, response_text``); without it, extractive cards stand in."""
+    # The exports carry the time of the run, taken once.
+    run_ts = run_ts or datetime.now().isoformat()
     wd = work_dir(spark, run_id)
     pages = _stage(S.page_facts(inputs.lines), f"{wd}/pages")
     bp = S.book_pages(pages)
@@ -64,7 +68,7 @@ def run(spark: SparkSession, inputs: PagedInputs, replies: DataFrame | None, out
     else:
         cards = C.extractive_cards(suitable, cards_per_chapter).withColumnRenamed("chapter_number", "reply_id")
     cards = _stage(cards, f"{wd}/cards")
-    K.write_cards(inputs.books, chapters, cards, f"{out_dir}/cards", fmt)
+    K.write_cards(inputs.books, chapters, cards, f"{out_dir}/cards", fmt, run_ts)
     summary = A.generation_summary(inputs.books, chapters, cards)
     per_book = A.book_summary(inputs.books, chapters).join(A.cards_per_book(inputs.books, cards), "book_id")
     K.write_summary(summary, per_book, f"{out_dir}/summary", run_id)

@@ -20,10 +20,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master and master.startswith("local"):
         # Local mode runs everything in the driver JVM.
         b = b.config("spark.driver.memory", driver_memory)
-        # Text work after a shuffle is CPU-bound even when the shuffle is
-        # small: keep small partitions instead of merging them into one.
-        b = b.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
-    b = (b.config("spark.ui.enabled", "false")
+    b =(b.config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -47,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local

@@ -13,20 +13,7 @@ TABLES = (
 ).split()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an under-partitioned input over all cores before CPU-heavy
-    row-local work (regexes over whole texts). A source with fewer splits
-    than task slots (e.g. one large row group) would otherwise run that
-    work in a single task. On a cluster reading many files the scan already
-    has more splits than slots and this is a no-op."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str, spread_out: bool = False) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Splits are the scan's own: a file of one row group stays one task."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if columns:
-        df = df.select(*columns)
-    return spread(df) if spread_out else df
+    return df.select(*columns) if columns else df

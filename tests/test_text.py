@@ -9,22 +9,6 @@ from conftest import one_col
 from quire.functions import text as T
 
 
-def py_strip_rule(line: str) -> bool:
-    """Our own plain-Python reading of the header/footer rule (L3)."""
-    import re
-
-    line = re.sub(" +", " ", line).strip()
-    return (len(line) < 5 or re.match(r"^\d+$", line) is not None
-            or re.match(r"^page \d+", line.lower()) is not None
-            or (len(line.split()) == 1 and line.isdigit()))
-
-
-def py_safe(name: str) -> str:
-    for ch in '<>:"/\\|?*':
-        name = name.replace(ch, "_")
-    return name.strip().replace(" ", "_")[:100]
-
-
 def test_word_count_cases(spark):
     vals = ["This is a test chapter with exactly nine words.", "", "   ", "a\xa0b\x1cc　d\x0be", "a​b"]
     assert one_col(spark, vals, T.word_count) == [9, 0, 0, 5, 1]
@@ -32,8 +16,7 @@ def test_word_count_cases(spark):
 
 def test_safe_filename_cases(spark):
     vals = ['A<B>:"/\\|?* c ', "x" * 120, 'Vol/3: "Notes"? ']
-    assert one_col(spark, vals, T.safe_filename) == [py_safe(v) for v in vals]
-    assert len(one_col(spark, ["x" * 120], T.safe_filename)[0]) == 100
+    assert one_col(spark, vals, T.safe_filename) == ["A_B_________c", "x" * 100, "Vol_3___Notes__"]
 
 
 def test_noise_rule_cases(spark):
@@ -69,9 +52,12 @@ def test_html_text_and_title(spark):
         "<i>x</i><h1> </h1><h3>Three</h3>",
         '<h2 class="c"> Two <b>bold</b></h2>',
         "<p>none</p>",
+        "<!-- <h1>old</h1> --><h1>new</h1>",
+        "<script>var a='<h1>js</h1>'</script><h1>real</h1>",
+        "<!-- <title>gone</title> --><title>Kept</title>",
     ]
     got = one_col(spark, cases, lambda c: T.chapter_title(c, 7))
-    assert got == ["X", "", "Three", "Two bold", "Chapter 7"]
+    assert got == ["X", "", "Three", "Two bold", "Chapter 7", "new", "real", "Kept"]
 
 
 def test_file_name_parts(spark):
@@ -89,18 +75,32 @@ def test_word_count_matches_python(spark, vals):
     assert one_col(spark, vals, T.word_count) == [len(v.split()) for v in vals]
 
 
+# Lines whose fate is chosen: (is noise, the line).
+digits = st.text(alphabet="0123456789", min_size=5, max_size=9)
+noise = st.one_of(
+    digits, st.text(alphabet="abc", max_size=4),
+    st.tuples(st.sampled_from(["Page ", "page ", "PAGE "]), digits).map("".join),
+).map(lambda s: (True, s))
+prose = st.text(alphabet="bcdf", min_size=5, max_size=9)
+text_lines = st.one_of(prose, st.tuples(prose, digits).map(" ".join), digits.map("pages ".__add__)).map(lambda s: (False, s))
+
+
 @settings(max_examples=40, deadline=None)
-@given(st.lists(texts, min_size=1, max_size=20))
-def test_noise_rule_matches_python(spark, vals):
-    vals = [v.replace("\n", " ") for v in vals]
+@given(st.lists(st.tuples(st.one_of(noise, text_lines), st.sampled_from(["", " ", "   "])), min_size=1, max_size=20))
+def test_noise_rule_on_chosen_lines(spark, items):
+    vals = [pad + line + pad for (_, line), pad in items]
     got = one_col(spark, vals, lambda c: T.noise_rule(T.clean_line(c)))
-    assert [g is not None for g in got] == [py_strip_rule(v) for v in vals]
+    assert [g is not None for g in got] == [is_noise for (is_noise, _), _ in items]
 
 
 @settings(max_examples=30, deadline=None)
-@given(st.lists(st.text(alphabet=string.ascii_letters + ' <>:"/\\|?*\t', max_size=130), min_size=1, max_size=10))
-def test_safe_filename_matches_python(spark, vals):
-    assert one_col(spark, vals, T.safe_filename) == [py_safe(v) for v in vals]
+@given(st.lists(st.lists(st.one_of(st.tuples(prose, st.just("")), st.tuples(st.just(""), st.sampled_from('<>:"/\\|?* '))),
+                         min_size=1, max_size=8), min_size=1, max_size=10))
+def test_safe_filename_of_parts(spark, names):
+    # Every unsafe mark and every inner blank is one underscore; letters stay.
+    vals = ["x" + "".join(a + b for a, b in parts) + "y" for parts in names]
+    want = ["x" + "".join(a or "_" for a, _ in parts) + "y" for parts in names]
+    assert one_col(spark, vals, T.safe_filename) == [w[:100] for w in want]
 
 
 @settings(max_examples=30, deadline=None)
