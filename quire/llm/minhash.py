@@ -14,8 +14,8 @@ Work per group of copies stays linear:
   * in buckets that still hold several components, each member is compared with a
     few hubs of its buckets, twice;
   * in buckets that then still hold several, members are paired across components,
-    pairs that sizes or sketches rule out are dropped within the join, and the rest
-    is confirmed too. No candidate is left untested.
+    in the first table they share; pairs that sizes or sketches rule out are dropped
+    within the join, and the rest is confirmed too. No candidate is left untested.
 
 Every confirmation compares whole shingle sets. Sets are computed again from the
 texts that occur in candidate pairs, so they are never stored for all documents.
@@ -29,6 +29,9 @@ result; columns beyond doc_id and the text are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -116,26 +119,41 @@ def _sign(batches, words: int):
             sketch = np.bitwise_or.reduce(two.reshape(2, 32), axis=1).view(np.int64)
             whole = xxhash.xxh3_128_intdigest(s.tobytes())
             a, b = np.array([whole >> 64, whole & (1 << 64) - 1], np.uint64).view(np.int64)
-            out.append((doc, len(s), int(a), int(b), values.tobytes(), int(sketch[0]), int(sketch[1])))
+            out.append((doc, len(s), int(a), int(b), values.view(np.int64), int(sketch[0]), int(sketch[1])))
         yield pd.DataFrame({
             "doc_id": pd.array([x[0] for x in out], "Int64"), "n": [x[1] for x in out],
             **{c: pd.array([x[i] for x in out], "Int64") for c, i in (("a", 2), ("b", 3), ("s1", 5), ("s2", 6))},
-            "values": [x[4] for x in out]})
+            "values": pd.Series([x[4] for x in out], dtype=object)})
 
 
 def _tables(batches):
-    """One row per class and table: the key made of two collection values."""
+    """One row per class and table: the key made of the values of two collections,
+    ``i`` and ``j``."""
     i, j = np.triu_indices(COLLECTIONS, 1)
     salt = mix((i * COLLECTIONS + j + 1).astype(np.uint64))
     for pdf in batches:
         for lo in range(0, len(pdf), 2000):
             part = pdf.iloc[lo:lo + 2000]
-            values = np.stack([np.frombuffer(v, np.uint64) for v in part["values"]])
+            values = np.stack([np.asarray(v, np.int64) for v in part["values"]]).view(np.uint64)
             with np.errstate(over="ignore"):
                 key = mix(values[:, i] * np.uint64(3) + mix(values[:, j] + salt))
             yield pd.DataFrame({"key": key.ravel().view(np.int64), "v": np.repeat(part.v.to_numpy(), len(i))})
 
 
+def _table_of(batches):
+    """Adds the collections ``i`` and ``j`` whose table has the key of the row."""
+    i, j = np.triu_indices(COLLECTIONS, 1)
+    salt = mix((i * COLLECTIONS + j + 1).astype(np.uint64))
+    for pdf in batches:
+        for lo in range(0, len(pdf), 2000):
+            part = pdf.iloc[lo:lo + 2000]
+            values = np.stack([np.asarray(v, np.int64) for v in part["values"]]).view(np.uint64)
+            with np.errstate(over="ignore"):
+                keys = mix(values[:, i] * np.uint64(3) + mix(values[:, j] + salt))
+            at = (keys == part.key.to_numpy(np.int64).view(np.uint64)[:, None]).argmax(axis=1)
+            yield part.assign(i=i[at], j=j[at])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): the smallest vertex reachable over ``edges`` (x, y), for every
     vertex that has an edge. Labels spread to neighbours and then to the labels'
@@ -226,7 +244,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     docs = docs.select("doc_id", "text")
     signed = staged(docs.mapInPandas(
         lambda batches: _sign(batches, words),
-        "doc_id long, n long, a long, b long, s1 long, s2 long, values binary"), "signatures")
+        "doc_id long, n long, a long, b long, s1 long, s2 long, values array<long>"), "signatures")
     by_class = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b").agg(
         F.min("doc_id").alias("v"), F.first("n").alias("n"), F.first("values").alias("values"),
         F.first("s1").alias("s1"), F.first("s2").alias("s2"))
@@ -286,14 +304,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     # What is left is exact: members of one bucket, across its components. The
     # smaller component is laid out and the larger one is tested within the join.
-    open_ = staged(mixed(labels).join(sizes, "v"), "mixed")
+    # A pair may share many tables: it is made in the first of them only.
+    open_ = staged(mixed(labels).join(classes.select("v", "n", "s1", "s2", "values"), "v").mapInPandas(
+        _table_of, "v long, key long, c long, n long, s1 long, s2 long, values array<long>, i int, j int"), "mixed")
+    first_shared = reduce(and_, (
+        (F.col("p.i") == at) | (F.col("p.j") <= at) | (F.get("valuesx", F.lit(at)) != F.get("valuesy", F.lit(at)))
+        for at in range(COLLECTIONS)))
     held = open_.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     other = held.select("key", F.col("c").alias("d"), F.col("m").alias("md"))
     lower = held.join(other, "key").where("c <> d AND (m < md OR (m = md AND c < d))").select("key", "c", "d")
-    laid = lower.join(open_.toDF("x", "key", "c", "nx", "x1", "x2"), ["key", "c"]).alias("p")
-    against = open_.toDF("y", "key", "d", "ny", "y1", "y2").alias("q")
-    across = laid.join(against, (F.col("p.key") == F.col("q.key")) & (F.col("p.d") == F.col("q.d")) & may_link)
-    labels = relabel(labels, confirm(across.select("x", "y").distinct(), docs, words, percent))
+    laid = lower.join(open_.toDF("x", "key", "c", "nx", "x1", "x2", "valuesx", "i", "j"), ["key", "c"]).alias("p")
+    against = open_.drop("i", "j").toDF("y", "key", "d", "ny", "y1", "y2", "valuesy").alias("q")
+    across = laid.join(against, (F.col("p.key") == F.col("q.key")) & (F.col("p.d") == F.col("q.d")) & may_link & first_shared)
+    labels = relabel(labels, confirm(across.select("x", "y"), docs, words, percent))
     place = classes.select("a", "b", "v").join(labels, "v", "left").select(
         "a", "b", F.coalesce("c", "v").alias("component_id"))
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "a", "b").join(place, ["a", "b"], "left").select(
