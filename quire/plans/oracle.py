@@ -112,7 +112,7 @@ cte("fx_lines", """SELECT book_id, line_no, CAST(floor(line_no / 4) AS BIGINT) A
   CASE WHEN book_id % 5 = 4 THEN raw
        WHEN line_no % 14 = 0 THEN concat('Chapter ', CAST(CAST(floor(line_no / 14) AS BIGINT) + 1 AS VARCHAR))
        WHEN line_no % 14 = 7 THEN concat('PART ', CAST(CAST(floor(line_no / 14) AS BIGINT) + 1 AS VARCHAR))
-       WHEN line_no % 14 = 9 THEN concat('  3. Uber   ', substr(raw, 1, 30), ' ')
+       WHEN line_no % 14 = 9 THEN concat('  3. Uber   ', raw, ' ')
        WHEN line_no % 14 = 10 THEN concat('12 apples ', raw)
        WHEN line_no % 14 = 5 THEN concat('Page ', CAST(CAST(floor(line_no / 4) AS BIGINT) AS VARCHAR), ' of 9')
        WHEN line_no % 14 = 11 THEN '12345'
@@ -151,7 +151,7 @@ cte("fx_chapters", """SELECT source AS book_id, CAST(row_number() OVER (PARTITIO
        WHEN doc_id % 9 = 3 THEN 'Title Page' ELSE concat('Lesson ', CAST(doc_id AS VARCHAR)) END AS title,
   CASE WHEN doc_id % 7 = 1 THEN concat(text, ' All Rights Reserved. ISBN 1. www.example.com')
        WHEN doc_id % 7 = 2 THEN concat(text, ' Copyright. Index.')
-       WHEN doc_id % 7 = 3 THEN concat('  ', substr(text, 1, 190), '          ')
+       WHEN doc_id % 7 = 3 THEN concat('  ', text, '          ')
        WHEN doc_id % 7 = 4 THEN concat(text, ' Disclaimer: © liability, see https://example.com')
        WHEN doc_id % 97 = 5 THEN '  '
        ELSE text END AS content,
@@ -159,7 +159,7 @@ cte("fx_chapters", """SELECT source AS book_id, CAST(row_number() OVER (PARTITIO
 FROM documents""")
 cte("fx_reply_base", """SELECT conv_id, turn, concat('src', CAST(conv_id % 20 AS VARCHAR)) AS book_id, conv_id * 100 + turn AS reply_id,
   concat('Lesson ', CAST(conv_id AS VARCHAR)) AS chapter_title, (conv_id * 3 + turn) % 14 AS variant,
-  substr(replace(replace(text, chr(10), ' '), '"', ' '), 1, 40) AS q, substr(replace(replace(text, chr(10), ' '), '"', ' '), 1, 15) AS a
+  replace(replace(text, chr(10), ' '), '"', ' ') AS q, concat('A: ', replace(replace(text, chr(10), ' '), '"', ' ')) AS a
 FROM conversations WHERE role = 'assistant'""")
 cte("fx_cards_json", """SELECT reply_id, book_id, chapter_title, variant, q, a,
   concat('{"front":"', q, '","back":"', a, '","card_type":"basic","tags":["t::s","u"],"source":"S 1","difficulty":2}') AS g,

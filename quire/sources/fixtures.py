@@ -46,7 +46,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(bk % 5 == 4, F.col("raw"))
         .when(ln % 14 == 0, F.concat(F.lit("Chapter "), _s(block + 1)))
         .when(ln % 14 == 7, F.concat(F.lit("PART "), _s(block + 1)))
-        .when(ln % 14 == 9, F.concat(F.lit("  3. Uber   "), F.substring("raw", 1, 30), F.lit(" ")))
+        .when(ln % 14 == 9, F.concat(F.lit("  3. Uber   "), F.col("raw"), F.lit(" ")))
         .when(ln % 14 == 10, F.concat(F.lit("12 apples "), F.col("raw")))
         .when(ln % 14 == 5, F.concat(F.lit("Page "), _s(F.floor(ln / 4).cast("long")), F.lit(" of 9")))
         .when(ln % 14 == 11, F.lit("12345"))
@@ -144,7 +144,7 @@ def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = (
         F.when(i % 7 == 1, F.concat(t, F.lit(" All Rights Reserved. ISBN 1. www.example.com")))
         .when(i % 7 == 2, F.concat(t, F.lit(" Copyright. Index.")))
-        .when(i % 7 == 3, F.concat(F.lit("  "), F.substring(t, 1, 190), F.lit("          ")))
+        .when(i % 7 == 3, F.concat(F.lit("  "), t, F.lit("          ")))
         .when(i % 7 == 4, F.concat(t, F.lit(" Disclaimer: © liability, see https://example.com")))
         .when(i % 97 == 5, F.lit("  "))
         .otherwise(t)
@@ -170,7 +170,7 @@ def reply_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         (cid * 100 + F.col("turn")).alias("reply_id"),
         F.concat(F.lit("Lesson "), _s(cid)).alias("chapter_title"),
         ((cid * 3 + F.col("turn")) % 14).alias("variant"),
-        F.substring(flat, 1, 40).alias("q"), F.substring(flat, 1, 15).alias("a"),
+        flat.alias("q"), F.concat(F.lit("A: "), flat).alias("a"),
     )
 
 
