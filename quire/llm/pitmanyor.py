@@ -42,6 +42,8 @@ CONTEXTS = 4_096
 SWEEPS = 3
 STRENGTH = 1.0          # concentration of every restaurant
 BUCKET_BYTES = 5 << 20  # text bytes that make one bucket
+TASK_BUCKETS = 2        # buckets that one task gathers
+CHUNK = 500             # documents packed at once
 HOT_SAMPLE = 0.02       # share of the documents that names frequent words; it sets who is split, never a result
 
 END = np.uint64(0x9AE16A3B2F90404F)
@@ -66,7 +68,7 @@ def uniform(key: np.ndarray, sweep: int, step: int) -> np.ndarray:
 def tokens(text: str | None) -> np.ndarray:
     """Hashes of the words (A-Z lower-cased, ASCII white space) and of the end."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if len(_known) > 200_000:
+    if len(_known) > 100_000:
         _known.clear()
     known, out = _known, np.empty(len(words) + 1, np.uint64)
     for i, w in enumerate(words):
@@ -261,13 +263,14 @@ def pack_documents(docs: DataFrame, hot: dict[int, int], buckets: int) -> DataFr
 
     def run(batches):
         for pdf in batches:
-            for lo in range(0, len(pdf), 2_000):
-                out = list(_pack(pdf.iloc[lo:lo + 2_000], shared.value, buckets))
+            for lo in range(0, len(pdf), CHUNK):
+                out = list(_pack(pdf.iloc[lo:lo + CHUNK], shared.value, buckets))
                 yield pd.DataFrame(out, columns=["bucket", "blob"])
 
     packed = docs.select("row", "doc_id", "text").mapInPandas(run, "bucket long, blob binary")
-    # A bucket is about BUCKET_BYTES of text: one row, so that later passes need no shuffle.
-    return packed.groupBy("bucket").agg(F.collect_list("blob").alias("blobs"))
+    # A bucket is about BUCKET_BYTES of text: one row, so that later passes need no
+    # shuffle. The number of tasks follows the buckets, so that few are held at once.
+    return packed.repartition(math.ceil(buckets / TASK_BUCKETS), "bucket").groupBy("bucket").agg(F.collect_list("blob").alias("blobs"))
 
 
 def frequent_words(docs: DataFrame, buckets: int) -> dict[int, int]:
