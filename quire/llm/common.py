@@ -30,13 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or current).rstrip("/")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the
     lineage, survives the loss of executors, and later passes read only the
     columns they use."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

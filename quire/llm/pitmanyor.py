@@ -409,7 +409,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     hot = frequent_words(docs, buckets) if buckets > 1 else {}
     # Rows are known by their place in the input, so that repeated ids stay apart.
     rows = docs.withColumn("row", F.monotonically_increasing_id())
-    packed = staged(pack_documents(rows, hot, buckets), "postings")
+    # Large values: zstd streams them, where snappy holds whole pages outside the heap.
+    packed = staged(pack_documents(rows, hot, buckets), "postings", compression="zstd")
     totals = train(packed, hot)
     scores = score_buckets(packed, totals).groupBy("row").agg(
         *[F.sum(c).alias(c) for c in ("n", "k", "base", "model")])
