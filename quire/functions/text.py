@@ -179,7 +179,12 @@ def book_author(first_author) -> Column:
 # HTML (T1, T2)
 # ---------------------------------------------------------------------------
 
-_ENTITY_HEAD = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+_REFERENCE = r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)"
+# Older names that also count without ';', the longest first.
+_BARE = sorted((k for k in html.entities.html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+_BARE_REFERENCE = "^(?:" + "|".join(_BARE) + ")"
+# What the numbers 128 to 159 stand for: Windows-1252, where it has a character.
+_LOW_CONTROLS = [bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160)]
 
 
 def _codepoint(n: Column) -> Column:
@@ -195,27 +200,32 @@ def decode_entities(col) -> Column:
     emap = F.from_json(F.lit(json.dumps(HTML_ENTITIES)), "map<string,string>")
 
     def split_piece(p: Column, i: Column) -> Column:
-        # The reference name is extracted once per piece.
-        return F.struct(p.alias("p"), i.alias("i"), F.regexp_extract(p, _ENTITY_HEAD, 1).alias("name"))
+        # The reference is extracted once per piece.
+        return F.struct(p.alias("p"), i.alias("i"), F.regexp_extract(p, _REFERENCE, 0).alias("ref"))
 
     def piece(x: Column) -> Column:
-        p, i, name = x["p"], x["i"], x["name"]
+        p, i, ref = x["p"], x["i"], x["ref"]
+        name = F.rtrim(ref, F.lit(";"))
         # Frequent references are resolved directly; the full table (a
         # linear lookup) is only consulted for the rest.
         common = F.when(name == "amp", F.lit("&"))
         for k in COMMON_ENTITIES[1:]:
             common = common.when(name == k, F.lit(HTML_ENTITIES[k]))
-        rest = F.substring(p, F.length(name) + 2, F.lit(1 << 30))
+        rest = F.substring(p, F.length(ref) + 1, F.lit(1 << 30))
         num = F.when(
             name.startswith("#x") | name.startswith("#X"),
             F.conv(F.substring(name, 3, 16), 16, 10).try_cast("long"),
         ).when(name.startswith("#"), F.substring(name, 2, 16).try_cast("long"))
         value = F.when(
             name.startswith("#"),
-            F.when((num > 0) & (num <= 0x10FFFF), _codepoint(num)),
+            F.when(num.between(128, 159), F.get(F.array(*[F.lit(c) for c in _LOW_CONTROLS]), (num - 128).cast("int")))
+            .when((num > 0) & (num <= 0x10FFFF) & ~num.between(0xD800, 0xDFFF), _codepoint(num))
+            .otherwise(F.lit("\ufffd")),
         ).otherwise(common.otherwise(F.try_element_at(emap, name)))
-        decoded = F.when((name != "") & value.isNotNull(), F.concat(value, rest))
-        return F.when(i == 0, p).otherwise(F.coalesce(decoded, F.concat(F.lit("&"), p)))
+        decoded = F.when((ref != "") & value.isNotNull(), F.concat(value, rest))
+        bare = F.regexp_extract(p, _BARE_REFERENCE, 0)
+        older = F.when(bare != "", F.concat(F.try_element_at(emap, bare), F.substring(p, F.length(bare) + 1, F.lit(1 << 30))))
+        return F.when(i == 0, p).otherwise(F.coalesce(decoded, older, F.concat(F.lit("&"), p)))
 
     pieces = F.transform(F.split(c, "&", -1), split_piece)
     return F.when(c.contains("&"), F.array_join(F.transform(pieces, piece), "")).otherwise(c)

@@ -110,9 +110,14 @@ def card_audit(cards: DataFrame) -> DataFrame:
 
 def card_mix(cards: DataFrame) -> DataFrame:
     """C11: share of each card type per book against the wanted mix, in basis
-    points (integer arithmetic, so results are exact)."""
-    per_type = cards.groupBy("book_id", "card_type").agg(F.count(F.lit(1)).alias("cards"))
-    totals = cards.groupBy("book_id").agg(F.count(F.lit(1)).alias("book_cards"))
+    points (integer arithmetic, so results are exact). Every book has a row
+    for each wanted type, also for those it has no card of."""
+    counted = cards.groupBy("book_id", "card_type").agg(F.count(F.lit(1)).alias("cards"))
+    none = counted.select("book_id").distinct().select(
+        "book_id", F.explode(F.array(*[F.lit(k) for k in CARD_TYPE_TARGETS])).alias("card_type"),
+        F.lit(0).cast("long").alias("cards"))
+    per_type = counted.unionByName(none).groupBy("book_id", "card_type").agg(F.sum("cards").alias("cards"))
+    totals = counted.groupBy("book_id").agg(F.sum("cards").alias("book_cards"))
     target = None
     for k, v in CARD_TYPE_TARGETS.items():
         target = F.when(F.col("card_type") == k, v) if target is None else target.when(F.col("card_type") == k, v)

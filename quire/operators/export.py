@@ -44,8 +44,10 @@ def _lit(*parts) -> Column:
 def export_books(books: DataFrame, cards: DataFrame) -> DataFrame:
     """Books that get an export file: books with cards (K6); when several
     share a file name the one discovered last wins, as in the reference
-    where it overwrites the earlier file (R7)."""
-    has_cards = books.join(cards.select("book_id").distinct(), "book_id", "left_semi")
+    where it overwrites the earlier file (R7). A book without a title is
+    exported under the unknown title (T3)."""
+    titled = books.withColumn("title", F.coalesce("title", F.lit("Unknown Title")))
+    has_cards = titled.join(cards.select("book_id").distinct(), "book_id", "left_semi")
     named = has_cards.withColumn("file_stem", T.safe_filename(F.col("title")))
     winner = named.groupBy("file_stem").agg(F.max_by("book_id", "discovery_no").alias("book_id"))
     return named.join(winner, ["file_stem", "book_id"], "left_semi")
@@ -151,7 +153,8 @@ def render_deck(books: DataFrame, cards: DataFrame, order=CARD_ORDER, escape: bo
 def write_cards(books: DataFrame, chapters: DataFrame, cards: DataFrame, path: str, fmt: str = "json",
                 run_ts: str = DEFAULT_RUN_TS, order=CARD_ORDER, escape: bool = False) -> str:
     """K4: write every book's cards in one format (json / csv / anki, any
-    case; anything else falls back to json). Returns the format used."""
+    case; anything else falls back to json) under ``path/format``. Files of other
+    formats and of books that are not written again stay. Returns the format."""
     f = (fmt or "").lower()
     if f not in FORMATS:
         log.warning("unknown card format %r, writing json", fmt)
@@ -170,8 +173,9 @@ def write_cards(books: DataFrame, chapters: DataFrame, cards: DataFrame, path: s
         .sortWithinPartitions(*keys)
         .select("file_stem", F.col("line").alias("value"))
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("file_stem")
-        .text(path)
+        .text(f"{path.rstrip('/')}/{f}")
     )
     return f
 

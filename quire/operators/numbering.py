@@ -28,17 +28,21 @@ DEFAULT_WIDTH = 1 << 16
 
 
 def seq_number(df: DataFrame, keys: Sequence[str], order: str, name: str = "seq",
-               width: int = DEFAULT_WIDTH) -> DataFrame:
+               width: int = DEFAULT_WIDTH, positions: DataFrame | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its ``keys`` group,
-    ordered by the integer column ``order`` (unique within a group)."""
+    ordered by the integer column ``order`` (unique within a group).
+
+    ``positions`` may give the same rows' ``keys`` and ``order`` by a cheaper
+    plan; the bucket counts are then taken from it."""
     keys = list(keys)
     b = "_seq_bucket"
-    bucketed = df.withColumn(b, F.floor(F.col(order) / F.lit(width)))
-    local = bucketed.withColumn(
+    bucket = F.floor(F.col(order) / F.lit(width))
+    local = df.withColumn(b, bucket).withColumn(
         "_seq_local", F.row_number().over(Window.partitionBy(*keys, b).orderBy(order))
     )
     # Counts come from a partial (map-side) aggregate of the key columns only.
-    counts = bucketed.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_seq_n"))
+    counts = ((df if positions is None else positions).withColumn(b, bucket)
+              .groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_seq_n")))
     offsets = counts.withColumn(
         "_seq_off",
         F.coalesce(

@@ -250,12 +250,14 @@ def assemble(boundaries: DataFrame, pages: DataFrame, keep_empty: bool = False)
     return out.withColumn("content", F.coalesce("content", F.lit("")))
 
 
-def paged_chapters(lines: DataFrame, toc: DataFrame, spans: DataFrame, pages_per_chunk: int = 10) -> DataFrame:
-    """Whole paged path: lines (+ outline, spans) -> resolved chapters."""
-    pages = page_facts(lines)
-    bp = book_pages(pages)
-    r = resolve(all_boundaries(pages, toc, spans, bp, pages_per_chunk), pages)
-    return chapter_rows(assemble(r, pages))
+def range_words(boundaries: DataFrame, pages: DataFrame) -> DataFrame:
+    """``book_id, chapter_number, words`` of each boundary: pages are joined
+    by blank lines, so their word counts add up and no text is moved."""
+    b = boundaries.select("book_id", "chapter_number", F.explode(F.sequence(
+        "start_page", F.least("end_page", "page_count") - 1)).alias("page_num"))
+    words = pages.where(F.col("ptext").isNotNull()).select(
+        "book_id", "page_num", T.word_count(F.col("ptext")).cast("long").alias("words"))
+    return b.join(words, ["book_id", "page_num"]).groupBy("book_id", "chapter_number").agg(F.sum("words").alias("words"))
 
 
 def chapter_rows(assembled: DataFrame) -> DataFrame:

@@ -44,27 +44,36 @@ def _present(low: Column, pat: str) -> Column:
     return F.when(low.contains(pat), 1).otherwise(0)
 
 
-def suitability_columns(df: DataFrame, title: str = "title", content: str = "content") -> DataFrame:
-    """Add the rule columns: long_enough, title_ok, skip_count, legal_ratio,
-    suitable and first_reason (null when suitable)."""
-    low_c, low_t = "_low_content", "_low_title"
-    x = df.select("*", T.once(F.lower(F.col(content)).alias(low_c), F.lower(F.col(title)).alias(low_t),
-                              F.length(T.strip(F.col(content))).alias("_stripped_len")))
-    lc, lt = F.col(low_c), F.col(low_t)
-    long_enough = F.col("_stripped_len") >= MIN_CONTENT_CHARS
+def title_columns(df: DataFrame, title: str = "title") -> DataFrame:
+    """Add title_ok (F2); the content is not read."""
+    x = df.select("*", T.once(F.lower(F.col(title)).alias("_low_title")))
     title_hit = F.lit(False)
     for p in SKIP_TITLE_PATTERNS:
-        title_hit = title_hit | lt.contains(p)
+        title_hit = title_hit | F.col("_low_title").contains(p)
+    return x.select(*df.columns, (~title_hit).alias("title_ok"))
+
+
+def content_columns(df: DataFrame, content: str = "content") -> DataFrame:
+    """Add long_enough, skip_count and legal_ratio."""
+    x = df.select("*", T.once(F.lower(F.col(content)).alias("_low_content"),
+                              F.length(T.strip(F.col(content))).alias("_stripped_len")))
+    lc = F.col("_low_content")
+    long_enough = F.col("_stripped_len") >= MIN_CONTENT_CHARS
     skip_count = sum((_present(lc, p) for p in SKIP_CONTENT_PATTERNS), F.lit(0))
     legal_len = sum((_present(lc, p) * len(p) for p in LEGAL_PATTERNS), F.lit(0))
     legal_ratio = F.try_divide(legal_len.cast("double"), F.length(F.col(content)).cast("double"))
-    x = x.select(
+    return x.select(
         *df.columns,
         long_enough.alias("long_enough"),
-        (~title_hit).alias("title_ok"),
         skip_count.cast("int").alias("skip_count"),
         F.coalesce(legal_ratio, F.lit(0.0)).alias("legal_ratio"),
     )
+
+
+def suitability_columns(df: DataFrame, title: str = "title", content: str = "content") -> DataFrame:
+    """Add the rule columns: long_enough, title_ok, skip_count, legal_ratio,
+    suitable and first_reason (null when suitable)."""
+    x = content_columns(title_columns(df, title), content)
     reason = (
         F.when(~F.col("long_enough"), F.lit("length"))
         .when(~F.col("title_ok"), F.lit("title"))
@@ -85,3 +94,11 @@ def suitability_funnel(chapters: DataFrame) -> DataFrame:
     return s.groupBy(F.coalesce("first_reason", F.lit("suitable")).alias("reason")).agg(
         F.count(F.lit(1)).alias("chapters")
     )
+
+
+def suitability_funnel_by_book(chapters: DataFrame) -> DataFrame:
+    """F6 per book: chapters per book and first failing rule, with a row per
+    book (null reason) and one for the corpus (null book and reason)."""
+    s = suitability_columns(chapters).select(
+        "book_id", F.coalesce("first_reason", F.lit("suitable")).alias("reason"))
+    return s.rollup("book_id", "reason").agg(F.count(F.lit(1)).alias("chapters"))

@@ -417,6 +417,8 @@ q("suit_boilerplate", "SELECT book_id, chapter_number, skip_count FROM suit", "s
 q("suit_legal_ratio", "SELECT book_id, chapter_number, legal_ratio FROM suit", "suit")
 q("suitable_chapters", "SELECT book_id, chapter_number, title FROM suitable", "suitable")
 q("suit_funnel", "SELECT coalesce(first_reason, 'suitable') AS reason, count(*) AS chapters FROM suit GROUP BY 1", "suit")
+q("suit_funnel_by_book", """SELECT book_id, reason, count(*) AS chapters
+FROM (SELECT book_id, coalesce(first_reason, 'suitable') AS reason FROM suit) GROUP BY ROLLUP (book_id, reason)""", "suit")
 q("card_requests", f"""SELECT book_id, chapter_number,
   {NL} || 'Chapter Title: ' || title || {NL} || {NL} || 'Chapter Content:' || {NL} || content || {NL} || {NL}
   || 'Please generate exactly 5 flashcards from this chapter content following the instructions provided.' || {NL}
@@ -448,7 +450,10 @@ q("card_mix", """SELECT t.book_id, t.card_type, t.cards, (t.cards * 10000) // b.
   CASE t.card_type WHEN 'basic' THEN 6000 WHEN 'cloze' THEN 2000 WHEN 'definition' THEN 1500 WHEN 'qa' THEN 500 END AS target_bp,
   (t.cards * 10000) // b.n - CASE t.card_type WHEN 'basic' THEN 6000 WHEN 'cloze' THEN 2000 WHEN 'definition' THEN 1500
                                                WHEN 'qa' THEN 500 END AS gap_bp
-FROM (SELECT book_id, card_type, count(*) AS cards FROM vcards GROUP BY 1, 2) t
+FROM (SELECT book_id, card_type, CAST(sum(n) AS BIGINT) AS cards FROM (
+        SELECT book_id, card_type, 1 AS n FROM vcards
+        UNION ALL SELECT v.book_id, k.card_type, 0 FROM (SELECT DISTINCT book_id FROM vcards) v,
+          (VALUES ('basic'), ('cloze'), ('definition'), ('qa')) k(card_type)) GROUP BY 1, 2) t
 JOIN (SELECT book_id, count(*) AS n FROM vcards GROUP BY 1) b ON b.book_id = t.book_id""", "vcards")
 q("extractive_cards", "SELECT book_id, chapter_number, card_no, front, back, card_type, source, difficulty FROM ex_cards",
   "ex_cards")

@@ -58,9 +58,9 @@ def run(spark: SparkSession, inputs: PagedInputs, replies: DataFrame | None, out
     wd = work_dir(spark, run_id)
     pages = _stage(S.page_facts(inputs.lines), f"{wd}/pages")
     bp = S.book_pages(pages)
-    chapters = S.chapter_rows(S.assemble(S.resolve(S.all_boundaries(pages, inputs.toc, inputs.spans, bp), pages),
-                                         pages))
-    chapters = _stage(S.cap_chapters(chapters, chapter_cap), f"{wd}/chapters")
+    # The cap works on page ranges: text is assembled for the chapters that stay.
+    ranges = S.cap_chapters(S.resolve(S.all_boundaries(pages, inputs.toc, inputs.spans, bp), pages), chapter_cap)
+    chapters = _stage(S.chapter_rows(S.assemble(ranges, pages)), f"{wd}/chapters")
     suitable = SU.suitable_chapters(chapters.select("book_id", "chapter_number", "title", "content"))
     requests = _stage(C.card_requests(suitable, cards_per_chapter), f"{wd}/requests")
     if replies is not None:

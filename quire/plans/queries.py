@@ -56,9 +56,14 @@ class Corpus:
     def boundaries(self) -> DataFrame:
         return S.all_boundaries(self.pages, self.toc, self.spans, self.book_pages)
 
+    @cached_property
+    def ranges(self) -> DataFrame:
+        """Chapters of the cascade as page ranges, without their text."""
+        return S.resolve(self.boundaries, self.pages)
+
     @cached_property
     def resolved(self) -> DataFrame:
-        return S.chapter_rows(S.assemble(S.resolve(self.boundaries, self.pages), self.pages))
+        return S.chapter_rows(S.assemble(self.ranges, self.pages))
 
     # spine books
     @cached_property
@@ -82,6 +87,10 @@ class Corpus:
     def chapters(self) -> DataFrame:
         return fx.chapters(self.spark, self.sf)
 
+    @cached_property
+    def raw_chapters(self) -> DataFrame:
+        return fx.raw_chapters(self.spark, self.sf)
+
     @cached_property
     def suitable(self) -> DataFrame:
         return SU.suitable_chapters(self.chapters)
@@ -235,20 +244,20 @@ def chapters_resolved(c: Corpus) -> DataFrame:
 
 
 def strategy_usage(c: Corpus) -> DataFrame:
-    return c.resolved.groupBy("strategy").agg(
+    return c.ranges.groupBy("strategy").agg(
         F.countDistinct("book_id").alias("books"), F.count(F.lit(1)).alias("chapters"))
 
 
 def chapter_cap(c: Corpus) -> DataFrame:
-    return S.cap_chapters(c.resolved, 2).select("book_id", "chapter_number", "title")
+    return S.cap_chapters(c.ranges, 2).select("book_id", "chapter_number", "title")
 
 
 def numbering_audit(c: Corpus) -> DataFrame:
-    return A.numbering_audit(c.resolved)
+    return A.numbering_audit(c.ranges)
 
 
 def book_totals(c: Corpus) -> DataFrame:
-    return A.book_totals(c.book_pages, c.resolved)
+    return A.book_totals(c.book_pages, S.range_words(c.ranges, c.pages))
 
 
 def spine_chapters(c: Corpus) -> DataFrame:
@@ -269,32 +278,40 @@ def all_chapters(c: Corpus) -> DataFrame:
 
 # --- suitability ------------------------------------------------------------
 
-def _suit(c: Corpus) -> DataFrame:
-    return SU.suitability_columns(c.chapters)
+def _numbered(c: Corpus, rules: DataFrame, *cols: str) -> DataFrame:
+    """Rules are applied where the text is read; only ids and the rules'
+    results are numbered and cross the network."""
+    found = fx.number_chapters(rules.select("book_id", "doc_id", *cols), c.raw_chapters)
+    return found.select("book_id", "chapter_number", *cols)
 
 
 def suit_length(c: Corpus) -> DataFrame:
-    return _suit(c).select("book_id", "chapter_number", "long_enough")
+    return _numbered(c, SU.content_columns(c.raw_chapters), "long_enough")
 
 
 def suit_title(c: Corpus) -> DataFrame:
-    return _suit(c).select("book_id", "chapter_number", "title_ok")
+    return _numbered(c, SU.title_columns(c.raw_chapters.select("book_id", "doc_id", "title")), "title_ok")
 
 
 def suit_boilerplate(c: Corpus) -> DataFrame:
-    return _suit(c).select("book_id", "chapter_number", "skip_count")
+    return _numbered(c, SU.content_columns(c.raw_chapters), "skip_count")
 
 
 def suit_legal_ratio(c: Corpus) -> DataFrame:
-    return _suit(c).select("book_id", "chapter_number", "legal_ratio")
+    return _numbered(c, SU.content_columns(c.raw_chapters), "legal_ratio")
 
 
 def suitable_chapters(c: Corpus) -> DataFrame:
-    return c.suitable.select("book_id", "chapter_number", "title")
+    rules = _numbered(c, SU.suitability_columns(c.raw_chapters), "title", "suitable")
+    return rules.where("suitable").drop("suitable")
 
 
 def suit_funnel(c: Corpus) -> DataFrame:
-    return SU.suitability_funnel(c.chapters)
+    return SU.suitability_funnel(c.raw_chapters)
+
+
+def suit_funnel_by_book(c: Corpus) -> DataFrame:
+    return SU.suitability_funnel_by_book(c.raw_chapters)
 
 
 # --- cards --------------------------------------------------------------------
@@ -428,7 +445,7 @@ QUERY_FUNCS: list[Callable[[Corpus], DataFrame]] = [
     heading_like, heading_pattern, boundaries, toc_chapters, font_candidates, modal_font_size, font_chapters,
     pattern_chapters, page_chunks, chapters_resolved, strategy_usage, chapter_cap, numbering_audit, book_totals,
     spine_chapters, spine_dangling, all_chapters, suit_length, suit_title, suit_boilerplate, suit_legal_ratio,
-    suitable_chapters, suit_funnel, card_requests, reply_fenced, reply_parse_stage, reply_shape, cards_exploded,
+    suitable_chapters, suit_funnel, suit_funnel_by_book, card_requests, reply_fenced, reply_parse_stage, reply_shape, cards_exploded,
     cards_valid, reply_report, card_audit, card_mix, extractive_cards, card_preview, corpus_summary,
     book_summary, generation_summary, cards_per_book, books_without_cards, avg_words_per_chapter,
     summary_rollup, chapter_preview, latest_by_title, name_collisions, export_json, export_csv_rows,

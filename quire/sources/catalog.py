@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,23 +28,20 @@ CATALOG_SCHEMA = T.StructType([
 DEFAULT_GLOBS = (("epub", "*.epub"), ("pdf", "*.pdf"))
 
 
-def _exists(spark: SparkSession, root: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def list_files(spark: SparkSession, root: str, glob: str, root_no: int = 0) -> DataFrame:
     """Files under ``root`` (recursively) whose name matches ``glob``."""
-    if not _exists(spark, root):
+    try:
+        df = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true")
+            .load(root)
+        )
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         log.warning("book folder not found: %s", root)
         return spark.createDataFrame([], CATALOG_SCHEMA)
-    df = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(root)
-    )
     return df.select(
         "path", "length", F.col("modificationTime").alias("modified"), F.lit(root_no).alias("root_no")
     )
@@ -51,18 +49,20 @@ def list_files(spark: SparkSession, root: str, glob: str, root_no: int = 0) -> D
 
 def book_catalog(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     """Union of the per-format listings, ``roots`` maps a format
-    ('epub', 'pdf') to its folder; adds the ``format`` column. Rows are
-    ordered by root, then path (repeatable, unlike file-system order)."""
+    ('epub', 'pdf') to its folder; adds the ``format`` column and
+    ``discovery_no``, which grows by root, then path (repeatable, unlike
+    file-system order; numbers may have gaps, since the sort is distributed)."""
     parts = []
     for i, (fmt, glob) in enumerate(DEFAULT_GLOBS):
         if fmt in roots and roots[fmt]:
             parts.append(list_files(spark, roots[fmt], glob, i).withColumn("format", F.lit(fmt)))
     if not parts:
-        return spark.createDataFrame([], CATALOG_SCHEMA).withColumn("format", F.lit(None).cast("string"))
+        return spark.createDataFrame([], CATALOG_SCHEMA).select(
+            "*", F.lit(None).cast("string").alias("format"), F.lit(None).cast("long").alias("discovery_no"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("root_no", "path").withColumn("discovery_no", F.monotonically_increasing_id())
 
 
 def first_files(catalog: DataFrame, n: int = 5) -> DataFrame:

@@ -55,11 +55,6 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("book_id", "line_no", F.floor(ln / 4).cast("long").alias("page_num"), line.alias("line"))
 
 
-def page_counts(lines_df: DataFrame) -> DataFrame:
-    """Pages per book (all pages, with or without text)."""
-    return lines_df.groupBy("book_id").agg((F.max("page_num") + 1).alias("page_count"))
-
-
 def toc(lines_df: DataFrame) -> DataFrame:
     ln, bk = F.col("line_no"), F.col("book_id")
     level = (
@@ -134,7 +129,8 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chapters before they are numbered (``doc_id`` gives their order)."""
     d = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
     i, t = F.col("doc_id"), F.col("text")
     title = (
@@ -149,16 +145,25 @@ def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(i % 97 == 5, F.lit("  "))
         .otherwise(t)
     )
-    # A source may hold a large share of all documents: number without a
-    # window over the whole source.
-    numbered = seq_number(d.select(F.col("source").alias("book_id"), "doc_id", "text"),
-                          ["book_id"], "doc_id", name="chapter_number")
-    return numbered.select(
-        "book_id", "chapter_number", title.alias("title"), content.alias("content"),
+    return d.select(
+        F.col("source").alias("book_id"), "doc_id", title.alias("title"), content.alias("content"),
         F.concat(F.lit("doc"), _s(i), F.lit(".xhtml")).alias("file_name"),
     )
 
 
+def number_chapters(rows: DataFrame, raw: DataFrame) -> DataFrame:
+    """Columns of ``rows`` (one row per raw chapter) with their
+    ``chapter_number``. A source may hold a large share of all documents:
+    numbered without a window over the whole source."""
+    return seq_number(rows, ["book_id"], "doc_id", name="chapter_number",
+                      positions=raw.select("book_id", "doc_id")).drop("doc_id")
+
+
+def chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_chapters(spark, sf_dir)
+    return number_chapters(raw, raw).select("book_id", "chapter_number", "title", "content", "file_name")
+
+
 # --- B4. Model replies: one assistant turn = one reply ---------------------
 
 def reply_base(spark: SparkSession, sf_dir: str) -> DataFrame:

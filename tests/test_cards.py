@@ -57,4 +57,4 @@ def test_fixture_replies_sf001(spark):
 def test_card_mix_basis_points(spark):
     cards = spark.createDataFrame([("b", "basic"), ("b", "basic"), ("b", "cloze")], "book_id string, card_type string")
     got = {r.card_type: (r.share_bp, r.target_bp) for r in C.card_mix(cards).collect()}
-    assert got == {"basic": (6666, 6000), "cloze": (3333, 2000)}
+    assert got == {"basic": (6666, 6000), "cloze": (3333, 2000), "definition": (0, 1500), "qa": (0, 500)}

@@ -12,6 +12,8 @@ def test_catalog_case_sensitive_and_recursive(spark, tmp_path):
     cat = book_catalog(spark, {"epub": str(root), "pdf": str(pdf)})
     got = sorted((r.format, r.path.rsplit("/", 1)[-1]) for r in cat.collect())
     assert got == [("epub", "x.epub"), ("epub", "z.epub"), ("pdf", "a.pdf")]
+    in_order = [r.path.rsplit("/", 1)[-1] for r in cat.orderBy("discovery_no").collect()]
+    assert in_order == ["z.epub", "x.epub", "a.pdf"]
     assert [r.path.rsplit("/", 1)[-1] for r in first_files(cat, 2).collect()] == ["z.epub", "x.epub"]
 
 

@@ -35,7 +35,7 @@ def test_json_document_matches_python(spark, tmp_path):
     books, chapters, cards = sample(spark)
     K.write_cards(books, chapters, cards, str(tmp_path), "JSON", run_ts="2024-01-01T00:00:00")
     stem = "My__Book___é"
-    text = read_folder(str(tmp_path / f"file_stem={stem}"))
+    text = read_folder(str(tmp_path / "json" / f"file_stem={stem}"))
     expected = {
         "metadata": {"book_title": 'My "Book": é', "book_author": "Ann", "generated_at": "2024-01-01T00:00:00",
                      "total_flashcards": 3, "total_chapters": 2},
@@ -48,13 +48,13 @@ def test_json_document_matches_python(spark, tmp_path):
     }
     assert text == json.dumps(expected, indent=2, ensure_ascii=False) + "\n"
     # K6: no file for a book without cards
-    assert not glob.glob(str(tmp_path / "file_stem=Empty"))
+    assert not glob.glob(str(tmp_path / "json" / "file_stem=Empty"))
 
 
 def test_csv_round_trip(spark, tmp_path):
     books, chapters, cards = sample(spark)
     K.write_cards(books, chapters, cards, str(tmp_path), "csv")
-    text = read_folder(str(tmp_path / "file_stem=My__Book___é"))
+    text = read_folder(str(tmp_path / "csv" / "file_stem=My__Book___é"))
     buf = io.StringIO()
     w = csv.writer(buf)
     w.writerow(["front", "back", "card_type", "source", "difficulty", "tags"])
@@ -62,7 +62,7 @@ def test_csv_round_trip(spark, tmp_path):
     w.writerow(["q2", "x", "cloze", "S", 0, ""])
     w.writerow(["q3", "y", "qa", "T", 3, "z"])
     assert text == buf.getvalue()
-    back = spark.read.csv(str(tmp_path / "file_stem=My__Book___é"), header=True, multiLine=True, escape='"')
+    back = spark.read.csv(str(tmp_path / "csv" / "file_stem=My__Book___é"), header=True, multiLine=True, escape='"')
     assert back.where(F.col("front") == "a, b").collect()[0].back == 'say "hi"\nnow'
 
 
@@ -86,3 +86,15 @@ def test_name_collision_last_wins(spark):
     cards = spark.createDataFrame([(1, "b1", 1, "q", "a", "basic", [], "S", 1),
                                    (2, "b2", 1, "q", "a", "basic", [], "S", 1)], CARDS)
     assert [r.book_id for r in K.export_books(books, cards).collect()] == ["b2"]
+
+
+def test_exports_keep_other_formats_and_books(spark, tmp_path):
+    books = spark.createDataFrame([("b1", 1, "One", "A"), ("b2", 2, "Two", "B"), ("b3", 3, None, "C")], BOOKS)
+    rows = [(i, f"b{i}", 1, "q", "a", "basic", [], "S", 1) for i in (1, 2, 3)]
+    cards = spark.createDataFrame(rows, CARDS)
+    chapters = spark.createDataFrame([(f"b{i}",) for i in (1, 2, 3)], "book_id string")
+    K.write_cards(books, chapters, cards, str(tmp_path), "json")
+    K.write_cards(books, chapters, cards.where("book_id = 'b1'"), str(tmp_path), "csv")
+    K.write_cards(books, chapters, cards.where("book_id = 'b1'"), str(tmp_path), "json")
+    found = {p.rsplit("/", 2)[-2] + "/" + p.rsplit("=", 1)[-1] for p in glob.glob(str(tmp_path / "*" / "file_stem=*"))}
+    assert found == {"json/One", "json/Two", "json/Unknown_Title", "csv/One"}

@@ -13,5 +13,5 @@ def test_pipeline_writes_exports_and_summary(spark, tmp_path):
               fmt="anki", chapter_cap=3)
     assert out["chapters"].groupBy("book_id").count().where("count > 3").count() == 0
     assert out["summary"].collect()[0].total_books == books.count()
-    assert glob.glob(str(tmp_path / "cards" / "file_stem=*" / "part-*"))
+    assert glob.glob(str(tmp_path / "cards" / "anki" / "file_stem=*" / "part-*"))
     assert glob.glob(str(tmp_path / "summary" / "run_id=t1" / "summary" / "part-*"))

@@ -107,3 +107,10 @@ def test_safe_filename_of_parts(spark, names):
 @given(st.lists(st.text(alphabet=string.ascii_letters + " '-.", max_size=30), min_size=1, max_size=10))
 def test_title_case_matches_python(spark, vals):
     assert one_col(spark, vals, T.is_title_case) == [v.istitle() for v in vals]
+
+
+def test_references_as_html_parsers_read_them(spark):
+    cases = [("a &#150; b", "a \u2013 b"), ("&copy 2020 &amp c", "\u00a9 2020 & c"), ("x&#0;y", "x\ufffdy"),
+             ("&#x80;1", "\u20ac1"), ("&#65 B", "A B"), ("&amp;lt; &unknown; &", "&lt; &unknown; &"),
+             ("&notin; &notit;", "\u2209 \u00acit;"), ("&#xD800;|&#99999999;", "\ufffd|\ufffd")]
+    assert one_col(spark, [c[0] for c in cases], T.decode_entities) == [c[1] for c in cases]
