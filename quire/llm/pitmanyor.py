@@ -258,19 +258,28 @@ def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int):
 
 
 def pack_documents(docs: DataFrame, hot: dict[int, int], buckets: int) -> DataFrame:
-    """(bucket, blobs) of columns row, doc_id and text."""
+    """(bucket, blobs, ids) of columns row, doc_id and text. The rows of a chunk and
+    their doc_ids go along with one of its blobs: what is written holds every row's
+    number and doc_id from one and the same execution."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         for pdf in batches:
             for lo in range(0, len(pdf), CHUNK):
-                out = list(_pack(pdf.iloc[lo:lo + CHUNK], shared.value, buckets))
-                yield pd.DataFrame(out, columns=["bucket", "blob"])
-
-    packed = docs.select("row", "doc_id", "text").mapInPandas(run, "bucket long, blob binary")
+                chunk = pdf.iloc[lo:lo + CHUNK]
+                out = [[*packed, None] for packed in _pack(chunk, shared.value, buckets)]
+                first = chunk.row.iloc[:1].to_numpy(np.uint64)
+                out[int(mix(first)[0] % np.uint64(len(out)))][2] = [
+                    {"row": int(row), "doc_id": doc_id} for row, doc_id in zip(chunk.row, chunk.id)]
+                yield pd.DataFrame(out, columns=["bucket", "blob", "ids"])
+
+    # doc_id as text beside itself: pandas makes numbers with nulls floating-point
+    packed = docs.select("row", "doc_id", "text", F.col("doc_id").cast("string").alias("id")).mapInPandas(
+        run, "bucket long, blob binary, ids array<struct<row:long,doc_id:string>>")
     # A bucket is about BUCKET_BYTES of text: one row, so that later passes need no
     # shuffle. The number of tasks follows the buckets, so that few are held at once.
-    return packed.repartition(math.ceil(buckets / TASK_BUCKETS), "bucket").groupBy("bucket").agg(F.collect_list("blob").alias("blobs"))
+    return packed.repartition(math.ceil(buckets / TASK_BUCKETS), "bucket").groupBy("bucket").agg(
+        F.collect_list("blob").alias("blobs"), F.flatten(F.collect_list("ids")).alias("ids"))
 
 
 def frequent_words(docs: DataFrame, buckets: int) -> dict[int, int]:
@@ -407,7 +416,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     hot = frequent_words(docs, buckets) if buckets > 1 else {}
-    # Rows are known by their place in the input, so that repeated ids stay apart.
+    # Rows are known by their place in the input, so that repeated ids stay apart. Places
+    # depend on the executors of the moment: they are taken once and written with the postings.
     rows = docs.withColumn("row", F.monotonically_increasing_id())
     # Large values: zstd streams them, where snappy holds whole pages outside the heap.
     packed = staged(pack_documents(rows, hot, buckets), "postings", compression="zstd")
@@ -415,7 +425,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     scores = score_buckets(packed, totals).groupBy("row").agg(
         *[F.sum(c).alias(c) for c in ("n", "k", "base", "model")])
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
-    return rows.select("row", "doc_id").join(scores, "row").select(
+    ids = packed.select(F.inline("ids")).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+    return ids.join(scores, "row").select(
         "doc_id", held.alias("held_out"), F.col("n").alias("n_tokens"), F.col("k").alias("n_known"),
         F.lit(totals.training).cast("long").alias("train_tokens"),
         F.col("base").alias("base_score"), F.col("model").alias("score"))

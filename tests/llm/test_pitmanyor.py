@@ -108,3 +108,23 @@ def test_nulls_repeats_long_texts_and_empty_tables(spark, tmp_path):
     compare(op9_pitman_yor(spark, str(tmp_path)).collect(), brute(rows))
     df.limit(0).write.parquet(f"{tmp_path}/empty/documents.parquet")
     assert op9_pitman_yor(spark, f"{tmp_path}/empty").count() == 0
+
+
+def test_rows_are_numbered_once(spark, tmp_path, monkeypatch):
+    big = (1 << 53) + 1  # not a double
+    rows = [(i, f"word{i % 7} word{i % 11} b{i}") for i in range(300)] + [(None, "x y"), (big, "x"), (big, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    train = py.train
+
+    def train_then_split_anew(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # as after a loss of executors: other splits
+        return train(*args)
+
+    monkeypatch.setattr(py, "train", train_then_split_anew)
+    try:
+        got = py.score_documents(docs).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    compare(got, brute(rows))
+    assert len(got) == len(rows)
