@@ -2,16 +2,20 @@
 
 A line's quote level is the number of ``>`` marks before its text. Lines of one
 level up to the next blank line or change of level are a passage. Passages are
-normalised (lower case, white space as one blank) and hashed. A quoted passage
-belongs to the earliest message of its conversation that wrote it itself; a
-message replies to the latest message that it quotes at level 1 (at any level, if
-none is found there), or, without a quotation that can be placed, to the message
-before it. Messages are numbered in reply order: turns order replies after what
-they answer.
+normalised (lower case, white space as one blank) and hashed. Looked up are single
+passages, pairs of neighbouring ones and whole quotations (a run of quoted
+passages, or all of one level, that is all that a message wrote itself); each
+belongs to the latest message of its conversation before the quoting one that wrote
+it itself. Of these messages, a message replies to the one with the longest whole
+quotation, then with most pairs, then most passages, then the latest; those quoted
+at level 1 come first, and without a quotation that can be placed it is the message
+before. Messages are numbered in reply order: turns order replies after what they
+answer.
 
 Only hashes and turn numbers are joined; texts do not move. A conversation may
 hold a third of all rows: keys of all joins include the passage or the turn, and
-positions are counted in two steps, per range of turns and over ranges.
+positions and latest originals are found in two steps, per range of turns and over
+ranges, so that a passage repeated n times costs n rows and no pairs of them.
 
 Defined results: null texts count as empty, have no passages and stay null;
 messages without conv_id or turn keep their cleaned text and have no parent and
@@ -23,6 +27,7 @@ original; an empty table gives an empty result; other columns pass through
 from __future__ import annotations
 
 import re
+from itertools import groupby
 
 import pandas as pd
 import xxhash
@@ -32,7 +37,8 @@ from pyspark.sql import functions as F
 RANGE = 1 << 12  # turns that are numbered by one window
 
 _MARKS = re.compile(r"[ \t]*>")
-PASSAGE = "array<struct<level:int,hash:long>>"
+PARTS = "array<struct<level:int,hash:long,kind:int,size:int>>"
+ONE, PAIR, WHOLE = 1, 2, 3
 
 
 def split_level(line: str) -> tuple[int, str]:
@@ -71,17 +77,38 @@ def parse(text: str | None) -> tuple[str | None, list[tuple[int, int]]]:
     return "\n".join(own), passages
 
 
+def parts(passages: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    """(level, hash, kind, passages) of all that is looked up: passages, neighbouring
+    pairs and whole sequences, which are the runs of a level and all of a level."""
+    found = {(level, h, ONE, 1) for level, h in passages}
+
+    def add(level: int, kind: int, hashes: list[int]) -> None:
+        data = bytes([kind]) + b"".join(h.to_bytes(8, "little", signed=True) for h in hashes)
+        found.add((level, xxhash.xxh3_64_intdigest(data) - (1 << 63), kind, len(hashes)))
+
+    for level in {v for v, _ in passages}:
+        hashes = [h for v, h in passages if v == level]
+        for pair in zip(hashes, hashes[1:]):
+            add(level, PAIR, list(pair))
+        add(level, WHOLE, hashes)
+    for level, run in groupby(passages, key=lambda p: p[0]):
+        if level:  # what a message wrote itself is whole only with all of its runs
+            add(level, WHOLE, [h for _, h in run])
+    return sorted(found)
+
+
 def quote(text: Column, level: int = 1) -> Column:
     """A text as a quotation: every line behind ``level`` marks."""
     return F.concat(F.lit("> " * level), F.replace(text, F.lit("\n"), F.lit("\n" + "> " * level)))
 
 
 def _parsed():
-    @F.pandas_udf(f"struct<clean:string,passages:{PASSAGE}>")
+    @F.pandas_udf(f"struct<clean:string,parts:{PARTS}>")
     def run(texts: pd.Series) -> pd.DataFrame:
         both = [parse(t) for t in texts]
         return pd.DataFrame({"clean": pd.Series([c for c, _ in both], dtype=object),
-                             "passages": pd.Series([[{"level": v, "hash": h} for v, h in p] for _, p in both], dtype=object)})
+                             "parts": pd.Series([[dict(zip(("level", "hash", "kind", "size"), x)) for x in parts(p)]
+                                                 for _, p in both], dtype=object)})
     return run
 
 
@@ -103,23 +130,39 @@ def positions(messages: DataFrame) -> DataFrame:
         F.coalesce("_prev", "_prior").alias("previous"))
 
 
+def latest_originals(found: DataFrame) -> DataFrame:
+    """Quoted parts with ``source``, the latest turn before the quoting one at which
+    a message of the conversation wrote the same part itself (level 0); parts without
+    one are left out. Ranges of turns are looked through by themselves and get the
+    latest of the ranges before."""
+    events = found.withColumns({"_own": F.when(F.col("level") == 0, F.col("turn")), "_r": F.floor(F.col("turn") / RANGE)})
+    within = Window.partitionBy("conv_id", "hash", "_r").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id", "hash").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = events.groupBy("conv_id", "hash", "_r").agg(F.max("_own").alias("_last")).select(
+        "conv_id", "hash", "_r", F.max("_last").over(before).alias("_prior"))
+    local = events.withColumn("_near", F.max("_own").over(within)).where("level > 0")
+    return (local.join(ranges, ["conv_id", "hash", "_r"]).withColumn("source", F.coalesce("_near", "_prior"))
+            .where("source IS NOT NULL").drop("_own", "_near", "_prior", "_r"))
+
+
 def link_quotations(messages: DataFrame) -> DataFrame:
     """Add clean_text, n_passages (quoted), n_linked (of these, placed),
     parent_turn and position to every message (conv_id, turn, text)."""
     results = ["clean_text", "n_passages", "n_linked", "parent_turn", "position"]
     rows = messages.drop(*results).withColumn("_p", _parsed()("text"))
-    parsed = rows.select("conv_id", "turn", F.explode("_p.passages").alias("p")).where(
-        "conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", "p.level", "p.hash")
-    originals = parsed.where("level = 0").groupBy("conv_id", "hash").agg(F.min("turn").alias("source"))
-    quoted = parsed.where("level > 0").distinct()
-    placed = quoted.join(originals, ["conv_id", "hash"]).where("source < turn")
-    by_message = placed.groupBy("conv_id", "turn").agg(
-        F.coalesce(F.max(F.when(F.col("level") == 1, F.col("source"))), F.max("source")).alias("_quoted"),
-        F.countDistinct("level", "hash").alias("_linked"))
+    found = rows.select("conv_id", "turn", F.explode("_p.parts").alias("p")).where(
+        "conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", "p.*").distinct()
+    placed = latest_originals(found)
+    sources = placed.groupBy("conv_id", "turn", "source", (F.col("level") == 1).alias("_first")).agg(
+        F.coalesce(F.max(F.when(F.col("kind") == WHOLE, F.col("size"))), F.lit(0)).alias("_whole"),
+        F.count_if(F.col("kind") == PAIR).alias("_pairs"), F.count_if(F.col("kind") == ONE).alias("_ones"))
+    by_message = sources.groupBy("conv_id", "turn").agg(
+        F.max(F.struct("_first", "_whole", "_pairs", "_ones", "source"))["source"].alias("_quoted"),
+        F.sum("_ones").alias("_linked"))
     order = positions(messages).join(by_message, ["conv_id", "turn"], "left").select(
         F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), "position",
         F.coalesce("_quoted", "previous").alias("parent_turn"), F.coalesce("_linked", F.lit(0)).alias("n_linked"))
-    n = F.size(F.array_distinct(F.filter("_p.passages", lambda p: p["level"] > 0)))
+    n = F.size(F.filter("_p.parts", lambda p: (p["level"] > 0) & (p["kind"] == ONE)))
     return (rows.join(order, (F.col("conv_id") == F.col("_c")) & (F.col("turn") == F.col("_t")), "left")
             .withColumns({"clean_text": F.col("_p.clean"), "n_passages": n.cast("long"),
                           "n_linked": F.coalesce("n_linked", F.lit(0)).cast("long")})

@@ -1,5 +1,8 @@
 import hashlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from quire.llm import quotes
 from quire.llm.registry import op4_quotations
 
@@ -43,3 +46,34 @@ def test_ranges_of_turns_are_joined(spark, monkeypatch):
     rows = sorted(quotes.positions(df).collect(), key=lambda r: r.turn)
     assert [r.position for r in rows] == list(range(1, 51))
     assert [r.previous for r in rows] == [None, *[t * 3 for t in range(49)]]
+
+
+def linked(spark, texts, step=1):
+    df = spark.createDataFrame([("c", t * step, x) for t, x in enumerate(texts)], "conv_id string, turn long, text string")
+    return {r.turn // step: r for r in quotes.link_quotations(df).collect()}
+
+
+@pytest.mark.parametrize("width", [2, 1 << 12])
+def test_repeated_passages_belong_to_the_latest_original(spark, monkeypatch, width):
+    monkeypatch.setattr(quotes, "RANGE", width)
+    texts = ["ok", "a b", "ok", "thanks", "> ok\nfine", "ok", "> ok\nyes",       # 6 answers 5, not 0
+             "one\n\nthanks", "thanks", "> one\n>\n> thanks\nwell",            # 9 answers 7, which wrote all of it
+             "> one\nleft\n> thanks\nright", "p\n\nq\n\nr", "p", "q",         # 10 too, answered in between
+             "> p\n>\n> q\nx", "> nothing known\ny", "> a b\n>> thanks\nz"]
+    got = linked(spark, texts, step=3)
+    assert [got[t].parent_turn // 3 for t in (4, 6, 9, 10, 14, 15, 16)] == [2, 5, 7, 7, 11, 14, 1]
+    assert [got[t].n_linked for t in (4, 6, 9, 14, 15, 16)] == [1, 1, 2, 2, 0, 2]
+
+
+@pytest.mark.parametrize("back", [1, 3])
+def test_links_of_the_test_table_are_found(spark, back):
+    """Also when a turn other than the one before is quoted, where the fallback is wrong."""
+    conv = spark.read.parquet(f"{SF}/conversations.parquet")
+    if back == 1:
+        sent = quotes.with_quotations(conv)
+    else:
+        old = conv.select("conv_id", (F.col("turn") + back).alias("turn"), F.col("text").alias("_old"))
+        sent = conv.join(old, ["conv_id", "turn"]).withColumn("text", F.concat(quotes.quote(F.col("_old")), F.lit("\n"), "text"))
+        sent = sent.drop("_old").unionByName(conv.where(F.col("turn") < back))
+    got = [r for r in quotes.link_quotations(sent).collect() if r.turn >= back]
+    assert got and all(r.n_linked == r.n_passages > 0 and r.parent_turn == r.turn - back for r in got)
