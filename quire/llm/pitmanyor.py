@@ -1,7 +1,7 @@
 """Language-model scores from a hierarchical Pitman-Yor model.
 
-Restaurants: one for each class of the previous word (CONTEXTS classes by hash,
-one more for the start of a document), all with the same parent, the unigram
+Restaurants: one for each previous word (by its 64-bit hash; one more for the
+start of a document), all with the same parent, the unigram
 restaurant, whose base is uniform over the words of the training texts and one
 unknown. A training word in a context is a customer there; a customer that opens a
 table sends a customer to the parent. Seating is sampled by Gibbs sweeps: in a
@@ -13,8 +13,12 @@ the sum of the log10 averages over its words and its end.
 How it runs: texts become packed arrays of (word, context, document, count), dealt
 into buckets by word and staged; this is the only time that words cross the network.
 A bucket holds all there is about its words, so tables of words are drawn where the
-words are. Between sweeps only totals travel: per context (a fixed number) and, for
-the few words that are split over buckets because they are frequent, per word.
+words are. Between sweeps only totals travel: for the few words that are split over
+buckets because they are frequent, per word through the driver; and per context as
+tables: a bucket sends the sums of its contexts, packed by parts of the contexts'
+hashes, a part adds them up and sends every bucket the totals of the contexts that
+it asked for, and the next sweep joins them to the bucket. No array of all contexts
+is held anywhere.
 Draws come from hashes of (word, context, sweep, step), so that a repeated task
 draws the same, and a sweep is computed again from the totals instead of stored.
 
@@ -27,8 +31,9 @@ gives an empty result. Other columns are not looked at.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -36,9 +41,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import staged
+from quire.llm.common import shared_dir, staged, tasks
 
-CONTEXTS = 4_096
+CONTEXTS = (1 << 64) - 1  # previous words by their whole hash; this number itself is the start of a document
 SWEEPS = 3
 STRENGTH = 1.0          # concentration of every restaurant
 BUCKET_BYTES = 5 << 20  # text bytes that make one bucket
@@ -112,12 +117,52 @@ def seat(customers: np.ndarray, chance: np.ndarray, discount: float, strength: f
     return t
 
 
+def parse_contexts(blob: bytes, columns: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """A blob's bucket, contexts, and values (a row for each of ``columns``)."""
+    bucket = int(np.frombuffer(blob, np.int64, 1)[0])
+    n = (len(blob) - 8) // (8 * (columns + 1))
+    return bucket, np.frombuffer(blob, np.uint64, n, 8), np.frombuffer(blob, float, n * columns, 8 + 8 * n).reshape(columns, n)
+
+
+class BucketContexts:
+    """A number for each context of one bucket."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+
+    def __getitem__(self, context):
+        return self.values[np.searchsorted(self.keys, context)]
+
+
+class StagedContexts:
+    """The same, looked up by the driver in the tables of all buckets."""
+
+    def __init__(self, contexts: DataFrame, column: int, columns: int):
+        self.contexts, self.column, self.columns = contexts, column, columns
+
+    def __getitem__(self, context):
+        wanted, at = np.unique(np.asarray(context, np.uint64), return_inverse=True)
+        column, columns = self.column, self.columns
+
+        def run(batches):
+            for pdf in batches:
+                for blob in pdf.blob:
+                    _, keys, values = parse_contexts(blob, columns)
+                    hit = np.isin(keys, wanted)
+                    yield pd.DataFrame({"id": keys[hit].view(np.int64), "x": values[column][hit]})
+
+        rows = self.contexts.select(F.explode("contexts").alias("blob")).mapInPandas(run, "id long, x double").distinct().collect()
+        found = {r["id"]: r["x"] for r in rows}
+        return np.array([found[k] for k in wanted.view(np.int64).tolist()])[at].reshape(np.shape(context))[()]
+
+
 @dataclass
 class Totals:
     """What all buckets must know; its size does not depend on the corpus but for
-    ``split`` (words that are spread over buckets: a few per bucket)."""
-    context_customers: np.ndarray
-    context_tables: list[np.ndarray] = field(default_factory=list)  # one a sweep, the first with a table a dish
+    ``split`` (words that are spread over buckets: a few per bucket). Numbers per
+    context stay in ``contexts``, per bucket those of its own."""
+    context_customers: BucketContexts | StagedContexts | None = None
+    context_tables: list = field(default_factory=list)              # one a sweep, the first with a table a dish
     root_customers: list[float] = field(default_factory=list)
     root_tables: list[float] = field(default_factory=list)
     split: list[dict[int, float]] = field(default_factory=list)     # root customers of split words, one a sweep
@@ -126,6 +171,20 @@ class Totals:
     training: int = 0
     discount: float = 0.5
     root_discount: float = 0.5
+    contexts: DataFrame | None = None                               # (bucket, contexts): customers and tables of every sweep
+
+    def to_send(self) -> Totals:
+        return replace(self, context_customers=None, context_tables=[], contexts=None)
+
+    def of_bucket(self, blobs) -> Totals:
+        """With the contexts of one bucket, as the exchange returned them."""
+        columns = 1 + len(self.root_customers)
+        keys, values = zip(*(parse_contexts(blob, columns)[1:] for blob in blobs))
+        keys, values = np.concatenate(keys), np.concatenate(values, axis=1)
+        order = np.argsort(keys)
+        keys, values = keys[order], values[:, order]
+        return replace(self, context_customers=BucketContexts(keys, values[0]),
+                       context_tables=[BucketContexts(keys, v) for v in values[1:]])
 
 
 class Bucket:
@@ -134,18 +193,20 @@ class Bucket:
     def __init__(self, blobs: list[bytes]):
         self.docs, word, context, doc, count, train = [], [], [], [], [], []
         for blob in blobs:
-            n_docs, n = np.frombuffer(blob, np.int64, 2)
-            at = 16
+            n_docs, n, n_words = np.frombuffer(blob, np.int64, 3)
+            at = 24
             ids = np.frombuffer(blob, np.int64, n_docs, at)
             at += 8 * n_docs
             flags = np.frombuffer(blob, np.uint8, n_docs, at)
             at += n_docs
-            word.append(np.frombuffer(blob, np.uint64, n, at))
-            at += 8 * n
+            of = np.frombuffer(blob, np.uint64, n_words, at)
+            at += 8 * n_words
+            word.append(np.repeat(of, np.frombuffer(blob, np.uint32, n_words, at)))
+            at += 4 * n_words
             local = np.frombuffer(blob, np.uint16, n, at)
             at += 2 * n
-            context.append(np.frombuffer(blob, np.uint16, n, at))
-            at += 2 * n
+            context.append(np.frombuffer(blob, np.uint64, n, at))
+            at += 8 * n
             count.append(np.frombuffer(blob, np.uint16, n, at).astype(np.int64))
             doc.append(local.astype(np.int64) + sum(map(len, self.docs)))
             train.append(flags[local] == 0)
@@ -159,7 +220,8 @@ class Bucket:
         fresh = np.ones(len(word), bool)
         fresh[1:] = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
         self.dish_of = np.cumsum(fresh) - 1           # posting -> dish
-        self.word, self.context = word[fresh], context[fresh].astype(np.int64)
+        self.word, self.context = word[fresh], context[fresh]
+        self.contexts, self.context_of = np.unique(self.context, return_inverse=True)  # dish -> context
         self.customers = np.bincount(self.dish_of, weights=self.count * train, minlength=len(self.word))
         fresh_word = np.ones(len(self.word), bool)
         fresh_word[1:] = self.word[1:] != self.word[:-1]
@@ -167,7 +229,7 @@ class Bucket:
         self.words = self.word[fresh_word]
         self.word_count = np.bincount(self.word_of, weights=self.customers, minlength=len(self.words))
         with np.errstate(over="ignore"):
-            self.key = mix(self.word * np.uint64(3) + self.context.astype(np.uint64))
+            self.key = mix(self.word * np.uint64(3) + self.context)
 
     def whole(self, values: np.ndarray, split: dict) -> np.ndarray:
         """Per word: its value here, or over all buckets if it is split."""
@@ -203,7 +265,7 @@ class Bucket:
             if sweep:
                 chance = self.parent(customers, root_tables, totals, sweep - 1)[self.word_of]
                 tables = seat(self.customers, chance, totals.discount, STRENGTH,
-                              totals.context_tables[sweep - 1][self.context], self.key, sweep)
+                              totals.context_tables[sweep - 1][self.contexts][self.context_of], self.key, sweep)
             seen = Totals(totals.context_customers, words=totals.words, root_discount=totals.root_discount,
                           split=totals.split, root_tables=totals.root_tables[:sweep])
             customers, root_tables = self.root(tables, seen, sweep)
@@ -218,7 +280,7 @@ def bucket_of(word: np.ndarray, context: np.ndarray, hot: dict[int, int], bucket
         parts = np.array([hot[int(k)] for k in keys], np.uint64)
         at = np.minimum(np.searchsorted(keys, word), len(keys) - 1)
         hit = keys[at] == word
-        salt[hit] = context[hit].astype(np.uint64) % parts[at[hit]] + np.uint64(1)
+        salt[hit] = context[hit] % parts[at[hit]] + np.uint64(1)
     with np.errstate(over="ignore"):
         return (mix(word + salt * np.uint64(_GOLDEN)) % np.uint64(buckets)).astype(np.int64)
 
@@ -228,9 +290,9 @@ def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int):
     word, context, doc, flags = [], [], [], np.zeros(len(pdf), np.uint8)
     for i, (doc_id, text) in enumerate(zip(pdf.doc_id, pdf.text)):
         t = tokens(text)
-        before = (mix(t[:-1]) % np.uint64(CONTEXTS)).astype(np.uint16)
+        before = mix(t[:-1]) % np.uint64(CONTEXTS)
         word.append(t)
-        context.append(np.concatenate([np.array([CONTEXTS], np.uint16), before]))
+        context.append(np.concatenate([np.array([CONTEXTS], np.uint64), before]))
         doc.append(np.full(len(t), i, np.uint16))
         flags[i] = is_held_out(doc_id)
     word, context, doc = map(np.concatenate, (word, context, doc))
@@ -252,8 +314,10 @@ def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int):
     edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     for lo, hi in zip(edges, np.append(edges[1:], len(bucket))):
         used, local = np.unique(doc[lo:hi], return_inverse=True)
-        head = np.array([len(used), hi - lo], np.int64).tobytes() + rows[used].tobytes() + flags[used].tobytes()
-        yield int(bucket[lo]), (head + word[lo:hi].tobytes() + local.astype(np.uint16).tobytes()
+        runs = np.flatnonzero(np.append(True, word[lo + 1:hi] != word[lo:hi - 1]))  # a word's postings lie together
+        head = np.array([len(used), hi - lo, len(runs)], np.int64).tobytes() + rows[used].tobytes() + flags[used].tobytes()
+        of = word[lo:hi][runs].tobytes() + np.diff(np.append(runs, hi - lo)).astype(np.uint32).tobytes()
+        yield int(bucket[lo]), (head + of + local.astype(np.uint16).tobytes()
                                 + context[lo:hi].tobytes() + count[lo:hi].astype(np.uint16).tobytes())
 
 
@@ -304,57 +368,89 @@ def frequent_words(docs: DataFrame, buckets: int) -> dict[int, int]:
 
 
 def _each(run):
-    """Apply ``run`` to every bucket of every batch."""
+    """Apply ``run`` to every bucket of every batch: its number, blobs and contexts."""
     def batches_of(batches):
         for pdf in batches:
-            for blobs in pdf.blobs:
-                yield run(blobs)
+            for bucket, blobs, contexts in zip(pdf.bucket, pdf.blobs, pdf.contexts):
+                yield run(bucket, blobs, contexts)
     return batches_of
 
 
-def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int, int]) -> Totals:
+def with_contexts(buckets: DataFrame, totals: Totals | None) -> DataFrame:
+    buckets = buckets.select("bucket", "blobs")
+    if totals is None:
+        return buckets.withColumn("contexts", F.lit(None).cast("array<binary>"))
+    return buckets.join(totals.contexts.hint("shuffle_hash"), "bucket")
+
+
+def exchange(sums: DataFrame, columns: int, known: int, parts: int) -> DataFrame:
+    """(bucket, contexts) of (part, blob): in every bucket's blobs the last
+    ``columns - known`` columns become sums over all buckets that have the context."""
+    def run(batches):
+        for pdf in batches:
+            for blobs in pdf.blobs:
+                bucket, keys, values = zip(*(parse_contexts(blob, columns) for blob in blobs))
+                every, at = np.unique(np.concatenate(keys), return_inverse=True)
+                own = np.concatenate(values, axis=1)[known:]
+                total = np.array([np.bincount(at, weights=x, minlength=len(every)) for x in own])
+                out, lo = [], 0
+                for b, k, v in zip(bucket, keys, values):
+                    new = total[:, at[lo:lo + len(k)]]
+                    out.append((b, np.int64(b).tobytes() + k.tobytes() + np.concatenate([v[:known], new]).tobytes()))
+                    lo += len(k)
+                yield pd.DataFrame(out, columns=["bucket", "blob"])
+
+    totals = sums.groupBy("part").agg(F.collect_list("blob").alias("blobs")).mapInPandas(run, "bucket long, blob binary")
+    return totals.repartition(parts, "bucket").groupBy("bucket").agg(F.collect_list("blob").alias("contexts"))
+
+
+def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int, int], parts: int) -> Totals:
     """One pass over all buckets; adds the totals of ``sweep``."""
     spark = buckets.sparkSession
-    shared = spark.sparkContext.broadcast((totals, hot))
+    shared = spark.sparkContext.broadcast((totals and totals.to_send(), hot))
+    known = 0 if totals is None else 1 + sweep
 
-    def run(blobs: list[bytes]) -> pd.DataFrame:
+    def run(bucket: int, blobs: list[bytes], contexts) -> pd.DataFrame:
         totals, hot = shared.value
         b = Bucket(blobs)
         if totals is None:
             tables = np.minimum(b.customers, 1)
             customers, root_tables = np.bincount(b.word_of, weights=tables, minlength=len(b.words)), None
+            values = [np.bincount(b.context_of, weights=b.customers, minlength=len(b.contexts))]
         else:
+            totals = totals.of_bucket(contexts)
             for _, tables, customers, root_tables in b.sweeps(totals, sweep):
                 pass
+            values = [x[b.contexts] for x in (totals.context_customers, *totals.context_tables)]
         split = np.isin(b.words, np.array(sorted(hot), np.uint64)) if hot else np.zeros(len(b.words), bool)
         own = np.bincount(b.word_of, weights=tables, minlength=len(b.words))
         alone = ~split
         once = (b.customers == 1).sum(), (b.customers == 2).sum()
         rooted = root_tables if root_tables is not None else np.minimum(own, 1)
-        rows = [("scalar", 0, float(own[alone].sum()), float(rooted[alone].sum())),
-                ("scalar", 1, float((b.word_count[alone] > 0).sum()), float(b.customers.sum())),
-                ("scalar", 2, float(once[0]), float(once[1])),
-                ("scalar", 3, float((own[alone] == 1).sum()), float((own[alone] == 2).sum()))]
-        rows += [("word", int(np.uint64(w).view(np.int64)), float(t), float(c))
+        rows = [("scalar", 0, float(own[alone].sum()), float(rooted[alone].sum()), None),
+                ("scalar", 1, float((b.word_count[alone] > 0).sum()), float(b.customers.sum()), None),
+                ("scalar", 2, float(once[0]), float(once[1]), None),
+                ("scalar", 3, float((own[alone] == 1).sum()), float((own[alone] == 2).sum()), None)]
+        rows += [("word", int(np.uint64(w).view(np.int64)), float(t), float(c), None)
                  for w, t, c in zip(b.words[split], own[split], b.word_count[split])]
-        t = np.bincount(b.context, weights=tables, minlength=CONTEXTS + 1)
-        c = np.bincount(b.context, weights=b.customers, minlength=CONTEXTS + 1)
-        rows += [("context", int(i), float(t[i]), float(c[i])) for i in np.flatnonzero(c)]
-        return pd.DataFrame(rows, columns=["kind", "id", "x", "y"])
-
-    # Summed by Spark; CONTEXTS + 5 rows and those of split words reach the driver.
-    rows = (buckets.select("blobs").mapInPandas(_each(run), "kind string, id long, x double, y double")
-            .groupBy("kind", "id").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect())
+        values = np.array([*values, np.bincount(b.context_of, weights=tables, minlength=len(b.contexts))])
+        part = (b.contexts >> np.uint64(20)) % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        edges = np.flatnonzero(np.append(True, np.diff(part[order]) != 0))
+        for at in np.split(order, edges[1:]):
+            rows.append(("context", int(part[at[0]]), 0.0, 0.0, np.int64(bucket).tobytes() + b.contexts[at].tobytes()
+                         + np.ascontiguousarray(values[:, at]).tobytes()))
+        return pd.DataFrame(rows, columns=["kind", "id", "x", "y", "blob"])
+
+    sums = staged(with_contexts(buckets, totals).mapInPandas(
+        _each(run), "kind string, id long, x double, y double, blob binary"), "sums", compression="zstd")
+    # Five rows and those of split words reach the driver.
+    rows = (sums.where("kind <> 'context'").groupBy("kind", "id").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect())
     got = {(r["kind"], r["id"]): (r["x"], r["y"]) for r in rows}
     zero = (0.0, 0.0)
-    t = np.zeros(CONTEXTS + 1)
-    c = np.zeros(CONTEXTS + 1)
-    for (kind, i), (x, y) in got.items():
-        if kind == "context":
-            t[i], c[i] = x, y
     split = {int(np.int64(i).view(np.uint64)): v for (kind, i), v in got.items() if kind == "word"}
     if totals is None:
-        totals = Totals(c)
+        totals = Totals()
         totals.split_count = {w: int(y) for w, (_, y) in split.items()}
         once, twice = got.get(("scalar", 2), zero)
         totals.discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
@@ -367,37 +463,56 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
     of = np.array([split[int(w)][0] for w in words], float)
     above = seat(of, np.full(len(of), 1.0 / (totals.words + 1)), totals.root_discount, STRENGTH,
                  totals.root_tables[-1] if totals.root_tables else 0.0, words, 100 + sweep) if len(of) else of
-    totals.context_tables.append(t)
+    columns = sweep + 2
+    totals.contexts = exchange(sums.where("kind = 'context'").select(F.col("id").alias("part"), "blob"),
+                               columns, known, parts)
+    totals.context_customers, *totals.context_tables = [
+        StagedContexts(totals.contexts, i, columns) for i in range(columns)]
     totals.split.append({int(w): float(x) for w, x in zip(words, of)})
     totals.root_customers.append(customers + of.sum())
     totals.root_tables.append(rooted + above.sum())
     return totals
 
 
-def train(buckets: DataFrame, hot: dict[int, int]) -> Totals:
+def train(buckets: DataFrame, hot: dict[int, int], parts: int | None = None) -> Totals:
+    """``parts``: the number of tasks that buckets are dealt to."""
     totals = None
     for sweep in range(SWEEPS + 1):
-        totals = _sums(buckets, totals, sweep, hot)
+        totals = _sums(buckets, totals, sweep, hot, parts or tasks(buckets.sparkSession))
     return totals
 
 
+def staged_buckets(packed: DataFrame, parts: int) -> DataFrame:
+    """As ``staged``, and Spark knows that the files are dealt by bucket into
+    ``parts``: a join with the buckets' contexts does not move the postings."""
+    spark = packed.sparkSession
+    name = f"postings_{uuid.uuid4().hex}"
+    (packed.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/stage-{name}")
+     .bucketBy(parts, "bucket").saveAsTable(name))
+    table = spark.table(name)
+    table.schema  # resolved: the name is not needed any more, the files stay
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
     """Per bucket and document: tokens, known tokens, base and model log10."""
-    shared = buckets.sparkSession.sparkContext.broadcast(totals)
+    shared = buckets.sparkSession.sparkContext.broadcast(totals.to_send())
 
-    def run(blobs: list[bytes]) -> pd.DataFrame:
-        totals = shared.value
+    def run(_, blobs: list[bytes], contexts) -> pd.DataFrame:
+        totals = shared.value.of_bucket(contexts)
         b = Bucket(blobs)
+        sizes = totals.context_customers[b.contexts][b.context_of]
         known = b.whole(b.word_count, totals.split_count)
         base = np.log10((known + 1) / (totals.training + totals.words + 1))
         total = np.zeros(len(b.word))
         for sweep, tables, customers, root_tables in b.sweeps(totals, SWEEPS):
             if sweep:
                 chance = b.parent(customers, root_tables, totals, sweep)[b.word_of]
-                opened = totals.context_tables[sweep][b.context]
+                opened = totals.context_tables[sweep][b.contexts][b.context_of]
                 total += ((np.maximum(b.customers - totals.discount * tables, 0)
                            + (STRENGTH + totals.discount * opened) * chance)
-                          / (STRENGTH + totals.context_customers[b.context]))
+                          / (STRENGTH + sizes))
         model = np.log10(total / SWEEPS)
         word_at = b.word_of[b.dish_of]
         n = len(b.doc_ids)
@@ -406,7 +521,7 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
         return pd.DataFrame({"row": b.doc_ids, "n": sums[0].astype(int), "k": sums[1].astype(int),
                              "base": sums[2], "model": sums[3]}).groupby("row", as_index=False).sum()
 
-    return buckets.select("blobs").mapInPandas(_each(run), "row long, n long, k long, base double, model double")
+    return with_contexts(buckets, totals).mapInPandas(_each(run), "row long, n long, k long, base double, model double")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -420,8 +535,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
     # depend on the executors of the moment: they are taken once and written with the postings.
     rows = docs.withColumn("row", F.monotonically_increasing_id())
     # Large values: zstd streams them, where snappy holds whole pages outside the heap.
-    packed = staged(pack_documents(rows, hot, buckets), "postings", compression="zstd")
-    totals = train(packed, hot)
+    parts = math.ceil(buckets / TASK_BUCKETS)
+    packed = staged_buckets(pack_documents(rows, hot, buckets), parts)
+    totals = train(packed, hot, parts)
     scores = score_buckets(packed, totals).groupBy("row").agg(
         *[F.sum(c).alias(c) for c in ("n", "k", "base", "model")])
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))

@@ -128,3 +128,28 @@ def test_rows_are_numbered_once(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     compare(got, brute(rows))
     assert len(got) == len(rows)
+
+
+def test_every_previous_word_has_its_own_restaurant(spark):
+    """Contexts that share the lowest 12 bits, over several buckets and parts."""
+    seen, pair = {}, None
+    for i in range(10_000):
+        h = int(py.mix(py.tokens(f"p{i}")[:1])[0]) % 4_096
+        if h in seen:
+            pair = seen[h], f"p{i}"
+            break
+        seen[h] = f"p{i}"
+    u, v = pair
+    texts = [f"{u} x {u} y {u} x", f"{v} z", f"{v} x {v} x {v} w {v} q", f"o {u}"] * 5
+    ids = [d for d in range(200) if zlib.crc32(str(d).encode()) % 7 != 2]
+    df = spark.createDataFrame([(r, ids[r], t) for r, t in enumerate(texts)], "row long, doc_id long, text string")
+    totals = py.train(py.pack_documents(df, {}, 6), {})
+    after = Counter()
+    for t in texts:
+        w = words(t)
+        after.update(zip(w[:-1], w[1:]))
+    for word in (u, v, "x", "o"):
+        context = int(py.mix(py.tokens(word)[:1])[0] % np.uint64(py.CONTEXTS))
+        assert totals.context_customers[context] == sum(n for (a, _), n in after.items() if a == word)
+        assert totals.context_tables[0][context] == sum(a == word for a, _ in after)
+    assert totals.context_customers[py.CONTEXTS] == len(texts)
