@@ -10,6 +10,8 @@ parsing JSON, an independent check of the Spark parser.
 
 from __future__ import annotations
 
+import re
+
 from quire.functions.text import DIGIT, DIGITLIKE, HEADING_RULES, HEADING_WORDS, WS, WS_CHARS
 from quire.operators.suitability import LEGAL_PATTERNS, SKIP_CONTENT_PATTERNS, SKIP_TITLE_PATTERNS
 
@@ -222,6 +224,21 @@ FROM (SELECT book_id, page_num, row_number() OVER w AS ordinal, lead(page_num) O
 JOIN fx_page_counts pc ON pc.book_id = p.book_id
 LEFT JOIN (SELECT book_id, page_num, arg_min(text, span_no) AS first_text FROM cands GROUP BY book_id, page_num) f
   ON f.book_id = p.book_id AND f.page_num = p.page_num""", "cands", "modal", "fx_page_counts")
+# The same with outline entries and spans of every book.
+_EVERY = ("fx_toc", "fx_spans", "b_toc", "cands", "modal", "b_font")
+
+
+def _every(name: str) -> str:
+    return name + "_every" if name in _EVERY else name
+
+
+for _name in _EVERY:
+    _sql, _deps = CTES[_name]
+    for _old in _EVERY:
+        _sql = re.sub(rf"\b{_old}\b", _every(_old), _sql)
+    _sql = _sql.replace("WHERE book_id % 5 = 0 AND ", "WHERE ").replace(" WHERE book_id % 5 = 1", "")
+    cte(_every(_name), _sql, *map(_every, _deps))
+
 cte("b_pattern", """SELECT h.book_id, 'pattern' AS strategy, 3 AS priority, CAST(h.ordinal AS INTEGER) AS ordinal, h.title,
   h.page_num AS start_page, coalesce(h.next_start, pc.page_count) AS end_page,
   'chapter_' || CAST(h.ordinal AS VARCHAR) || '.pdf' AS file_name
@@ -243,7 +260,7 @@ def _content_cte(name: str, src: str) -> None:
 FROM {src} b""", src, "ptext", "fx_page_counts")
 
 
-for _src in ("b_toc", "b_font", "b_pattern", "all_b"):
+for _src in ("b_toc", "b_font", "b_pattern", "all_b", "b_toc_every", "b_font_every"):
     _content_cte(f"{_src}_text", _src)
 
 cte("resolved", """SELECT book_id, strategy,
@@ -391,6 +408,12 @@ for _n, _s in (("toc_chapters", "b_toc_text"), ("font_chapters", "b_font_text"),
     q(_n, f"SELECT book_id, ordinal AS chapter_number, title, content, file_name FROM {_s} WHERE content <> ''", _s)
 q("font_candidates", "SELECT book_id, page_num, span_no, text, font_size FROM cands", "cands")
 q("modal_font_size", "SELECT book_id, heading_size FROM modal", "modal")
+q("range_text_every", "SELECT book_id, ordinal, start_page, end_page, content FROM b_toc_every_text", "b_toc_every_text")
+q("heading_like_every", f"SELECT book_id, span_no, {heading_like(strip('text'))} AS heading_like FROM fx_spans_every", "fx_spans_every")
+for _n, _s in (("toc_chapters_every", "b_toc_every_text"), ("font_chapters_every", "b_font_every_text")):
+    q(_n, f"SELECT book_id, ordinal AS chapter_number, title, content, file_name FROM {_s} WHERE content <> ''", _s)
+q("font_candidates_every", "SELECT book_id, page_num, span_no, text, font_size FROM cands_every", "cands_every")
+q("modal_font_size_every", "SELECT book_id, heading_size FROM modal_every", "modal_every")
 q("page_chunks", f"""SELECT book_id, CAST(row_number() OVER (PARTITION BY book_id ORDER BY start_page) AS INTEGER) AS chapter_number,
   'Section ' || CAST(row_number() OVER (PARTITION BY book_id ORDER BY start_page) AS VARCHAR) AS title, content, file_name
 FROM (SELECT * FROM all_b_text WHERE strategy = 'chunks' AND content <> '')""", "all_b_text")

@@ -52,6 +52,14 @@ class Corpus:
     def spans(self) -> DataFrame:
         return fx.spans(self.lines)
 
+    @cached_property
+    def every_toc(self) -> DataFrame:
+        return fx.toc(self.lines, every=True)
+
+    @cached_property
+    def every_span(self) -> DataFrame:
+        return fx.spans(self.lines, every=True)
+
     @cached_property
     def boundaries(self) -> DataFrame:
         return S.all_boundaries(self.pages, self.toc, self.spans, self.book_pages)
@@ -194,16 +202,28 @@ def page_text(c: Corpus) -> DataFrame:
     return L.page_text(c.pages)
 
 
-def range_text(c: Corpus) -> DataFrame:
-    t = S.assemble(S.finish(S.toc_boundaries(c.toc), c.book_pages), c.pages, keep_empty=True)
+def _range_text(c: Corpus, toc: DataFrame) -> DataFrame:
+    t = S.assemble(S.finish(S.toc_boundaries(toc), c.book_pages), c.pages, keep_empty=True)
     return t.select("book_id", "ordinal", "start_page", "end_page", "content")
 
 
-def heading_like(c: Corpus) -> DataFrame:
-    s = c.spans.select("book_id", "span_no", S._once(T.strip(F.col("text")).alias("text")))
+def _heading_like(spans: DataFrame) -> DataFrame:
+    s = spans.select("book_id", "span_no", S._once(T.strip(F.col("text")).alias("text")))
     return s.select("book_id", "span_no", T.heading_like(F.col("text")).alias("heading_like"))
 
 
+def _font_candidates(spans: DataFrame) -> DataFrame:
+    return S.font_candidates(spans).select("book_id", "page_num", "span_no", "text", "font_size")
+
+
+def range_text(c: Corpus) -> DataFrame:
+    return _range_text(c, c.toc)
+
+
+def heading_like(c: Corpus) -> DataFrame:
+    return _heading_like(c.spans)
+
+
 def heading_pattern(c: Corpus) -> DataFrame:
     return S.heading_lines(c.pages).select("book_id", "line_no", "rule", "title")
 
@@ -219,7 +239,7 @@ def toc_chapters(c: Corpus) -> DataFrame:
 
 
 def font_candidates(c: Corpus) -> DataFrame:
-    return S.font_candidates(c.spans).select("book_id", "page_num", "span_no", "text", "font_size")
+    return _font_candidates(c.spans)
 
 
 def modal_font_size(c: Corpus) -> DataFrame:
@@ -230,6 +250,33 @@ def font_chapters(c: Corpus) -> DataFrame:
     return S.strategy_chapters(S.font_boundaries(c.spans), c.pages, c.book_pages)
 
 
+# The same with outline entries and spans of every book, where those above have
+# the books that the cascade has them for.
+
+def range_text_every(c: Corpus) -> DataFrame:
+    return _range_text(c, c.every_toc)
+
+
+def heading_like_every(c: Corpus) -> DataFrame:
+    return _heading_like(c.every_span)
+
+
+def toc_chapters_every(c: Corpus) -> DataFrame:
+    return S.strategy_chapters(S.toc_boundaries(c.every_toc), c.pages, c.book_pages)
+
+
+def font_candidates_every(c: Corpus) -> DataFrame:
+    return _font_candidates(c.every_span)
+
+
+def modal_font_size_every(c: Corpus) -> DataFrame:
+    return S.modal_font_size(S.font_candidates(c.every_span))
+
+
+def font_chapters_every(c: Corpus) -> DataFrame:
+    return S.strategy_chapters(S.font_boundaries(c.every_span), c.pages, c.book_pages)
+
+
 def pattern_chapters(c: Corpus) -> DataFrame:
     return S.strategy_chapters(S.pattern_boundaries(c.pages), c.pages, c.book_pages)
 
@@ -443,6 +490,8 @@ QUERY_FUNCS: list[Callable[[Corpus], DataFrame]] = [
     format_dispatch, run_accounting, html_text, chapter_title, book_metadata, word_count, preview_text,
     safe_filename, display_fields, page_lines, clean_lines, line_noise_profile, page_text, range_text,
     heading_like, heading_pattern, boundaries, toc_chapters, font_candidates, modal_font_size, font_chapters,
+    range_text_every, heading_like_every, toc_chapters_every, font_candidates_every, modal_font_size_every,
+    font_chapters_every,
     pattern_chapters, page_chunks, chapters_resolved, strategy_usage, chapter_cap, numbering_audit, book_totals,
     spine_chapters, spine_dangling, all_chapters, suit_length, suit_title, suit_boilerplate, suit_legal_ratio,
     suitable_chapters, suit_funnel, suit_funnel_by_book, card_requests, reply_fenced, reply_parse_stage, reply_shape, cards_exploded,

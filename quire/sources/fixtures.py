@@ -6,9 +6,12 @@ layout spans), spine books (spine + items), books and chapters, model replies
 and a file catalog. The DuckDB side of every view lives in
 ``quire.plans.oracle``; both give identical rows.
 
-Every view reads its whole source table; the modulo tests below only decide
-*which kind* of structure a row gets (a heading, an outline, a dangling
-reference), never whether a row is read.
+Every view reads its whole source table. Modulo tests decide which kind of
+structure a row gets (a heading, an outline level), and some of them leave rows
+out or overwrite them: ``toc`` and ``spans`` hold one book in five, so that the
+cascade has books without either (``every`` gives those of all books); ``items``
+drops one page in 11 and empties one in 13; ``raw_chapters`` blanks documents with
+``doc_id % 97 = 5`` that no earlier branch takes; ``lines`` overwrites four of 14.
 """
 
 from __future__ import annotations
@@ -55,22 +58,25 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("book_id", "line_no", F.floor(ln / 4).cast("long").alias("page_num"), line.alias("line"))
 
 
-def toc(lines_df: DataFrame) -> DataFrame:
+def toc(lines_df: DataFrame, every: bool = False) -> DataFrame:
+    """Outline entries of one book in five, or of ``every`` book."""
     ln, bk = F.col("line_no"), F.col("book_id")
     level = (
         F.when(bk % 10 == 5, 3).when(ln % 28 == 21, 3).when(ln % 14 == 7, 2).otherwise(1)
     ).cast("int")
-    return lines_df.where((bk % 5 == 0) & (ln % 14).isin(0, 4, 7)).select(
+    books = F.lit(True) if every else bk % 5 == 0
+    return lines_df.where(books & (ln % 14).isin(0, 4, 7)).select(
         "book_id", ln.alias("entry_no"), level.alias("level"), F.col("line").alias("title"),
         (F.col("page_num") + 1).alias("page"),
     )
 
 
-def spans(lines_df: DataFrame) -> DataFrame:
+def spans(lines_df: DataFrame, every: bool = False) -> DataFrame:
+    """Layout spans of one book in five, or of ``every`` book."""
     ln = F.col("line_no")
     size = F.when(ln % 14 == 0, 18.0).when(ln % 14 == 7, 16.0).otherwise(10.0).cast("double")
     font = F.when((ln % 14).isin(0, 7), F.lit("Serif-Bold")).otherwise(F.lit("Serif"))
-    return lines_df.where(F.col("book_id") % 5 == 1).select(
+    return lines_df.where(F.lit(True) if every else F.col("book_id") % 5 == 1).select(
         "book_id", "page_num", ln.alias("span_no"), F.col("line").alias("text"),
         size.alias("font_size"), font.alias("font_name"),
         (ln % 4 * 20.0).cast("double").alias("y_position"),
