@@ -4,9 +4,9 @@ Restaurants: one for each previous word (by its 64-bit hash; one more for the
 start of a document), all with the same parent, the unigram
 restaurant, whose base is uniform over the words of the training texts and one
 unknown. A training word in a context is a customer there; a customer that opens a
-table sends a customer to the parent. Seating is sampled by Gibbs sweeps: in a
-sweep all customers of a dish are seated anew, one after the other, given the
-totals and the parent's probabilities of the sweep before. Predictive
+table sends a customer to the parent. Seating is sampled in sweeps, which are not
+Gibbs sweeps: all customers of a dish are seated anew from empty, one after the
+other, given the totals and the parent's probabilities of the sweep before. Predictive
 probabilities are averaged over the sweeps after the first, and a text's score is
 the sum of the log10 averages over its words and its end.
 
