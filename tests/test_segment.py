@@ -73,7 +73,7 @@ def test_known_counts_sf001(spark):
         F.countDistinct("book_id").alias("books"), F.count("*").alias("chapters")).collect()}
     assert usage == {"pattern": (500, 1122), "font": (200, 258), "chunks": (199, 202), "toc": (100, 214)}
     from quire.functions.text import word_count
-    assert c.resolved.agg(F.sum(word_count("content"))).collect()[0][0] == 285880
+    assert c.resolved.agg(F.sum(word_count("content"))).collect()[0][0] == 299554
     gaps = (c.resolved.groupBy("book_id", "strategy").agg((F.max("chapter_number") - F.count("*")).alias("g"))
             .where("g > 0").groupBy("strategy").count().collect())
     assert {r.strategy: r["count"] for r in gaps} == {"pattern": 147, "toc": 39}
