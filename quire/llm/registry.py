@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import ann, bpe, fingerprint, minhash, packing, pii, pitmanyor, quality, quotes, urlfilter
+from quire.llm import (ann, bpe, fingerprint, minhash, packing, pii, pitmanyor, quality, quotes, tokencount,
+                       urlfilter)
 from quire.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+COUNTED = "byte_bpe_50k.json"
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +63,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_by_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counter = tokencount.TokenCounter(spark, public_tokenizers.path(COUNTED))
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), counter)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pii": op1_pii,
@@ -73,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_pitman_yor": op9_pitman_yor,
         "op10_packing": op10_packing,
+        "op13_token_counts": op13_token_counts,
     }
 
 
