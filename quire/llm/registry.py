@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (ann, bpe, fingerprint, minhash, packing, pii, pitmanyor, quality, quotes, tokencount,
+from quire.llm import (ann, bpe, divergence, fingerprint, minhash, packing, pii, pitmanyor, quality, quotes, tokencount,
                        urlfilter)
 from quire.llm.common import table
 
@@ -63,6 +63,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_by_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), threshold=10, top=10)
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -82,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_pitman_yor": op9_pitman_yor,
         "op10_packing": op10_packing,
+        "op12_source_divergence": op12_source_divergence,
         "op13_token_counts": op13_token_counts,
     }
 
@@ -90,4 +95,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_quotations": quotes.op4_sql(),
         "op7_url_filter": urlfilter.op7_sql(),
+        "op12_source_divergence": divergence.op12_sql(),
     }
