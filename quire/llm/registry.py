@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import (ann, bpe, divergence, fingerprint, minhash, packing, pii, pitmanyor, quality, quotes, tokencount,
-                       urlfilter)
+from quire.llm import (ann, bpe, divergence, fingerprint, minhash, packing, pii, pitmanyor, quality, quotes, spelling,
+                       tokencount, urlfilter)
 from quire.llm.common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -63,6 +63,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_by_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), least=7, times=10)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"), threshold=10, top=10)
 
@@ -86,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_pitman_yor": op9_pitman_yor,
         "op10_packing": op10_packing,
+        "op11_spelling_variants": op11_spelling_variants,
         "op12_source_divergence": op12_source_divergence,
         "op13_token_counts": op13_token_counts,
     }
