@@ -7,10 +7,10 @@ one reply row, so a reply never needs a shuffle or a window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import WS, strip
+from quire.functions.text import WS, once, strip
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for equal results)
@@ -49,9 +49,9 @@ def fenced_block(text) -> Column:
     return F.when(t.rlike(FENCE_PATTERN), strip(F.regexp_extract(t, FENCE_PATTERN, 1)))
 
 
-def greedy_object(text) -> Column:
-    t = _c(text)
-    return F.when(t.rlike(OBJECT_PATTERN), F.regexp_extract(t, OBJECT_PATTERN, 0))
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
 
 
 def strict_json(s) -> Column:
@@ -59,52 +59,50 @@ def strict_json(s) -> Column:
     error, as for Python's json.loads). Wrapping in '[...]' turns trailing
     text into a parse error; exactly one element must come back."""
     arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), _c(s), F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(arr) == 1, F.try_element_at(arr, F.lit(1)))
-
-
-def parse_ladder(text) -> Column:
-    """C4: struct(stage, reply): fenced block -> whole text -> greedy object ->
-    none. A candidate that fails to parse falls through to the next."""
-    t = _c(text)
-    fenced = strict_json(fenced_block(t))
-    direct = strict_json(t)
-    greedy = strict_json(greedy_object(t))
+    return let(arr, lambda a: F.when(F.size(a) == 1, F.try_element_at(a, F.lit(1))))
+
+
+def parse_ladder(df: DataFrame, text: str) -> DataFrame:
+    """C4: add ``stage`` and ``reply``: fenced block -> whole text -> greedy object ->
+    none. A candidate that fails to parse falls through to the next. Each candidate
+    is a column of its own that is worked out once, and only where those before it
+    failed."""
+    t = F.col(text)
+    # Without a match the extracted text is empty, which is no JSON value either.
+    block = F.when(t.contains("```"), strip(F.regexp_extract(t, FENCE_PATTERN, 1)))
+    x = df.select("*", once(strict_json(block).alias("_fenced")))
+    x = x.select("*", once(F.when(F.col("_fenced").isNull(), strict_json(t)).alias("_direct")))
+    neither = F.col("_fenced").isNull() & F.col("_direct").isNull()
+    x = x.select("*", once(F.when(neither, strict_json(F.regexp_extract(t, OBJECT_PATTERN, 0))).alias("_greedy")))
     stage = (
-        F.when(fenced.isNotNull(), F.lit("fenced")).when(direct.isNotNull(), F.lit("direct"))
-        .when(greedy.isNotNull(), F.lit("greedy")).otherwise(F.lit("none"))
+        F.when(F.col("_fenced").isNotNull(), F.lit("fenced")).when(F.col("_direct").isNotNull(), F.lit("direct"))
+        .when(F.col("_greedy").isNotNull(), F.lit("greedy")).otherwise(F.lit("none"))
     )
-    return F.struct(stage.alias("stage"), F.coalesce(fenced, direct, greedy).alias("reply"))
+    return x.select(*df.columns, stage.alias("stage"), F.coalesce("_fenced", "_direct", "_greedy").alias("reply"))
 
 
 def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def reply_shape(reply) -> Column:
+def cards_value(reply) -> Column:
+    """The value under ``cards`` of an object reply (a variant; null without the key)."""
+    return F.try_variant_get(_c(reply), "$.cards", "variant")
+
+
+def reply_shape(reply, value) -> Column:
     """C5: 'unparsed', 'not_object', 'no_cards_key', 'cards_not_list' or
-    'cards_list'."""
-    r = _c(reply)
-    is_obj = _kind(r).startswith("OBJECT")
-    has_key = F.try_variant_get(r, "$.cards", "variant").isNotNull()
-    is_list = F.try_variant_get(r, "$.cards", "array<variant>").isNotNull()
+    'cards_list'; ``value`` is the reply's ``cards_value``. Only an object has one, so
+    the reply's own kind matters without it only."""
+    r, v = _c(reply), _c(value)
     return (
-        F.when(r.isNull(), F.lit("unparsed")).when(~is_obj, F.lit("not_object"))
-        .when(~has_key, F.lit("no_cards_key")).when(~is_list, F.lit("cards_not_list"))
+        F.when(r.isNull(), F.lit("unparsed"))
+        .when(v.isNull(), F.when(_kind(r).startswith("OBJECT"), F.lit("no_cards_key")).otherwise(F.lit("not_object")))
+        .when(F.try_variant_get(v, "$", "array<variant>").isNull(), F.lit("cards_not_list"))
         .otherwise(F.lit("cards_list"))
     )
 
 
-def cards_list(reply) -> Column:
-    """The ``cards`` array of an object reply, else an empty array."""
-    r = _c(reply)
-    arr = F.when(_kind(r).startswith("OBJECT"), F.try_variant_get(r, "$.cards", "array<variant>"))
-    return F.coalesce(arr, F.array().cast("array<variant>"))
-
-
-def _field(card: Column, key: str) -> Column:
-    return F.try_variant_get(card, f"$.{key}", "variant")
-
-
 def _difficulty(v: Column) -> Column:
     """struct(ok, value) for a present difficulty (pydantic's lax int)."""
     k = _kind(v)
@@ -134,49 +132,56 @@ def _difficulty(v: Column) -> Column:
 
 
 def card_fields(card: Column) -> Column:
-    """Stage 1 of the card check: the card's kind and its raw fields (each
-    looked up once)."""
-    f = {k: _field(card, k) for k in ("front", "back", "card_type", "tags", "source", "difficulty")}
-    return F.struct(_kind(card).alias("kind"), *[v.alias(k) for k, v in f.items()])
+    """Stage 1 of the card check: the card's raw fields, each looked up once (all null
+    unless the card is an object)."""
+    return F.struct(*[F.try_variant_get(card, f"$.{k}", "variant").alias(k) for k in (*REQUIRED_KEYS, "tags", "source", "difficulty")])
+
+
+def card_values(f: Column) -> Column:
+    """Stage 2: typed values of the fields with what the check has to know of each:
+    present, and of the right kind."""
+    def text(k: str) -> Column:
+        return F.struct(f[k].isNotNull().alias("present"), (_kind(f[k]) == "STRING").alias("ok"),
+                        F.try_variant_get(f[k], "$", "string").alias("value"))
+
+    tags = F.struct(f["tags"].isNotNull().alias("present"), _kind(f["tags"]).alias("kind"),
+                    F.try_variant_get(f["tags"], "$", "array<string>").alias("value"))
+    return F.struct(*[text(k).alias(k) for k in (*REQUIRED_KEYS, "source")], tags.alias("tags"),
+                    F.when(f["difficulty"].isNotNull(), _difficulty(f["difficulty"])).alias("difficulty"))
 
 
-def card_check(card: Column, default_source: Column) -> Column:
-    """C7 + C8 for one card (given as ``card_fields``): struct(status, front,
+def card_check(v: Column, default_source: Column) -> Column:
+    """C7 + C8 for one card (given as ``card_values``): struct(status, front,
     back, card_type, tags, source, difficulty) with status 'ok', 'skip' (not
     an object or a required key missing: only this card is dropped) or
     'fatal' (a present value of the wrong type: the whole reply is dropped).
     Missing keys win over types."""
-    is_obj = card["kind"].startswith("OBJECT")
-    present = F.lit(True)
-    strings_ok = F.lit(True)
+    present, fit = F.lit(True), F.lit(True)
     for k in REQUIRED_KEYS:
-        present = present & card[k].isNotNull()
-        strings_ok = strings_ok & (_kind(card[k]) == "STRING")
-    tags_v, source_v, diff_v = card["tags"], card["source"], card["difficulty"]
-    tags_kind = _kind(tags_v)
-    tags_arr = F.try_variant_get(tags_v, "$", "array<string>")
-    tags_ok = tags_v.isNull() | (
-        ((tags_kind == "ARRAY<STRING>") & ~F.exists(tags_arr, lambda x: x.isNull()))
-        | ((tags_kind == "ARRAY<VOID>") & (F.size(tags_arr) == 0))
+        present, fit = present & v[k]["present"], fit & v[k]["ok"]
+    tags = v["tags"]
+    tags_ok = ~tags["present"] | (
+        ((tags["kind"] == "ARRAY<STRING>") & ~F.exists(tags["value"], lambda x: x.isNull()))
+        | ((tags["kind"] == "ARRAY<VOID>") & (F.size(tags["value"]) == 0))
     )
-    source_ok = source_v.isNull() | (_kind(source_v) == "STRING")
-    diff = _difficulty(diff_v)
-    diff_ok = diff_v.isNull() | diff["ok"]
+    source_ok = ~v["source"]["present"] | v["source"]["ok"]
+    diff_ok = v["difficulty"].isNull() | v["difficulty"]["ok"]
     status = (
-        F.when(~is_obj | ~present, F.lit("skip"))
-        .when(strings_ok & tags_ok & source_ok & diff_ok, F.lit("ok"))
+        F.when(~present, F.lit("skip"))
+        .when(fit & tags_ok & source_ok & diff_ok, F.lit("ok"))
         .otherwise(F.lit("fatal"))
     )
-
-    def get_str(v: Column) -> Column:
-        return F.try_variant_get(v, "$", "string")
-
     return F.struct(
-        status.alias("status"),
-        get_str(card["front"]).alias("front"),
-        get_str(card["back"]).alias("back"),
-        get_str(card["card_type"]).alias("card_type"),
-        F.coalesce(tags_arr, F.array().cast("array<string>")).alias("tags"),
-        F.coalesce(get_str(source_v), default_source).alias("source"),
-        F.when(diff_v.isNotNull(), diff["value"]).alias("difficulty"),
+        status.alias("status"), *[v[k]["value"].alias(k) for k in REQUIRED_KEYS],
+        F.coalesce(tags["value"], F.array().cast("array<string>")).alias("tags"),
+        F.coalesce(v["source"]["value"], default_source).alias("source"),
+        v["difficulty"]["value"].alias("difficulty"),
     )
+
+
+def checked(cards: Column, default_source: Column) -> Column:
+    """The checks of every element of a reply's ``cards`` value (a variant); empty unless
+    it is a list."""
+    listed = F.coalesce(F.try_variant_get(cards, "$", "array<variant>"), F.array().cast("array<variant>"))
+    values = F.transform(F.transform(listed, card_fields), card_values)
+    return F.transform(values, lambda v: card_check(v, default_source))

@@ -38,26 +38,36 @@ def card_requests(chapters: DataFrame, n: int = 5) -> DataFrame:
     return chapters.select("book_id", "chapter_number", prompt.alias("prompt"))
 
 
+def with_reply_text(replies: DataFrame) -> DataFrame:
+    """Replies of a model run (final_output, items, messages, content) with their
+    ``response_text``; a table that has it already stays as it is."""
+    if "response_text" in replies.columns:
+        return replies
+    return replies.withColumn("response_text", R.reply_text("final_output", "items", "messages", "content")).drop(
+        "final_output", "items", "messages", "content")
+
+
 def parse_replies(responses: DataFrame, text: str = "response_text") -> DataFrame:
-    """Add ``stage``, ``reply`` (VARIANT) and ``shape``."""
-    p = responses.withColumn("_p", R.parse_ladder(F.col(text)))
-    return p.select(*responses.columns, F.col("_p.stage").alias("stage"), F.col("_p.reply").alias("reply")).withColumn(
-        "shape", R.reply_shape(F.col("reply"))
-    )
+    """Add ``stage``, ``reply`` (VARIANT), its ``cards_value`` and ``shape``."""
+    p = R.parse_ladder(responses, text)
+    p = p.select("*", T.once(R.cards_value(F.col("reply")).alias("cards_value")))
+    return p.withColumn("shape", R.reply_shape("reply", "cards_value"))
+
+
+def checked_replies(parsed: DataFrame, default_source: str = "chapter_title") -> DataFrame:
+    """Each reply with its checked cards ``cs`` (an array) and ``reply_fatal``. The
+    checks are made on the reply's own array, once: no shuffle, and replies that share
+    an id (or have none) do not meet."""
+    kept = [c for c in parsed.columns if c not in ("reply", "cards_value", "response_text")]
+    x = parsed.select(*kept, T.once(R.checked(F.col("cards_value"), F.col(default_source)).alias("cs")))
+    return x.withColumn("reply_fatal", F.exists("cs", lambda c: c["status"] == "fatal"))
 
 
 def checked_cards(parsed: DataFrame, default_source: str = "chapter_title") -> DataFrame:
     """One row per element of each reply's cards list (``card_no`` from 1)
-    with its check result ``c`` and ``reply_fatal``. Checks and the
-    reply-level flag are made on the reply's own array before it is exploded:
-    no shuffle, and replies that share an id (or have none) do not meet."""
-    def check(card: Column) -> Column:
-        return R.card_check(R.card_fields(card), F.col(default_source))
-
-    checked = parsed.select("reply_id", "book_id", F.transform(R.cards_list(F.col("reply")), check).alias("cs"))
-    flagged = checked.select("reply_id", "book_id", "cs",
-                             F.exists("cs", lambda c: c["status"] == "fatal").alias("reply_fatal"))
-    return flagged.select("reply_id", "book_id", "reply_fatal", F.posexplode("cs").alias("pos", "c")).select(
+    with its check result ``c`` and ``reply_fatal``."""
+    return checked_replies(parsed, default_source).select(
+        "reply_id", "book_id", "reply_fatal", F.posexplode("cs").alias("pos", "c")).select(
         "reply_id", "book_id", (F.col("pos") + 1).alias("card_no"), "c", "reply_fatal")
 
 
@@ -74,24 +84,70 @@ def valid_cards(parsed: DataFrame) -> DataFrame:
                     "c.difficulty")
 
 
+COUNTS = ["items", "ok", "skipped", "fatal", "cards"]
+
+
+def counted_replies(parsed: DataFrame) -> DataFrame:
+    """Each reply with the number of its cards by status and of those kept, from
+    the reply's own array."""
+    def of(status: str) -> Column:
+        return F.size(F.filter("cs", lambda c: c["status"] == status))
+
+    x = checked_replies(parsed).withColumns({
+        "items": F.size("cs"), "ok": of("ok"), "skipped": of("skip"), "fatal": of("fatal")})
+    return x.withColumn("cards", F.when(F.col("reply_fatal"), 0).otherwise(F.col("ok"))).drop("cs", "reply_fatal")
+
+
 def reply_report(parsed: DataFrame) -> DataFrame:
     """One row per reply: stage, shape, counts per card status and the
-    number of cards kept (replies without cards count zeros)."""
-    c = checked_cards(parsed)
-    st = F.col("c.status")
-    per = c.groupBy("reply_id").agg(
-        F.count(F.lit(1)).cast("int").alias("items"),
-        F.count_if(st == "ok").cast("int").alias("ok"),
-        F.count_if(st == "skip").cast("int").alias("skipped"),
-        F.count_if(st == "fatal").cast("int").alias("fatal"),
-    )
-    r = parsed.select("reply_id", "book_id", "stage", "shape").join(per, "reply_id", "left")
-    z = F.lit(0)
-    return r.select(
-        "reply_id", "book_id", "stage", "shape",
-        *[F.coalesce(x, z).cast("int").alias(x) for x in ("items", "ok", "skipped", "fatal")],
-        F.when(F.coalesce("fatal", z) > 0, 0).otherwise(F.coalesce("ok", z)).cast("int").alias("cards"),
+    number of cards kept (replies without cards count zeros). Replies of one id
+    or without one are counted each by itself."""
+    return counted_replies(parsed).select("reply_id", "book_id", "stage", "shape", *COUNTS)
+
+
+def reconcile(requests: DataFrame, parsed: DataFrame, key: str = "request_id", attempt: str = "attempt") -> DataFrame:
+    """C9 from the requests' side: every request and every reply is accounted for.
+
+    One row per key with its ``status``: ``answered`` (the last attempt gave cards),
+    ``empty`` (it gave none), ``no_reply``, ``unrequested`` (replies to no request). The
+    last attempt decides, as a later reply replaces an earlier one; attempts of one
+    number are ordered by a hash of their results. Requests and replies without a key
+    have a row each (``no_reply`` and ``unidentified``): nothing says that two of them
+    belong together. ``requests`` and ``attempts`` count the rows behind a row.
+
+    Both sides are reduced to one row per key before they meet (map-side first), so a key
+    with very many attempts sends one row per task, and rows without a key are not
+    shuffled at all."""
+    results = ["stage", "shape", *COUNTS]
+    replies = counted_replies(parsed)
+    tie = F.xxhash64("book_id", *results)
+    last = F.struct(attempt, tie.alias("tie"), *results)
+    got = replies.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("attempts"), F.max(last).alias("last"))
+    asked = requests.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("requests"))
+    status = (
+        F.when(F.col("requests").isNull(), F.lit("unrequested")).when(F.col("attempts").isNull(), F.lit("no_reply"))
+        .when(F.col("last.cards") > 0, F.lit("answered")).otherwise(F.lit("empty"))
     )
+    none = F.lit(0).cast("long")
+    known = asked.join(got, key, "full_outer").select(
+        key, status.alias("status"), F.coalesce("requests", none).alias("requests"), F.coalesce("attempts", none).alias("attempts"),
+        F.col(f"last.{attempt}").alias("last_attempt"), *[F.col(f"last.{c}").alias(c) for c in results])
+    one = F.lit(1).cast("long")
+    stray = replies.where(F.col(key).isNull()).select(
+        key, F.lit("unidentified").alias("status"), none.alias("requests"), one.alias("attempts"),
+        F.col(attempt).alias("last_attempt"), *results)
+    nulls = [F.lit(None).cast(known.schema[c].dataType).alias(c) for c in ("last_attempt", *results)]
+    open_ = requests.where(F.col(key).isNull()).select(
+        key, F.lit("no_reply").alias("status"), one.alias("requests"), none.alias("attempts"), *nulls)
+    return known.unionByName(stray).unionByName(open_)
+
+
+def reconciliation_summary(reconciled: DataFrame) -> DataFrame:
+    """Requests, replies and kept cards per status."""
+    return reconciled.groupBy("status").agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("requests").alias("requests"), F.sum("attempts").alias("attempts"),
+        F.coalesce(F.sum("cards"), F.lit(0)).cast("long").alias("cards"))
 
 
 def card_audit(cards: DataFrame) -> DataFrame:

@@ -65,14 +65,19 @@ def render_json(books: DataFrame, chapters: DataFrame, cards: DataFrame, run_ts:
     <order>, block)``: part 0 = header, 1 = one card, 2 = footer. Concatenated
     with newlines in ``(part, order)`` order they give the document written
     by ``json.dump(indent=2, ensure_ascii=False)``."""
+    # Replies may share an id. Cards are told apart by their content, and equal ones
+    # are counted, so that exactly one card of a book is its last.
     rows = _card_rows(books, cards)
+    content = F.xxhash64("front", "back", "card_type", "source", "difficulty", "tags")
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_tie", content)
+    place = F.struct(*order, "_tie")
     # One per-book aggregate gives the header fields and the last card.
     stats = rows.groupBy("book_id", "file_stem", "book_title", "book_author").agg(
-        F.count(F.lit(1)).alias("total_flashcards"), F.max(F.struct(*order)).alias("_last"))
+        F.sum("_copies").alias("total_flashcards"), F.max(place).alias("_last"))
     n_chapters = chapters.groupBy("book_id").agg(F.count(F.lit(1)).alias("total_chapters"))
     tags = F.when(F.size("tags") == 0, F.lit("[]")).otherwise(
         _lit("[\n", F.array_join(F.transform("tags", lambda t: _lit("        ", json_string(t))), ",\n"), "\n      ]"))
-    is_last = F.struct(*order) == F.col("_last")
+    is_last = place.eqNullSafe(F.col("_last")) & (F.col("_copy") == F.col("_copies"))
     card_block = _lit(
         "    {\n",
         '      "front": ', json_string(F.col("front")), ",\n",
@@ -83,7 +88,8 @@ def render_json(books: DataFrame, chapters: DataFrame, cards: DataFrame, run_ts:
         '      "tags": ', tags, "\n",
         "    }", F.when(is_last, F.lit("")).otherwise(F.lit(",")),
     )
-    body = rows.join(stats.select("book_id", "_last"), "book_id").select(
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")
+    body = rows.join(stats.select("book_id", "_last"), "book_id").select("*", copies).select(
         "book_id", "file_stem", F.lit(1).alias("part"), *order, card_block.alias("block"))
     heads = stats.join(n_chapters, "book_id", "left")
     header = _lit(
@@ -168,9 +174,11 @@ def write_cards(books: DataFrame, chapters: DataFrame, cards: DataFrame, path: s
     else:
         rows = render_deck(books, cards, order, escape)
     keys = ["file_stem", "part", *order]
+    # Of cards in one place, the one without a comma comes last.
+    ends = [F.desc(F.col("line").endswith(","))] if f == "json" else ["line"]
     (
         rows.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        .sortWithinPartitions(*keys, *ends)
         .select("file_stem", F.col("line").alias("value"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -180,7 +188,8 @@ def write_cards(books: DataFrame, chapters: DataFrame, cards: DataFrame, path: s
     return f
 
 
-def write_summary(summary: DataFrame, per_book: DataFrame, path: str, run_id: str) -> None:
-    """K5: generation summary and per-book rows as JSON under ``run_id=``."""
-    summary.write.mode("overwrite").json(f"{path.rstrip('/')}/run_id={run_id}/summary")
+def write_summary(summary: DataFrame, per_book: DataFrame, path: str, run_id: str, run_ts: str = DEFAULT_RUN_TS) -> None:
+    """K5: generation summary (with the time of the run as ``generated_at``) and per-book
+    rows as JSON under ``run_id=``."""
+    summary.withColumn("generated_at", F.lit(run_ts)).write.mode("overwrite").json(f"{path.rstrip('/')}/run_id={run_id}/summary")
     per_book.write.mode("overwrite").json(f"{path.rstrip('/')}/run_id={run_id}/books")

@@ -163,19 +163,19 @@ cte("fx_reply_base", """SELECT conv_id, turn, concat('src', CAST(conv_id % 20 AS
   concat('Lesson ', CAST(conv_id AS VARCHAR)) AS chapter_title, (conv_id * 3 + turn) % 14 AS variant,
   replace(replace(text, chr(10), ' '), '"', ' ') AS q, concat('A: ', replace(replace(text, chr(10), ' '), '"', ' ')) AS a
 FROM conversations WHERE role = 'assistant'""")
-cte("fx_cards_json", """SELECT reply_id, book_id, chapter_title, variant, q, a,
+cte("fx_cards_json", """SELECT conv_id, turn, reply_id, book_id, chapter_title, variant, q, a,
   concat('{"front":"', q, '","back":"', a, '","card_type":"basic","tags":["t::s","u"],"source":"S 1","difficulty":2}') AS g,
   concat('{"front":"', q, '","back":"', a, '","card_type":"cloze"}') AS d,
   concat('```', chr(10)) AS fence
 FROM fx_reply_base""", "fx_reply_base")
-cte("fx_responses", """SELECT reply_id, book_id, chapter_title, variant,
+cte("fx_responses", """SELECT conv_id, turn, reply_id, book_id, chapter_title, variant,
   CASE variant
     WHEN 0 THEN concat('Here you go:', chr(10), '```json', chr(10), '{"cards":[', g, ',', d, ']}', chr(10), fence, 'Bye {x}')
     WHEN 1 THEN concat(fence, '{"cards":[', g, ']}', chr(10), fence)
     WHEN 2 THEN concat('{"cards":[', d, ',', d, ']}')
     WHEN 3 THEN concat('Sure. {"cards":[', g, ']} Enjoy.')
     WHEN 4 THEN 'no json at all'
-    WHEN 5 THEN '{"invalid":"response"}'
+    WHEN 5 THEN '{"other":["no","cards"]}'
     WHEN 6 THEN concat('[', g, ']')
     WHEN 7 THEN concat('{"cards":[', g, ',{"front":"', q, '","card_type":"qa","difficulty":"hard"}]}')
     WHEN 8 THEN concat('{"cards":[', g, ',{"front":"', q, '","back":"x","card_type":"qa","difficulty":"hard"}]}')
@@ -379,6 +379,13 @@ q("run_accounting", """SELECT count(*) AS discovered,
   count(*) FILTER (WHERE fmt = 'unsupported') AS unsupported,
   count(*) FILTER (WHERE fmt <> 'unsupported' AND NOT parse_ok) AS failed
 FROM (SELECT parse_ok, """ + _fmt + " AS fmt FROM fx_files)", "fx_files")
+cte("file_reasons", f"""SELECT file_no, path, CASE WHEN {_fmt} = 'unsupported' THEN 'unsupported_format'
+  WHEN NOT parse_ok THEN 'unreadable' END AS reject_reason FROM fx_files""", "fx_files")
+q("file_routing", "SELECT file_no, path, reject_reason FROM file_reasons", "file_reasons")
+q("chapter_routing", "SELECT book_id, chapter_number, title, first_reason AS reject_reason FROM suit", "suit")
+q("reject_accounting", """SELECT level, outcome, count(*) AS "rows" FROM (
+  SELECT 'file' AS level, coalesce(reject_reason, 'accepted') AS outcome FROM file_reasons
+  UNION ALL SELECT 'chapter', coalesce(first_reason, 'accepted') FROM suit) GROUP BY ALL""", "file_reasons", "suit")
 q("html_text", f"SELECT page_id, {html_text('html')} AS text FROM pages")
 q("chapter_title", "SELECT book_id, chapter_number, title, title_from FROM spine_ch", "spine_ch")
 q("book_metadata", f"""SELECT book_id,
@@ -448,6 +455,8 @@ q("card_requests", f"""SELECT book_id, chapter_number,
   || 'Focus on the most important concepts, definitions, and key points.' || {NL} AS prompt
 FROM suitable""", "suitable")
 _FENCE = "(?s)```(?:json)?" + WS + "*\\n?(.*?)\\n?```"
+q("reply_text", """SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 6 IN (0, 1, 3, 4) THEN nullif(text, '') END AS response_text
+FROM conversations""")
 q("reply_fenced", f"""SELECT reply_id, CASE WHEN regexp_matches(response_text, '{_FENCE}')
   THEN {strip(f"regexp_extract(response_text, '{_FENCE}', 1)")} END AS fenced FROM fx_responses""", "fx_responses")
 q("reply_parse_stage", "SELECT r.reply_id, s.stage FROM fx_responses r JOIN variant_spec s ON s.variant = r.variant",
@@ -461,6 +470,32 @@ FROM vcards""", "vcards")
 q("reply_report", """SELECT r.reply_id, r.book_id, s.stage, s.shape, CAST(s.items AS INTEGER) AS items, CAST(s.ok AS INTEGER) AS ok,
   CAST(s.skipped AS INTEGER) AS skipped, CAST(s.fatal AS INTEGER) AS fatal, CAST(s.cards AS INTEGER) AS cards
 FROM fx_responses r JOIN variant_spec s ON s.variant = r.variant""", "fx_responses", "variant_spec")
+# What each request and reply of the fixture comes to, from the rules that make them.
+cte("fx_attempts", """SELECT r.conv_id, r.turn, r.book_id, s.* FROM fx_responses r JOIN variant_spec s ON s.variant = r.variant""",
+    "fx_responses", "variant_spec")
+cte("reconciled", """
+WITH ids AS (SELECT DISTINCT conv_id FROM conversations),
+last AS (SELECT conv_id, count(*) AS attempts, max(turn) AS last_attempt FROM fx_attempts GROUP BY conv_id),
+ended AS (SELECT l.conv_id, l.attempts, l.last_attempt, any_value(a.stage) AS stage, any_value(a.shape) AS shape, any_value(a.items) AS items,
+    any_value(a.ok) AS ok, any_value(a.skipped) AS skipped, any_value(a.fatal) AS fatal, any_value(a.cards) AS cards
+  FROM last l JOIN fx_attempts a ON a.conv_id = l.conv_id AND a.turn = l.last_attempt GROUP BY ALL),
+results AS (
+  SELECT i.conv_id AS request_id, CASE WHEN e.conv_id IS NULL THEN 'no_reply' WHEN e.cards > 0 THEN 'answered' ELSE 'empty' END AS status,
+    CASE WHEN i.conv_id % 10 = 3 THEN 2 ELSE 1 END AS requests, coalesce(e.attempts, 0) AS attempts, e.* EXCLUDE (conv_id, attempts)
+  FROM ids i LEFT JOIN ended e ON e.conv_id = i.conv_id
+  UNION ALL
+  SELECT conv_id + 1000000000000, 'unrequested', 0, attempts, ended.* EXCLUDE (conv_id, attempts) FROM ended WHERE conv_id % 8 = 1
+  UNION ALL
+  SELECT NULL, 'unidentified', 0, 1, turn, stage, shape, items, ok, skipped, fatal, cards FROM fx_attempts WHERE conv_id % 7 = 5
+  UNION ALL
+  SELECT CASE WHEN k = 1 THEN -1 - conv_id END, 'no_reply', 1, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+  FROM ids, (VALUES (1), (2)) t(k) WHERE k = 1 AND conv_id % 9 = 2 OR k = 2 AND conv_id % 11 = 4)
+SELECT * FROM results""", "fx_attempts")
+q("reply_reconciliation", """SELECT request_id, status, CAST(requests AS BIGINT) AS requests, CAST(attempts AS BIGINT) AS attempts,
+  CAST(last_attempt AS BIGINT) AS last_attempt, stage, shape, CAST(items AS INTEGER) AS items, CAST(ok AS INTEGER) AS ok,
+  CAST(skipped AS INTEGER) AS skipped, CAST(fatal AS INTEGER) AS fatal, CAST(cards AS INTEGER) AS cards FROM reconciled""", "reconciled")
+q("reconciliation_summary", """SELECT status, count(*) AS keys, CAST(sum(requests) AS BIGINT) AS requests,
+  CAST(sum(attempts) AS BIGINT) AS attempts, CAST(coalesce(sum(cards), 0) AS BIGINT) AS cards FROM reconciled GROUP BY status""", "reconciled")
 q("card_audit", """SELECT book_id, count(*) AS cards,
   count(*) FILTER (WHERE card_type NOT IN ('basic', 'cloze', 'definition', 'qa')) AS unknown_type,
   count(*) FILTER (WHERE difficulty IS NULL) AS no_difficulty,

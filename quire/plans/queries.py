@@ -17,6 +17,7 @@ from quire.functions import text as T
 from quire.operators import cards as C
 from quire.operators import export as K
 from quire.operators import lines as L
+from quire.operators import rejects as RJ
 from quire.operators import report as A
 from quire.operators import segment as S
 from quire.operators import suitability as SU
@@ -143,6 +144,19 @@ def run_accounting(c: Corpus) -> DataFrame:
     return A.run_accounting(c.files)
 
 
+def file_routing(c: Corpus) -> DataFrame:
+    return RJ.with_file_reason(c.files).select("file_no", "path", "reject_reason")
+
+
+def chapter_routing(c: Corpus) -> DataFrame:
+    """Reasons where the text is read, numbers for ids and reasons only."""
+    return _numbered(c, RJ.with_chapter_reason(c.raw_chapters), "title", "reject_reason")
+
+
+def reject_accounting(c: Corpus) -> DataFrame:
+    return RJ.reject_accounting(c.files, c.raw_chapters)
+
+
 def html_text(c: Corpus) -> DataFrame:
     p = read_table(c.spark, c.sf, "pages", "page_id", "html")
     return p.select("page_id", T.html_text(F.col("html")).alias("text"))
@@ -367,6 +381,10 @@ def card_requests(c: Corpus) -> DataFrame:
     return C.card_requests(c.suitable, 5)
 
 
+def reply_text(c: Corpus) -> DataFrame:
+    return C.with_reply_text(fx.model_runs(c.spark, c.sf))
+
+
 def reply_fenced(c: Corpus) -> DataFrame:
     from quire.functions.replies import fenced_block
     return c.responses.select("reply_id", fenced_block(F.col("response_text")).alias("fenced"))
@@ -393,6 +411,19 @@ def reply_report(c: Corpus) -> DataFrame:
     return C.reply_report(c.parsed)
 
 
+def _reconciled(c: Corpus) -> DataFrame:
+    attempts = C.parse_replies(fx.reply_attempts(c.spark, c.sf))
+    return C.reconcile(fx.requests(c.spark, c.sf), attempts)
+
+
+def reply_reconciliation(c: Corpus) -> DataFrame:
+    return _reconciled(c).withColumn("last_attempt", F.col("last_attempt").cast("long"))
+
+
+def reconciliation_summary(c: Corpus) -> DataFrame:
+    return C.reconciliation_summary(_reconciled(c))
+
+
 def card_audit(c: Corpus) -> DataFrame:
     return C.card_audit(c.cards)
 
@@ -487,15 +518,15 @@ def corpus_cards(c: Corpus) -> DataFrame:
 
 
 QUERY_FUNCS: list[Callable[[Corpus], DataFrame]] = [
-    format_dispatch, run_accounting, html_text, chapter_title, book_metadata, word_count, preview_text,
+    format_dispatch, run_accounting, file_routing, chapter_routing, reject_accounting, html_text, chapter_title, book_metadata, word_count, preview_text,
     safe_filename, display_fields, page_lines, clean_lines, line_noise_profile, page_text, range_text,
     heading_like, heading_pattern, boundaries, toc_chapters, font_candidates, modal_font_size, font_chapters,
     range_text_every, heading_like_every, toc_chapters_every, font_candidates_every, modal_font_size_every,
     font_chapters_every,
     pattern_chapters, page_chunks, chapters_resolved, strategy_usage, chapter_cap, numbering_audit, book_totals,
     spine_chapters, spine_dangling, all_chapters, suit_length, suit_title, suit_boilerplate, suit_legal_ratio,
-    suitable_chapters, suit_funnel, suit_funnel_by_book, card_requests, reply_fenced, reply_parse_stage, reply_shape, cards_exploded,
-    cards_valid, reply_report, card_audit, card_mix, extractive_cards, card_preview, corpus_summary,
+    suitable_chapters, suit_funnel, suit_funnel_by_book, card_requests, reply_text, reply_fenced, reply_parse_stage, reply_shape, cards_exploded,
+    cards_valid, reply_report, reply_reconciliation, reconciliation_summary, card_audit, card_mix, extractive_cards, card_preview, corpus_summary,
     book_summary, generation_summary, cards_per_book, books_without_cards, avg_words_per_chapter,
     summary_rollup, chapter_preview, latest_by_title, name_collisions, export_json, export_csv_rows,
     export_deck_rows, corpus_cards,

@@ -190,7 +190,7 @@ def cards_json(base: DataFrame) -> DataFrame:
     g = F.concat(F.lit('{"front":"'), q, F.lit('","back":"'), a,
                  F.lit('","card_type":"basic","tags":["t::s","u"],"source":"S 1","difficulty":2}'))
     d = F.concat(F.lit('{"front":"'), q, F.lit('","back":"'), a, F.lit('","card_type":"cloze"}'))
-    return base.select("reply_id", "book_id", "chapter_title", "variant", "q", "a",
+    return base.select("conv_id", "turn", "reply_id", "book_id", "chapter_title", "variant", "q", "a",
                        g.alias("g"), d.alias("d"), F.lit("```\n").alias("fence"))
 
 
@@ -205,7 +205,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(v == 2, F.concat(L('{"cards":['), d, L(","), d, L("]}")))
         .when(v == 3, F.concat(L('Sure. {"cards":['), g, L("]} Enjoy.")))
         .when(v == 4, L("no json at all"))
-        .when(v == 5, L('{"invalid":"response"}'))
+        .when(v == 5, L('{"other":["no","cards"]}'))
         .when(v == 6, F.concat(L("["), g, L("]")))
         .when(v == 7, F.concat(L('{"cards":['), g, L(',{"front":"'), q, L('","card_type":"qa","difficulty":"hard"}]}')))
         .when(v == 8, F.concat(L('{"cards":['), g, L(',{"front":"'), q, L('","back":"x","card_type":"qa","difficulty":"hard"}]}')))
@@ -215,7 +215,43 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(v == 12, F.concat(L('{"cards":[{"front":"'), q, L('","back":"x","card_type":"definition","difficulty":0,"tags":[]}]}')))
         .otherwise(L('{"cards":null}'))
     )
-    return cj.select("reply_id", "book_id", "chapter_title", "variant", text.alias("response_text"))
+    return cj.select("reply_id", "book_id", "chapter_title", "variant", text.alias("response_text"),
+                     F.col("conv_id").alias("request_id"), F.col("turn").alias("attempt"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per conversation, whose assistant turns are its attempts; besides,
+    requests that nothing answers, requests sent twice and requests without an id."""
+    c = read_table(spark, sf_dir, "conversations", "conv_id")
+    cid = F.col("conv_id")
+    return c.groupBy("conv_id").agg(F.lit(1)).select(F.explode(F.filter(F.array(
+        cid, F.when(cid % 9 == 2, -1 - cid), F.when(cid % 10 == 3, cid), F.when(cid % 11 == 4, F.lit(10**15).cast("long"))),
+        lambda x: x.isNotNull())).alias("request_id"), F.concat(F.lit("Lesson "), _s(cid)).alias("chapter_title")).withColumn(
+        "request_id", F.nullif("request_id", F.lit(10**15).cast("long")))
+
+
+def reply_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All replies as attempts of their requests, and further ones: replies to
+    requests that nobody sent, and replies without an id."""
+    r = responses(spark, sf_dir)
+    i = F.col("request_id")
+    stray = r.where(i % 8 == 1).withColumn("request_id", i + 10**12)
+    lost = r.where(i % 7 == 5).withColumn("request_id", F.lit(None).cast("long"))
+    return r.unionByName(stray).unionByName(lost)
+
+
+def model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message as the outcome of a model run, in one of six forms: its text is
+    where the cascade looks for it, or further down than the cascade goes."""
+    c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    t, v = F.col("text"), (F.col("conv_id") + F.col("turn")) % 6
+    no_texts = F.array().cast("array<string>")
+    items = (
+        F.when(v <= 1, F.array(F.array(t, F.lit("x")), F.array(F.lit(""), F.lit("y")), no_texts))
+        .when(v == 2, F.array(no_texts, F.array(F.lit("")))).when(v == 3, F.array().cast("array<array<string>>")))
+    messages = F.when(v == 2, F.array(t)).when(v == 3, F.array(F.lit("m"), t)).when(v == 5, no_texts)
+    return c.select("conv_id", "turn", F.when(v == 0, t).when(v == 1, F.lit("")).alias("final_output"), items.alias("items"),
+                    messages.alias("messages"), F.when(v == 4, t).when(v != 5, F.lit("c")).alias("content"))
 
 
 # --- B5. File catalog ------------------------------------------------------
