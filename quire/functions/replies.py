@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import WS, once, strip
+from quire.functions.text import WS, let, once, strip
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for equal results)
@@ -49,11 +49,6 @@ def fenced_block(text) -> Column:
     return F.when(t.rlike(FENCE_PATTERN), strip(F.regexp_extract(t, FENCE_PATTERN, 1)))
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once, however often ``use`` names it."""
-    return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
-
-
 def strict_json(s) -> Column:
     """Parse text that must be exactly one JSON value (trailing text is an
     error, as for Python's json.loads). Wrapping in '[...]' turns trailing

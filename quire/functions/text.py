@@ -101,6 +101,11 @@ def once(*named: Column) -> Column:
     return F.inline(F.array(F.struct(*named)))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
+
+
 def strip(col) -> Column:
     """Python ``str.strip()``: trims every Unicode white-space character
     (Spark's ``trim`` only removes spaces)."""
@@ -223,7 +228,8 @@ def decode_entities(col) -> Column:
             .otherwise(F.lit("\ufffd")),
         ).otherwise(common.otherwise(F.try_element_at(emap, name)))
         decoded = F.when((ref != "") & value.isNotNull(), F.concat(value, rest))
-        bare = F.regexp_extract(p, _BARE_REFERENCE, 0)
+        # Older names begin with a letter and matter only where nothing else was decoded.
+        bare = F.when(decoded.isNull() & p.rlike("^[A-Za-z]{2}"), F.regexp_extract(p, _BARE_REFERENCE, 0)).otherwise("")
         older = F.when(bare != "", F.concat(F.try_element_at(emap, bare), F.substring(p, F.length(bare) + 1, F.lit(1 << 30))))
         return F.when(i == 0, p).otherwise(F.coalesce(decoded, older, F.concat(F.lit("&"), p)))
 
@@ -231,51 +237,83 @@ def decode_entities(col) -> Column:
     return F.when(c.contains("&"), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
 
 
-# Blocks whose content is not text: comments, script, style, template.
-_NON_TEXT_BLOCKS = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?</script\s*>"
-    r"|<style\b[^>]*>.*?</style\s*>"
-    r"|<template\b[^>]*>.*?</template\s*>"
+# One token of HTML. Comments and the elements whose content is no text run to their end
+# or, unclosed, to the end of the document; a tag may hold '>' inside quoted attribute
+# values; everything up to the next '<' is text. A '<' that begins no tag is text too.
+_RAW_ELEMENTS = ("script", "style", "template")
+_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_TOKEN = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    + "".join(rf"|<{e}\b{_ATTRIBUTES}>.*?(?:</{e}\s*>|\z)" for e in _RAW_ELEMENTS)
+    + rf"|</?[a-z]{_ATTRIBUTES}>|<[a-z/!?][^>]*+>|[^<]++|<[^<]*+"
 )
+_MARKUP = r"(?is)^<(?:!--|(?:" + "|".join(_RAW_ELEMENTS) + r")\b|[a-z/!?][^>]*+.*>$)"
 
 
-def html_text(col) -> Column:
-    """Text nodes of an HTML document, each stripped, empty ones dropped,
-    joined by one space (``get_text(strip=True, separator=' ')``)."""
-    h = F.regexp_replace(_c(col), _NON_TEXT_BLOCKS, "<x>")
-    nodes = F.split(h, r"<[^>]*>", -1)
-    nodes = F.transform(nodes, lambda n: strip(decode_entities(n)))
+def html_tokens(col) -> Column:
+    """The document as an array of tokens, from left to right, by one scan."""
+    return F.regexp_extract_all(_c(col), F.lit(_TOKEN), 0)
+
+
+def _is_text(token: Column) -> Column:
+    return ~token.startswith("<") | ~token.rlike(_MARKUP)
+
+
+def tokens_text(tokens) -> Column:
+    """T1 over tokens: each text token stripped, empty ones dropped, joined by one space."""
+    nodes = F.transform(F.filter(_c(tokens), _is_text), lambda n: strip(decode_entities(n)))
     return F.array_join(F.filter(nodes, lambda n: n != ""), " ")
 
 
-def _first_element_text(html: Column, tag: str) -> Column:
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
+def _inner(tokens: Column, names: Column, tag: str) -> Column:
+    """Tokens between the first start tag ``tag`` and the first end tag after it; null
+    without such an element."""
+    start = F.array_position(names, tag)
+    length = F.array_position(F.slice(names, start + 1, F.greatest(F.size(names), F.lit(1))), f"/{tag}") - 1
+    return F.when((start > 0) & (length >= 0), F.slice(tokens, start + 1, F.greatest(length, F.lit(0))))
+
 
+def tokens_title(tokens) -> Column:
+    """T2 without the fallback, over tokens: struct(title, source) where source is one of
+    title / h1 / h2 / h3 and title is null when none applies. Elements inside comments,
+    scripts, styles and templates are no tokens, hence do not count."""
+    def of(t: Column) -> Column:
+        names = F.transform(t, lambda x: F.when(x.startswith("<"), F.lower(F.regexp_extract(x, r"(?i)^<(/?(?:title|h[123]))\b", 1))).otherwise(""))
 
-def _has_element(html: Column, tag: str) -> Column:
-    return html.rlike(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>")
+        def raw(n: Column) -> Column:
+            title = _inner(t, n, "title")
+            # <title> counts only when it holds exactly one non-empty string; a
+            # white-space-only title is returned as '' (truthy before the strip).
+            one = (F.size(title) == 1) & ~F.element_at(title, 1).startswith("<")
+            found = [F.when(one, F.struct(F.element_at(title, 1).alias("raw"), F.lit("title").alias("source")))]
+            for tag in ("h1", "h2", "h3"):
+                # Text nodes stay apart, so that no reference is read across a tag.
+                text = F.array_join(F.filter(_inner(t, n, tag), _is_text), "\0")
+                found.append(F.when(text.isNotNull(), F.struct(text.alias("raw"), F.lit(tag).alias("source"))))
+            return F.array_compact(F.array(*found))
+
+        return let(names, raw)
+
+    decoded = F.transform(let(_c(tokens), of), lambda c: F.struct(
+        strip(F.replace(decode_entities(c["raw"]), F.lit("\0"), F.lit(""))).alias("title"), c["source"].alias("source")))
+    none = F.struct(F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("source"))
+    return F.coalesce(F.try_element_at(F.filter(decoded, lambda c: (c["source"] == "title") | (c["title"] != "")), F.lit(1)), none)
+
+
+def html_text(col) -> Column:
+    """Text nodes of an HTML document, each stripped, empty ones dropped,
+    joined by one space (``get_text(strip=True, separator=' ')``)."""
+    return tokens_text(html_tokens(col))
 
 
 def title_parts(col) -> Column:
-    """T2 without the fallback: struct(title, source) where source is one of
-    title / h1 / h2 / h3 and title is null when none applies. Elements inside
-    comments, scripts, styles and templates do not count."""
-    h = F.regexp_replace(_c(col), _NON_TEXT_BLOCKS, "")
-    t_inner = _first_element_text(h, "title")
-    # <title> counts only when it holds exactly one non-empty string; a
-    # white-space-only title is returned as '' (truthy before the strip).
-    t_ok = _has_element(h, "title") & (t_inner != "") & ~t_inner.contains("<")
-    cands = [(t_ok, strip(decode_entities(t_inner)), "title")]
-    for tag in ("h1", "h2", "h3"):
-        txt = strip(decode_entities(F.regexp_replace(_first_element_text(h, tag), r"<[^>]*>", "")))
-        cands.append((_has_element(h, tag) & (txt != ""), txt, tag))
-    title = F.when(cands[0][0], cands[0][1])
-    source = F.when(cands[0][0], F.lit("title"))
-    for cond, txt, name in cands[1:]:
-        title = title.when(cond, txt)
-        source = source.when(cond, F.lit(name))
-    return F.struct(title.alias("title"), source.alias("source"))
+    """T2 without the fallback (see ``tokens_title``)."""
+    return tokens_title(html_tokens(col))
+
+
+def html_parts(col) -> Column:
+    """T1 and T2 from one scan: struct(text, title), the title as in ``tokens_title``."""
+    return let(html_tokens(col), lambda t: F.struct(tokens_text(t).alias("text"), tokens_title(t).alias("title")))
 
 
 def chapter_title(html, number) -> Column:

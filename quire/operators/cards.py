@@ -229,15 +229,20 @@ def extractive_candidates(content, n: int = 5) -> Column:
     return F.slice(F.filter(F.transform(sentences, candidate), lambda c: c["card_type"].isNotNull()), 1, n)
 
 
-def extractive_cards(chapters: DataFrame, n: int = 5) -> DataFrame:
-    """Extractive card candidates per chapter (stands in for the remote
-    model so that the pipeline runs end to end). Row-local: the whole
-    chapter is one row, so no window is needed."""
-    e = chapters.select("book_id", "chapter_number", "title",
-                        F.posexplode(extractive_candidates(F.col("content"), n)).alias("pos", "c"))
+def candidate_cards(found: DataFrame) -> DataFrame:
+    """Cards of chapters (book_id, chapter_number, title) that have their ``candidates``."""
+    e = found.select("book_id", "chapter_number", "title", F.posexplode("candidates").alias("pos", "c"))
     return e.select(
         "book_id", "chapter_number", (F.col("pos") + 1).alias("card_no"),
         F.col("c.front").alias("front"), F.col("c.back").alias("back"), F.col("c.card_type").alias("card_type"),
         F.array(F.lit("extractive"), F.col("c.card_type")).alias("tags"), F.col("title").alias("source"),
         F.when(F.col("c.card_type") == "cloze", 2).otherwise(1).cast("long").alias("difficulty"),
     )
+
+
+def extractive_cards(chapters: DataFrame, n: int = 5) -> DataFrame:
+    """Extractive card candidates per chapter (stands in for the remote
+    model so that the pipeline runs end to end). Row-local: the whole
+    chapter is one row, so no window is needed."""
+    return candidate_cards(chapters.select("book_id", "chapter_number", "title",
+                                           extractive_candidates(F.col("content"), n).alias("candidates")))

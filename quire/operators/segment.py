@@ -18,7 +18,8 @@ input record, so every such window group is bounded by one record.
 Spine books
 -----------
 A spine book (B1) is keyed by its host and may own a large share of all items;
-its chapters are numbered with ``seq_number`` (no whole-book window).
+its chapters are numbered with ``number_once`` (no whole-book window, one evaluation
+of the HTML).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import lines as L
-from quire.operators.numbering import seq_number
+from quire.operators.numbering import number_once
 
 STRATEGIES = {"toc": 1, "font": 2, "pattern": 3, "chunks": 4}
 BOUNDARY_COLS = ["book_id", "strategy", "priority", "ordinal", "title", "start_page", "end_page", "file_name"]
@@ -252,12 +253,18 @@ def assemble(boundaries: DataFrame, pages: DataFrame, keep_empty: bool = False)
 
 def range_words(boundaries: DataFrame, pages: DataFrame) -> DataFrame:
     """``book_id, chapter_number, words`` of each boundary: pages are joined
-    by blank lines, so their word counts add up and no text is moved."""
-    b = boundaries.select("book_id", "chapter_number", F.explode(F.sequence(
-        "start_page", F.least("end_page", "page_count") - 1)).alias("page_num"))
-    words = pages.where(F.col("ptext").isNotNull()).select(
-        "book_id", "page_num", T.word_count(F.col("ptext")).cast("long").alias("words"))
-    return b.join(words, ["book_id", "page_num"]).groupBy("book_id", "chapter_number").agg(F.sum("words").alias("words"))
+    by blank lines, so their word counts add up and no text is moved. A running sum over
+    the pages of a book turns the words of a range into the difference of two rows, found
+    by two equi-joins; ranges are not expanded to pages, however much they overlap."""
+    counts = pages.select("book_id", "page_num", F.when(F.col("ptext").isNotNull(), T.word_count(F.col("ptext"))).otherwise(0).cast("long").alias("w"))
+    upto = F.sum("w").over(Window.partitionBy("book_id").orderBy("page_num"))
+    sums = counts.select("book_id", "page_num", upto.alias("upto"), (upto - F.col("w")).alias("before"))
+    first = sums.select("book_id", F.col("page_num").alias("start_page"), "before")
+    last = sums.select("book_id", F.col("page_num").alias("_last"), "upto")
+    b = boundaries.select("book_id", "chapter_number", "start_page", (F.least("end_page", "page_count") - 1).alias("_last"))
+    # Pages of a book are numbered without gaps, so both ends of a range exist.
+    return b.where(F.col("start_page") <= F.col("_last")).join(first, ["book_id", "start_page"]).join(last, ["book_id", "_last"]).select(
+        "book_id", "chapter_number", (F.col("upto") - F.col("before")).alias("words"))
 
 
 def chapter_rows(assembled: DataFrame) -> DataFrame:
@@ -296,16 +303,17 @@ def spine_documents(items: DataFrame) -> DataFrame:
     (HTML is far wider than its text); blank documents dropped."""
     docs = items.where(F.col("item_type") == "document").select(
         "book_id", "item_id", "file_name",
-        _once(T.html_text(F.col("html")).alias("content"), T.title_parts(F.col("html")).alias("t")),
+        _once(T.html_parts(F.col("html")).alias("parts")),
     )
-    return docs.where(F.col("content") != "")
+    return docs.select("book_id", "item_id", "file_name", F.col("parts.text").alias("content"), F.col("parts.title").alias("t")).where(
+        F.col("content") != "")
 
 
 def spine_chapters(spine: DataFrame, items: DataFrame) -> DataFrame:
     """B1: spine entries joined to their items (J1), documents only, blank
     ones dropped, numbered densely in spine order; title cascade T2."""
     j = spine.join(spine_documents(items), ["book_id", "item_id"])
-    numbered = seq_number(j, ["book_id"], "spine_pos", name="chapter_number")
+    numbered = number_once(j, ["book_id"], "spine_pos", name="chapter_number")
     title = F.coalesce(F.col("t.title"), _fmt("Chapter ", F.col("chapter_number").cast("string")))
     return numbered.select(
         "book_id", "chapter_number", title.alias("title"), "content", "file_name",

@@ -184,10 +184,10 @@ def word_count(c: Corpus) -> DataFrame:
 
 
 def preview_text(c: Corpus) -> DataFrame:
-    ch = c.chapters
-    return ch.select("book_id", "chapter_number", T.preview(F.col("title"), 60).alias("title_60"),
-                     T.preview(F.col("content"), 80).alias("content_80"),
-                     T.preview(F.col("content"), 100).alias("content_100"))
+    ch = c.raw_chapters.select(
+        "book_id", "doc_id", T.preview(F.col("title"), 60).alias("title_60"),
+        S._once(T.preview(F.col("content"), 80).alias("content_80"), T.preview(F.col("content"), 100).alias("content_100")))
+    return _numbered(c, ch, "title_60", "content_80", "content_100")
 
 
 def safe_filename(c: Corpus) -> DataFrame:
@@ -433,8 +433,11 @@ def card_mix(c: Corpus) -> DataFrame:
 
 
 def extractive_cards(c: Corpus) -> DataFrame:
-    e = C.extractive_cards(c.suitable, 5)
-    return e.select("book_id", "chapter_number", "card_no", "front", "back", "card_type", "source", "difficulty")
+    """Cards are taken where the text is read; only they are numbered."""
+    rules = SU.suitability_columns(c.raw_chapters)
+    found = rules.select("book_id", "doc_id", "title", S._once(
+        F.when(F.col("suitable"), C.extractive_candidates(F.col("content"), 5)).alias("candidates")))
+    return C.candidate_cards(_numbered(c, found, "title", "candidates")).drop("tags")
 
 
 def card_preview(c: Corpus) -> DataFrame:

@@ -114,3 +114,41 @@ def test_references_as_html_parsers_read_them(spark):
              ("&#x80;1", "\u20ac1"), ("&#65 B", "A B"), ("&amp;lt; &unknown; &", "&lt; &unknown; &"),
              ("&notin; &notit;", "\u2209 \u00acit;"), ("&#xD800;|&#99999999;", "\ufffd|\ufffd")]
     assert one_col(spark, [c[0] for c in cases], T.decode_entities) == [c[1] for c in cases]
+
+
+def test_html_as_a_left_to_right_token_stream(spark):
+    cases = [
+        ('<p title="a > b">x</p>', "x"), ("<p data-a='>>' b=\"<\">x</p>y", "x y"),
+        ("a<script>var x = '<p>no</p>'", "a"), ("a<!-- open <p>no</p>", "a"), ("a<style>p > q", "a"),
+        ("1 < 2 <b>and</b> 3", "1 < 2 and 3"), ("x<br/>y<br>z", "x y z"), ("a <SCRIPT SRC='x>y'>no</SCRIPT > b", "a b"),
+        ("", ""), ("plain", "plain"), ("<p>&nbsp;</p><p>&lt;b&gt;</p>", "<b>"), ("<!DOCTYPE html><p>d</p><?pi x?>", "d"),
+        ("<template><p>no</p></template>yes", "yes"), ("a <b unclosed", "a <b unclosed"), ("<" * 3000, None),
+    ]
+    got = one_col(spark, [c[0] for c in cases], T.html_text)
+    for (html, want), text in zip(cases, got):
+        assert want is None or text.split() == want.split(), html
+
+
+def test_text_and_title_from_one_scan(spark):
+    html = '<title>A &amp; B</title><h1 class="x>y">H</h1><h2>&am<i>p;</i></h2>'
+    got = one_col(spark, [html, "<h1>&nbsp;</h1><h2> two </h2>", "<title>a<b>c</title><h3>d", None], T.html_parts)
+    assert [(r.text, r.title.title, r.title.source) for r in got[:3]] == [
+        ("A & B H &am p;", "A & B", "title"), ("two", "two", "h2"), ("a c d", None, None)]
+    assert got[3].text is None
+
+
+names_ = st.sampled_from(["p", "b", "div", "em"])
+attrs = st.sampled_from(["", ' a="1 > 0"', " b='<i>'", " c=d", ' e=">"'])
+words = st.text(alphabet="abc ", min_size=1, max_size=6)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.one_of(
+    words.map(lambda w: (w, w)),
+    st.tuples(names_, attrs, words).map(lambda x: (f"<{x[0]}{x[1]}>{x[2]}</{x[0]}>", x[2])),
+    st.tuples(words, attrs).map(lambda x: (f"<script{x[1]}>{x[0]}</script>", "")),
+    words.map(lambda w: (f"<!--{w}<p>-->", ""))), max_size=12))
+def test_html_text_of_chosen_nodes(spark, parts):
+    html = "|".join(h for h, _ in parts)
+    got = one_col(spark, [html], T.html_text)[0]
+    assert "".join(got.split()) == "".join("|".join(w for _, w in parts).split())
