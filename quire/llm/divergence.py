@@ -9,8 +9,7 @@ shorter than the level's length is complete; the refinement ends when no incompl
 prefix is left. Counters are held per task and summed by Spark.
 
 Survivors reach the next pass as a bit table of fixed size (BITS bits). A false bit
-only lets a prefix be counted once more; what is kept is decided by exact counts, and
-counts of kept terms are joined to the exact list of kept terms.
+only lets a prefix be counted once more; what is kept is decided by exact counts.
 
 All arithmetic is on whole numbers: p = 1 + floor(10**9 * (count + 2) / (N + 2 V)) and
 f = floor((p - q)**2 / (p + q)); p comes from long division in three steps, which
@@ -27,13 +26,14 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import staged
+from quire.llm.common import staged, tasks
 
 FIRST = 3            # bytes of the first level's prefixes
 BITS = 1 << 25       # of the table of survivors
@@ -52,38 +52,48 @@ def terms_of(text: bytes) -> list[bytes]:
 
 def _count_terms(batches):
     for batch in batches:
-        terms, counts = [], []
+        terms, more = [], []
         for text in batch.column("text").to_pylist():
             found = Counter(terms_of(text))
             terms.append(b" ".join(found))
-            counts.append(np.fromiter(found.values(), np.int64, len(found)).tobytes())
+            more.append(b" ".join(t for t, n in found.items() if n > 1 for _ in range(n - 1)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), batch.column("source"), pa.array(terms, pa.binary()), pa.array(counts, pa.binary())],
-            ["lang", "source", "terms", "counts"])
+            [batch.column("lang"), batch.column("source"), pa.array(terms, pa.binary()), pa.array(more, pa.binary())],
+            ["lang", "source", "terms", "more"])
 
 
 def term_lists(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms, counts) of every document: its distinct terms, joined by
-    blanks, and how often each occurs (64-bit integers)."""
+    """(lang, source, terms, more) of every document: its distinct terms, joined by
+    blanks, and likewise their further occurrences."""
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    return staged(read.mapInArrow(_count_terms, "lang string, source string, terms binary, counts binary"),
+    return staged(read.mapInArrow(_count_terms, "lang string, source string, terms binary, more binary"),
                   "terms", "zstd")
 
 
-class Survivors:
-    """Bit table of (lang, bytes); a worker asks it once for each bytes it meets."""
-
-    def __init__(self, table: bytes):
-        self.table, self.known = table, {}
-
-    def of(self, lang: str) -> dict:
-        if sum(map(len, self.known.values())) > HELD:
-            self.known.clear()
-        return self.known.setdefault(lang, {})
-
-    def holds(self, lang: str, piece: bytes) -> bool:
-        slot = zlib.crc32(piece, zlib.crc32(lang.encode("utf-8", "surrogatepass") + b"\0")) & BITS - 1
+class Known(dict):
+    """What a task knows of the terms of one language: term -> its prefix of ``length``
+    bytes if the term was incomplete on the level before and its prefix there survived,
+    else None. Worked out once for each term; forgotten when it grows."""
+
+    def __init__(self, lang: str, table: bytes | None, length: int | None, before: int | None):
+        super().__init__()
+        self.salt = zlib.crc32(lang.encode("utf-8", "surrogatepass") + b"\0")
+        self.table, self.length, self.before = table, length, before
+
+    def __missing__(self, term: bytes) -> bytes | None:
+        before, out = self.before, term[:self.length]
+        if before is not None and len(term) < before or not self.holds(term[:before]):
+            out = None
+        if len(self) > HELD:
+            self.clear()
+        self[term] = out
+        return out
+
+    def holds(self, piece: bytes) -> bool:
+        if self.table is None:
+            return True
+        slot = zlib.crc32(piece, self.salt) & BITS - 1
         return bool(self.table[slot >> 3] >> (slot & 7) & 1)
 
 
@@ -98,88 +108,105 @@ def bit_table(pieces: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def _rows(held: dict, names: list[str], types: list) -> pa.RecordBatch:
-    keys = list(held)
-    columns = [*zip(*keys)] if keys else [[] for _ in names[1:]]
-    return pa.RecordBatch.from_arrays(
-        [*(pa.array(c, t) for c, t in zip(columns, types)), pa.array(list(held.values()), pa.int64())], names)
-
-
-def prefixes_of(terms: bytes, length: int, before: int, lang: str, alive: Survivors | None) -> set[bytes]:
-    """Distinct prefixes of ``length`` bytes of the terms that were incomplete on the
-    level before and whose prefix survived there."""
-    found = terms.split()
-    if alive is None:
-        return {t[:length] for t in found}
-    known, out = alive.of(lang), set()
-    for t in found:
-        if len(t) >= before:
-            p = t[:before]
-            ok = known.get(p)
-            if ok is None:
-                ok = known[p] = alive.holds(lang, p)
-            if ok:
-                out.add(t[:length])
+def prefixes_of(terms: bytes, known: Known) -> set[bytes]:
+    """Distinct prefixes that the terms of one document have on the level of ``known``."""
+    out = set(map(known.__getitem__, terms.split()))
+    out.discard(None)
     return out
 
 
 def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
     """(lang, term) with at least ``threshold`` distinct documents of the language."""
     spark = lists.sparkSession
-    kept, length, before, shared = [], FIRST, 0, None
+    kept, length, before, shared = [], FIRST, None, None
     while True:
         def count(batches, length=length, before=before, shared=shared):
-            alive = Survivors(shared.value) if shared is not None else None
-            held = Counter()
-            shape = (["lang", "piece", "docs"], [pa.string(), pa.binary()])
+            table = shared.value if shared is not None else None
+            known, held = {}, {}
+
+            def passed_on():
+                for lang, found in held.items():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(found), pa.string()), pa.array(found.keys(), pa.binary()),
+                         pa.array(found.values(), pa.int64())], ["lang", "piece", "docs"])
+                held.clear()
+
             for batch in batches:
                 for lang, terms in zip(batch.column("lang").to_pylist(), batch.column("terms").to_pylist()):
-                    for p in prefixes_of(terms, length, before, lang, alive):
-                        held[lang, p] += 1
-                    if len(held) > HELD:
-                        yield _rows(held, *shape)
-                        held.clear()
-            yield _rows(held, *shape)
+                    if lang not in known:
+                        if len(known) > 100:
+                            known.clear()
+                        known[lang] = Known(lang, table, length, before)
+                    held.setdefault(lang, Counter()).update(prefixes_of(terms, known[lang]))
+                    if len(held[lang]) > HELD or len(held) > 100:
+                        yield from passed_on()
+            yield from passed_on()
 
         counted = lists.select("lang", "terms").mapInArrow(count, "lang string, piece binary, docs long")
         level = staged(counted.groupBy("lang", "piece").agg(F.sum("docs").alias("docs"))
                        .where(F.col("docs") >= threshold).select("lang", "piece"), f"prefixes-{length}")
         kept.append(level.where(F.octet_length("piece") < length))
-        open_ = level.where(F.octet_length("piece") == length)
-        table = bit_table(open_)
+        table = bit_table(level.where(F.octet_length("piece") == length))
         if not any(table):
             break
         shared = spark.sparkContext.broadcast(table)
         length, before = 2 * length, length
-    terms = kept[0]
-    for more in kept[1:]:
-        terms = terms.unionByName(more)
-    return terms.select("lang", F.col("piece").alias("term"))
+    return reduce(DataFrame.unionByName, kept).select("lang", F.col("piece").alias("term"))
 
 
-def term_counts(lists: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, term, source, n) of the kept terms, where n > 0."""
+def term_counts(lists: DataFrame, kept: DataFrame, threshold: int = 10) -> DataFrame:
+    """(lang, term, found) of the kept terms, ``found`` being an array of the sources that
+    have the term and its occurrences there (source, n). A term that a bit of the table
+    lets through by chance has fewer documents and falls here."""
     shared = lists.sparkSession.sparkContext.broadcast(bit_table(kept.withColumnRenamed("term", "piece")))
+    names = ["lang", "term", "source", "docs", "n"]
 
     def count(batches):
-        alive, held = Survivors(shared.value), Counter()
-        shape = (["lang", "term", "source", "n"], [pa.string(), pa.binary(), pa.string()])
+        known, held = {}, {}
+
+        def passed_on():
+            """A row per language and term, with an entry for each source."""
+            for lang in {k for k, _ in held}:
+                place, at, which, docs, n = {}, [], [], [], []
+                for (k, source), (d, more) in held.items():
+                    if k == lang:
+                        at += [place.setdefault(t, len(place)) for t in d]
+                        which += [source] * len(d)
+                        docs += d.values()
+                        n += [x + more[t] for t, x in d.items()] if more else d.values()
+                order = np.argsort(np.array(at, np.int64), kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(np.array(at, np.int64), minlength=len(place)))]).astype(np.int32)
+                lists_of = [pa.ListArray.from_arrays(ends, pa.array(c, t).take(pa.array(order)))
+                            for c, t in ((which, pa.string()), (docs, pa.int64()), (n, pa.int64()))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(place), pa.string()), pa.array(place, pa.binary()), *lists_of], names)
+            held.clear()
+
+        size = 0
         for batch in batches:
-            for lang, source, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "terms", "counts"))):
-                known = alive.of(lang)
-                for t, n in zip(terms.split(), np.frombuffer(counts, np.int64).tolist()):
-                    ok = known.get(t)
-                    if ok is None:
-                        ok = known[t] = alive.holds(lang, t)
-                    if ok:
-                        held[lang, t, source] += n
-                if len(held) > HELD:
-                    yield _rows(held, *shape)
-                    held.clear()
-        yield _rows(held, *shape)
-
-    rows = lists.mapInArrow(count, "lang string, term binary, source string, n long")
-    return rows.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi")
+            for lang, source, terms, more in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "terms", "more"))):
+                if lang not in known:
+                    if len(known) > 100:
+                        known.clear()
+                    known[lang] = Known(lang, shared.value, None, None)
+                ok = known[lang].__getitem__
+                d, extra = held.setdefault((lang, source), (Counter(), Counter()))
+                size -= len(d) + len(extra)
+                d.update(filter(ok, terms.split()))
+                extra.update(filter(ok, more.split()))
+                size += len(d) + len(extra)
+                if size > 2 * HELD or len(held) > HELD // 10:
+                    yield from passed_on()
+                    size = 0
+        yield from passed_on()
+
+    rows = lists.mapInArrow(count, "lang string, term binary, source array<string>, docs array<long>, n array<long>")
+    apart = rows.repartition(tasks(lists.sparkSession), "lang", "term").select(
+        "lang", "term", F.inline(F.arrays_zip("source", "docs", "n")))
+    each = apart.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return each.groupBy("lang", "term").agg(
+        F.collect_list(F.struct("source", "n")).alias("found"), F.sum("docs").alias("docs")).where(
+        F.col("docs") >= threshold).select("lang", "term", "found")
 
 
 def smoothed(count: np.ndarray, total: np.ndarray, terms: int) -> np.ndarray:
@@ -198,11 +225,12 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def _compare(batches):
-    """From rows (lang, term, stripe, ids, ns, totals, v): sums over the terms for the
+    """From rows (lang, term, stripe, sources, ns, names, totals, v): sums over the terms for the
     pairs of sources, and the value of every term that a source has more of."""
     sums: dict[tuple[str, int], np.ndarray] = {}
+    places: dict[str, dict[str, int]] = {}
     types = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
-    names = ["lang", "i", "j", "term", "value"]
+    shape = ["lang", "i", "j", "term", "value"]
 
     def passed_on():
         for (lang, stripe), m in sums.items():
@@ -212,17 +240,22 @@ def _compare(batches):
             n = int(apart.sum())
             yield pa.RecordBatch.from_arrays([
                 pa.array([lang] * n, types[0]), pa.array(i[apart], types[1]), pa.array(j[apart], types[2]),
-                pa.nulls(n, types[3]), pa.array(m.ravel()[apart], types[4])], names)
+                pa.nulls(n, types[3]), pa.array(m.ravel()[apart], types[4])], shape)
         sums.clear()
 
     for batch in batches:
         keys = list(zip(batch.column("lang").to_pylist(), batch.column("stripe").to_pylist()))
-        ids, ns, alls, names_of = (batch.column(c) for c in ("ids", "ns", "totals", "term"))
+        sources, ns, names, alls, terms = (batch.column(c) for c in ("sources", "ns", "names", "totals", "term"))
         for key in sorted(set(keys)):
             lang, stripe = key
             same = [k for k, x in enumerate(keys) if x == key]
             totals, v = alls[same[0]].values.to_numpy(), batch.column("v")[same[0]].as_py()
             size, lo = len(totals), stripe * STRIPE
+            if lang not in places:
+                if len(places) > 100:
+                    places.clear()
+                places[lang] = {x: k for k, x in enumerate(names[same[0]].as_py())}
+            place = places[lang].__getitem__
             if key not in sums:
                 if sum(m.size for m in sums.values()) + STRIPE * size > CELLS:
                     yield from passed_on()
@@ -232,7 +265,7 @@ def _compare(batches):
                 part = same[at:at + step]
                 counts = np.zeros((len(part), size), np.int64)
                 for k, r in enumerate(part):
-                    counts[k, ids[r].values.to_numpy()] = ns[r].values.to_numpy()
+                    counts[k, [*map(place, sources[r].as_py())]] = ns[r].values.to_numpy()
                 p = smoothed(counts, totals, v)
                 for i in range(len(sums[key])):
                     sums[key][i] += divergence(p[:, lo + i:lo + i + 1], p).sum(axis=0)
@@ -242,7 +275,7 @@ def _compare(batches):
                 values = divergence(p[k, i + lo], q[k, 0])
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang] * len(k), types[0]), pa.array(i + lo, types[1]), pa.nulls(len(k), types[2]),
-                    names_of.take(pa.array([part[x] for x in k], pa.int64())), pa.array(values, types[4])], names)
+                    terms.take(pa.array([part[x] for x in k], pa.int64())), pa.array(values, types[4])], shape)
     yield from passed_on()
 
 
@@ -251,21 +284,18 @@ def source_divergence(docs: DataFrame, threshold: int = 10, top: int = 10) -> Da
     every other source of its language, and the ``top`` terms it has more of than the
     language as a whole."""
     lists = term_lists(docs)
-    counts = staged(term_counts(lists, refine(lists, threshold)), "term-counts")
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    terms = staged(term_counts(lists, refine(lists, threshold), threshold), "term-counts")
+    totals = terms.select("lang", F.inline("found")).groupBy("lang", "source").agg(F.sum("n").alias("total"))
     by_name = Window.partitionBy("lang").orderBy("source")  # sources of a language, of which the result has all pairs
     groups = staged(lists.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").select(
         "lang", "source", F.coalesce("total", F.lit(0)).alias("total"),
         (F.row_number().over(by_name) - 1).alias("id")), "groups")
-
-    terms = counts.join(groups.select("lang", "source", "id"), ["lang", "source"]).groupBy("lang", "term").agg(
-        F.collect_list(F.struct("id", "n")).alias("found"))
-    langs = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("id", "total"))).alias("all")).join(
-        counts.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("v")), "lang")
+    langs = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("id", "source", "total"))).alias("all")).join(
+        terms.groupBy("lang").agg(F.count("*").alias("v")), "lang")
     stripes = F.sequence(F.lit(0), F.floor((F.size("all") - 1) / STRIPE).cast("int"))
     rows = terms.join(langs, "lang").select(
-        "lang", "term", F.explode(stripes).alias("stripe"), F.col("found.id").alias("ids"), F.col("found.n").alias("ns"),
-        F.col("all.total").alias("totals"), "v")
+        "lang", "term", F.explode(stripes).alias("stripe"), F.col("found.source").alias("sources"),
+        F.col("found.n").alias("ns"), F.col("all.source").alias("names"), F.col("all.total").alias("totals"), "v")
     compared = staged(rows.mapInArrow(_compare, "lang string, i int, j int, term binary, value long"), "compared")
 
     sums = compared.where("j IS NOT NULL").groupBy("lang", "i", "j").agg(F.sum("value").alias("value"))

@@ -91,7 +91,9 @@ def test_refinement_discards_rare_prefixes_only(spark):
     kept = D.refine(D.term_lists(spark.createDataFrame(rows, SCHEMA)), threshold=2)
     assert {bytes(r.term) for r in kept.collect()} == {b"ab", b"abcdefgh"}
     # "abc" is in four documents though none of these terms but one is in two.
-    assert D.prefixes_of(b"abcdefgh abcdefgi abcx", 3, 0, "en", None) == {b"abc"}
+    assert D.prefixes_of(b"abcdefgh abcdefgi abcx", D.Known("en", None, 3, None)) == {b"abc"}
+    assert D.prefixes_of(b"abcdefgh abx abcdefgi", D.Known("en", None, 6, 3)) == {b"abcdef", b"abx"}
+    assert D.prefixes_of(b"abcdefgh ab", D.Known("en", bytes(D.BITS // 8), 6, 3)) == set()
 
 
 @pytest.mark.parametrize("stripe,cells", [(2, 7), (3, 10**6), (256, 1)])
@@ -106,10 +108,10 @@ def test_stripes_and_chunks_give_the_same_sums(monkeypatch, stripe, cells):
         for k in range(terms):
             ids = np.flatnonzero(counts[k])
             for s in range(-(-size // width)):
-                out.append({"lang": "en", "term": b"t%d" % k, "stripe": s, "ids": ids.tolist(),
-                            "ns": counts[k, ids].tolist(), "totals": totals.tolist(), "v": terms})
-        schema = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("stripe", pa.int32()), ("ids", pa.list_(pa.int32())),
-                            ("ns", pa.list_(pa.int64())), ("totals", pa.list_(pa.int64())), ("v", pa.int64())])
+                out.append({"lang": "en", "term": b"t%d" % k, "stripe": s, "sources": [f"s{x}" for x in ids],
+                            "ns": counts[k, ids].tolist(), "names": [f"s{x}" for x in range(size)], "totals": totals.tolist(), "v": terms})
+        schema = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("stripe", pa.int32()), ("sources", pa.list_(pa.string())),
+                            ("ns", pa.list_(pa.int64())), ("names", pa.list_(pa.string())), ("totals", pa.list_(pa.int64())), ("v", pa.int64())])
         return pa.RecordBatch.from_pylist(out, schema)
 
     def total(batches):
