@@ -13,9 +13,18 @@ Work per group of copies stays linear:
     and confirmed links are joined to components;
   * in buckets that still hold several components, each member is compared with a
     few hubs of its buckets, twice;
-  * in buckets that then still hold several, members are paired across components,
-    in the first table they share; pairs that sizes or sketches rule out are dropped
-    within the join, and the rest is confirmed too. No candidate is left untested.
+  * members of buckets that then still hold several are joined exactly, by prefixes.
+    Their shingles are ordered by the number of components they occur in, rarest first;
+    of n shingles the first n - ceil(0.8 n) + 1 are a set's prefix, and two sets of
+    similarity 0.8 share a shingle of their prefixes. Shingles of one component only come
+    first and can be shared with no other, so a document that is mostly its own has
+    no prefix left and a passage that many share comes last and joins nobody. A pair
+    is made at the first shingle its prefixes share; pairs that sizes or sketches rule
+    out are dropped within the join, and the rest is confirmed too;
+  * where a shingle of prefixes still has more than HOT members (many variants of one text
+    that are just too different to link), pairs are not laid out at all: members go to
+    pairs of tiles, whose intersections are the products of their set matrices, and only
+    links leave the task.
 
 Every confirmation compares whole shingle sets. Sets are computed again from the
 texts that occur in candidate pairs, so they are never stored for all documents.
@@ -23,17 +32,15 @@ texts that occur in candidate pairs, so they are never stored for all documents.
 Defined results: null texts and texts without words have an empty set and are
 linked with nothing; fewer words than a shingle make one shingle of all of them.
 Rows without a doc_id have no component (null) and are not kept. Rows of one
-doc_id with different texts link as one document. An empty table gives an empty
-result; columns beyond doc_id and the text are not looked at.
+doc_id with different texts link as one document (``keep_one`` tells them apart). An
+empty table gives an empty result; columns beyond doc_id and the text are not looked at.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +54,9 @@ SKETCH_LEAST = 39    # equal two-bit values of 64; at similarity 0.8 fewer come
 BLOOM_BYTES = 64 << 20
 STARS = 2            # linear rounds before the exact one
 SPOKES = 4           # partners a member gets in a linear round
+HOT = 64             # members of a prefix shingle from which on tiles are multiplied
+TILE = 256           # members of a tile
+COLUMNS = 1 << 14    # shingles of a set matrix at once
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _known: dict[bytes, int] = {}
@@ -140,20 +150,6 @@ def _tables(batches):
             yield pd.DataFrame({"key": key.ravel().view(np.int64), "v": np.repeat(part.v.to_numpy(), len(i))})
 
 
-def _table_of(batches):
-    """Adds the collections ``i`` and ``j`` whose table has the key of the row."""
-    i, j = np.triu_indices(COLLECTIONS, 1)
-    salt = mix((i * COLLECTIONS + j + 1).astype(np.uint64))
-    for pdf in batches:
-        for lo in range(0, len(pdf), 2000):
-            part = pdf.iloc[lo:lo + 2000]
-            values = np.stack([np.asarray(v, np.int64) for v in part["values"]]).view(np.uint64)
-            with np.errstate(over="ignore"):
-                keys = mix(values[:, i] * np.uint64(3) + mix(values[:, j] + salt))
-            at = (keys == part.key.to_numpy(np.int64).view(np.uint64)[:, None]).argmax(axis=1)
-            yield part.assign(i=i[at], j=j[at])
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(v, c): the smallest vertex reachable over ``edges`` (x, y), for every
     vertex that has an edge. Labels spread to neighbours and then to the labels'
@@ -204,11 +200,9 @@ def _bloom(ids: DataFrame, n: int):
     return holds
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (x, y) of class representatives whose whole sets are similar:
-    100 * intersection >= percent * union."""
-    pairs = pairs.checkpoint()
-    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct().checkpoint()
+def whole_sets(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, items) of the documents whose doc_id is in the distinct ``ids`` (id):
+    their whole shingle sets, sorted."""
     holds = _bloom(ids, ids.count())
     some = docs.where(F.col("doc_id").isNotNull())
     if holds is not None:
@@ -218,9 +212,17 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
     def whole(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, words).tobytes() for t in texts], dtype=object)
 
-    sets = staged(some.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    return staged(some.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
                   .select("doc_id", whole("text").alias("items")), "sets")
 
+
+def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (x, y) of class representatives whose whole sets are similar:
+    100 * intersection >= percent * union."""
+    pairs = pairs.checkpoint()
+    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct().checkpoint()
+    sets = whole_sets(ids, docs, words)
+
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
@@ -237,6 +239,90 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
             .select("x", "y").distinct().checkpoint())
 
 
+def prefixes(open_: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(v, c, prefix, common) of the members ``open_`` (v, component c, size n) that may be
+    similar to one of another component: the shingles of their sets that components
+    share (``common``, sorted), and the rarest of them, as far as any partner must share
+    one (``prefix``, rarest first)."""
+    @F.pandas_udf("array<long>")
+    def unpacked(items: pd.Series) -> pd.Series:
+        return pd.Series([np.frombuffer(x, np.int64) for x in items], dtype=object)
+
+    sets = whole_sets(open_.select(F.col("v").alias("id")), docs, words).dropDuplicates(["doc_id"])
+    placed = open_.join(sets.withColumnRenamed("doc_id", "v"), "v").select(
+        "v", "c", "n", F.explode(unpacked("items")).alias("s"))
+    shared = placed.select("s", "c").distinct().groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    common = placed.join(shared, "s").groupBy("v", "c", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("common"))
+    least = F.floor((percent * F.col("n") + 99) / 100)  # shingles that any partner shares
+    take = (F.col("n") - least + 1 - (F.col("n") - F.size("common"))).cast("int")
+    return common.where(take > 0).select("v", "c", F.slice("common.s", F.lit(1), take).alias("prefix"),
+                                      F.array_sort("common.s").alias("common"))
+
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets (sorted, distinct), by products
+    of their membership matrices, COLUMNS shingles at a time."""
+    rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times > 1  # a shingle of one set is in no intersection of two
+    place = np.cumsum(several) - 1
+    use = several[column]
+    rows, column = rows[use], place[column[use]]
+    order = np.argsort(column, kind="stable")
+    rows, column = rows[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for lo in range(0, int(several.sum()), COLUMNS):
+        at, end = np.searchsorted(column, (lo, lo + COLUMNS))
+        x = np.zeros((len(sets), COLUMNS), np.float32)
+        x[rows[at:end], column[at:end] - lo] = 1
+        out += x @ x.T
+    return out
+
+
+def _links(batches, percent: int):
+    """From rows (g, tile, across, v, c, n, common), sorted by block ``g``: the pairs (x, y) of
+    one block and of different components whose sets are similar."""
+    names = ["g", "tile", "across", "v", "c", "n"]
+
+    def block(cols, sets):
+        both = intersections(sets)
+        n = cols["n"].astype(np.float64)
+        near = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (both > 0)
+        near &= cols["c"][:, None] != cols["c"][None, :]
+        near &= ~cols["across"][:, None] | (cols["tile"][:, None] != cols["tile"][None, :])
+        i, j = np.nonzero(np.triu(near, 1))
+        return pa.RecordBatch.from_arrays([pa.array(cols["v"][i], pa.int64()), pa.array(cols["v"][j], pa.int64())], ["x", "y"])
+
+    held = None
+    for batch in batches:
+        cols = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+        common = batch.column("common")
+        sets = [common[k].values.to_numpy() for k in range(len(common))]
+        if held is not None:
+            cols, sets = {c: np.concatenate([held[0][c], cols[c]]) for c in names}, held[1] + sets
+        ends = np.flatnonzero(cols["g"][1:] != cols["g"][:-1]) + 1
+        at = 0
+        for end in ends.tolist():
+            yield block({c: x[at:end] for c, x in cols.items()}, sets[at:end])
+            at = end
+        held = {c: x[at:] for c, x in cols.items()}, sets[at:]  # the last block may go on
+    if held is not None and len(held[1]):
+        yield block(*held)
+
+
+def tiled_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) among the members (v, c, n, common) of every ``key`` of ``rows``, which
+    has ``size`` members: each pair of tiles of a key is a block."""
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    placed = rows.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("v"), "tiles").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("with")
+    blocks = placed.select("key", "v", "c", "n", "common", "tile", other).select(
+        F.xxhash64("key", F.least("tile", "with"), F.greatest("tile", "with")).alias("g"), "tile",
+        (F.col("tile") != F.col("with")).alias("across"), "v", "c", "n", "common")
+    dealt = blocks.repartition(tasks(rows.sparkSession), "g").sortWithinPartitions("g")
+    return dealt.mapInArrow(lambda batches: _links(batches, percent), "x long, y long").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``
     (columns doc_id and text)."""
@@ -302,21 +388,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         few = spokes.withColumn("_k", F.row_number().over(nearest)).where(F.col("_k") <= SPOKES).select("x", "y")
         labels = relabel(labels, confirm(possible(few), docs, words, percent))
 
-    # What is left is exact: members of one bucket, across its components. The
-    # smaller component is laid out and the larger one is tested within the join.
-    # A pair may share many tables: it is made in the first of them only.
-    open_ = staged(mixed(labels).join(classes.select("v", "n", "s1", "s2", "values"), "v").mapInPandas(
-        _table_of, "v long, key long, c long, n long, s1 long, s2 long, values array<long>, i int, j int"), "mixed")
-    first_shared = reduce(and_, (
-        (F.col("p.i") == at) | (F.col("p.j") <= at) | (F.get("valuesx", F.lit(at)) != F.get("valuesy", F.lit(at)))
-        for at in range(COLLECTIONS)))
-    held = open_.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
+    # What is left is exact: members of mixed buckets by what their sets share. The
+    # smaller component of a shingle is laid out against the larger ones.
+    open_ = staged(mixed(labels).select("v", "c").distinct().join(classes.select("v", "n"), "v"), "mixed")
+    found = staged(prefixes(open_, docs, words, percent).join(classes.select("v", "n", "s1", "s2"), "v"), "prefixes")
+    every = found.select("v", F.explode("prefix").alias("key"))
+    hot = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HOT).checkpoint()
+    rows = found.select("v", "c", "n", "s1", "s2", "prefix", F.explode("prefix").alias("key")).join(hot, "key", "left_anti").select(
+        "v", "c", "n", "s1", "s2", "prefix", "key")
+    held = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     other = held.select("key", F.col("c").alias("d"), F.col("m").alias("md"))
     lower = held.join(other, "key").where("c <> d AND (m < md OR (m = md AND c < d))").select("key", "c", "d")
-    laid = lower.join(open_.toDF("x", "key", "c", "nx", "x1", "x2", "valuesx", "i", "j"), ["key", "c"]).alias("p")
-    against = open_.drop("i", "j").toDF("y", "key", "d", "ny", "y1", "y2", "valuesy").alias("q")
+    laid = lower.join(rows.toDF("x", "c", "nx", "x1", "x2", "px", "key"), ["key", "c"]).alias("p")
+    against = rows.toDF("y", "d", "ny", "y1", "y2", "py", "key").alias("q")
+    # Sharing a hot shingle first, a pair is tested there.
+    first_shared = F.get(F.array_intersect("px", "py"), F.lit(0)) == F.col("p.key")
     across = laid.join(against, (F.col("p.key") == F.col("q.key")) & (F.col("p.d") == F.col("q.d")) & may_link & first_shared)
-    labels = relabel(labels, confirm(across.select("x", "y"), docs, words, percent))
+    many = tiled_links(every.join(hot, "key").join(found.select("v", "c", "n", "common"), "v"), percent)
+    labels = relabel(labels, confirm(across.select("x", "y"), docs, words, percent).unionByName(many))
     place = classes.select("a", "b", "v").join(labels, "v", "left").select(
         "a", "b", F.coalesce("c", "v").alias("component_id"))
     return signed.select("doc_id", F.col("n").alias("n_shingles"), "a", "b").join(place, ["a", "b"], "left").select(
@@ -325,10 +414,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group stays, with all its columns; rows without a doc_id
-    stay too, since nothing says which document they are."""
-    kept = near_duplicates(docs, words, percent).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("doc_id")
-    one = known.withColumn("_row", F.row_number().over(order)).where("_row = 1").drop("_row")
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    """One row of each group stays, with all its columns: the one of the smallest doc_id, of
+    several such rows the first. Rows are told apart by their place in a staged copy, not
+    by their doc_id, so rows that share one without being similar all stay; so do rows
+    without a doc_id, since nothing says which document they are."""
+    copy = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    known = copy.where("doc_id IS NOT NULL")
+    groups = near_duplicates(known.select(F.col("_row").alias("doc_id"), "text"), words, percent).select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
+    first = groups.join(known.select("_row", "doc_id"), "_row").groupBy("_group").agg(
+        F.min(F.struct("doc_id", "_row")).alias("first")).select(F.col("first._row").alias("_row"))
+    return known.join(first, "_row", "left_semi").drop("_row").unionByName(copy.where("doc_id IS NULL").drop("_row"))

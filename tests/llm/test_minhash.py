@@ -2,6 +2,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+
 from quire.llm import minhash
 from quire.llm.registry import op8_near_duplicates
 
@@ -98,3 +100,49 @@ def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 2000), (2000, 1500)]
     got = dict(map(tuple, minhash.components(spark.createDataFrame(edges, "x long, y long")).collect()))
     assert {got[i] for i in range(301)} == {0} and got[1500] == 1000 and len(got) == 304
+
+
+def test_rows_of_one_id_with_different_texts_all_stay(spark):
+    texts = ["alpha beta gamma delta epsilon zeta", "one two three four five six", "", None]
+    df = spark.createDataFrame([(7, t, "x") for t in texts] + [(7, texts[0].upper(), "y"), (2, texts[1], "z")],
+                               "doc_id long, text string, lang string")
+    got = sorted(((r.doc_id, r.text) for r in minhash.keep_one(df).collect()), key=str)
+    assert [x for x in got if not (x[1] or "").lower().startswith("alpha")] == sorted(
+        [(2, texts[1]), (7, ""), (7, None)], key=str)
+    assert len(got) == 4 and minhash.keep_one(df).columns == df.columns
+
+
+def test_prefixes_leave_out_what_one_component_has(spark):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(words[:20])), (2, " ".join(words[:19] + ["x"])), (3, " ".join(words[5:35])), (4, " ".join(words[30:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    open_ = spark.createDataFrame([(d, d, len(minhash.shingle_set(t, 1))) for d, t in rows], "v long, c long, n long")
+    got = {r.v: len(r.prefix) for r in minhash.prefixes(open_, docs, 1, 80).collect()}
+    # 1 and 2 have a prefix of 5 of 20 shingles, of which 0 and 1 are their own; 3 has 7 of
+    # 30 and 4 has 3 of 10, all their own (10 and 5 are).
+    assert got == {1: 5, 2: 4}
+
+
+def test_tiles_find_every_link_of_a_hot_shingle(spark):
+    rng = np.random.default_rng(2)
+    base = np.arange(100)
+    rows, sets = [], {}
+    for v in range(3 * minhash.TILE):  # variants of one text, some of which are similar
+        s = np.sort(np.append(rng.permutation(base)[:rng.integers(88, 97)], rng.integers(100, 130, 3)))
+        sets[v] = set(s.tolist())
+        rows.append((1, len(rows), v, v // 2, len(sets[v]), sorted(sets[v])))
+    df = spark.createDataFrame(rows, "key long, i long, v long, c long, n long, common array<long>").drop("i").withColumn(
+        "size", minhash.F.lit(len(rows)))
+    want = {(a, b) for a in sets for b in range(a) if a // 2 != b // 2 and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    got = [tuple(sorted(r, reverse=True)) for r in minhash.tiled_links(df, 85).collect()]
+    assert 0 < len(want) < len(rows) ** 2 / 3 and set(got) == want and len(got) == len(want)
+
+
+def test_intersections_in_several_steps(monkeypatch):
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(-50, 50, rng.integers(0, 40))) for _ in range(20)]
+    want = [[len(set(a) & set(b)) for b in sets] for a in sets]
+    for columns in (1, 7, 1 << 14):
+        monkeypatch.setattr(minhash, "COLUMNS", columns)
+        got = minhash.intersections(sets)
+        assert all(got[i, j] == want[i][j] for i in range(20) for j in range(20) if i != j)
