@@ -2,7 +2,7 @@
 far sources are from one another.
 
 The vocabulary comes from iceberg prefix refinement. Level by level (prefixes of
-FIRST bytes, then twice as many, and so on) the distinct documents of every byte
+4 bytes, then twice as many, and so on) the distinct documents of every byte
 prefix are counted; a prefix below the threshold is discarded with all that it
 begins, and only terms whose prefix survived are looked at on the next level. A term
 shorter than the level's length is complete; the refinement ends when no incomplete
@@ -25,6 +25,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from functools import reduce
 
@@ -35,9 +36,10 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import staged, tasks
 
-FIRST = 3            # bytes of the first level's prefixes
+LEVELS = (4, 8, 16, 32)  # bytes of the first levels' prefixes; further ones double
 BITS = 1 << 25       # of the table of survivors
-HELD = 300_000       # counters a task holds before it passes them on
+HELD = 300_000       # counters of a language a task holds before it passes them on
+COUNTS = 1_500_000   # counts of terms by source a task holds likewise
 STRIPE = 256         # sources that a row of terms is compared with at once
 CELLS = 1 << 21      # cells of the matrices a task holds
 
@@ -50,25 +52,39 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
+CLASSES = [f"terms_{n}" for n in (0, *LEVELS)]  # terms by length: below 4 bytes, below 8, ...
+
+
 def _count_terms(batches):
     for batch in batches:
-        terms, more = [], []
+        classes, more = [[] for _ in CLASSES], []
         for text in batch.column("text").to_pylist():
             found = Counter(terms_of(text))
-            terms.append(b" ".join(found))
+            apart = [[] for _ in CLASSES]
+            for t in found:
+                apart[bisect_right(LEVELS, len(t))].append(t)
+            for held, some in zip(classes, apart):
+                held.append(b" ".join(some))
             more.append(b" ".join(t for t, n in found.items() if n > 1 for _ in range(n - 1)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), batch.column("source"), pa.array(terms, pa.binary()), pa.array(more, pa.binary())],
-            ["lang", "source", "terms", "more"])
+            [batch.column("lang"), batch.column("source"), *(pa.array(c, pa.binary()) for c in classes), pa.array(more, pa.binary())],
+            ["lang", "source", *CLASSES, "more"])
 
 
 def term_lists(docs: DataFrame) -> DataFrame:
-    """(lang, source, terms, more) of every document: its distinct terms, joined by
-    blanks, and likewise their further occurrences."""
+    """Of every document: lang, source, its distinct terms joined by blanks, a column for
+    each class of lengths (so that a level reads no terms that were complete before it),
+    and likewise their further occurrences (more)."""
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    return staged(read.mapInArrow(_count_terms, "lang string, source string, terms binary, more binary"),
-                  "terms", "zstd")
+    shape = ", ".join(f"{c} binary" for c in (*CLASSES, "more"))
+    return staged(read.mapInArrow(_count_terms, f"lang string, source string, {shape}"), "terms", "zstd")
+
+
+def joined(batch, classes: list[str]) -> list[bytes]:
+    """The terms of every document in some classes of lengths, joined by blanks."""
+    columns = [batch.column(c).to_pylist() for c in classes]
+    return columns[0] if len(columns) == 1 else [b" ".join(x) for x in zip(*columns)]
 
 
 class Known(dict):
@@ -118,9 +134,12 @@ def prefixes_of(terms: bytes, known: Known) -> set[bytes]:
 def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
     """(lang, term) with at least ``threshold`` distinct documents of the language."""
     spark = lists.sparkSession
-    kept, length, before, shared = [], FIRST, None, None
+    kept, length, before, shared = [], LEVELS[0], None, None
     while True:
-        def count(batches, length=length, before=before, shared=shared):
+        # Terms that are as long as the prefixes of the level before, at least.
+        classes = CLASSES[sum(n <= (before or 0) for n in LEVELS):]
+
+        def count(batches, length=length, before=before, shared=shared, classes=classes):
             table = shared.value if shared is not None else None
             known, held = {}, {}
 
@@ -132,7 +151,7 @@ def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
                 held.clear()
 
             for batch in batches:
-                for lang, terms in zip(batch.column("lang").to_pylist(), batch.column("terms").to_pylist()):
+                for lang, terms in zip(batch.column("lang").to_pylist(), joined(batch, classes)):
                     if lang not in known:
                         if len(known) > 100:
                             known.clear()
@@ -142,7 +161,7 @@ def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
                         yield from passed_on()
             yield from passed_on()
 
-        counted = lists.select("lang", "terms").mapInArrow(count, "lang string, piece binary, docs long")
+        counted = lists.select("lang", *classes).mapInArrow(count, "lang string, piece binary, docs long")
         level = staged(counted.groupBy("lang", "piece").agg(F.sum("docs").alias("docs"))
                        .where(F.col("docs") >= threshold).select("lang", "piece"), f"prefixes-{length}")
         kept.append(level.where(F.octet_length("piece") < length))
@@ -184,7 +203,7 @@ def term_counts(lists: DataFrame, kept: DataFrame, threshold: int = 10) -> DataF
 
         size = 0
         for batch in batches:
-            for lang, source, terms, more in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "terms", "more"))):
+            for lang, source, more, terms in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "more")), joined(batch, CLASSES)):
                 if lang not in known:
                     if len(known) > 100:
                         known.clear()
@@ -195,7 +214,7 @@ def term_counts(lists: DataFrame, kept: DataFrame, threshold: int = 10) -> DataF
                 d.update(filter(ok, terms.split()))
                 extra.update(filter(ok, more.split()))
                 size += len(d) + len(extra)
-                if size > 2 * HELD or len(held) > HELD // 10:
+                if size > COUNTS or len(held) > HELD // 10:
                     yield from passed_on()
                     size = 0
         yield from passed_on()
