@@ -415,13 +415,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group stays, with all its columns: the one of the smallest doc_id, of
-    several such rows the first. Rows are told apart by their place in a staged copy, not
-    by their doc_id, so rows that share one without being similar all stay; so do rows
-    without a doc_id, since nothing says which document they are."""
-    copy = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    known = copy.where("doc_id IS NOT NULL")
-    groups = near_duplicates(known.select(F.col("_row").alias("doc_id"), "text"), words, percent).select(
+    several such rows the first. Where doc_ids repeat, rows are told apart by their
+    place in a staged copy, so rows that share an id without being similar all stay. Rows
+    without a doc_id stay too, since nothing says which document they are."""
+    known, rest = docs.where("doc_id IS NOT NULL"), docs.where("doc_id IS NULL")
+    again = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not again.limit(1).count():
+        first = near_duplicates(known, words, percent).where("kept").select("doc_id")
+        return known.join(first, "doc_id", "left_semi").select(*docs.columns).unionByName(rest)
+    copy = staged(known.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(copy.select(F.col("_row").alias("doc_id"), "text"), words, percent).select(
         F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    first = groups.join(known.select("_row", "doc_id"), "_row").groupBy("_group").agg(
+    first = groups.join(copy.select("_row", "doc_id"), "_row").groupBy("_group").agg(
         F.min(F.struct("doc_id", "_row")).alias("first")).select(F.col("first._row").alias("_row"))
-    return known.join(first, "_row", "left_semi").drop("_row").unionByName(copy.where("doc_id IS NULL").drop("_row"))
+    return copy.join(first, "_row", "left_semi").select(*docs.columns).unionByName(rest)
