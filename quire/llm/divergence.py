@@ -312,7 +312,11 @@ def source_divergence(docs: DataFrame, threshold: int = 10, top: int = 10) -> Da
     langs = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("id", "source", "total"))).alias("all")).join(
         terms.groupBy("lang").agg(F.count("*").alias("v")), "lang")
     stripes = F.sequence(F.lit(0), F.floor((F.size("all") - 1) / STRIPE).cast("int"))
-    rows = terms.join(langs, "lang").select(
+    # A language may hold most terms: its row is laid out once for every part of them.
+    parts = tasks(docs.sparkSession)
+    langs = langs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    salted = terms.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int"))
+    rows = salted.join(langs, ["lang", "salt"]).select(
         "lang", "term", F.explode(stripes).alias("stripe"), F.col("found.source").alias("sources"),
         F.col("found.n").alias("ns"), F.col("all.source").alias("names"), F.col("all.total").alias("totals"), "v")
     compared = staged(rows.mapInArrow(_compare, "lang string, i int, j int, term binary, value long"), "compared")
