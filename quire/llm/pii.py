@@ -30,7 +30,7 @@ _AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]")
 # A run of digits fails or matches as a whole, so later starts inside it need no trial.
-_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -113,20 +113,42 @@ def _homoglyphs() -> dict[int, str]:
 
 
 _MAP = _homoglyphs()
-_GLYPH = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(_MAP)) + "]")
+# Two searches: a class within the basic plane is one table look-up a character.
+_GLYPH = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(_MAP) if c < 0x10000) + "]")
+_ASTRAL = re.compile(f"[{chr(min(c for c in _MAP if c > 0xFFFF))}-{chr(max(_MAP))}]")
 _HIDDEN = re.compile("[­​-‍⁠﻿]")
 _WORDS = "|".join(_SPELLED)
-_SPELL_RUN = re.compile(rf"(?i)\b(?:{_WORDS})(?:[ ,-]{{1,2}}(?:{_WORDS})\b){{2,}}")
+# Three or more digits in a row, at least two of them spelled (the others are written by themselves).
+_SPELL_ONE = rf"(?:(?:{_WORDS})\b|[0-9](?![0-9]))"
+_SPELL_RUN = re.compile(rf"(?i)(?<![0-9])\b{_SPELL_ONE}(?:[ ,-]{{1,2}}{_SPELL_ONE}){{2,}}")
+_SPELL_DIGIT = re.compile(rf"(?i)\b(?:{_WORDS})\b|[0-9]")
 _SPELL_PART = rf"(?:{_WORDS})(?:\s(?:{_WORDS})){{0,2}}"
 _SPELL_IP = re.compile(rf"(?i)\b{_SPELL_PART}(?:\s{{1,3}}dot\s{{1,3}}{_SPELL_PART}){{3}}\b")
 _SPELL_WORD = re.compile(rf"(?i)\b(?:{_WORDS})\b")
 _PLUS = re.compile(rf"(?i)\bplus\s{{1,3}}(?=[0-9]|(?:{_WORDS})\b)")
 _BRACKET = re.compile(r"(?i)\s{0,3}(?:\[\s?(at|dot|@|\.)\s?\]|\(\s?(at|dot|@|\.)\s?\)|\{\s?(at|dot|@|\.)\s?\}|<\s?(at|dot|@|\.)\s?>)\s{0,3}")
 _DOT = re.compile(r"(?i)(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z0-9])")
-# A bare "at" counts before a name whose dot is spelled out, or, when the word
-# before it cannot be prose (it holds a digit or a mark), before a dotted name.
-_BARE_AT = re.compile(r"(?i)(?<=[a-z0-9])\s{1,3}at\s{1,3}(?=[a-z0-9-]{1,63}(\.|\s{1,3}dot\s))")
-_TRIGGER = re.compile(r"(?i)\bplus\s|\bdot\b|\bat\s{1,3}[a-z0-9-]{1,63}\.[a-z]|[\[({<]\s?(?:at|@|\.)\s?[\])}>]")
+# A bare "at" counts before a name whose dot is spelled out; before a dotted name
+# only if the word before it is no prose (see ``_addressed``).
+_BARE_AT = re.compile(r"(?i)(?<=[a-z0-9])\s{1,3}at\s{1,3}(?=[a-z0-9-]{1,63}(\.[a-z0-9]|\s{1,3}dot\s))")
+_INVITED = re.compile(r"(?i)\b(?:e-?mail|mail(?:to)?|contact|write|address)(?:\s+(?:to|is|at))?\s*[:=]?\s*$")
+_MARKED = re.compile(r"[A-Za-z0-9][._+-][A-Za-z0-9]")
+# Words after an invitation that are no names of mailboxes.
+_NO_NAME = frozenset("a an and are at found her here him is it me now or sent stored the them there these this those us you".split())
+
+# What every disguise but a glyph or a hidden character has in it, for lower-cased
+# text; each pattern starts with characters that the search can skip to.
+_HINTS = tuple(map(re.compile, (
+    r"dot(?<!\wdot)(?!\w)", r"plus(?<!\wplus)\s", r"at(?<!\wat)\s{1,3}[a-z0-9-]{1,63}\.[a-z0-9]",
+    r"[\[({<]\s?(?:at|@|\.)\s?[\])}>]", rf"(?:{_WORDS})[ ,-]{{1,2}}(?:[0-9]|{_WORDS})")))
+
+
+def _disguised(text: str) -> bool:
+    """Whether a text may hold a disguise (if so, it is rewritten)."""
+    low = text.lower()
+    if not text.isascii():  # other letters that a case-blind pattern takes for s and i
+        low = low.replace("ſ", "s").replace("ı", "i").replace("i̇", "i")
+    return any(hint.search(low) for hint in _HINTS)
 
 
 class Mapped:
@@ -184,8 +206,24 @@ def _spelled_ip_changes(text: str) -> list[tuple[int, int, str]]:
 
 
 def _spelled_changes(text: str) -> list[tuple[int, int, str]]:
-    return [(run.start(), run.end(), "".join(_SPELLED[w.lower()] for w in _SPELL_WORD.findall(run.group())))
-            for run in _SPELL_RUN.finditer(text)]
+    out = []
+    for run in _SPELL_RUN.finditer(text):
+        digits = _SPELL_DIGIT.findall(run.group())
+        if sum(len(d) > 1 for d in digits) >= 2:
+            out.append((run.start(), run.end(), "".join(_SPELLED.get(d.lower(), d) for d in digits)))
+    return out
+
+
+def _addressed(text: str, lo: int, hi: int) -> bool:
+    """Whether text[lo:hi], the word before a bare "at" and a dotted name, is the
+    local part of an address: two letters or more and either a mark inside or a
+    digit in four characters or more, or any name that follows an invitation
+    (``mail john at ...``)."""
+    local = text[lo:hi]
+    letters = sum(map(str.isalpha, local))
+    if letters >= 2 and (_MARKED.search(local) or letters < len(local) >= 4):
+        return True
+    return letters >= 2 and local.lower() not in _NO_NAME and bool(_INVITED.search(text, max(0, lo - 40), lo))
 
 
 def _at_changes(text: str) -> list[tuple[int, int, str]]:
@@ -194,8 +232,7 @@ def _at_changes(text: str) -> list[tuple[int, int, str]]:
         lo = m.start()
         while lo > 0 and m.start() - lo < 64 and text[lo - 1] in _LOCAL:
             lo -= 1
-        local = text[lo:m.start()]
-        if m.group(1) != "." or not local.isalpha():
+        if m.group(1)[0] != "." or _addressed(text, lo, m.start()):
             out.append((m.start(), m.end(), "@"))
     return out
 
@@ -203,15 +240,16 @@ def _at_changes(text: str) -> list[tuple[int, int, str]]:
 def normalise(text: str) -> Mapped | None:
     """The rewritten text with its map, or None where there is no disguise."""
     foreign = not text.isascii()
-    glyphs = foreign and _GLYPH.search(text)
+    glyphs = foreign and (_GLYPH.search(text) or _ASTRAL.search(text))
     hidden = foreign and _HIDDEN.search(text)
-    if not (glyphs or hidden or _TRIGGER.search(text) or _SPELL_RUN.search(text)):
+    if not (glyphs or hidden or _disguised(text)):
         return None
     m = Mapped(text)
     if hidden:
         m.rewrite([(x.start(), x.end(), "") for x in _HIDDEN.finditer(m.text)])
     if glyphs:
-        m.rewrite([(x.start(), x.end(), _MAP[ord(x.group())]) for x in _GLYPH.finditer(m.text)])
+        places = sorted(x.start() for p in (_GLYPH, _ASTRAL) for x in p.finditer(m.text))
+        m.rewrite([(i, i + 1, _MAP[ord(m.text[i])]) for i in places if ord(m.text[i]) in _MAP])
     m.rewrite(_spelled_ip_changes(m.text))
     m.rewrite(_spelled_changes(m.text))
     m.rewrite([(x.start(), x.end(), "+") for x in _PLUS.finditer(m.text)])
@@ -285,8 +323,8 @@ def redact_pii(df: DataFrame, text_col: str = "text", count_col: str | None = No
 
 
 def pii_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Per document: counts of the base spans by kind, digest of the base spans
-    and the list of all spans (base and added)."""
+    """Per document: counts of the base spans by kind, digest of the base spans,
+    the list of all spans (base and added) and the counts of added and of all."""
     def line(only_base: bool) -> Column:
         spans = F.filter("pii", lambda s: ~s["added"]) if only_base else F.col("pii")
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -302,4 +340,5 @@ def pii_digest(df: DataFrame, text_col: str = "text") -> DataFrame:
         F.sha2(line(True).cast("binary"), 256).alias("base_sha256"),
         line(False).alias("spans"),
         F.size(F.filter("pii", lambda s: s["added"])).cast("long").alias("n_added"),
+        F.size("pii").cast("long").alias("n_spans"),
     )
