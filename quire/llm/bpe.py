@@ -14,16 +14,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
-from array import array
-from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 400_000  # pre-tokens remembered by one Python worker
+CACHE_ENTRIES = 250_000  # pre-tokens in each of the two generations a Python worker remembers
 CACHE_CHARS = 64         # longer pre-tokens are not remembered
+CHUNK_CHARS = 1 << 20    # texts are encoded together up to about this many characters
+DIGEST_TYPE = "struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>"
 
 
 def byte_alphabet() -> str:
@@ -82,49 +83,84 @@ def serialise_model(tokens: list[bytes]) -> bytes:
 
 
 class Codec:
-    """One worker's encoder: model, pre-token pattern and a bounded memory."""
+    """One worker's encoder: model, pre-token pattern and a bounded memory.
+
+    The memory has two generations, each of ``CACHE_ENTRIES`` pre-tokens and those
+    of one chunk at most. A pre-token found in the older one is copied to the
+    younger; when the younger is full, it becomes the older and what was not used
+    since is forgotten. Frequent
+    pre-tokens therefore stay however many rare ones pass by."""
 
     def __init__(self, tokens: list[bytes], model: bytes, pattern: str):
         import regex
         import sentencepiece
 
         self.tokens, self.pattern = tokens, regex.compile(pattern)
-        self.exact = {t: i for i, t in enumerate(tokens)}
+        self.exact = {t: struct.pack("<I", i) for i, t in enumerate(tokens)}
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.alphabet = byte_alphabet()
-        self.known: dict[str, array] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.odd, self.strict = _unicode_gap(pattern)
+        self.ascii = _ascii_form(pattern)
 
     def split(self, text: str) -> list[str]:
-        if self.odd and not text.isascii() and not self.odd.isdisjoint(text):
+        if text.isascii():
+            return self.ascii.findall(text)
+        if self.odd and not self.odd.isdisjoint(text):
             return self.strict.findall(text)
         return self.pattern.findall(text)
 
-    def _learn(self, words: list[str]) -> dict[str, array]:
-        raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        ids = self.sp.encode([b.decode("latin-1").translate(self.alphabet) for b in raw], num_threads=1)
-        whole = self.exact
-        return {w: array("I", [whole[b]] if b in whole else i) for w, b, i in zip(words, raw, ids, strict=True)}
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Packed ids of pre-tokens: a token of the vocabulary is itself, the
+        others go through the model."""
+        out, rest, pieces = {}, [], []
+        for w in words:
+            raw = w.encode("utf-8", "surrogatepass")
+            if raw in self.exact:
+                out[w] = self.exact[raw]
+            else:
+                rest.append(w)
+                pieces.append(raw.decode("latin-1").translate(self.alphabet))
+        if rest:
+            for w, ids in zip(rest, self.sp.encode(pieces, num_threads=1), strict=True):
+                out[w] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def _recall(self, words: set[str]) -> list[str]:
+        """Put the packed ids of all of ``words`` into the younger generation;
+        returns those that are too long to stay there."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+        missing = words.difference(self.known)
+        if self.older:
+            again = self.older.keys() & missing
+            self.known.update([(w, self.older[w]) for w in again])
+            missing -= again
+        self.known.update(self._learn(missing))
+        return [w for w in missing if len(w) > CACHE_CHARS]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers. Texts are
+        taken together up to CHUNK_CHARS, so that new pre-tokens reach the model
+        in few calls."""
+        out, chunk, held = [], [], 0
+        for text in [*texts, None]:
+            if chunk and (text is None or held + len(text) > CHUNK_CHARS):
+                split = [self.split(t) for t in chunk]
+                passing = self._recall(set().union(*split))
+                out += [b"".join(map(self.known.__getitem__, words)) for words in split]
+                for w in passing:
+                    del self.known[w]
+                chunk, held = [], 0
+            if text is not None:
+                chunk.append(text)
+                held += len(text)
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        words = self.split(text)
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE_ENTRIES:
-                known.clear()
-                new = list(set(words))
-            known.update(self._learn(new))
-        ids = array("I", chain.from_iterable(map(known.__getitem__, words)))
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del known[w]
-        if ids.itemsize != 4 or struct.pack("=I", 1) != b"\x01\0\0\0":
-            return struct.pack(f"<{len(ids)}I", *ids)
-        return ids.tobytes()
+        return self.encode_many([text])[0] if text else b""
 
     def decode(self, ids: bytes | None) -> bytes:
         if not ids:
@@ -132,6 +168,22 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, memoryview(bytes(ids)).cast("I")))
 
 
+def _ascii_form(pattern: str):
+    """The pattern with letters and numbers as the ASCII ones, which is the same
+    on ASCII texts and much faster; the pattern itself if it uses other classes."""
+    import regex
+
+    out, inside = [], False
+    for part in re.findall(r"\\[pP]\{\^?\w+\}|\\.|.", pattern, re.DOTALL):
+        inside = part == "[" or inside and part != "]"
+        plain = {r"\p{L}": "A-Za-z", r"\p{N}": "0-9"}.get(part)
+        out.append(part if plain is None else plain if inside else f"[{plain}]")
+    form = "".join(out)
+    if re.search(r"\\[pPwWbBdDX]|\(\?|\[\[|[&|~-]{2}", form.replace("(?!", "")):
+        return regex.compile(pattern)
+    return re.compile(form, re.ASCII)
+
+
 def _unicode_gap(pattern: str):
     """Letters and numbers that the pattern library knows and tiktoken's does
     not, or the reverse (their Unicode versions differ), and the pattern with
@@ -182,28 +234,40 @@ class Tokenizer:
         self._shared = spark.sparkContext.broadcast((tokens, model, pattern))
         self._key = hashlib.sha256(model + pattern.encode()).hexdigest()
 
-    def _functions(self):
+    def _function(self, apply, result: str):
+        """Column function from a codec method over the values of a batch."""
         shared, key = self._shared, self._key
 
-        @F.pandas_udf("binary")
-        def encode(texts: pd.Series) -> pd.Series:
-            c = _codec(key, shared)
-            return pd.Series([c.encode(t) for t in texts], dtype=object)
-
-        @F.pandas_udf("binary")
-        def decode(ids: pd.Series) -> pd.Series:
-            c = _codec(key, shared)
-            return pd.Series([c.decode(i) for i in ids], dtype=object)
+        @F.pandas_udf(result)
+        def run(column: pd.Series) -> pd.Series:
+            return pd.Series(apply(_codec(key, shared), column), dtype=object)
 
-        return encode, decode
+        return run
 
     def encode(self, text: Column) -> Column:
         """Ids packed as little-endian unsigned 32-bit integers (binary)."""
-        return self._functions()[0](text)
+        return self._function(lambda c, texts: c.encode_many([t or "" for t in texts]), "binary")(text)
 
     def decode(self, ids: Column) -> Column:
         """Bytes of packed ids (binary)."""
-        return self._functions()[1](ids)
+        return self._function(lambda c, ids: [c.decode(i) for i in ids], "binary")(ids)
+
+    def digest(self, text: Column) -> Column:
+        """Number of tokens, digest of the packed ids and digest of the bytes that
+        the ids decode to; the ids themselves stay in the worker."""
+        shared, key = self._shared, self._key
+
+        @F.pandas_udf(DIGEST_TYPE)
+        def run(column: pd.Series) -> pd.DataFrame:
+            c = _codec(key, shared)
+            ids = c.encode_many([t or "" for t in column])
+            return pd.DataFrame({
+                "n_tokens": [len(i) // 4 for i in ids],
+                "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
+                "decoded_sha256": [hashlib.sha256(c.decode(i)).hexdigest() for i in ids],
+            })
+
+        return run(text)
 
 
 def encode_documents(df: DataFrame, tokenizer: Tokenizer, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -212,9 +276,6 @@ def encode_documents(df: DataFrame, tokenizer: Tokenizer, text_col: str = "text"
 
 def bpe_digest(df: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """Per document: number of tokens, digest of the ids, digest of the decoded bytes."""
-    ids = encode_documents(df.select("doc_id", "text"), tokenizer).select("doc_id", "ids")
-    both = ids.select("doc_id", "ids", tokenizer.decode(F.col("ids")).alias("raw"))
-    return both.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256"),
-    )
+    return df.select("doc_id", tokenizer.digest(F.col("text")).alias("digest")).select(
+        "doc_id", F.col("digest.n_tokens").alias("n_tokens"), F.col("digest.ids_sha256").alias("ids_sha256"),
+        F.col("digest.decoded_sha256").alias("decoded_sha256"))

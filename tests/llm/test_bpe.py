@@ -39,6 +39,26 @@ def test_long_pre_tokens_and_a_full_memory(monkeypatch):
     assert ids(many) == TRUTH.encode_ordinary(many)
 
 
+def test_generations_chunks_and_long_words_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 5)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 8)
+    monkeypatch.setattr(bpe, "CHUNK_CHARS", 40)
+    codec = bpe.Codec(TOKENS, bpe.serialise_model(TOKENS), P.PATTERN)
+    texts = ["", "the cat sat", "x" * 30 + " the cat"] + [f"w{i % 7}q the ü{i % 3} " + "long" * 4 for i in range(40)]
+    for _ in range(3):
+        got = codec.encode_many(texts)
+        assert [list(struct.unpack(f"<{len(g) // 4}I", g)) for g in got] == [TRUTH.encode_ordinary(t) for t in texts]
+        assert len(codec.known) <= 5 + 40 and not any(len(w) > 8 for w in codec.known)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=[chr(c) for c in range(128)], max_size=60))
+def test_ascii_texts_split_as_the_library_splits_them(text):
+    assert CODEC.ascii.pattern != P.PATTERN
+    assert CODEC.split(text) == CODEC.pattern.findall(text)
+    assert ids(text) == TRUTH.encode_ordinary(text)
+
+
 def test_query_on_nulls_repeats_and_empty_tables(spark, tmp_path):
     rows = [(1, "Hello wörld", 1), (1, "Hello wörld", 1), (2, None, 2), (3, "", 3)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
