@@ -88,22 +88,21 @@ def joined(batch, classes: list[str]) -> list[bytes]:
 
 
 class Known(dict):
-    """What a task knows of the terms of one language: term -> its prefix of ``length``
-    bytes if the term was incomplete on the level before and its prefix there survived,
-    else None. Worked out once for each term; forgotten when it grows."""
+    """What a task knows of one language on the level of prefixes of ``length`` bytes:
+    whether a piece, a prefix of ``before`` bytes (None: a whole term), survived, by the
+    table of survivors (None: all did). Worked out once for each piece, of which there are
+    far fewer than terms on the first levels; forgotten when it grows."""
 
     def __init__(self, lang: str, table: bytes | None, length: int | None, before: int | None):
         super().__init__()
         self.salt = zlib.crc32(lang.encode("utf-8", "surrogatepass") + b"\0")
         self.table, self.length, self.before = table, length, before
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        before, out = self.before, term[:self.length]
-        if before is not None and len(term) < before or not self.holds(term[:before]):
-            out = None
+    def __missing__(self, piece: bytes) -> bool:
+        out = self.before in (None, len(piece)) and self.holds(piece)
         if len(self) > HELD:
             self.clear()
-        self[term] = out
+        self[piece] = out
         return out
 
     def holds(self, piece: bytes) -> bool:
@@ -125,10 +124,12 @@ def bit_table(pieces: DataFrame) -> bytes:
 
 
 def prefixes_of(terms: bytes, known: Known) -> set[bytes]:
-    """Distinct prefixes that the terms of one document have on the level of ``known``."""
-    out = set(map(known.__getitem__, terms.split()))
-    out.discard(None)
-    return out
+    """Distinct prefixes that the terms of one document have on the level of ``known``:
+    of the terms that were incomplete on the level before and survived there."""
+    length, before, alive = known.length, known.before, known.__getitem__
+    if before is None:
+        return {t[:length] for t in terms.split()}
+    return {t[:length] for t in terms.split() if alive(t[:before])}
 
 
 def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
