@@ -21,6 +21,11 @@ FENCE_PATTERN = r"(?s)```(?:json)?" + WS + r"*\n?(.*?)\n?```"
 # Greedy object: from the first '{' to the last '}'.
 OBJECT_PATTERN = r"(?s)\{.*\}"
 REQUIRED_KEYS = ["front", "back", "card_type"]
+# Numbers that lenient JSON readers take and strict ones refuse, standing by themselves.
+NON_FINITE = r"(?<![\w.+-])(?:NaN|-?Infinity)(?![\w.+-])"
+
+# Not allowed anywhere in JSON, so they can stand for escapes while a text is split.
+BACKSLASH_MARK, QUOTE_MARK = "\x01", "\x02"
 
 
 def _c(x) -> Column:
@@ -49,19 +54,40 @@ def fenced_block(text) -> Column:
     return F.when(t.rlike(FENCE_PATTERN), strip(F.regexp_extract(t, FENCE_PATTERN, 1)))
 
 
+def finite_numbers(s: Column) -> Column:
+    """JSON text with every NaN or Infinity outside strings written as 0.5: like them a number that
+    is no integer, no text and no list, so all checks of a card come out the same. Escapes are
+    masked first; the pieces between quotes are then inside and outside strings by turns."""
+    masked = F.replace(F.replace(s, F.lit("\\\\"), F.lit(BACKSLASH_MARK)), F.lit('\\"'), F.lit(QUOTE_MARK))
+    pieces = F.transform(F.split(masked, '"', -1), lambda x, i: F.when(
+        i % 2 == 0, F.regexp_replace(x, NON_FINITE, "0.5")).otherwise(x))
+    joined = F.array_join(pieces, '"')
+    return F.replace(F.replace(joined, F.lit(QUOTE_MARK), F.lit('\\"')), F.lit(BACKSLASH_MARK), F.lit("\\\\"))
+
+
 def strict_json(s) -> Column:
     """Parse text that must be exactly one JSON value (trailing text is an
-    error, as for Python's json.loads). Wrapping in '[...]' turns trailing
-    text into a parse error; exactly one element must come back."""
-    arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), _c(s), F.lit("]"))), "$", "array<variant>")
+    error, as for Python's json.loads, which also reads NaN and Infinity). Wrapping in
+    '[...]' turns trailing text into a parse error; exactly one element must come back."""
+    odd = lambda x: (x.contains("NaN") | x.contains("Infinity")) & ~x.rlike(f"[{BACKSLASH_MARK}{QUOTE_MARK}]")
+    text = let(_c(s), lambda x: F.when(odd(x), finite_numbers(x)).otherwise(x))
+    arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
     return let(arr, lambda a: F.when(F.size(a) == 1, F.try_element_at(a, F.lit(1))))
 
 
+def keep_last_of_repeated_keys(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on reads an object with a repeated key with the last
+    value (Spark's own setting; by default such text is an error)."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df
+
+
 def parse_ladder(df: DataFrame, text: str) -> DataFrame:
     """C4: add ``stage`` and ``reply``: fenced block -> whole text -> greedy object ->
     none. A candidate that fails to parse falls through to the next. Each candidate
     is a column of its own that is worked out once, and only where those before it
-    failed."""
+    failed. Sets the session to keep the last of repeated keys."""
+    df = keep_last_of_repeated_keys(df)
     t = F.col(text)
     # Without a match the extracted text is empty, which is no JSON value either.
     block = F.when(t.contains("```"), strip(F.regexp_extract(t, FENCE_PATTERN, 1)))

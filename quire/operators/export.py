@@ -11,11 +11,13 @@ has -- is gathered into one task or one row.
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.sources import versions as V
 
 log = logging.getLogger(__name__)
 
@@ -188,6 +190,46 @@ def write_cards(books: DataFrame, chapters: DataFrame, cards: DataFrame, path: s
     return f
 
 
+@dataclass
+class Published:
+    """A published export: its format, folder, ``manifest(file_stem, book_id, cards)`` and
+    ``removed``, the same rows of the export before for files that this one has no more."""
+
+    fmt: str
+    folder: str
+    manifest: DataFrame
+    removed: DataFrame
+
+
+def _manifests(path: str, fmt: str) -> str:
+    return f"{path.rstrip('/')}/manifests/{fmt}"
+
+
+def publish_cards(books: DataFrame, chapters: DataFrame, cards: DataFrame, path: str, fmt: str = "json",
+                  run_ts: str = DEFAULT_RUN_TS, order=CARD_ORDER, escape: bool = False) -> Published:
+    """K4 + K6 in two phases: the files go to a new folder, then a manifest is written that names
+    it. Readers follow the last complete manifest (``published``), so a run that fails changes
+    nothing for them, and a book that lost its cards has no file in the new export. Each
+    format is published by itself, by one job at a time. Costs of publishing do not grow with
+    the number of files: nothing is moved."""
+    spark = books.sparkSession
+    root = path.rstrip("/")
+    run = V.next_number(spark, f"{root}/files", "run")
+    folder = f"{root}/files/run={run}"
+    fmt = write_cards(books, chapters, cards, folder, fmt, run_ts, order, escape)
+    last = published(spark, path, fmt)
+    rows = _card_rows(books, cards).groupBy("file_stem", "book_id").agg(F.count(F.lit(1)).alias("cards"))
+    V.write_next(rows.withColumn("folder", F.lit(f"{folder}/{fmt}")), _manifests(path, fmt))
+    manifest = published(spark, path, fmt).drop("folder")
+    before = manifest.limit(0) if last is None else last.drop("folder")
+    return Published(fmt, f"{folder}/{fmt}", manifest, before.join(manifest.select("file_stem"), "file_stem", "left_anti"))
+
+
+def published(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame | None:
+    """The manifest of the current export with the ``folder`` of its files; None before the first."""
+    return V.read_latest(spark, _manifests(path, fmt))
+
+
 def write_summary(summary: DataFrame, per_book: DataFrame, path: str, run_id: str, run_ts: str = DEFAULT_RUN_TS) -> None:
     """K5: generation summary (with the time of the run as ``generated_at``) and per-book
     rows as JSON under ``run_id=``."""

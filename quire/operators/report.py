@@ -46,6 +46,30 @@ def book_summary(books: DataFrame, chapters: DataFrame) -> DataFrame:
     return books.select("book_id", "title", "author").join(book_totals(books, chapters), "book_id")
 
 
+def book_documents(books: DataFrame, chapters: DataFrame, per_part: int = 256) -> DataFrame:
+    """A3, nested: books as documents with their totals and ``chapters``, an array of
+    (chapter_number, title, words) in order. A book comes in parts of ``per_part``
+    consecutive chapter numbers, so that no row grows with a book: part k holds the numbers
+    after (k - 1) * per_part, ``parts`` is the book's number of rows. A book without chapters is
+    one row (part 1) with an empty array. Chapter numbers have to be unique within a book, as
+    numbering makes them (``numbering_audit`` tells); a part without any is no row, and a null
+    number is an error."""
+    if per_part < 1:
+        raise ValueError("a part holds one chapter at least")
+    number = F.coalesce("chapter_number", F.raise_error(F.lit("a chapter without a number")).cast("int"))
+    ch = _words(chapters).select(
+        "book_id", (F.floor((number - 1) / per_part) + 1).cast("long").alias("part"),
+        F.struct(number.alias("chapter_number"), F.col("title"), F.col("words").cast("long").alias("words")).alias("chapter"))
+    nested = ch.groupBy("book_id", "part").agg(F.array_sort(F.collect_list("chapter")).alias("chapters"))
+    totals = ch.groupBy("book_id", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chapter.words").alias("words")).groupBy("book_id").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total_chapters"), F.sum("words").alias("total_words"))
+    none = {"total_chapters": 0, "total_words": 0, "part": 1, "parts": 1}
+    x = books.select("book_id", "title", "author").join(totals, "book_id", "left").join(nested, "book_id", "left")
+    return x.select("book_id", "title", "author", *[F.coalesce(k, F.lit(v).cast("long")).alias(k) for k, v in none.items()],
+                    F.coalesce("chapters", F.array().cast(nested.schema["chapters"].dataType)).alias("chapters"))
+
+
 def cards_per_book(books: DataFrame, cards: DataFrame) -> DataFrame:
     """Cards per book, 0 for books without cards."""
     n = cards.groupBy("book_id").agg(F.count(F.lit(1)).alias("flashcards"))
@@ -158,6 +182,17 @@ def latest_by_title(books: DataFrame) -> DataFrame:
     )
 
 
+def merge_latest(state: DataFrame | None, books: DataFrame) -> DataFrame:
+    """R6 across runs: per title the book discovered last, of those known so far and
+    those of a run (``title, book_id, discovery_no``). The larger book id wins among equal
+    discovery numbers and a null number is the earliest, so the runs may come in any order
+    or twice. Books without a title share one row, as in one run."""
+    cols = ["title", "book_id", "discovery_no"]
+    both = books.select(*cols) if state is None else state.select(*cols).unionByName(books.select(*cols))
+    best = both.groupBy("title").agg(F.max(F.struct("discovery_no", "book_id")).alias("_best"))
+    return best.select("title", "_best.book_id", "_best.discovery_no")
+
+
 def name_collisions(books: DataFrame) -> DataFrame:
     """Export file names shared by several books."""
     return (

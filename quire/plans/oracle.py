@@ -522,6 +522,13 @@ q("corpus_summary", """SELECT count(*) AS total_books, CAST(coalesce(sum(chapter
   CAST(coalesce(sum(words), 0) AS BIGINT) AS total_words FROM fx_totals""", "fx_totals")
 q("book_summary", """SELECT b.book_id, b.title, b.author, t.chapters, t.words FROM fx_books b JOIN fx_totals t ON t.book_id = b.book_id""",
   "fx_books", "fx_totals")
+q("book_documents", f"""SELECT b.book_id, b.title, b.author, t.chapters AS total_chapters, t.words AS total_words, coalesce(p.part, 1) AS part,
+  coalesce(p.parts, 1) AS parts, coalesce(p.chapters, '') AS chapters
+FROM fx_books b JOIN fx_totals t ON t.book_id = b.book_id LEFT JOIN (
+  SELECT *, count(*) OVER (PARTITION BY book_id) AS parts FROM (
+    SELECT book_id, CAST((chapter_number - 1) // 8 + 1 AS BIGINT) AS part, string_agg(concat_ws('|', CAST(chapter_number AS VARCHAR),
+      CAST({wc('content')} AS VARCHAR), title), {NL} ORDER BY chapter_number) AS chapters
+    FROM fx_chapters GROUP BY 1, 2)) p ON p.book_id = b.book_id""", "fx_books", "fx_totals", "fx_chapters")
 q("generation_summary", """SELECT total_books, total_chapters, total_flashcards,
   coalesce(CAST(total_flashcards AS DOUBLE) / nullif(CAST(total_books AS DOUBLE), 0), 0.0) AS average_flashcards_per_book
 FROM (SELECT count(*) AS total_books, CAST(coalesce(sum(t.chapters), 0) AS BIGINT) AS total_chapters,
@@ -542,6 +549,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY chapter_number)
              count(*) OVER (PARTITION BY book_id) AS n FROM fx_chapters) WHERE rk <= 3""", "fx_chapters")
 q("latest_by_title", """SELECT title, arg_max(book_id, discovery_no) AS book_id, count(*) AS books_with_title
 FROM fx_books GROUP BY title""", "fx_books")
+q("latest_across_runs", """SELECT title, book_id, discovery_no FROM (
+  SELECT *, row_number() OVER (PARTITION BY title ORDER BY discovery_no DESC, book_id DESC) AS rk FROM fx_books) WHERE rk = 1""", "fx_books")
 q("name_collisions", f"""SELECT file_stem, count(*) AS books, min(book_id) AS first_book, max(book_id) AS last_book
 FROM (SELECT book_id, {safe_name('title')} AS file_stem FROM fx_books) GROUP BY file_stem HAVING count(*) > 1""", "fx_books")
 

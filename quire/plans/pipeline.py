@@ -89,7 +89,8 @@ def _together(frames: list[DataFrame]) -> DataFrame:
 
 def run(spark: SparkSession, inputs: PagedInputs | None, replies: DataFrame | None, out_dir: str, run_id: str,
         fmt: str = "json", chapter_cap: int | None = None, cards_per_chapter: int = 5,
-        run_ts: str | None = None, spine: SpineInputs | None = None, files: DataFrame | None = None) -> dict[str, DataFrame]:
+        run_ts: str | None = None, spine: SpineInputs | None = None, files: DataFrame | None = None,
+        publish: bool = False) -> dict[str, DataFrame]:
     """Files -> chapters of paged and spine books -> suitable chapters -> card requests;
     replies -> typed cards -> exports; summaries.
 
@@ -100,7 +101,10 @@ def run(spark: SparkSession, inputs: PagedInputs | None, replies: DataFrame | No
 
     ``replies`` is the output table of a batch-inference job over the requests
     (``reply_id, book_id, chapter_title`` and ``response_text``, or the columns of
-    ``reply_text`` it is taken from); without it, extractive cards stand in."""
+    ``reply_text`` it is taken from); without it, extractive cards stand in.
+
+    With ``publish`` the exports are published under a manifest (``export.publish_cards``):
+    ``manifest`` and ``removed_files`` are added, and a run that fails leaves the last export."""
     if inputs is None and spine is None:
         raise ValueError("no books: give paged or spine inputs")
     # The exports carry the time of the run, taken once.
@@ -128,7 +132,8 @@ def run(spark: SparkSession, inputs: PagedInputs | None, replies: DataFrame | No
     else:
         cards = C.extractive_cards(suitable, cards_per_chapter).withColumnRenamed("chapter_number", "reply_id")
     cards = _stage(cards, f"{wd}/cards")
-    K.write_cards(books, chapters, cards, f"{out_dir}/cards", fmt, run_ts)
+    write = K.publish_cards if publish else K.write_cards
+    exported = write(books, chapters, cards, f"{out_dir}/cards", fmt, run_ts)
     summary = A.generation_summary(books, chapters, cards)
     per_book = A.book_summary(books, chapters).join(A.cards_per_book(books, cards), "book_id")
     K.write_summary(summary, per_book, f"{out_dir}/summary", run_id, run_ts)
@@ -140,4 +145,6 @@ def run(spark: SparkSession, inputs: PagedInputs | None, replies: DataFrame | No
     out["accounting"] = spark.createDataFrame(
         [(level, outcome, n) for level, p in passes.items() for outcome, n in p.counts.items()],
         "level string, outcome string, rows long")
+    if publish:
+        out |= {"manifest": exported.manifest, "removed_files": exported.removed}
     return out | ({"rejected_files": found.rejected} if found else {})

@@ -454,6 +454,14 @@ def book_summary(c: Corpus) -> DataFrame:
     return A.book_summary(c.books, c.chapters)
 
 
+def book_documents(c: Corpus) -> DataFrame:
+    """Words are counted where the text is read; the nested chapters are shown as lines."""
+    counted = c.raw_chapters.select("book_id", "doc_id", "title", S._once(T.word_count(F.col("content")).alias("words")))
+    d = A.book_documents(c.books, _numbered(c, counted, "title", "words"), 8)
+    line = F.transform("chapters", lambda x: F.concat_ws("|", x["chapter_number"].cast("string"), x["words"].cast("string"), x["title"]))
+    return d.withColumn("chapters", F.array_join(line, "\n"))
+
+
 def generation_summary(c: Corpus) -> DataFrame:
     return A.generation_summary(c.books, c.chapters, c.cards)
 
@@ -482,6 +490,12 @@ def latest_by_title(c: Corpus) -> DataFrame:
     return A.latest_by_title(c.books)
 
 
+def latest_across_runs(c: Corpus) -> DataFrame:
+    """Books with odd discovery numbers come from one run, the others from a later one."""
+    odd = F.col("discovery_no") % 2 == 1
+    return A.merge_latest(A.merge_latest(None, c.books.where(odd)), c.books.where(~odd))
+
+
 def name_collisions(c: Corpus) -> DataFrame:
     return A.name_collisions(c.books)
 
@@ -530,8 +544,8 @@ QUERY_FUNCS: list[Callable[[Corpus], DataFrame]] = [
     spine_chapters, spine_dangling, all_chapters, suit_length, suit_title, suit_boilerplate, suit_legal_ratio,
     suitable_chapters, suit_funnel, suit_funnel_by_book, card_requests, reply_text, reply_fenced, reply_parse_stage, reply_shape, cards_exploded,
     cards_valid, reply_report, reply_reconciliation, reconciliation_summary, card_audit, card_mix, extractive_cards, card_preview, corpus_summary,
-    book_summary, generation_summary, cards_per_book, books_without_cards, avg_words_per_chapter,
-    summary_rollup, chapter_preview, latest_by_title, name_collisions, export_json, export_csv_rows,
+    book_summary, book_documents, generation_summary, cards_per_book, books_without_cards, avg_words_per_chapter,
+    summary_rollup, chapter_preview, latest_by_title, latest_across_runs, name_collisions, export_json, export_csv_rows,
     export_deck_rows, corpus_cards,
 ]
 
