@@ -53,3 +53,6 @@ def test_replies_of_a_model_run(spark, tmp_path):
     out = run(spark, PagedInputs(lines, fx.toc(lines).limit(0), fx.spans(lines).limit(0), books), replies, str(tmp_path), "t3", "csv")
     assert [(r.front, r.source) for r in out["cards"].collect()] == [("f", "c")]
     assert "rejected_files" not in out
+    again = run(spark, PagedInputs(lines, fx.toc(lines).limit(0), fx.spans(lines).limit(0), books), replies, str(tmp_path / "p"), "t4", "csv",
+                publish=True)
+    assert [(r.file_stem, r.cards) for r in again["manifest"].collect()] == [("T", 1)] and again["removed_files"].count() == 0
