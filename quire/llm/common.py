@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,16 +33,59 @@ def shared_dir(spark: SparkSession) -> str:
     return (named or current).rstrip("/")
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Meanwhile Spark removes a query's shuffle files when the query has ended, not when the
+    driver happens to collect its garbage: what is staged and its shuffles would else
+    lie on disk together."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the
     lineage, survives the loss of executors, and later passes read only the
     columns they use."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression=compression)
+    with shuffles_removed(spark):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def tasks(spark: SparkSession) -> int:
     """Number of shuffle partitions the session is configured for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def unstaged(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, each worked out once while it is remembered; beyond
+    ``most`` words all are forgotten."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))

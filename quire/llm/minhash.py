@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import shared_dir, staged, tasks
+from quire.llm.common import WordHashes, shared_dir, shuffles_removed, staged, tasks, unstaged
 
 COLLECTIONS = 18
 ROWS = 4
@@ -57,9 +57,9 @@ SPOKES = 4           # partners a member gets in a linear round
 HOT = 64             # members of a prefix shingle from which on tiles are multiplied
 TILE = 256           # members of a tile
 COLUMNS = 1 << 14    # shingles of a set matrix at once
+BLOCK = 200_000      # characters of texts that are signed at once
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_known: dict[bytes, int] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -69,71 +69,104 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+_known = WordHashes(200_000)
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words: A-Z lower-cased, split at ASCII white space
     (which is what ``bytes`` methods do)."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if len(_known) > 500_000:
-        _known.clear()
-    known, out = _known, np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) <= 64:
-                known[w] = h
-        out[i] = h
+    return _known.of((text or "").encode("utf-8", "surrogatepass").lower().split())
+
+
+def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
+    """Of each text, the sorted distinct hashes of the shingles of ``words`` words. Shingles
+    are hashed for all texts at once; those that reach into the next text are left out."""
+    hashes = [word_hashes(t) for t in texts]
+    sizes = [min(words, len(h)) for h in hashes]
+    ends = np.cumsum([len(h) for h in hashes])
+    out = [h[:0] for h in hashes]
+    for n in set(sizes) - {0}:
+        # Texts of fewer words have one shingle of all of them.
+        every = np.concatenate(hashes)
+        acc = np.full(max(0, len(every) - n + 1), n, np.uint64)
+        for j in range(n):
+            acc = mix(acc * np.uint64(3) + every[j:len(every) - n + 1 + j])
+        for i, (h, end) in enumerate(zip(hashes, ends.tolist())):
+            if sizes[i] == n:
+                s = np.sort(acc[end - len(h):end - n + 1])
+                out[i] = s[np.append(True, s[1:] != s[:-1])]
     return out
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles of ``words`` words."""
-    h = word_hashes(text)
-    n = min(words, len(h))
-    if n == 0:
-        return h
-    acc = np.full(len(h) - n + 1, n, np.uint64)
-    for j in range(n):
-        acc = mix(acc * np.uint64(3) + h[j:len(h) - n + 1 + j])
-    return np.unique(acc)
+    return shingle_sets([text], words)[0]
 
 
 _SALTS = mix(np.arange(1, COLLECTIONS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
-    """The smallest value of the set under each of COLLECTIONS * ROWS hashes."""
-    out = np.empty(len(_SALTS), np.uint64)
-    with np.errstate(over="ignore"):
-        for i, salt in enumerate(_SALTS):
-            # Multiplying by an odd number, after a xor, orders hashed values anew.
-            x = (shingles ^ salt) * (salt | np.uint64(1))
-            out[i] = (x ^ (x >> np.uint64(32))).min()
+def minhashes(sets: list[np.ndarray]) -> np.ndarray:
+    """The smallest values of non-empty sets, a row for each set, under each of
+    COLLECTIONS * ROWS hashes."""
+    every = np.concatenate(sets)
+    starts = np.cumsum([0] + [len(x) for x in sets[:-1]])
+    out = np.empty((len(sets), len(_SALTS)), np.uint64)
+    x, high = np.empty_like(every), np.empty_like(every)
+    for i, salt in enumerate(_SALTS):
+        # Multiplying by an odd number, after a xor, orders hashed values anew.
+        np.bitwise_xor(every, salt, out=x)
+        np.multiply(x, salt | np.uint64(1), out=x)
+        np.right_shift(x, np.uint64(32), out=high)
+        np.bitwise_xor(x, high, out=x)
+        out[:, i] = np.minimum.reduceat(x, starts)
     return out
 
 
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of non-empty sets: the values of the collections, and sketches of two numbers."""
+    low = minhashes(sets)
+    # Position-dependent folding of each collection's minhashes to one value.
+    values = np.full((len(sets), COLLECTIONS), 7, np.uint64)
+    for r in range(ROWS):
+        values = mix(values * np.uint64(3) + low[:, r::ROWS])
+    two = (mix(low[:, :SKETCH]) & np.uint64(3)) << (np.arange(SKETCH, dtype=np.uint64) % np.uint64(32) * np.uint64(2))
+    return values.view(np.int64), np.bitwise_or.reduce(two.reshape(-1, 2, 32), axis=2).view(np.int64)
+
+
+def text_blocks(texts: list[str | None]):
+    """Ranges of consecutive texts of about BLOCK characters, or of one longer text."""
+    lo, held = 0, 0
+    for i, t in enumerate(texts):
+        if held and held + len(t or "") > BLOCK:
+            yield lo, i
+            lo, held = i, 0
+        held += len(t or "") + 1
+    if texts:
+        yield lo, len(texts)
+
+
 def _sign(batches, words: int):
-    for pdf in batches:
-        out = []
-        for doc, text in zip(pdf.doc_id, pdf.text):
-            s = shingle_set(text, words)
-            if not len(s):
-                out.append((doc, 0, None, None, None, None, None))
-                continue
-            low = minhashes(s)
-            # Position-dependent folding of each collection's minhashes to one value.
-            values = np.full(COLLECTIONS, 7, np.uint64)
-            for r in range(ROWS):
-                values = mix(values * np.uint64(3) + low[r::ROWS][:COLLECTIONS])
-            two = (mix(low[:SKETCH]) & np.uint64(3)) << (np.arange(SKETCH, dtype=np.uint64) % np.uint64(32) * np.uint64(2))
-            sketch = np.bitwise_or.reduce(two.reshape(2, 32), axis=1).view(np.int64)
-            whole = xxhash.xxh3_128_intdigest(s.tobytes())
-            a, b = np.array([whole >> 64, whole & (1 << 64) - 1], np.uint64).view(np.int64)
-            out.append((doc, len(s), int(a), int(b), values.view(np.int64), int(sketch[0]), int(sketch[1])))
-        yield pd.DataFrame({
-            "doc_id": pd.array([x[0] for x in out], "Int64"), "n": [x[1] for x in out],
-            **{c: pd.array([x[i] for x in out], "Int64") for c, i in (("a", 2), ("b", 3), ("s1", 5), ("s2", 6))},
-            "values": pd.Series([x[4] for x in out], dtype=object)})
+    """A row for each row of (doc_id, text); what only non-empty sets have is null for others."""
+    for batch in batches:
+        texts, ids = batch.column("text").to_pylist(), batch.column("doc_id")
+        for lo, hi in text_blocks(texts):
+            sets = shingle_sets(texts[lo:hi], words)
+            n = np.array([len(s) for s in sets], np.int64)
+            some = n > 0
+            whole, sketch = np.zeros((hi - lo, 2), np.int64), np.zeros((hi - lo, 2), np.int64)
+            values = np.empty((0, COLLECTIONS), np.int64)
+            if some.any():
+                full = [s for s in sets if len(s)]
+                digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in full]
+                whole[some] = np.array([(x >> 64, x & (1 << 64) - 1) for x in digests], np.uint64).view(np.int64)
+                values, sketch[some] = signatures(full)
+            a, b, s1, s2 = (pa.array(x, pa.int64(), mask=~some) for x in (*whole.T, *sketch.T))
+            ends = np.append(0, np.cumsum(some) * COLLECTIONS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(lo, hi - lo), pa.array(n), a, b, s1, s2,
+                 pa.ListArray.from_arrays(pa.array(ends, mask=np.append(~some, False)), pa.array(values.ravel()))],
+                ["doc_id", "n", "a", "b", "s1", "s2", "values"])
 
 
 def _tables(batches):
@@ -219,8 +252,8 @@ def whole_sets(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
 def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (x, y) of class representatives whose whole sets are similar:
     100 * intersection >= percent * union."""
-    pairs = pairs.checkpoint()
-    ids = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct().checkpoint()
+    pairs = staged(pairs, "pairs")
+    ids = staged(pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct(), "ids")
     sets = whole_sets(ids, docs, words)
 
     @F.pandas_udf("boolean")
@@ -235,8 +268,10 @@ def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
     left = sets.select(F.col("doc_id").alias("x"), F.col("items").alias("left"))
     right = sets.select(F.col("doc_id").alias("y"), F.col("items").alias("right"))
     # A representative may be in many pairs: plain joins, whose large partitions Spark splits.
-    return (pairs.join(left, "x").join(right, "y").where(similar("left", "right"))
-            .select("x", "y").distinct().checkpoint())
+    links = staged(pairs.join(left, "x").join(right, "y").where(similar("left", "right"))
+                   .select("x", "y").distinct(), "links")
+    unstaged(sets)  # by far the largest table here
+    return links
 
 
 def prefixes(open_: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -248,15 +283,17 @@ def prefixes(open_: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     def unpacked(items: pd.Series) -> pd.Series:
         return pd.Series([np.frombuffer(x, np.int64) for x in items], dtype=object)
 
-    sets = whole_sets(open_.select(F.col("v").alias("id")), docs, words).dropDuplicates(["doc_id"])
-    placed = open_.join(sets.withColumnRenamed("doc_id", "v"), "v").select(
+    sets = whole_sets(open_.select(F.col("v").alias("id")), docs, words)
+    placed = open_.join(sets.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "v"), "v").select(
         "v", "c", "n", F.explode(unpacked("items")).alias("s"))
     shared = placed.select("s", "c").distinct().groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     common = placed.join(shared, "s").groupBy("v", "c", "n").agg(F.array_sort(F.collect_list(F.struct("f", "s"))).alias("common"))
     least = F.floor((percent * F.col("n") + 99) / 100)  # shingles that any partner shares
     take = (F.col("n") - least + 1 - (F.col("n") - F.size("common"))).cast("int")
-    return common.where(take > 0).select("v", "c", F.slice("common.s", F.lit(1), take).alias("prefix"),
-                                      F.array_sort("common.s").alias("common"))
+    found = staged(common.where(take > 0).select("v", "c", F.slice("common.s", F.lit(1), take).alias("prefix"),
+                                                 F.array_sort("common.s").alias("common")), "common")
+    unstaged(sets)
+    return found
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -327,8 +364,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """doc_id, n_shingles, component_id and kept for every row of ``docs``
     (columns doc_id and text)."""
     shared_dir(docs.sparkSession)
-    docs = docs.select("doc_id", "text")
-    signed = staged(docs.mapInPandas(
+    with shuffles_removed(docs.sparkSession):
+        return _near_duplicates(docs, words, percent)
+
+
+def _near_duplicates(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed = staged(docs.mapInArrow(
         lambda batches: _sign(batches, words),
         "doc_id long, n long, a long, b long, s1 long, s2 long, values array<long>"), "signatures")
     by_class = signed.where("n > 0 AND doc_id IS NOT NULL").groupBy("a", "b").agg(
@@ -364,8 +406,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         of, to = labels.toDF("x", "cx"), labels.toDF("y", "cy")
         roots = components(links.join(of, "x").join(to, "y").where("cx <> cy")
                            .select(F.col("cx").alias("x"), F.col("cy").alias("y")).distinct())
-        return (labels.join(roots.toDF("c", "root"), "c", "left")
-                .select("v", F.coalesce("root", "c").alias("c")).checkpoint())
+        return staged(labels.join(roots.toDF("c", "root"), "c", "left")
+                      .select("v", F.coalesce("root", "c").alias("c")), "labels")
 
     def mixed(labels: DataFrame) -> DataFrame:
         """(key, v, c) of the buckets that hold several components."""
@@ -374,7 +416,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return placed.join(several.select("key"), "key", "left_semi")
 
     first = members.where("v <> leader").groupBy(F.col("v").alias("x")).agg(F.min("leader").alias("y"))
-    labels = relabel(members.select("v").distinct().withColumn("c", F.col("v")).checkpoint(),
+    labels = relabel(staged(members.select("v").distinct().withColumn("c", F.col("v")), "labels"),
                      confirm(possible(first), docs, words, percent))
     # Linear rounds: a member against a few members of its buckets that any other
     # member of the bucket is compared with too.
@@ -391,9 +433,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # What is left is exact: members of mixed buckets by what their sets share. The
     # smaller component of a shingle is laid out against the larger ones.
     open_ = staged(mixed(labels).select("v", "c").distinct().join(classes.select("v", "n"), "v"), "mixed")
-    found = staged(prefixes(open_, docs, words, percent).join(classes.select("v", "n", "s1", "s2"), "v"), "prefixes")
+    shared = prefixes(open_, docs, words, percent)
+    found = staged(shared.join(classes.select("v", "n", "s1", "s2"), "v"), "prefixes")
+    unstaged(shared)
     every = found.select("v", F.explode("prefix").alias("key"))
-    hot = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HOT).checkpoint()
+    hot = every.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HOT)
+    hot = staged(hot, "hot")
     rows = found.select("v", "c", "n", "s1", "s2", "prefix", F.explode("prefix").alias("key")).join(hot, "key", "left_anti").select(
         "v", "c", "n", "s1", "s2", "prefix", "key")
     held = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))

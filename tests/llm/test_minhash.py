@@ -146,3 +146,22 @@ def test_intersections_in_several_steps(monkeypatch):
         monkeypatch.setattr(minhash, "COLUMNS", columns)
         got = minhash.intersections(sets)
         assert all(got[i, j] == want[i][j] for i in range(20) for j in range(20) if i != j)
+
+
+def test_large_ids_beside_null_ids_and_no_sets_left_on_disk(spark):
+    """Ids beyond 2**53 stay exact where other rows have none, and the staged sets go when
+    their pairs are confirmed."""
+    from pathlib import Path
+
+    from quire.llm.common import shared_dir
+
+    big = (1 << 53) + 1
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(big, text), (big + 1, text + " more"), (None, text), (7, None), (8, "  "), (9, "a b")]
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("stage-sets-*"))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), words=4).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {
+        (big, big, True), (big + 1, big, False), (None, None, False), (7, 7, True), (8, 8, True), (9, 9, True)}
+    assert {r.doc_id: r.n_shingles for r in got if r.doc_id} == {big: 57, big + 1: 58, 7: 0, 8: 0, 9: 1}
+    assert set(folder.glob("stage-sets-*")) == before
