@@ -21,13 +21,14 @@ from quire.operators import rejects as RJ
 from quire.operators import report as A
 from quire.operators import segment as S
 from quire.operators import suitability as SU
+from quire.session import stage_once
 from quire.sources import fixtures as fx
 from quire.sources.tables import read_table
 
 
 class Corpus:
     """Lazily built fixture inputs and shared intermediate plans for one
-    data folder. Nothing is computed until an action runs."""
+    data folder. Nothing but ``pages`` is computed until an action runs."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
@@ -38,9 +39,16 @@ class Corpus:
         return fx.lines(self.spark, self.sf)
 
     @cached_property
-    def pages(self) -> DataFrame:
+    def page_facts(self) -> DataFrame:
+        """For queries that use it once."""
         return S.page_facts(self.lines)
 
+    @cached_property
+    def pages(self) -> DataFrame:
+        """The same for the cascade and the assembly, which use it several times: every line is
+        cleaned, tested and shuffled once."""
+        return stage_once(self.page_facts, "pages")
+
     @cached_property
     def book_pages(self) -> DataFrame:
         return S.book_pages(self.pages)
@@ -213,7 +221,7 @@ def line_noise_profile(c: Corpus) -> DataFrame:
 
 
 def page_text(c: Corpus) -> DataFrame:
-    return L.page_text(c.pages)
+    return L.page_text(c.page_facts)
 
 
 def _range_text(c: Corpus, toc: DataFrame) -> DataFrame:
@@ -239,7 +247,7 @@ def heading_like(c: Corpus) -> DataFrame:
 
 
 def heading_pattern(c: Corpus) -> DataFrame:
-    return S.heading_lines(c.pages).select("book_id", "line_no", "rule", "title")
+    return S.heading_lines(c.page_facts).select("book_id", "line_no", "rule", "title")
 
 
 # --- boundaries and chapters ------------------------------------------------

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -49,3 +50,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def stage_once(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back, for a table that
+    several branches of a plan use: Spark would work it out again for each of them, as
+    they use different columns."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quire-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -83,3 +83,13 @@ def test_query_matches_oracle(spark, duck, name):
 def test_standalone_queries_judge_every_book(spark, name):
     part, every = (Q.queries()[n](spark, SF_SMALL).select("book_id").distinct().collect() for n in (name, f"{name}_every"))
     assert {r[0] % 5 for r in every} == set(range(5)) and {r[0] for r in part} < {r[0] for r in every}
+
+
+def test_lines_are_cleaned_once_for_the_cascade(spark):
+    """The page table is written once: what is left of the lines in the plan is the outline
+    and the spans, and no line is cleaned again."""
+    from quire.plans.queries import queries
+
+    df = queries()["corpus_cards"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode(") <= 2
