@@ -34,19 +34,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession):
-    """Meanwhile Spark removes a query's shuffle files when the query has ended, not when the
-    driver happens to collect its garbage: what is staged and its shuffles would else
-    lie on disk together."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+def setting(spark: SparkSession, key: str, value: str):
+    """A setting of the session that holds meanwhile."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def shuffles_removed(spark: SparkSession):
+    """Meanwhile Spark removes a query's shuffle files when the query has ended, not when the
+    driver happens to collect its garbage: what is staged and its shuffles would else
+    lie on disk together."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the
     lineage, survives the loss of executors, and later passes read only the

@@ -37,23 +37,26 @@ from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import shared_dir, staged, tasks
+from quire.llm.common import WordHashes, setting, shared_dir, shuffles_removed, staged, tasks, unstaged
 
 CONTEXTS = (1 << 64) - 1  # previous words by their whole hash; this number itself is the start of a document
 SWEEPS = 3
 STRENGTH = 1.0          # concentration of every restaurant
 BUCKET_BYTES = 5 << 20  # text bytes that make one bucket
 TASK_BUCKETS = 2        # buckets that one task gathers
-CHUNK = 500             # documents packed at once
+CHUNK = 1500            # documents packed at once
 HOT_SAMPLE = 0.02       # share of the documents that names frequent words; it sets who is split, never a result
+CODED = 65_535          # frequent words that cross the network as two bytes
 
+SUMS = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("x", pa.float64()), ("y", pa.float64()), ("blob", pa.binary())])
+SCORES = pa.schema([("row", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("base", pa.float64()), ("model", pa.float64())])
 END = np.uint64(0x9AE16A3B2F90404F)
 _GOLDEN = 0x9E3779B97F4A7C15
-_known: dict[bytes, int] = {}
+_known = WordHashes(100_000)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -72,19 +75,7 @@ def uniform(key: np.ndarray, sweep: int, step: int) -> np.ndarray:
 
 def tokens(text: str | None) -> np.ndarray:
     """Hashes of the words (A-Z lower-cased, ASCII white space) and of the end."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if len(_known) > 100_000:
-        _known.clear()
-    known, out = _known, np.empty(len(words) + 1, np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            if len(w) <= 64:
-                known[w] = h
-        out[i] = h
-    out[-1] = END
-    return out
+    return np.append(_known.of((text or "").encode("utf-8", "surrogatepass").lower().split()), END)
 
 
 def is_held_out(doc_id, folds: int = 7, fold: int = 2) -> bool:
@@ -172,61 +163,107 @@ class Totals:
     discount: float = 0.5
     root_discount: float = 0.5
     contexts: DataFrame | None = None                               # (bucket, contexts): customers and tables of every sweep
+    sums: DataFrame | None = None                                   # staged, what contexts are read from
 
     def to_send(self) -> Totals:
-        return replace(self, context_customers=None, context_tables=[], contexts=None)
+        return replace(self, context_customers=None, context_tables=[], contexts=None, sums=None)
 
     def of_bucket(self, blobs) -> Totals:
         """With the contexts of one bucket, as the exchange returned them."""
         columns = 1 + len(self.root_customers)
         keys, values = zip(*(parse_contexts(blob, columns)[1:] for blob in blobs))
-        keys, values = np.concatenate(keys), np.concatenate(values, axis=1)
+        keys = np.concatenate(keys)
         order = np.argsort(keys)
-        keys, values = keys[order], values[:, order]
+        keys, values = keys[order], [np.concatenate([v[k] for v in values])[order] for k in range(columns)]
         return replace(self, context_customers=BucketContexts(keys, values[0]),
                        context_tables=[BucketContexts(keys, v) for v in values[1:]])
 
 
+def coded(hashes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bytes for each hash, its place in the sorted ``codes`` or CODED, and the hashes
+    that have no place there, in order."""
+    at = np.searchsorted(codes, hashes)
+    hit = codes[np.minimum(at, len(codes) - 1)] == hashes if len(codes) else np.zeros(len(hashes), bool)
+    return np.where(hit, at, CODED).astype(np.uint16), hashes[~hit]
+
+
+def decoded(code: np.ndarray, rest: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    out = np.empty(len(code), np.uint64)
+    hit = code < CODED
+    out[hit], out[~hit] = codes[code[hit]], rest
+    return out
+
+
+def _parts(blob: bytes, head: int, *kinds):
+    """The arrays of a blob that begins with ``head`` numbers; kinds: (type, which of
+    those numbers is the array's length)."""
+    sizes, at = np.frombuffer(blob, np.int64, head), 8 * head
+    for kind, k in kinds:
+        yield np.frombuffer(blob, kind, sizes[k], at)
+        at += np.dtype(kind).itemsize * int(sizes[k])
+
+
+def _blob(head: list[int], *arrays: np.ndarray) -> bytes:
+    return np.array(head, np.int64).tobytes() + b"".join(x.tobytes() for x in arrays)
+
+
+def _starts(*sorted_: np.ndarray) -> np.ndarray:
+    """Whether each place begins a run of equal values."""
+    fresh = np.ones(len(sorted_[0]), bool)
+    fresh[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in sorted_])
+    return fresh
+
+
+def merge(blobs: list[bytes], codes: np.ndarray) -> tuple[bytes, bytes]:
+    """All blobs of a bucket as its sorted dishes and, for scoring only, their postings."""
+    rows, word, context, doc, count, train = [], [], [], [], [], []
+    for blob in blobs:
+        steps, flags, of, of_rest, runs, local, code, rest, times = _parts(
+            blob, 5, (np.int64, 0), (np.uint8, 0), (np.uint16, 1), (np.uint64, 2), (np.uint32, 1),
+            (np.uint16, 3), (np.uint16, 3), (np.uint64, 4), (np.uint16, 3))
+        word.append(np.repeat(decoded(of, of_rest, codes), runs))
+        context.append(decoded(code, rest, codes))
+        count.append(times)
+        doc.append(local.astype(np.uint32) + np.uint32(sum(map(len, rows))))
+        train.append(flags[local] == 0)
+        rows.append(np.cumsum(steps))
+    rows, word, context = np.concatenate(rows), np.concatenate(word), np.concatenate(context)
+    order = np.lexsort((context, word))
+    word, context = word[order], context[order]
+    doc, count, train = (np.concatenate(x)[order] for x in (doc, count, train))
+    dish = np.flatnonzero(_starts(word, context))
+    customers = np.add.reduceat(count.astype(np.int64) * train, dish)
+    postings = np.diff(np.append(dish, len(word)))
+    word, context = word[dish], context[dish]
+    runs = np.flatnonzero(_starts(word))
+    contexts, context_of = np.unique(context, return_inverse=True)
+    by_row = np.argsort(rows)
+    place = np.empty(len(rows), np.uint32)
+    place[by_row] = np.arange(len(rows), dtype=np.uint32)
+    return (_blob([len(dish), len(runs), len(contexts)], word[runs], np.diff(np.append(runs, len(word))).astype(np.uint32),
+                  contexts, context_of.astype(np.uint32), customers),
+            _blob([len(rows), len(dish), len(doc)], np.diff(rows[by_row], prepend=0), postings.astype(np.uint32), place[doc], count))
+
+
+class Postings:
+    """Documents of a bucket, and the document, count and dish of every posting."""
+
+    def __init__(self, blob: bytes):
+        steps, postings, self.doc, self.count = _parts(
+            blob, 3, (np.int64, 0), (np.uint32, 1), (np.uint32, 2), (np.uint16, 2))
+        self.doc_ids = np.cumsum(steps)
+        self.dish_of = np.repeat(np.arange(len(postings)), postings)
+
+
 class Bucket:
-    """Words, contexts and postings of a bucket, as sorted dishes."""
+    """Words and contexts of a bucket, as sorted dishes."""
 
     def __init__(self, blobs: list[bytes]):
-        self.docs, word, context, doc, count, train = [], [], [], [], [], []
-        for blob in blobs:
-            n_docs, n, n_words = np.frombuffer(blob, np.int64, 3)
-            at = 24
-            ids = np.frombuffer(blob, np.int64, n_docs, at)
-            at += 8 * n_docs
-            flags = np.frombuffer(blob, np.uint8, n_docs, at)
-            at += n_docs
-            of = np.frombuffer(blob, np.uint64, n_words, at)
-            at += 8 * n_words
-            word.append(np.repeat(of, np.frombuffer(blob, np.uint32, n_words, at)))
-            at += 4 * n_words
-            local = np.frombuffer(blob, np.uint16, n, at)
-            at += 2 * n
-            context.append(np.frombuffer(blob, np.uint64, n, at))
-            at += 8 * n
-            count.append(np.frombuffer(blob, np.uint16, n, at).astype(np.int64))
-            doc.append(local.astype(np.int64) + sum(map(len, self.docs)))
-            train.append(flags[local] == 0)
-            self.docs.append(ids)
-        self.doc_ids = np.concatenate(self.docs)
-        word, context = np.concatenate(word), np.concatenate(context)
-        self.doc, self.count, train = np.concatenate(doc), np.concatenate(count), np.concatenate(train)
-        order = np.lexsort((context, word))
-        word, context = word[order], context[order]
-        self.doc, self.count, train = self.doc[order], self.count[order], train[order]
-        fresh = np.ones(len(word), bool)
-        fresh[1:] = (word[1:] != word[:-1]) | (context[1:] != context[:-1])
-        self.dish_of = np.cumsum(fresh) - 1           # posting -> dish
-        self.word, self.context = word[fresh], context[fresh]
-        self.contexts, self.context_of = np.unique(self.context, return_inverse=True)  # dish -> context
-        self.customers = np.bincount(self.dish_of, weights=self.count * train, minlength=len(self.word))
-        fresh_word = np.ones(len(self.word), bool)
-        fresh_word[1:] = self.word[1:] != self.word[:-1]
-        self.word_of = np.cumsum(fresh_word) - 1      # dish -> word
-        self.words = self.word[fresh_word]
+        self.words, dishes, self.contexts, self.context_of, customers = _parts(
+            blobs[0], 3, (np.uint64, 1), (np.uint32, 1), (np.uint64, 2), (np.uint32, 0), (np.int64, 0))
+        self.customers = customers.astype(float)
+        self.word_of = np.repeat(np.arange(len(self.words)), dishes)  # dish -> word
+        self.word, self.context = self.words[self.word_of], self.contexts[self.context_of]
         self.word_count = np.bincount(self.word_of, weights=self.customers, minlength=len(self.words))
         with np.errstate(over="ignore"):
             self.key = mix(self.word * np.uint64(3) + self.context)
@@ -285,7 +322,7 @@ def bucket_of(word: np.ndarray, context: np.ndarray, hot: dict[int, int], bucket
         return (mix(word + salt * np.uint64(_GOLDEN)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int):
+def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int, codes: np.ndarray):
     """Bucket and blob rows of up to 65,536 documents."""
     word, context, doc, flags = [], [], [], np.zeros(len(pdf), np.uint8)
     for i, (doc_id, text) in enumerate(zip(pdf.doc_id, pdf.text)):
@@ -314,24 +351,28 @@ def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int):
     edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     for lo, hi in zip(edges, np.append(edges[1:], len(bucket))):
         used, local = np.unique(doc[lo:hi], return_inverse=True)
-        runs = np.flatnonzero(np.append(True, word[lo + 1:hi] != word[lo:hi - 1]))  # a word's postings lie together
-        head = np.array([len(used), hi - lo, len(runs)], np.int64).tobytes() + rows[used].tobytes() + flags[used].tobytes()
-        of = word[lo:hi][runs].tobytes() + np.diff(np.append(runs, hi - lo)).astype(np.uint32).tobytes()
-        yield int(bucket[lo]), (head + of + local.astype(np.uint16).tobytes()
-                                + context[lo:hi].tobytes() + count[lo:hi].astype(np.uint16).tobytes())
-
-
-def pack_documents(docs: DataFrame, hot: dict[int, int], buckets: int) -> DataFrame:
-    """(bucket, blobs, ids) of columns row, doc_id and text. The rows of a chunk and
-    their doc_ids go along with one of its blobs: what is written holds every row's
-    number and doc_id from one and the same execution."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+        runs = np.flatnonzero(_starts(word[lo:hi]))  # a word's postings lie together
+        (of, of_rest), (code, rest) = coded(word[lo:hi][runs], codes), coded(context[lo:hi], codes)
+        yield int(bucket[lo]), _blob(
+            [len(used), len(runs), len(of_rest), hi - lo, len(rest)], np.diff(rows[used], prepend=0), flags[used], of, of_rest,
+            np.diff(np.append(runs, hi - lo)).astype(np.uint32), local.astype(np.uint16), code, rest, count[lo:hi].astype(np.uint16))
+
+
+def pack_documents(docs: DataFrame, hot: dict[int, int], buckets: int, frequent: list[int] = ()) -> DataFrame:
+    """(bucket, blobs, postings, ids) of columns row, doc_id and text; blobs: one, of the
+    bucket's dishes. ``frequent``: words that cross the network as two bytes, the contexts
+    after them likewise. The rows of a chunk and their doc_ids go along with one of its
+    blobs: what is written holds every row's number and doc_id from one and the same
+    execution."""
+    words = np.array(frequent, np.uint64)
+    codes = np.unique(np.concatenate([words, mix(words) % np.uint64(CONTEXTS), np.array([CONTEXTS], np.uint64)])[:CODED])
+    shared = docs.sparkSession.sparkContext.broadcast((hot, codes))
 
     def run(batches):
         for pdf in batches:
             for lo in range(0, len(pdf), CHUNK):
                 chunk = pdf.iloc[lo:lo + CHUNK]
-                out = [[*packed, None] for packed in _pack(chunk, shared.value, buckets)]
+                out = [[*packed, None] for packed in _pack(chunk, shared.value[0], buckets, shared.value[1])]
                 first = chunk.row.iloc[:1].to_numpy(np.uint64)
                 out[int(mix(first)[0] % np.uint64(len(out)))][2] = [
                     {"row": int(row), "doc_id": doc_id} for row, doc_id in zip(chunk.row, chunk.id)]
@@ -342,42 +383,66 @@ def pack_documents(docs: DataFrame, hot: dict[int, int], buckets: int) -> DataFr
         run, "bucket long, blob binary, ids array<struct<row:long,doc_id:string>>")
     # A bucket is about BUCKET_BYTES of text: one row, so that later passes need no
     # shuffle. The number of tasks follows the buckets, so that few are held at once.
-    return packed.repartition(math.ceil(buckets / TASK_BUCKETS), "bucket").groupBy("bucket").agg(
+    gathered = packed.repartition(math.ceil(buckets / TASK_BUCKETS), "bucket").groupBy("bucket").agg(
         F.collect_list("blob").alias("blobs"), F.flatten(F.collect_list("ids")).alias("ids"))
 
+    def sort(batches):
+        for batch in batches:
+            for i, bucket in enumerate(batch.column("bucket").to_pylist()):
+                dishes, postings = merge(batch.column("blobs")[i].as_py(), shared.value[1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([bucket], pa.int64()), pa.array([[dishes]], pa.list_(pa.binary())), pa.array([postings], pa.binary()),
+                     batch.column("ids").slice(i, 1)], ["bucket", "blobs", "postings", "ids"])
+
+    return gathered.mapInArrow(sort, "bucket long, blobs array<binary>, postings binary, ids array<struct<row:long,doc_id:string>>")
+
 
-def frequent_words(docs: DataFrame, buckets: int) -> dict[int, int]:
+def frequent_words(docs: DataFrame, buckets: int) -> tuple[dict[int, int], list[int]]:
     """Words that alone would make a quarter of a bucket or more, with the number
-    of parts they are split into; at most four a bucket can be that frequent."""
+    of parts they are split into; at most four a bucket can be that frequent. And the most
+    frequent words of all, half as many as there are codes."""
     def count(batches):
         for pdf in batches:
             for lo in range(0, len(pdf), 500):
                 words = np.concatenate([tokens(t) for t in pdf.text.iloc[lo:lo + 500]] + [np.empty(0, np.uint64)])
                 w, n = np.unique(words, return_counts=True)
-                often = n >= max(2, len(words) / (64 * buckets))
-                yield pd.DataFrame({"word": np.append(w[often].view(np.int64), 0),
-                                    "n": np.append(n[often], 0), "total": np.append(np.zeros(often.sum(), int), len(words))})
+                w, n = w[n > 1], n[n > 1]
+                often = n >= len(words) / (64 * buckets)
+                yield pd.DataFrame({"word": np.append(w.view(np.int64), 0), "every": np.append(n, 0),
+                                    "n": np.append(n * often, 0), "total": np.append(np.zeros(len(w), int), len(words))})
 
-    rows = (docs.sample(fraction=HOT_SAMPLE, seed=11).select("text").mapInPandas(count, "word long, n long, total long")
-            .groupBy("word").agg(F.sum("n").alias("n"), F.sum("total").alias("total")))
+    rows = (docs.sample(fraction=HOT_SAMPLE, seed=11).select("text").mapInPandas(count, "word long, every long, n long, total long")
+            .groupBy("word").agg(*[F.sum(c).alias(c) for c in ("every", "n", "total")]))
     rows = staged(rows, "frequent")
     total = rows.agg(F.sum("total")).first()[0] or 0
     share = 1 / (4 * buckets)
-    return {int(np.int64(r["word"]).view(np.uint64)): min(CONTEXTS, 1 + int(r["n"] / total / share))
-            for r in rows.where(F.col("n") >= F.lit(total * share)).where("n > 0").collect()}
+
+    def number(r) -> int:
+        return int(np.int64(r["word"]).view(np.uint64))
+
+    hot = {number(r): min(CONTEXTS, 1 + int(r["n"] / total / share))
+           for r in rows.where(F.col("n") >= F.lit(total * share)).where("n > 0").collect()}
+    most = rows.where("every > 0").orderBy(F.desc("every"), "word").select("word").limit(CODED // 2).collect()
+    return hot, [number(r) for r in most]
 
 
-def _each(run):
-    """Apply ``run`` to every bucket of every batch: its number, blobs and contexts."""
+def _each(run, shape: pa.Schema):
+    """Apply ``run`` to every bucket: its number, blobs and further columns. Of a batch, one
+    bucket's values at a time become Python objects."""
     def batches_of(batches):
-        for pdf in batches:
-            for bucket, blobs, contexts in zip(pdf.bucket, pdf.blobs, pdf.contexts):
-                yield run(bucket, blobs, contexts)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield pa.RecordBatch.from_pandas(run(*(c[i].as_py() for c in batch.columns)), schema=shape, preserve_index=False)
     return batches_of
 
 
-def with_contexts(buckets: DataFrame, totals: Totals | None) -> DataFrame:
-    buckets = buckets.select("bucket", "blobs")
+def one_bucket_batches(spark):
+    """A bucket is megabytes: meanwhile workers are sent one at a time."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+
+def with_contexts(buckets: DataFrame, totals: Totals | None, *more: str) -> DataFrame:
+    buckets = buckets.select("bucket", "blobs", *more)
     if totals is None:
         return buckets.withColumn("contexts", F.lit(None).cast("array<binary>"))
     return buckets.join(totals.contexts.hint("shuffle_hash"), "bucket")
@@ -442,8 +507,11 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
                          + np.ascontiguousarray(values[:, at]).tobytes()))
         return pd.DataFrame(rows, columns=["kind", "id", "x", "y", "blob"])
 
-    sums = staged(with_contexts(buckets, totals).mapInPandas(
-        _each(run), "kind string, id long, x double, y double, blob binary"), "sums", compression="zstd")
+    with one_bucket_batches(spark):
+        sums = staged(with_contexts(buckets, totals).mapInArrow(
+            _each(run, SUMS), "kind string, id long, x double, y double, blob binary"), "sums", compression="zstd")
+    if totals is not None and totals.sums is not None:
+        unstaged(totals.sums)  # what it had is among the new ones
     # Five rows and those of split words reach the driver.
     rows = (sums.where("kind <> 'context'").groupBy("kind", "id").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).collect())
     got = {(r["kind"], r["id"]): (r["x"], r["y"]) for r in rows}
@@ -464,6 +532,7 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
     above = seat(of, np.full(len(of), 1.0 / (totals.words + 1)), totals.root_discount, STRENGTH,
                  totals.root_tables[-1] if totals.root_tables else 0.0, words, 100 + sweep) if len(of) else of
     columns = sweep + 2
+    totals.sums = sums
     totals.contexts = exchange(sums.where("kind = 'context'").select(F.col("id").alias("part"), "blob"),
                                columns, known, parts)
     totals.context_customers, *totals.context_tables = [
@@ -487,8 +556,9 @@ def staged_buckets(packed: DataFrame, parts: int) -> DataFrame:
     ``parts``: a join with the buckets' contexts does not move the postings."""
     spark = packed.sparkSession
     name = f"postings_{uuid.uuid4().hex}"
-    (packed.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/stage-{name}")
-     .bucketBy(parts, "bucket").saveAsTable(name))
+    with shuffles_removed(spark):
+        (packed.write.format("parquet").option("compression", "zstd").option("path", f"{shared_dir(spark)}/stage-{name}")
+         .bucketBy(parts, "bucket").saveAsTable(name))
     table = spark.table(name)
     table.schema  # resolved: the name is not needed any more, the files stay
     spark.sql(f"DROP TABLE {name}")
@@ -499,9 +569,9 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
     """Per bucket and document: tokens, known tokens, base and model log10."""
     shared = buckets.sparkSession.sparkContext.broadcast(totals.to_send())
 
-    def run(_, blobs: list[bytes], contexts) -> pd.DataFrame:
+    def run(_, blobs: list[bytes], postings: bytes, contexts) -> pd.DataFrame:
         totals = shared.value.of_bucket(contexts)
-        b = Bucket(blobs)
+        b, p = Bucket(blobs), Postings(postings)
         sizes = totals.context_customers[b.contexts][b.context_of]
         known = b.whole(b.word_count, totals.split_count)
         base = np.log10((known + 1) / (totals.training + totals.words + 1))
@@ -514,14 +584,15 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
                            + (STRENGTH + totals.discount * opened) * chance)
                           / (STRENGTH + sizes))
         model = np.log10(total / SWEEPS)
-        word_at = b.word_of[b.dish_of]
-        n = len(b.doc_ids)
-        sums = [np.bincount(b.doc, weights=b.count * x, minlength=n)
-                for x in (1, (known > 0)[word_at], base[word_at], model[b.dish_of])]
-        return pd.DataFrame({"row": b.doc_ids, "n": sums[0].astype(int), "k": sums[1].astype(int),
-                             "base": sums[2], "model": sums[3]}).groupby("row", as_index=False).sum()
+        word_at = b.word_of[p.dish_of]
+        n = len(p.doc_ids)
+        sums = [np.bincount(p.doc, weights=p.count * x, minlength=n)
+                for x in (1, (known > 0)[word_at], base[word_at], model[p.dish_of])]
+        return pd.DataFrame({"row": p.doc_ids, "n": sums[0].astype(int), "k": sums[1].astype(int),
+                             "base": sums[2], "model": sums[3]})
 
-    return with_contexts(buckets, totals).mapInPandas(_each(run), "row long, n long, k long, base double, model double")
+    return with_contexts(buckets, totals, "postings").mapInArrow(
+        _each(run, SCORES), "row long, n long, k long, base double, model double")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -530,16 +601,17 @@ def score_documents(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
-    hot = frequent_words(docs, buckets) if buckets > 1 else {}
+    hot, frequent = frequent_words(docs, buckets) if buckets > 1 else ({}, [])
     # Rows are known by their place in the input, so that repeated ids stay apart. Places
     # depend on the executors of the moment: they are taken once and written with the postings.
     rows = docs.withColumn("row", F.monotonically_increasing_id())
     # Large values: zstd streams them, where snappy holds whole pages outside the heap.
     parts = math.ceil(buckets / TASK_BUCKETS)
-    packed = staged_buckets(pack_documents(rows, hot, buckets), parts)
+    packed = staged_buckets(pack_documents(rows, hot, buckets, frequent), parts)
     totals = train(packed, hot, parts)
-    scores = score_buckets(packed, totals).groupBy("row").agg(
-        *[F.sum(c).alias(c) for c in ("n", "k", "base", "model")])
+    with one_bucket_batches(docs.sparkSession):
+        scores = staged(score_buckets(packed, totals).groupBy("row").agg(
+            *[F.sum(c).alias(c) for c in ("n", "k", "base", "model")]), "scores")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
     ids = packed.select(F.inline("ids")).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     return ids.join(scores, "row").select(

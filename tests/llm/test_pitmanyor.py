@@ -153,3 +153,25 @@ def test_every_previous_word_has_its_own_restaurant(spark):
         assert totals.context_customers[context] == sum(n for (a, _), n in after.items() if a == word)
         assert totals.context_tables[0][context] == sum(a == word for a, _ in after)
     assert totals.context_customers[py.CONTEXTS] == len(texts)
+
+
+def test_coded_words_change_nothing_and_old_sums_go(spark):
+    """Words sent as two bytes give the same dishes and postings, sorted once when a bucket
+    is packed; only the last sweep's sums stay on disk."""
+    from pathlib import Path
+
+    from quire.llm.common import shared_dir
+
+    texts = [f"a b a c x{i % 5} y{i} a" for i in range(40)] + ["", None, "a " * 70_000]
+    df = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "row long, doc_id long, text string").coalesce(1)
+    frequent = [int(h) for h in py.tokens("a b c x1")]
+    plain = {r.bucket: r for r in py.pack_documents(df, {}, 3).collect()}
+    coded = {r.bucket: r for r in py.pack_documents(df, {}, 3, frequent).collect()}
+    assert plain.keys() == coded.keys()
+    for k, r in plain.items():
+        assert r.blobs == coded[k].blobs and r.postings == coded[k].postings
+    assert sum(int(py.Postings(r.postings).count.sum()) for r in plain.values()) == sum(len(words(t)) for t in texts)
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("stage-sums-*"))
+    py.train(py.pack_documents(df, {}, 3), {})
+    assert len(set(folder.glob("stage-sums-*")) - before) == 1
