@@ -53,6 +53,7 @@ def terms_of(text: bytes) -> list[bytes]:
 
 
 CLASSES = [f"terms_{n}" for n in (0, *LEVELS)]  # terms by length: below 4 bytes, below 8, ...
+_CLASS = [bisect_right(LEVELS, n) for n in range(LEVELS[-1])]  # of each length; longer terms are of the last
 
 
 def _count_terms(batches):
@@ -62,10 +63,11 @@ def _count_terms(batches):
             found = Counter(terms_of(text))
             apart = [[] for _ in CLASSES]
             for t in found:
-                apart[bisect_right(LEVELS, len(t))].append(t)
+                apart[_CLASS[len(t)] if len(t) < len(_CLASS) else -1].append(t)
             for held, some in zip(classes, apart):
                 held.append(b" ".join(some))
-            more.append(b" ".join(t for t, n in found.items() if n > 1 for _ in range(n - 1)))
+            again = [t for t, n in found.items() if n > 1]
+            more.append(b" ".join(again + [t for t in again for _ in range(found[t] - 2)]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("lang"), batch.column("source"), *(pa.array(c, pa.binary()) for c in classes), pa.array(more, pa.binary())],
             ["lang", "source", *CLASSES, "more"])
@@ -193,7 +195,8 @@ def term_counts(lists: DataFrame, kept: DataFrame, threshold: int = 10) -> DataF
                         at += [place.setdefault(t, len(place)) for t in d]
                         which += [source] * len(d)
                         docs += d.values()
-                        n += [x + more[t] for t, x in d.items()] if more else d.values()
+                        again = more.get  # a Counter's own lookup calls Python for every term it lacks
+                        n += [x + again(t, 0) for t, x in d.items()] if more else d.values()
                 order = np.argsort(np.array(at, np.int64), kind="stable")
                 ends = np.concatenate([[0], np.cumsum(np.bincount(np.array(at, np.int64), minlength=len(place)))]).astype(np.int32)
                 lists_of = [pa.ListArray.from_arrays(ends, pa.array(c, t).take(pa.array(order)))
