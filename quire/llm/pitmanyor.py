@@ -33,6 +33,7 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -108,11 +109,23 @@ def seat(customers: np.ndarray, chance: np.ndarray, discount: float, strength: f
     return t
 
 
-def parse_contexts(blob: bytes, columns: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """A blob's bucket, contexts, and values (a row for each of ``columns``)."""
-    bucket = int(np.frombuffer(blob, np.int64, 1)[0])
-    n = (len(blob) - 8) // (8 * (columns + 1))
-    return bucket, np.frombuffer(blob, np.uint64, n, 8), np.frombuffer(blob, float, n * columns, 8 + 8 * n).reshape(columns, n)
+def narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0, in as few bytes as the largest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def pack_contexts(bucket: int, keys: np.ndarray, values: list[np.ndarray]) -> bytes:
+    """A blob of contexts of a bucket and of several whole numbers for each, most of them small."""
+    values = [narrow(v) for v in values]
+    return _blob([bucket, len(keys)], np.array([v.itemsize for v in values], np.uint8), keys, *values)
+
+
+def parse_contexts(blob: bytes, columns: int) -> tuple[int, np.ndarray, list[np.ndarray]]:
+    """A blob's bucket, contexts, and values (an array for each of ``columns``)."""
+    bucket, n = np.frombuffer(blob, np.int64, 2).tolist()
+    kinds = [(f"u{width}", 1) for width in np.frombuffer(blob, np.uint8, columns, 16)]
+    keys, *values = _parts(blob, 2, (np.uint64, 1), *kinds, skip=columns)
+    return bucket, keys, values
 
 
 class BucketContexts:
@@ -122,7 +135,7 @@ class BucketContexts:
         self.keys, self.values = keys, values
 
     def __getitem__(self, context):
-        return self.values[np.searchsorted(self.keys, context)]
+        return self.values[np.searchsorted(self.keys, context)].astype(float)
 
 
 class StagedContexts:
@@ -140,7 +153,7 @@ class StagedContexts:
                 for blob in pdf.blob:
                     _, keys, values = parse_contexts(blob, columns)
                     hit = np.isin(keys, wanted)
-                    yield pd.DataFrame({"id": keys[hit].view(np.int64), "x": values[column][hit]})
+                    yield pd.DataFrame({"id": keys[hit].view(np.int64), "x": values[column][hit].astype(float)})
 
         rows = self.contexts.select(F.explode("contexts").alias("blob")).mapInPandas(run, "id long, x double").distinct().collect()
         found = {r["id"]: r["x"] for r in rows}
@@ -194,10 +207,10 @@ def decoded(code: np.ndarray, rest: np.ndarray, codes: np.ndarray) -> np.ndarray
     return out
 
 
-def _parts(blob: bytes, head: int, *kinds):
-    """The arrays of a blob that begins with ``head`` numbers; kinds: (type, which of
-    those numbers is the array's length)."""
-    sizes, at = np.frombuffer(blob, np.int64, head), 8 * head
+def _parts(blob: bytes, head: int, *kinds, skip: int = 0):
+    """The arrays of a blob that begins with ``head`` numbers and ``skip`` bytes; kinds:
+    (type, which of those numbers is the array's length)."""
+    sizes, at = np.frombuffer(blob, np.int64, head), 8 * head + skip
     for kind, k in kinds:
         yield np.frombuffer(blob, kind, sizes[k], at)
         at += np.dtype(kind).itemsize * int(sizes[k])
@@ -232,7 +245,7 @@ def merge(blobs: list[bytes], codes: np.ndarray) -> tuple[bytes, bytes]:
     word, context = word[order], context[order]
     doc, count, train = (np.concatenate(x)[order] for x in (doc, count, train))
     dish = np.flatnonzero(_starts(word, context))
-    customers = np.add.reduceat(count.astype(np.int64) * train, dish)
+    customers = narrow(np.add.reduceat(count.astype(np.int64) * train, dish))
     postings = np.diff(np.append(dish, len(word)))
     word, context = word[dish], context[dish]
     runs = np.flatnonzero(_starts(word))
@@ -240,7 +253,7 @@ def merge(blobs: list[bytes], codes: np.ndarray) -> tuple[bytes, bytes]:
     by_row = np.argsort(rows)
     place = np.empty(len(rows), np.uint32)
     place[by_row] = np.arange(len(rows), dtype=np.uint32)
-    return (_blob([len(dish), len(runs), len(contexts)], word[runs], np.diff(np.append(runs, len(word))).astype(np.uint32),
+    return (_blob([len(dish), len(runs), len(contexts), customers.itemsize], word[runs], np.diff(np.append(runs, len(word))).astype(np.uint32),
                   contexts, context_of.astype(np.uint32), customers),
             _blob([len(rows), len(dish), len(doc)], np.diff(rows[by_row], prepend=0), postings.astype(np.uint32), place[doc], count))
 
@@ -259,8 +272,9 @@ class Bucket:
     """Words and contexts of a bucket, as sorted dishes."""
 
     def __init__(self, blobs: list[bytes]):
+        width = np.frombuffer(blobs[0], np.int64, 4)[3]
         self.words, dishes, self.contexts, self.context_of, customers = _parts(
-            blobs[0], 3, (np.uint64, 1), (np.uint32, 1), (np.uint64, 2), (np.uint32, 0), (np.int64, 0))
+            blobs[0], 4, (np.uint64, 1), (np.uint32, 1), (np.uint64, 2), (np.uint32, 0), (f"u{width}", 0))
         self.customers = customers.astype(float)
         self.word_of = np.repeat(np.arange(len(self.words)), dishes)  # dish -> word
         self.word, self.context = self.words[self.word_of], self.contexts[self.context_of]
@@ -436,9 +450,12 @@ def _each(run, shape: pa.Schema):
     return batches_of
 
 
+@contextmanager
 def one_bucket_batches(spark):
-    """A bucket is megabytes: meanwhile workers are sent one at a time."""
-    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    """A bucket is megabytes: meanwhile one at a time is read and sent to a worker."""
+    with (setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1"),
+          setting(spark, "spark.sql.parquet.columnarReaderBatchSize", "1")):
+        yield
 
 
 def with_contexts(buckets: DataFrame, totals: Totals | None, *more: str) -> DataFrame:
@@ -456,12 +473,12 @@ def exchange(sums: DataFrame, columns: int, known: int, parts: int) -> DataFrame
             for blobs in pdf.blobs:
                 bucket, keys, values = zip(*(parse_contexts(blob, columns) for blob in blobs))
                 every, at = np.unique(np.concatenate(keys), return_inverse=True)
-                own = np.concatenate(values, axis=1)[known:]
-                total = np.array([np.bincount(at, weights=x, minlength=len(every)) for x in own])
+                total = [np.bincount(at, weights=np.concatenate([v[c] for v in values]), minlength=len(every))
+                         for c in range(known, columns)]
                 out, lo = [], 0
                 for b, k, v in zip(bucket, keys, values):
-                    new = total[:, at[lo:lo + len(k)]]
-                    out.append((b, np.int64(b).tobytes() + k.tobytes() + np.concatenate([v[:known], new]).tobytes()))
+                    here = at[lo:lo + len(k)]
+                    out.append((b, pack_contexts(b, k, [*v[:known], *(x[here] for x in total)])))
                     lo += len(k)
                 yield pd.DataFrame(out, columns=["bucket", "blob"])
 
@@ -498,13 +515,12 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
                 ("scalar", 3, float((own[alone] == 1).sum()), float((own[alone] == 2).sum()), None)]
         rows += [("word", int(np.uint64(w).view(np.int64)), float(t), float(c), None)
                  for w, t, c in zip(b.words[split], own[split], b.word_count[split])]
-        values = np.array([*values, np.bincount(b.context_of, weights=tables, minlength=len(b.contexts))])
+        values.append(np.bincount(b.context_of, weights=tables, minlength=len(b.contexts)))
         part = (b.contexts >> np.uint64(20)) % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         edges = np.flatnonzero(np.append(True, np.diff(part[order]) != 0))
         for at in np.split(order, edges[1:]):
-            rows.append(("context", int(part[at[0]]), 0.0, 0.0, np.int64(bucket).tobytes() + b.contexts[at].tobytes()
-                         + np.ascontiguousarray(values[:, at]).tobytes()))
+            rows.append(("context", int(part[at[0]]), 0.0, 0.0, pack_contexts(bucket, b.contexts[at], [v[at] for v in values])))
         return pd.DataFrame(rows, columns=["kind", "id", "x", "y", "blob"])
 
     with one_bucket_batches(spark):

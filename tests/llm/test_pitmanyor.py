@@ -175,3 +175,25 @@ def test_coded_words_change_nothing_and_old_sums_go(spark):
     before = set(folder.glob("stage-sums-*"))
     py.train(py.pack_documents(df, {}, 3), {})
     assert len(set(folder.glob("stage-sums-*")) - before) == 1
+
+
+def test_numbers_of_contexts_travel_narrowly():
+    keys = np.array([3, 9, 1 << 63], np.uint64)
+    values = [np.array([1.0, 0.0, 255.0]), np.array([2, 256, 65_535]), np.array([1.0, 65_536, 4]), np.array([0, 1 << 40, 7])]
+    blob = py.pack_contexts(11, keys, values)
+    bucket, got, back = py.parse_contexts(blob, 4)
+    assert bucket == 11 and (got == keys).all()
+    assert [v.tolist() for v in back] == [v.tolist() for v in values]
+    assert [v.itemsize for v in back] == [1, 2, 4, 8] and len(blob) == 16 + 4 + 3 * (8 + 15)
+    totals = py.Totals(root_customers=[0.0, 0.0, 0.0]).of_bucket([py.pack_contexts(11, keys[1:], [v[1:] for v in values]),
+                                                                  py.pack_contexts(11, keys[:1], [v[:1] for v in values])])
+    assert totals.context_tables[2][keys].tolist() == [0.0, float(1 << 40), 7.0]
+    assert totals.context_customers[keys].dtype == float
+
+
+def test_one_bucket_at_a_time_is_read(spark):
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(n) for n in names]
+    with py.one_bucket_batches(spark):
+        assert [spark.conf.get(n) for n in names] == ["1", "1"]
+    assert [spark.conf.get(n) for n in names] == before
