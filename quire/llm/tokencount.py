@@ -1,9 +1,11 @@
 """Token counts: batches encoded in Arrow functions that return lengths only.
 
 A worker takes the texts of an Arrow batch, cuts texts longer than PIECE_CHARS at
-safe boundaries, deals the pieces out to batches of about BATCH_BYTES bytes and
-encodes each batch at once; ids never leave the worker and no more than one batch
-of encodings exists at a time.
+safe boundaries and deals the pieces out to batches of about BATCH_BYTES bytes. A batch
+is split at all its safe boundaries; the parts whose counts the worker does not
+remember are encoded at once, each a single time, and a piece's count is the sum of its
+parts'. Ids never leave the worker and no more than one batch of encodings exists at a
+time.
 
 A boundary is safe where the pre-tokeniser cuts whatever stands around it, so that
 the counts of the pieces add up to the count of the whole text:
@@ -41,26 +43,48 @@ BATCH_BYTES = 1 << 18
 _SETTLED = "A-Za-z0-9À-ÖØ-öА-яぁ-ゖァ-ヺ一-龥가-힣"
 _BLANKS = " \n\t"
 _MARKS = ",.;:!?、。，！？"
+_SPACE = r"\s\x1c-\x1f\u180e"
 
+CACHE_ENTRIES = 250_000  # parts in each of the two generations a Python worker remembers
+CACHE_CHARS = 64         # longer parts are not remembered
 
-def safe_boundary(spec: dict) -> re.Pattern | None:
-    """Pattern whose matches end one character behind a safe boundary of the
-    tokenizer described by its JSON form; None if no place is known to be safe."""
+
+def boundary_sides(spec: dict) -> tuple[str, str]:
+    """The blanks and the marks that may stand behind a safe boundary of the
+    tokenizer described by its JSON form; none if no place is known to be safe."""
     before = spec.get("pre_tokenizer") or {}
     added = spec.get("added_tokens") or []
     level = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
     if not level or spec.get("normalizer") or any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
-        return None
+        return "", ""
     used = set("".join(t["content"] for t in added))
     blanks, marks = ("".join(c for c in chars if c not in used) for chars in (_BLANKS, _MARKS))
+    return blanks, marks
+
+
+def safe_boundary(spec: dict) -> re.Pattern | None:
+    """Pattern whose matches end one character behind a safe boundary."""
+    blanks, marks = boundary_sides(spec)
     ways = []
     if blanks:
-        ways.append(rf"[^\s\x1c-\x1f\u180e][{re.escape(blanks)}]")
+        ways.append(rf"[^{_SPACE}][{re.escape(blanks)}]")
     if marks:
         ways.append(f"[{_SETTLED}][{re.escape(marks)}]")
     return re.compile("|".join(ways)) if ways else None
 
 
+def part_pattern(spec: dict) -> re.Pattern | None:
+    """Pattern whose matches are the parts of a text from each safe boundary to the next."""
+    blanks, marks = boundary_sides(spec)
+    inside = []
+    if blanks:
+        inside.append(rf"(?<=[{_SPACE}])[{re.escape(blanks)}]")
+    if marks:
+        inside.append(f"(?<![{_SETTLED}])[{re.escape(marks)}]")
+    plain = f"[^{re.escape(blanks + marks)}]*+"
+    return re.compile(f"(?s:.){plain}(?:(?:{'|'.join(inside)}){plain})*+") if inside else None
+
+
 def cut(text: str, boundary: re.Pattern | None, size: int = PIECE_CHARS) -> list[str]:
     """The text in pieces of at least ``size`` characters (but for the last),
     cut at the first safe boundary from there on."""
@@ -89,7 +113,11 @@ def balanced(pieces: list[tuple[int, str]], limit: int = BATCH_BYTES):
 
 
 class Counter:
-    """One worker's tokenizer."""
+    """One worker's tokenizer and a bounded memory of the counts of parts.
+
+    The memory has two generations, each of ``CACHE_ENTRIES`` parts and those of one
+    batch at most. A part found in the older one is copied to the younger; when the
+    younger is full, it becomes the older and what was not used since is forgotten."""
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -99,14 +127,45 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.boundary = safe_boundary(json.loads(spec))
+        self.part = part_pattern(json.loads(spec))
+        self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
+
+    def encoded(self, texts: list[str]) -> list[int]:
+        """The library's count of each text."""
+        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _recall(self, parts: set[str]) -> list[str]:
+        """Put the counts of all of ``parts`` into the younger generation; returns
+        those that are too long to stay there."""
+        if len(self.known) > CACHE_ENTRIES:
+            self.older, self.known = self.known, {}
+        missing = parts.difference(self.known)
+        if self.older:
+            again = self.older.keys() & missing
+            self.known.update([(p, self.older[p]) for p in again])
+            missing -= again
+        new = list(missing)
+        self.known.update(zip(new, self.encoded(new), strict=True))
+        return [p for p in new if len(p) > CACHE_CHARS]
+
+    def by_parts(self, pieces: list[str]) -> list[int]:
+        """The same counts as ``encoded``, each distinct part encoded once."""
+        if self.part is None:
+            return self.encoded(pieces)
+        split = [self.part.findall(p) for p in pieces]
+        passing = self._recall(set().union(*split))
+        out = [sum(map(self.known.__getitem__, parts)) for parts in split]
+        for p in passing:
+            del self.known[p]
+        return out
 
     def counts(self, texts: list[str | None], size: int = PIECE_CHARS, limit: int = BATCH_BYTES) -> list[int]:
         out = [0] * len(texts)
         pieces = ((i, p) for i, t in enumerate(texts) if t for p in cut(t, self.boundary, size))
         for batch in balanced(pieces, limit):
-            found = self.tokenizer.encode_batch_fast([p for _, p in batch], add_special_tokens=False)
-            for (i, _), e in zip(batch, found, strict=True):
-                out[i] += len(e)
+            for (i, _), n in zip(batch, self.by_parts([p for _, p in batch]), strict=True):
+                out[i] += n
         return out
 
 

@@ -76,3 +76,32 @@ def test_query_equals_the_library_on_every_document(spark, counter):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()
     want = {r.doc_id: (len((r.text or "").encode()), n := whole(counter, r.text or ""), n > 1024) for r in docs}
     assert got == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PARTS, max_size=40).map("".join))
+def test_parts_lie_between_safe_boundaries(counter, text):
+    parts = counter.part.findall(text)
+    assert "".join(parts) == text
+    ends = [m for m in range(1, len(text)) if counter.boundary.fullmatch(text, m - 1, m + 1)]
+    assert [sum(map(len, parts[:k])) for k in range(1, len(parts))] == ends
+    assert counter.by_parts([text]) == counter.encoded([text]) == [whole(counter, text)]
+
+
+def test_a_part_is_encoded_once_and_forgotten_when_unused(monkeypatch):
+    with open(PATH, encoding="utf-8") as f:
+        c = K.Counter(f.read())
+    asked, plain = [], c.encoded
+    monkeypatch.setattr(c, "encoded", lambda texts: asked.extend(texts) or plain(texts))
+    monkeypatch.setattr(K, "CACHE_ENTRIES", 40)
+    want = [len(e) for e in c.tokenizer.encode_batch(["the same, the same words" * 50, "x" * 300], add_special_tokens=False)]
+    for _ in range(3):
+        assert c.counts(["the same, the same words" * 50, "x" * 300]) == want
+    assert asked.count(" same") == 1 and asked.count("x" * 300) == 3  # long parts are not remembered
+    for i in range(100):
+        text = f"the same new{i} odd{i} words"
+        assert c.counts([text]) == [whole(c, text)]
+        assert len(c.known) <= 40 + 10 and len(c.older) <= 40 + 10
+    assert asked.count(" same") == 1 and "new0" not in c.known
+    spec = json.loads(c.tokenizer.to_str())
+    assert K.part_pattern(spec | {"normalizer": {"type": "NFC"}}) is None
