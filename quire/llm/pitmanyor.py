@@ -54,6 +54,7 @@ HOT_SAMPLE = 0.02       # share of the documents that names frequent words; it s
 CODED = 65_535          # frequent words that cross the network as two bytes
 
 SUMS = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("x", pa.float64()), ("y", pa.float64()), ("blob", pa.binary())])
+SENT = pa.schema([("part", pa.int64()), ("blob", pa.binary())])
 SCORES = pa.schema([("row", pa.int64()), ("n", pa.int64()), ("k", pa.int64()), ("base", pa.float64()), ("model", pa.float64())])
 END = np.uint64(0x9AE16A3B2F90404F)
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -114,18 +115,31 @@ def narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max(initial=0))))
 
 
-def pack_contexts(bucket: int, keys: np.ndarray, values: list[np.ndarray]) -> bytes:
-    """A blob of contexts of a bucket and of several whole numbers for each, most of them small."""
+def pack_contexts(number: int, keys: np.ndarray | None, values: list[np.ndarray]) -> bytes:
+    """A blob of contexts and of several whole numbers for each, most of them small, under
+    the number of a bucket; or of the numbers alone, under that of a part."""
     values = [narrow(v) for v in values]
-    return _blob([bucket, len(keys)], np.array([v.itemsize for v in values], np.uint8), keys, *values)
+    return _blob([number, len(values[0])], np.array([v.itemsize for v in values], np.uint8),
+                 *([] if keys is None else [keys]), *values)
 
 
-def parse_contexts(blob: bytes, columns: int) -> tuple[int, np.ndarray, list[np.ndarray]]:
-    """A blob's bucket, contexts, and values (an array for each of ``columns``)."""
-    bucket, n = np.frombuffer(blob, np.int64, 2).tolist()
+def parse_contexts(blob: bytes, columns: int, keyed: bool = True) -> tuple[int, np.ndarray | None, list[np.ndarray]]:
+    """A blob's number, contexts, and values (an array for each of ``columns``)."""
+    number, _ = np.frombuffer(blob, np.int64, 2).tolist()
     kinds = [(f"u{width}", 1) for width in np.frombuffer(blob, np.uint8, columns, 16)]
-    keys, *values = _parts(blob, 2, (np.uint64, 1), *kinds, skip=columns)
-    return bucket, keys, values
+    found = list(_parts(blob, 2, *([(np.uint64, 1)] if keyed else []), *kinds, skip=columns))
+    return number, found[0] if keyed else None, found[-columns:]
+
+
+def by_part(contexts: np.ndarray, parts: int) -> list[np.ndarray]:
+    """Places of the sorted ``contexts``, those of one part of the hashes together."""
+    return together((contexts >> np.uint64(20)) % np.uint64(parts))
+
+
+def together(part: np.ndarray) -> list[np.ndarray]:
+    """Places of equal numbers, in order."""
+    order = np.argsort(part, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
 
 
 class BucketContexts:
@@ -139,10 +153,11 @@ class BucketContexts:
 
 
 class StagedContexts:
-    """The same, looked up by the driver in the tables of all buckets."""
+    """The same, looked up by the driver in the sums of all buckets, of which the last
+    column is still to be added up."""
 
-    def __init__(self, contexts: DataFrame, column: int, columns: int):
-        self.contexts, self.column, self.columns = contexts, column, columns
+    def __init__(self, sums: DataFrame, column: int, columns: int):
+        self.sums, self.column, self.columns = sums, column, columns
 
     def __getitem__(self, context):
         wanted, at = np.unique(np.asarray(context, np.uint64), return_inverse=True)
@@ -155,7 +170,9 @@ class StagedContexts:
                     hit = np.isin(keys, wanted)
                     yield pd.DataFrame({"id": keys[hit].view(np.int64), "x": values[column][hit].astype(float)})
 
-        rows = self.contexts.select(F.explode("contexts").alias("blob")).mapInPandas(run, "id long, x double").distinct().collect()
+        known = column < columns - 1 and columns > 2
+        rows = self.sums.where("kind = 'context'").select("blob").mapInPandas(run, "id long, x double").groupBy("id").agg(
+            (F.max("x") if known else F.sum("x")).alias("x")).collect()
         found = {r["id"]: r["x"] for r in rows}
         return np.array([found[k] for k in wanted.view(np.int64).tolist()])[at].reshape(np.shape(context))[()]
 
@@ -175,21 +192,25 @@ class Totals:
     training: int = 0
     discount: float = 0.5
     root_discount: float = 0.5
+    parts: int = 1                                                  # of the contexts' hashes
     contexts: DataFrame | None = None                               # (bucket, contexts): customers and tables of every sweep
     sums: DataFrame | None = None                                   # staged, what contexts are read from
 
     def to_send(self) -> Totals:
         return replace(self, context_customers=None, context_tables=[], contexts=None, sums=None)
 
-    def of_bucket(self, blobs) -> Totals:
-        """With the contexts of one bucket, as the exchange returned them."""
+    def of_bucket(self, keys: np.ndarray, blobs) -> Totals:
+        """With the numbers of one bucket's contexts, as the exchange returned them: a blob
+        for every part, in the order in which the bucket sent the part its contexts."""
         columns = 1 + len(self.root_customers)
-        keys, values = zip(*(parse_contexts(blob, columns)[1:] for blob in blobs))
-        keys = np.concatenate(keys)
-        order = np.argsort(keys)
-        keys, values = keys[order], [np.concatenate([v[k] for v in values])[order] for k in range(columns)]
-        return replace(self, context_customers=BucketContexts(keys, values[0]),
-                       context_tables=[BucketContexts(keys, v) for v in values[1:]])
+        found = sorted((parse_contexts(blob, columns, False) for blob in blobs), key=lambda x: x[0])
+        place = np.concatenate(by_part(keys, self.parts))
+        tables = []
+        for k in range(columns):
+            sent = np.concatenate([values[k] for _, _, values in found])
+            tables.append(BucketContexts(keys, np.empty_like(sent)))
+            tables[k].values[place] = sent
+        return replace(self, context_customers=tables[0], context_tables=tables[1:])
 
 
 def coded(hashes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,7 +369,7 @@ def _pack(pdf: pd.DataFrame, hot: dict[int, int], buckets: int, codes: np.ndarra
         flags[i] = is_held_out(doc_id)
     word, context, doc = map(np.concatenate, (word, context, doc))
     bucket = bucket_of(word, context, hot, buckets)
-    order = np.lexsort((doc, context, word, bucket))
+    order = np.lexsort((context, word, narrow(bucket)))  # stable: documents stay in order
     word, context, doc, bucket = word[order], context[order], doc[order], bucket[order]
     fresh = np.ones(len(word), bool)
     fresh[1:] = ((word[1:] != word[:-1]) | (context[1:] != context[:-1]) | (doc[1:] != doc[:-1]))
@@ -467,10 +488,11 @@ def with_contexts(buckets: DataFrame, totals: Totals | None, *more: str) -> Data
 
 def exchange(sums: DataFrame, columns: int, known: int, parts: int) -> DataFrame:
     """(bucket, contexts) of (part, blob): in every bucket's blobs the last
-    ``columns - known`` columns become sums over all buckets that have the context."""
+    ``columns - known`` columns become sums over all buckets that have the context. The
+    contexts themselves, most of the bytes, are not sent back: a bucket knows what it asked."""
     def run(batches):
         for pdf in batches:
-            for blobs in pdf.blobs:
+            for number, blobs in zip(pdf.part, pdf.blobs):
                 bucket, keys, values = zip(*(parse_contexts(blob, columns) for blob in blobs))
                 every, at = np.unique(np.concatenate(keys), return_inverse=True)
                 total = [np.bincount(at, weights=np.concatenate([v[c] for v in values]), minlength=len(every))
@@ -478,7 +500,7 @@ def exchange(sums: DataFrame, columns: int, known: int, parts: int) -> DataFrame
                 out, lo = [], 0
                 for b, k, v in zip(bucket, keys, values):
                     here = at[lo:lo + len(k)]
-                    out.append((b, pack_contexts(b, k, [*v[:known], *(x[here] for x in total)])))
+                    out.append((b, pack_contexts(number, None, [*v[:known], *(x[here] for x in total)])))
                     lo += len(k)
                 yield pd.DataFrame(out, columns=["bucket", "blob"])
 
@@ -500,7 +522,7 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
             customers, root_tables = np.bincount(b.word_of, weights=tables, minlength=len(b.words)), None
             values = [np.bincount(b.context_of, weights=b.customers, minlength=len(b.contexts))]
         else:
-            totals = totals.of_bucket(contexts)
+            totals = totals.of_bucket(b.contexts, contexts)
             for _, tables, customers, root_tables in b.sweeps(totals, sweep):
                 pass
             values = [x[b.contexts] for x in (totals.context_customers, *totals.context_tables)]
@@ -516,11 +538,8 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
         rows += [("word", int(np.uint64(w).view(np.int64)), float(t), float(c), None)
                  for w, t, c in zip(b.words[split], own[split], b.word_count[split])]
         values.append(np.bincount(b.context_of, weights=tables, minlength=len(b.contexts)))
-        part = (b.contexts >> np.uint64(20)) % np.uint64(parts)
-        order = np.argsort(part, kind="stable")
-        edges = np.flatnonzero(np.append(True, np.diff(part[order]) != 0))
-        for at in np.split(order, edges[1:]):
-            rows.append(("context", int(part[at[0]]), 0.0, 0.0, pack_contexts(bucket, b.contexts[at], [v[at] for v in values])))
+        for at in by_part(b.contexts, parts):
+            rows.append(("context", int((b.contexts[at[0]] >> np.uint64(20)) % np.uint64(parts)), 0.0, 0.0, pack_contexts(bucket, b.contexts[at], [v[at] for v in values])))
         return pd.DataFrame(rows, columns=["kind", "id", "x", "y", "blob"])
 
     with one_bucket_batches(spark):
@@ -534,7 +553,7 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
     zero = (0.0, 0.0)
     split = {int(np.int64(i).view(np.uint64)): v for (kind, i), v in got.items() if kind == "word"}
     if totals is None:
-        totals = Totals()
+        totals = Totals(parts=parts)
         totals.split_count = {w: int(y) for w, (_, y) in split.items()}
         once, twice = got.get(("scalar", 2), zero)
         totals.discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
@@ -552,7 +571,7 @@ def _sums(buckets: DataFrame, totals: Totals | None, sweep: int, hot: dict[int,
     totals.contexts = exchange(sums.where("kind = 'context'").select(F.col("id").alias("part"), "blob"),
                                columns, known, parts)
     totals.context_customers, *totals.context_tables = [
-        StagedContexts(totals.contexts, i, columns) for i in range(columns)]
+        StagedContexts(sums, i, columns) for i in range(columns)]
     totals.split.append({int(w): float(x) for w, x in zip(words, of)})
     totals.root_customers.append(customers + of.sum())
     totals.root_tables.append(rooted + above.sum())
@@ -581,13 +600,29 @@ def staged_buckets(packed: DataFrame, parts: int) -> DataFrame:
     return table
 
 
+def add_up(batches):
+    """The sums per document of (part, blobs): every bucket's sums for the documents of the part."""
+    for batch in batches:
+        for blobs in batch.column("blobs"):
+            found = []
+            for blob in blobs.as_py():
+                _, *widths = np.frombuffer(blob, np.int64, 3)
+                found.append(list(_parts(blob, 3, (np.int64, 0), *((f"u{w}", 0) for w in widths), (float, 0), (float, 0))))
+            rows, at = np.unique(np.concatenate([np.cumsum(f[0]) for f in found]), return_inverse=True)
+            sums = [np.bincount(at, weights=np.concatenate([f[c] for f in found]), minlength=len(rows)) for c in range(1, 5)]
+            yield pa.RecordBatch.from_arrays([pa.array(x).cast(t) for x, t in zip((rows, *sums), SCORES.types)], schema=SCORES)
+
+
 def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
-    """Per bucket and document: tokens, known tokens, base and model log10."""
+    """Per document: tokens, known tokens, base and model log10. A bucket has words of most
+    documents; its sums for them are packed by parts of the documents, and a part adds
+    them up."""
+    parts = totals.parts
     shared = buckets.sparkSession.sparkContext.broadcast(totals.to_send())
 
     def run(_, blobs: list[bytes], postings: bytes, contexts) -> pd.DataFrame:
-        totals = shared.value.of_bucket(contexts)
         b, p = Bucket(blobs), Postings(postings)
+        totals = shared.value.of_bucket(b.contexts, contexts)
         sizes = totals.context_customers[b.contexts][b.context_of]
         known = b.whole(b.word_count, totals.split_count)
         base = np.log10((known + 1) / (totals.training + totals.words + 1))
@@ -604,11 +639,16 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
         n = len(p.doc_ids)
         sums = [np.bincount(p.doc, weights=p.count * x, minlength=n)
                 for x in (1, (known > 0)[word_at], base[word_at], model[p.dish_of])]
-        return pd.DataFrame({"row": p.doc_ids, "n": sums[0].astype(int), "k": sums[1].astype(int),
-                             "base": sums[2], "model": sums[3]})
+        part = (mix(p.doc_ids.astype(np.uint64) >> np.uint64(8)) % np.uint64(parts)).astype(np.int64)
+        out = []
+        for at in together(part):
+            n, k = narrow(sums[0][at]), narrow(sums[1][at])
+            out.append((part[at[0]], _blob([len(at), n.itemsize, k.itemsize], np.diff(p.doc_ids[at], prepend=0), n, k, sums[2][at], sums[3][at])))
+        return pd.DataFrame(out, columns=SENT.names)
 
-    return with_contexts(buckets, totals, "postings").mapInArrow(
-        _each(run, SCORES), "row long, n long, k long, base double, model double")
+    sent = with_contexts(buckets, totals, "postings").mapInArrow(_each(run, SENT), "part long, blob binary")
+    return sent.groupBy("part").agg(F.collect_list("blob").alias("blobs")).mapInArrow(
+        add_up, "row long, n long, k long, base double, model double")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -626,8 +666,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     packed = staged_buckets(pack_documents(rows, hot, buckets, frequent), parts)
     totals = train(packed, hot, parts)
     with one_bucket_batches(docs.sparkSession):
-        scores = staged(score_buckets(packed, totals).groupBy("row").agg(
-            *[F.sum(c).alias(c) for c in ("n", "k", "base", "model")]), "scores")
+        scores = staged(score_buckets(packed, totals), "scores")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
     ids = packed.select(F.inline("ids")).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
     return ids.join(scores, "row").select(

@@ -185,10 +185,23 @@ def test_numbers_of_contexts_travel_narrowly():
     assert bucket == 11 and (got == keys).all()
     assert [v.tolist() for v in back] == [v.tolist() for v in values]
     assert [v.itemsize for v in back] == [1, 2, 4, 8] and len(blob) == 16 + 4 + 3 * (8 + 15)
-    totals = py.Totals(root_customers=[0.0, 0.0, 0.0]).of_bucket([py.pack_contexts(11, keys[1:], [v[1:] for v in values]),
-                                                                  py.pack_contexts(11, keys[:1], [v[:1] for v in values])])
-    assert totals.context_tables[2][keys].tolist() == [0.0, float(1 << 40), 7.0]
-    assert totals.context_customers[keys].dtype == float
+
+
+def test_the_exchange_adds_up_and_sends_no_contexts_back(spark):
+    """A bucket finds its contexts' totals by the order in which it asked for them."""
+    rng = np.random.default_rng(1)
+    parts, keys = 3, {b: np.unique(rng.integers(0, 60, 40).astype(np.uint64) << np.uint64(20)) for b in (5, 6)}
+    own = {b: [k % np.uint64(7) + np.uint64(300), (k >> np.uint64(20)) * np.uint64(b)] for b, k in keys.items()}
+    rows = [(int((k[at[0]] >> np.uint64(20)) % np.uint64(parts)), bytearray(py.pack_contexts(b, k[at], [v[at] for v in own[b]])))
+            for b, k in keys.items() for at in py.by_part(k, parts)]
+    got = py.exchange(spark.createDataFrame(rows, "part long, blob binary"), 2, 1, 2).collect()
+    assert {r.bucket for r in got} == {5, 6}
+    for r in got:
+        assert sum(map(len, r.contexts)) < 8 * len(keys[r.bucket]) + 18 * parts  # less than the contexts alone
+        totals = py.Totals(root_customers=[0.0], parts=parts).of_bucket(keys[r.bucket], r.contexts)
+        assert (totals.context_customers[keys[r.bucket]] == own[r.bucket][0]).all()
+        want = [sum(int(own[b][1][keys[b] == k][0]) for b in keys if k in keys[b]) for k in keys[r.bucket]]
+        assert totals.context_tables[0][keys[r.bucket]].tolist() == want
 
 
 def test_one_bucket_at_a_time_is_read(spark):
@@ -197,3 +210,21 @@ def test_one_bucket_at_a_time_is_read(spark):
     with py.one_bucket_batches(spark):
         assert [spark.conf.get(n) for n in names] == ["1", "1"]
     assert [spark.conf.get(n) for n in names] == before
+
+
+def test_sums_of_a_document_meet_packed(spark):
+    """Buckets send a blob for each part of the documents, not a row for each document."""
+    docs = spark.createDataFrame([(r, r, f"a b{r % 5} c{r} d{r % 3}") for r in range(700)] + [(700, None, None)], "row long, doc_id long, text string")
+    packed = py.staged_buckets(py.pack_documents(docs, {}, 6), 3)
+    totals = py.train(packed, {}, 3)
+    with py.one_bucket_batches(spark):
+        got = py.score_buckets(packed, totals).collect()
+    assert sorted(r.row for r in got) == list(range(701))
+    assert {r.row: r.n for r in got} == {**{r: 5 for r in range(700)}, 700: 1}
+    made = []
+    for n in (2, 3):  # the same document from several buckets
+        made.append(py._blob([2, 1, 2], np.array([4, n]), np.array([1, n], np.uint8), np.array([0, 300], np.uint16),
+                             np.array([-1.5, -2.0]), np.array([-1.0, float(-n)])))
+    out = list(py.add_up([py.pa.RecordBatch.from_pylist([{"blobs": made}])]))[0].to_pylist()
+    assert out == [{"row": 4, "n": 2, "k": 0, "base": -3.0, "model": -2.0}, {"row": 6, "n": 2, "k": 300, "base": -2.0, "model": -2.0},
+                   {"row": 7, "n": 3, "k": 300, "base": -2.0, "model": -3.0}]
