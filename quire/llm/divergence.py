@@ -28,6 +28,8 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from functools import reduce
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -56,31 +58,33 @@ CLASSES = [f"terms_{n}" for n in (0, *LEVELS)]  # terms by length: below 4 bytes
 _CLASS = [bisect_right(LEVELS, n) for n in range(LEVELS[-1])]  # of each length; longer terms are of the last
 
 
-def _count_terms(batches):
+def _list_terms(batches):
     for batch in batches:
-        classes, more = [[] for _ in CLASSES], []
+        classes, every = [[] for _ in CLASSES], []
         for text in batch.column("text").to_pylist():
-            found = Counter(terms_of(text))
+            every.append(text.translate(_FOLD))
             apart = [[] for _ in CLASSES]
-            for t in found:
-                apart[_CLASS[len(t)] if len(t) < len(_CLASS) else -1].append(t)
+            put, last = [apart[k].append for k in _CLASS], apart[-1].append
+            for t in set(terms_of(text)):
+                if len(t) < LEVELS[-1]:
+                    put[len(t)](t)
+                else:
+                    last(t)
             for held, some in zip(classes, apart):
                 held.append(b" ".join(some))
-            again = [t for t, n in found.items() if n > 1]
-            more.append(b" ".join(again + [t for t in again for _ in range(found[t] - 2)]))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), batch.column("source"), *(pa.array(c, pa.binary()) for c in classes), pa.array(more, pa.binary())],
-            ["lang", "source", *CLASSES, "more"])
+            [batch.column("lang"), batch.column("source"), *(pa.array(c, pa.binary()) for c in classes), pa.array(every, pa.binary())],
+            ["lang", "source", *CLASSES, "every"])
 
 
 def term_lists(docs: DataFrame) -> DataFrame:
     """Of every document: lang, source, its distinct terms joined by blanks, a column for
     each class of lengths (so that a level reads no terms that were complete before it),
-    and likewise their further occurrences (more)."""
+    and all its terms as often as they occur: the text itself, folded (every)."""
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    shape = ", ".join(f"{c} binary" for c in (*CLASSES, "more"))
-    return staged(read.mapInArrow(_count_terms, f"lang string, source string, {shape}"), "terms", "zstd")
+    shape = ", ".join(f"{c} binary" for c in (*CLASSES, "every"))
+    return staged(read.mapInArrow(_list_terms, f"lang string, source string, {shape}"), "terms", "zstd")
 
 
 def joined(batch, classes: list[str]) -> list[bytes]:
@@ -154,7 +158,7 @@ def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
                 held.clear()
 
             for batch in batches:
-                for lang, terms in zip(batch.column("lang").to_pylist(), joined(batch, classes)):
+                for lang, terms in sorted(zip(batch.column("lang").to_pylist(), joined(batch, classes)), key=itemgetter(0)):
                     if lang not in known:
                         if len(known) > 100:
                             known.clear()
@@ -176,12 +180,12 @@ def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
     return reduce(DataFrame.unionByName, kept).select("lang", F.col("piece").alias("term"))
 
 
-def term_counts(lists: DataFrame, kept: DataFrame, threshold: int = 10) -> DataFrame:
+def term_counts(lists: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, term, found) of the kept terms, ``found`` being an array of the sources that
     have the term and its occurrences there (source, n). A term that a bit of the table
-    lets through by chance has fewer documents and falls here."""
+    lets through by chance is not among the kept and falls when it meets them."""
     shared = lists.sparkSession.sparkContext.broadcast(bit_table(kept.withColumnRenamed("term", "piece")))
-    names = ["lang", "term", "source", "docs", "n"]
+    names = ["lang", "term", "source", "n"]
 
     def count(batches):
         known, held = {}, {}
@@ -189,47 +193,46 @@ def term_counts(lists: DataFrame, kept: DataFrame, threshold: int = 10) -> DataF
         def passed_on():
             """A row per language and term, with an entry for each source."""
             for lang in {k for k, _ in held}:
-                place, at, which, docs, n = {}, [], [], [], []
-                for (k, source), (d, more) in held.items():
-                    if k == lang:
-                        at += [place.setdefault(t, len(place)) for t in d]
-                        which += [source] * len(d)
-                        docs += d.values()
-                        again = more.get  # a Counter's own lookup calls Python for every term it lacks
-                        n += [x + again(t, 0) for t, x in d.items()] if more else d.values()
-                order = np.argsort(np.array(at, np.int64), kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(np.array(at, np.int64), minlength=len(place)))]).astype(np.int32)
-                lists_of = [pa.ListArray.from_arrays(ends, pa.array(c, t).take(pa.array(order)))
-                            for c, t in ((which, pa.string()), (docs, pa.int64()), (n, pa.int64()))]
+                mine = [(source, found) for (k, source), found in held.items() if k == lang]
+                place, at = {}, []
+                for _, found in mine:
+                    at += [place.setdefault(t, len(place)) for t in found]
+                at = np.array(at, np.int32)
+                order = np.argsort(at, kind="stable")
+                ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(place)))]).astype(np.int32)
+                which = np.repeat(np.arange(len(mine)), [len(found) for _, found in mine])
+                n = np.fromiter(chain.from_iterable(found.values() for _, found in mine), np.int64, len(at))
+                lists_of = [pa.ListArray.from_arrays(ends, c) for c in (
+                    pa.array([source for source, _ in mine], pa.string()).take(pa.array(which[order])), pa.array(n[order]))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(place), pa.string()), pa.array(place, pa.binary()), *lists_of], names)
             held.clear()
 
         size = 0
         for batch in batches:
-            for lang, source, more, terms in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "more")), joined(batch, CLASSES)):
+            # A batch's rows by language and source: one counter at a time is at work and stays in the processor's cache.
+            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "every")))
+            for lang, source, every in sorted(rows, key=itemgetter(0, 1)):
                 if lang not in known:
                     if len(known) > 100:
                         known.clear()
                     known[lang] = Known(lang, shared.value, None, None)
                 ok = known[lang].__getitem__
-                d, extra = held.setdefault((lang, source), (Counter(), Counter()))
-                size -= len(d) + len(extra)
-                d.update(filter(ok, terms.split()))
-                extra.update(filter(ok, more.split()))
-                size += len(d) + len(extra)
+                found = held.setdefault((lang, source), Counter())
+                size -= len(found)
+                found.update(filter(ok, every.split()))
+                size += len(found)
                 if size > COUNTS or len(held) > HELD // 10:
                     yield from passed_on()
                     size = 0
         yield from passed_on()
 
-    rows = lists.mapInArrow(count, "lang string, term binary, source array<string>, docs array<long>, n array<long>")
+    rows = lists.select("lang", "source", "every").mapInArrow(count, "lang string, term binary, source array<string>, n array<long>")
     apart = rows.repartition(tasks(lists.sparkSession), "lang", "term").select(
-        "lang", "term", F.inline(F.arrays_zip("source", "docs", "n")))
-    each = apart.groupBy("lang", "term", "source").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
-    return each.groupBy("lang", "term").agg(
-        F.collect_list(F.struct("source", "n")).alias("found"), F.sum("docs").alias("docs")).where(
-        F.col("docs") >= threshold).select("lang", "term", "found")
+        "lang", "term", F.inline(F.arrays_zip("source", "n")))
+    each = apart.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    return each.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "n")).alias("found")).join(
+        kept, ["lang", "term"], "left_semi")
 
 
 def smoothed(count: np.ndarray, total: np.ndarray, terms: int) -> np.ndarray:
@@ -307,7 +310,7 @@ def source_divergence(docs: DataFrame, threshold: int = 10, top: int = 10) -> Da
     every other source of its language, and the ``top`` terms it has more of than the
     language as a whole."""
     lists = term_lists(docs)
-    terms = staged(term_counts(lists, refine(lists, threshold), threshold), "term-counts")
+    terms = staged(term_counts(lists, refine(lists, threshold)), "term-counts")
     totals = terms.select("lang", F.inline("found")).groupBy("lang", "source").agg(F.sum("n").alias("total"))
     by_name = Window.partitionBy("lang").orderBy("source")  # sources of a language, of which the result has all pairs
     groups = staged(lists.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").select(

@@ -130,3 +130,18 @@ def test_stripes_and_chunks_give_the_same_sums(monkeypatch, stripe, cells):
 def test_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     assert result(registry.op12_source_divergence(spark, SF_SMALL)) == brute(rows, 10)
+
+
+def test_terms_let_through_by_chance_are_not_counted(spark):
+    """Every occurrence of the kept terms is counted once, in one list of a document's terms,
+    whatever the table of survivors lets through."""
+    rows = [(i, "aa bb aa " + ("cc aa" if i == 0 else "bb"), "en", f"s{i % 2}") for i in range(4)]
+    lists = D.term_lists(spark.createDataFrame(rows, SCHEMA))
+    assert {bytes(r.every) for r in lists.collect()} == {b"aa bb aa cc aa", b"aa bb aa bb"}
+    kept = spark.createDataFrame([("en", bytearray(b"aa"))], "lang string, term binary")
+    table, D.bit_table = D.bit_table, lambda pieces: b"\xff" * (D.BITS // 8)
+    try:
+        got = {bytes(r.term): sorted(map(tuple, r.found)) for r in D.term_counts(lists, kept).collect()}
+    finally:
+        D.bit_table = table
+    assert got == {b"aa": [("s0", 5), ("s1", 4)]}
