@@ -51,6 +51,7 @@ BUCKET_BYTES = 5 << 20  # text bytes that make one bucket
 TASK_BUCKETS = 2        # buckets that one task gathers
 CHUNK = 1500            # documents packed at once
 HOT_SAMPLE = 0.02       # share of the documents that names frequent words; it sets who is split, never a result
+HELD = 1 << 20          # documents whose sums a task holds before it sends them
 CODED = 65_535          # frequent words that cross the network as two bytes
 
 SUMS = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("x", pa.float64()), ("y", pa.float64()), ("blob", pa.binary())])
@@ -620,7 +621,7 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
     parts = totals.parts
     shared = buckets.sparkSession.sparkContext.broadcast(totals.to_send())
 
-    def run(_, blobs: list[bytes], postings: bytes, contexts) -> pd.DataFrame:
+    def sums_of(_, blobs: list[bytes], postings: bytes, contexts) -> tuple[np.ndarray, list[np.ndarray]]:
         b, p = Bucket(blobs), Postings(postings)
         totals = shared.value.of_bucket(b.contexts, contexts)
         sizes = totals.context_customers[b.contexts][b.context_of]
@@ -639,14 +640,33 @@ def score_buckets(buckets: DataFrame, totals: Totals) -> DataFrame:
         n = len(p.doc_ids)
         sums = [np.bincount(p.doc, weights=p.count * x, minlength=n)
                 for x in (1, (known > 0)[word_at], base[word_at], model[p.dish_of])]
-        part = (mix(p.doc_ids.astype(np.uint64) >> np.uint64(8)) % np.uint64(parts)).astype(np.int64)
+        return p.doc_ids, sums
+
+    def packed(rows: np.ndarray, sums: list[np.ndarray]) -> pa.RecordBatch:
+        part = (mix(rows.astype(np.uint64) >> np.uint64(8)) % np.uint64(parts)).astype(np.int64)
         out = []
         for at in together(part):
             n, k = narrow(sums[0][at]), narrow(sums[1][at])
-            out.append((part[at[0]], _blob([len(at), n.itemsize, k.itemsize], np.diff(p.doc_ids[at], prepend=0), n, k, sums[2][at], sums[3][at])))
-        return pd.DataFrame(out, columns=SENT.names)
+            out.append((part[at[0]], _blob([len(at), n.itemsize, k.itemsize], np.diff(rows[at], prepend=0), n, k, sums[2][at], sums[3][at])))
+        return pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=SENT.names), schema=SENT, preserve_index=False)
 
-    sent = with_contexts(buckets, totals, "postings").mapInArrow(_each(run, SENT), "part long, blob binary")
+    def run(batches):
+        """A task's buckets are added up before their sums are sent, up to HELD documents."""
+        held = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                rows, sums = sums_of(*(c[i].as_py() for c in batch.columns))
+                if held is not None:
+                    rows, at = np.unique(np.concatenate([held[0], rows]), return_inverse=True)
+                    sums = [np.bincount(at, weights=np.concatenate([a, b]), minlength=len(rows)) for a, b in zip(held[1], sums)]
+                held = rows, sums
+                if len(rows) > HELD:
+                    yield packed(*held)
+                    held = None
+        if held is not None:
+            yield packed(*held)
+
+    sent = with_contexts(buckets, totals, "postings").mapInArrow(run, "part long, blob binary")
     return sent.groupBy("part").agg(F.collect_list("blob").alias("blobs")).mapInArrow(
         add_up, "row long, n long, k long, base double, model double")
 

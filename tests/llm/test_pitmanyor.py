@@ -212,13 +212,16 @@ def test_one_bucket_at_a_time_is_read(spark):
     assert [spark.conf.get(n) for n in names] == before
 
 
-def test_sums_of_a_document_meet_packed(spark):
+def test_sums_of_a_document_meet_packed(spark, monkeypatch):
     """Buckets send a blob for each part of the documents, not a row for each document."""
     docs = spark.createDataFrame([(r, r, f"a b{r % 5} c{r} d{r % 3}") for r in range(700)] + [(700, None, None)], "row long, doc_id long, text string")
     packed = py.staged_buckets(py.pack_documents(docs, {}, 6), 3)
     totals = py.train(packed, {}, 3)
     with py.one_bucket_batches(spark):
         got = py.score_buckets(packed, totals).collect()
+        monkeypatch.setattr(py, "HELD", 3)
+        apart = {r.row: r for r in py.score_buckets(packed, totals).collect()}
+    assert all(abs(r.model - apart[r.row].model) < 1e-9 and r[:3] == apart[r.row][:3] for r in got) and len(apart) == 701
     assert sorted(r.row for r in got) == list(range(701))
     assert {r.row: r.n for r in got} == {**{r: 5 for r in range(700)}, 700: 1}
     made = []
