@@ -8,6 +8,11 @@ begins, and only terms whose prefix survived are looked at on the next level. A
 shorter than the level's length is complete; the refinement ends when no incomplete
 prefix is left. Counters are held per task and summed by Spark.
 
+Texts are split once. A task writes its documents by blocks of one language: every
+distinct term of a block once, then by numbers which documents have it and how often
+each source does. Levels and counts read the blocks; numpy and Arrow work on a whole
+block at a time.
+
 Survivors reach the next pass as a bit table of fixed size (BITS bits). A false bit
 only lets a prefix be counted once more; what is kept is decided by exact counts.
 
@@ -25,14 +30,13 @@ table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right
 from collections import Counter
 from functools import reduce
-from itertools import chain
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +44,9 @@ from quire.llm.common import staged, tasks
 
 LEVELS = (4, 8, 16, 32)  # bytes of the first levels' prefixes; further ones double
 BITS = 1 << 25       # of the table of survivors
-HELD = 300_000       # counters of a language a task holds before it passes them on
-COUNTS = 1_500_000   # counts of terms by source a task holds likewise
+CHUNK = 1 << 23      # bytes of the texts of a language that make a block; a task holds four times that
+HELD = 1_000_000     # counters of prefixes a task holds before it passes them on
+COUNTS = 4_000_000   # counts of terms by source a task holds likewise
 STRIPE = 256         # sources that a row of terms is compared with at once
 CELLS = 1 << 21      # cells of the matrices a task holds
 
@@ -54,43 +59,105 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-CLASSES = [f"terms_{n}" for n in (0, *LEVELS)]  # terms by length: below 4 bytes, below 8, ...
-_CLASS = [bisect_right(LEVELS, n) for n in range(LEVELS[-1])]  # of each length; longer terms are of the last
+def texts(docs: DataFrame) -> DataFrame:
+    """lang, source and text (binary) of every document, null as empty."""
+    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
+                       F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
-def _list_terms(batches):
+def _fold(batches):
     for batch in batches:
-        classes, every = [[] for _ in CLASSES], []
-        for text in batch.column("text").to_pylist():
-            every.append(text.translate(_FOLD))
-            apart = [[] for _ in CLASSES]
-            put, last = [apart[k].append for k in _CLASS], apart[-1].append
-            for t in set(terms_of(text)):
-                if len(t) < LEVELS[-1]:
-                    put[len(t)](t)
-                else:
-                    last(t)
-            for held, some in zip(classes, apart):
-                held.append(b" ".join(some))
+        every = [text.translate(_FOLD) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), batch.column("source"), *(pa.array(c, pa.binary()) for c in classes), pa.array(every, pa.binary())],
-            ["lang", "source", *CLASSES, "every"])
+            [batch.column("lang"), batch.column("source"), pa.array(every, pa.binary())], ["lang", "source", "every"])
 
 
 def term_lists(docs: DataFrame) -> DataFrame:
-    """Of every document: lang, source, its distinct terms joined by blanks, a column for
-    each class of lengths (so that a level reads no terms that were complete before it),
-    and all its terms as often as they occur: the text itself, folded (every)."""
-    read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
-                       F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    shape = ", ".join(f"{c} binary" for c in (*CLASSES, "every"))
-    return staged(read.mapInArrow(_list_terms, f"lang string, source string, {shape}"), "terms", "zstd")
+    """Of every document: lang, source and all its terms as often as they occur: the text
+    itself, folded (every)."""
+    return texts(docs).mapInArrow(_fold, "lang string, source string, every binary")
+
+
+def narrow(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, each in as few bytes as the largest needs."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max(initial=0))).newbyteorder("<")).tobytes()
+
+
+def wide(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``narrow``."""
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def runs(keys: np.ndarray) -> np.ndarray:
+    """Where the runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
+def added(numbers: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the numbers from each place to the next."""
+    return np.add.reduceat(numbers, at) if len(at) else np.zeros(0, np.int64)
 
 
-def joined(batch, classes: list[str]) -> list[bytes]:
-    """The terms of every document in some classes of lengths, joined by blanks."""
-    columns = [batch.column(c).to_pylist() for c in classes]
-    return columns[0] if len(columns) == 1 else [b" ".join(x) for x in zip(*columns)]
+BLOCK = ("lang string, sources array<string>, documents long, terms binary, sizes binary, docs binary, "
+         "spread binary, which binary, times binary")
+
+
+def block(lang: str, docs: list[tuple[str, bytes]]) -> dict:
+    """A row that holds the documents (source, text) of one language: the distinct ``terms``
+    joined by blanks; of each term its number of documents (sizes) and these documents'
+    numbers (docs); of each term its number of sources (spread), and of each of these its
+    place in ``sources`` (which) and the occurrences there (times)."""
+    docs.sort(key=itemgetter(0))
+    sources = sorted({source for source, _ in docs})
+    place = {source: k for k, source in enumerate(sources)}
+    of_doc = np.array([place[source] for source, _ in docs], np.int64)
+    whole = (b" " + b" ".join([text for _, text in docs]) + b" ").translate(_FOLD)
+    letter = np.frombuffer(whole, np.uint8) != 32
+    edges = np.flatnonzero(letter[1:] != letter[:-1]) + 1
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    begins = 1 + np.cumsum([0, *(len(text) + 1 for _, text in docs)])
+    doc = np.repeat(np.arange(len(docs)), np.diff(np.searchsorted(starts, begins)))
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    found = pa.Array.from_buffers(pa.large_binary(), len(lengths), [
+        None, pa.py_buffer(offsets), pa.py_buffer(whole.translate(None, b" "))]).dictionary_encode()
+    bits = len(docs).bit_length()
+    keys = found.indices.to_numpy().astype(np.int64) << bits | doc
+    keys.sort()
+    at = runs(keys)  # of each term and document
+    times, pairs = np.diff(at, append=len(keys)), keys[at]
+    term, doc = pairs >> bits, pairs & (1 << bits) - 1
+    at = runs(term * len(sources) + of_doc[doc])  # of each term and source
+    return {"lang": lang, "sources": sources, "documents": len(docs), "terms": b" ".join(found.dictionary.to_pylist()),
+            "sizes": narrow(np.bincount(term)), "docs": narrow(doc), "spread": narrow(np.bincount(term[at])),
+            "which": narrow(of_doc[doc[at]]), "times": narrow(added(times, at))}
+
+
+def _blocks(batches):
+    held, size, whole = {}, Counter(), 0
+    schema = pa.schema([("lang", pa.string()), ("sources", pa.list_(pa.string())), ("documents", pa.int64()),
+                        *((c, pa.binary()) for c in ("terms", "sizes", "docs", "spread", "which", "times"))])
+
+    def row(lang):
+        return pa.RecordBatch.from_pylist([block(lang, held.pop(lang))], schema)
+
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            held.setdefault(lang, []).append((source, text))
+            size[lang] += len(text) + 50
+            whole += len(text) + 50
+            if size[lang] > CHUNK:
+                whole -= size.pop(lang)
+                yield row(lang)
+            elif whole > 4 * CHUNK:
+                yield from map(row, [*held])
+                size, whole = Counter(), 0
+    yield from map(row, [*held])
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """The documents (lang, source, text) by blocks of one language, in which every term
+    is written once and what follows goes by numbers."""
+    return staged(rows.mapInArrow(_blocks, BLOCK), "blocks", "zstd")
 
 
 class Known(dict):
@@ -117,6 +184,14 @@ class Known(dict):
         slot = zlib.crc32(piece, self.salt) & BITS - 1
         return bool(self.table[slot >> 3] >> (slot & 7) & 1)
 
+    def among(self, pieces: pa.Array) -> np.ndarray:
+        """Which of the pieces, all of the length ``before``, survived; each is looked up once."""
+        if self.table is None:
+            return np.ones(len(pieces), bool)
+        found = pieces.dictionary_encode()
+        slot = np.array([zlib.crc32(x, self.salt) for x in found.dictionary.to_pylist()], np.int64) & BITS - 1
+        return (np.frombuffer(self.table, np.uint8)[slot >> 3] >> (slot & 7) & 1).astype(bool)[found.indices.to_numpy()]
+
 
 def bit_table(pieces: DataFrame) -> bytes:
     """The bit table of the rows (lang, piece); at most BITS / 64 words reach the driver."""
@@ -131,44 +206,82 @@ def bit_table(pieces: DataFrame) -> bytes:
 
 def prefixes_of(terms: bytes, known: Known) -> set[bytes]:
     """Distinct prefixes that the terms of one document have on the level of ``known``:
-    of the terms that were incomplete on the level before and survived there."""
+    of the terms that were incomplete on the level before and survived there. What
+    prefix_counts counts by blocks, for one document."""
     length, before, alive = known.length, known.before, known.__getitem__
     if before is None:
         return {t[:length] for t in terms.split()}
     return {t[:length] for t in terms.split() if alive(t[:before])}
 
 
+def each_row(batches):
+    """The rows of the batches, one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def prefix_counts(row: dict, known: Known) -> tuple[pa.Array, np.ndarray]:
+    """The prefixes that a block's terms have on the level of ``known`` (see prefixes_of), and
+    the number of its documents with each."""
+    terms = pa.array(row["terms"].split(), pa.binary())
+    sizes = wide(row["sizes"], len(terms))
+    docs = wide(row["docs"], int(sizes.sum()))
+    mine = np.ones(len(terms), bool)
+    if known.before is not None:
+        mine = pc.binary_length(terms).to_numpy() >= known.before
+        mine[mine] = known.among(pc.binary_slice(terms.filter(pa.array(mine)), 0, known.before))
+        terms, docs, sizes = terms.filter(pa.array(mine)), docs[np.repeat(mine, sizes)], sizes[mine]
+    found = pc.binary_slice(terms, 0, known.length).dictionary_encode()
+    bits = row["documents"].bit_length()
+    keys = np.repeat(found.indices.to_numpy().astype(np.int64), sizes) << bits | docs
+    keys.sort()
+    return found.dictionary, np.bincount(keys[runs(keys)] >> bits, minlength=len(found.dictionary))
+
+
+class Languages(dict):
+    """What a task knows (Known) of each language, of a hundred at most."""
+
+    def __init__(self, *args):
+        super().__init__()
+        self.args = args
+
+    def __missing__(self, lang: str) -> Known:
+        if len(self) > 100:
+            self.clear()
+        self[lang] = Known(lang, *self.args)
+        return self[lang]
+
+
 def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
     """(lang, term) with at least ``threshold`` distinct documents of the language."""
-    spark = lists.sparkSession
+    return refined(blocks(lists.withColumnRenamed("every", "text")), threshold)
+
+
+def refined(rows: DataFrame, threshold: int) -> DataFrame:
+    spark = rows.sparkSession
     kept, length, before, shared = [], LEVELS[0], None, None
     while True:
-        # Terms that are as long as the prefixes of the level before, at least.
-        classes = CLASSES[sum(n <= (before or 0) for n in LEVELS):]
-
-        def count(batches, length=length, before=before, shared=shared, classes=classes):
-            table = shared.value if shared is not None else None
-            known, held = {}, {}
+        def count(batches, length=length, before=before, shared=shared):
+            known = Languages(shared.value if shared is not None else None, length, before)
+            held, size = [], 0
 
             def passed_on():
-                for lang, found in held.items():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(found), pa.string()), pa.array(found.keys(), pa.binary()),
-                         pa.array(found.values(), pa.int64())], ["lang", "piece", "docs"])
+                if held:
+                    found = pa.concat_tables(held).group_by(["lang", "piece"]).aggregate([("docs", "sum")])
+                    yield from found.select(["lang", "piece", "docs_sum"]).rename_columns(["lang", "piece", "docs"]).to_batches(50_000)
                 held.clear()
 
-            for batch in batches:
-                for lang, terms in sorted(zip(batch.column("lang").to_pylist(), joined(batch, classes)), key=itemgetter(0)):
-                    if lang not in known:
-                        if len(known) > 100:
-                            known.clear()
-                        known[lang] = Known(lang, table, length, before)
-                    held.setdefault(lang, Counter()).update(prefixes_of(terms, known[lang]))
-                    if len(held[lang]) > HELD or len(held) > 100:
-                        yield from passed_on()
+            for row in each_row(batches):
+                pieces, docs = prefix_counts(row, known[row["lang"]])
+                held.append(pa.table({"lang": pa.array([row["lang"]] * len(docs), pa.string()), "piece": pieces, "docs": docs}))
+                size += len(docs)
+                if size > HELD or len(held) > 1000:
+                    yield from passed_on()
+                    size = 0
             yield from passed_on()
 
-        counted = lists.select("lang", *classes).mapInArrow(count, "lang string, piece binary, docs long")
+        counted = rows.select("lang", "documents", "terms", "sizes", "docs").mapInArrow(count, "lang string, piece binary, docs long")
         level = staged(counted.groupBy("lang", "piece").agg(F.sum("docs").alias("docs"))
                        .where(F.col("docs") >= threshold).select("lang", "piece"), f"prefixes-{length}")
         kept.append(level.where(F.octet_length("piece") < length))
@@ -180,59 +293,116 @@ def refine(lists: DataFrame, threshold: int = 10) -> DataFrame:
     return reduce(DataFrame.unionByName, kept).select("lang", F.col("piece").alias("term"))
 
 
+class Counts:
+    """Occurrences of terms by source, of one language, as numbers: those of several blocks
+    are added up when they are asked for."""
+
+    def __init__(self):
+        self.place, self.terms, self.parts, self.size = {}, [], [], 0
+
+    def add(self, sources: list[str], terms: pa.Array, spread: np.ndarray, which: np.ndarray, times: np.ndarray) -> None:
+        places = np.array([self.place.setdefault(x, len(self.place)) for x in sources], np.int64)
+        self.terms.append(terms)
+        self.parts.append((spread, places[which], times))
+        self.size += len(times) + len(terms)
+
+    def sums(self) -> tuple[list[str], pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Sources and distinct terms; the sources' number of each term, their places and the
+        occurrences there, by term."""
+        found = pa.concat_arrays(self.terms).dictionary_encode()
+        spread, which, times = map(np.concatenate, zip(*self.parts))
+        keys = np.repeat(found.indices.to_numpy().astype(np.int64), spread) * len(self.place) + which
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        at = runs(keys)
+        term = keys[at] // max(1, len(self.place))
+        return ([*self.place], found.dictionary, np.bincount(term, minlength=len(found.dictionary)),
+                keys[at] % max(1, len(self.place)), added(times[order], at))
+
+
+PACK = "lang string, bucket int, sources array<string>, terms binary, spread binary, which binary, times binary"
+
+
+def _counts_of(row: dict) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    terms = pa.array(row["terms"].split(), pa.binary())
+    spread = wide(row["spread"], len(terms))
+    n = int(spread.sum())
+    return terms, spread, wide(row["which"], n), wide(row["times"], n)
+
+
+def _added(batches):
+    """From packs, all of a bucket being in one task: a row per language and term."""
+    held: dict[tuple[str, int], Counts] = {}
+    for row in each_row(batches):
+        counts = held.setdefault((row["lang"], row["bucket"]), Counts())
+        counts.add(row["sources"], *_counts_of(row))
+        if counts.size > COUNTS:
+            whole = held[row["lang"], row["bucket"]] = Counts()
+            whole.add(*counts.sums())
+            whole.size = 0
+    for (lang, _), counts in held.items():
+        sources, terms, spread, which, times = counts.sums()
+        found = pa.StructArray.from_arrays(
+            [pa.array(sources, pa.string()).take(pa.array(which)), pa.array(times, pa.int64())], ["source", "n"])
+        ends = np.concatenate([[0], np.cumsum(spread)]).astype(np.int32)
+        rows = pa.table([pa.array([lang] * len(terms), pa.string()), terms, pa.ListArray.from_arrays(ends, found)], ["lang", "term", "found"])
+        yield from rows.to_batches(10_000)
+
+
 def term_counts(lists: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, term, found) of the kept terms, ``found`` being an array of the sources that
-    have the term and its occurrences there (source, n). A term that a bit of the table
+    have the term and its occurrences there (source, n)."""
+    return block_counts(blocks(lists.withColumnRenamed("every", "text")), kept)
+
+
+def block_counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """See term_counts. A task adds up its blocks and sends, by bucket of terms, what it found
+    as numbers; a bucket's are added up where they meet. A term that a bit of the table
     lets through by chance is not among the kept and falls when it meets them."""
-    shared = lists.sparkSession.sparkContext.broadcast(bit_table(kept.withColumnRenamed("term", "piece")))
-    names = ["lang", "term", "source", "n"]
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(bit_table(kept.withColumnRenamed("term", "piece")))
+    buckets = tasks(spark)
 
     def count(batches):
-        known, held = {}, {}
+        known, held = Languages(shared.value, None, None), {}
 
         def passed_on():
-            """A row per language and term, with an entry for each source."""
-            for lang in {k for k, _ in held}:
-                mine = [(source, found) for (k, source), found in held.items() if k == lang]
-                place, at = {}, []
-                for _, found in mine:
-                    at += [place.setdefault(t, len(place)) for t in found]
-                at = np.array(at, np.int32)
-                order = np.argsort(at, kind="stable")
-                ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(place)))]).astype(np.int32)
-                which = np.repeat(np.arange(len(mine)), [len(found) for _, found in mine])
-                n = np.fromiter(chain.from_iterable(found.values() for _, found in mine), np.int64, len(at))
-                lists_of = [pa.ListArray.from_arrays(ends, c) for c in (
-                    pa.array([source for source, _ in mine], pa.string()).take(pa.array(which[order])), pa.array(n[order]))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(place), pa.string()), pa.array(place, pa.binary()), *lists_of], names)
+            for lang, counts in held.items():
+                sources, terms, spread, which, times = counts.sums()
+                bucket = np.array([zlib.crc32(t) % buckets for t in terms.to_pylist()], np.int64)
+                order = np.argsort(bucket, kind="stable")
+                begins = np.cumsum(spread) - spread
+                for some in np.split(order, runs(bucket[order])[1:]):
+                    if len(some):
+                        n = spread[some]
+                        at = np.repeat(begins[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                        yield {"lang": lang, "bucket": int(bucket[some[0]]), "sources": sources,
+                               "terms": b" ".join(terms.take(pa.array(some)).to_pylist()), "spread": narrow(n),
+                               "which": narrow(which[at]), "times": narrow(times[at])}
             held.clear()
 
-        size = 0
-        for batch in batches:
-            # A batch's rows by language and source: one counter at a time is at work and stays in the processor's cache.
-            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "every")))
-            for lang, source, every in sorted(rows, key=itemgetter(0, 1)):
-                if lang not in known:
-                    if len(known) > 100:
-                        known.clear()
-                    known[lang] = Known(lang, shared.value, None, None)
-                ok = known[lang].__getitem__
-                found = held.setdefault((lang, source), Counter())
-                size -= len(found)
-                found.update(filter(ok, every.split()))
-                size += len(found)
-                if size > COUNTS or len(held) > HELD // 10:
-                    yield from passed_on()
-                    size = 0
-        yield from passed_on()
+        def sent():
+            found = [*passed_on()]
+            return [pa.RecordBatch.from_pylist(found, schema)] if found else []
 
-    rows = lists.select("lang", "source", "every").mapInArrow(count, "lang string, term binary, source array<string>, n array<long>")
-    apart = rows.repartition(tasks(lists.sparkSession), "lang", "term").select(
-        "lang", "term", F.inline(F.arrays_zip("source", "n")))
-    each = apart.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
-    return each.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "n")).alias("found")).join(
-        kept, ["lang", "term"], "left_semi")
+        schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("sources", pa.list_(pa.string())),
+                            *((c, pa.binary()) for c in ("terms", "spread", "which", "times"))])
+        size = 0
+        for row in each_row(batches):
+            terms, spread, which, times = _counts_of(row)
+            ok = known[row["lang"]].among(terms)
+            let = np.repeat(ok, spread)
+            held.setdefault(row["lang"], Counts()).add(
+                row["sources"], terms.filter(pa.array(ok)), spread[ok], which[let], times[let])
+            size += int(let.sum()) + len(row["sources"])
+            if size > COUNTS:
+                yield from sent()
+                size = 0
+        yield from sent()
+
+    packs = rows.select("lang", "sources", "terms", "spread", "which", "times").mapInArrow(count, PACK)
+    return packs.repartition(buckets, "lang", "bucket").mapInArrow(
+        _added, "lang string, term binary, found array<struct<source:string,n:long>>").join(kept, ["lang", "term"], "left_semi")
 
 
 def smoothed(count: np.ndarray, total: np.ndarray, terms: int) -> np.ndarray:
@@ -309,11 +479,11 @@ def source_divergence(docs: DataFrame, threshold: int = 10, top: int = 10) -> Da
     """lang, source, part ('pair' or 'term'), item, value, rank: each source against
     every other source of its language, and the ``top`` terms it has more of than the
     language as a whole."""
-    lists = term_lists(docs)
-    terms = staged(term_counts(lists, refine(lists, threshold)), "term-counts")
+    rows = blocks(texts(docs))
+    terms = staged(block_counts(rows, refined(rows, threshold)), "term-counts")
     totals = terms.select("lang", F.inline("found")).groupBy("lang", "source").agg(F.sum("n").alias("total"))
     by_name = Window.partitionBy("lang").orderBy("source")  # sources of a language, of which the result has all pairs
-    groups = staged(lists.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").select(
+    groups = staged(rows.select("lang", F.explode("sources").alias("source")).distinct().join(totals, ["lang", "source"], "left").select(
         "lang", "source", F.coalesce("total", F.lit(0)).alias("total"),
         (F.row_number().over(by_name) - 1).alias("id")), "groups")
     langs = groups.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("id", "source", "total"))).alias("all")).join(
@@ -323,10 +493,10 @@ def source_divergence(docs: DataFrame, threshold: int = 10, top: int = 10) -> Da
     parts = tasks(docs.sparkSession)
     langs = langs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     salted = terms.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int"))
-    rows = salted.join(langs, ["lang", "salt"]).select(
+    laid = salted.join(langs, ["lang", "salt"]).select(
         "lang", "term", F.explode(stripes).alias("stripe"), F.col("found.source").alias("sources"),
         F.col("found.n").alias("ns"), F.col("all.source").alias("names"), F.col("all.total").alias("totals"), "v")
-    compared = staged(rows.mapInArrow(_compare, "lang string, i int, j int, term binary, value long"), "compared")
+    compared = staged(laid.mapInArrow(_compare, "lang string, i int, j int, term binary, value long"), "compared")
 
     sums = compared.where("j IS NOT NULL").groupBy("lang", "i", "j").agg(F.sum("value").alias("value"))
     left, right = groups.select("lang", "source", F.col("id").alias("i")), groups.select("lang", F.col("source").alias("item"), F.col("id").alias("j"))

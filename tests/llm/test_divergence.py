@@ -145,3 +145,53 @@ def test_terms_let_through_by_chance_are_not_counted(spark):
     finally:
         D.bit_table = table
     assert got == {b"aa": [("s0", 5), ("s1", 4)]}
+
+
+@pytest.mark.parametrize("chunk", [1, 400, 1 << 23])
+def test_blocks_count_what_the_documents_hold(monkeypatch, chunk):
+    """Terms are written once a block, not once a document, and the counts are the documents'."""
+    monkeypatch.setattr(D, "CHUNK", chunk)
+    rng = random.Random(9)
+    words = ["a", "abc", "abcd", "abcdefg", "abcdefgh", "abcdefghi", "Élan", "élan", "漢字", "y" * 40, "y" * 41]
+    rows = [{"lang": rng.choice(["en", "de", ""]), "source": rng.choice(["s0", "s1", "é", ""]),
+             "text": rng.choice(["", " ", "1\n"]).join(rng.choices(words, k=rng.randint(0, 12))).encode()} for _ in range(300)]
+    rows += [{"lang": "only", "source": "s", "text": b""}]
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("text", pa.binary())])
+    batches = [pa.RecordBatch.from_pylist(rows[k:k + 100], schema) for k in range(0, len(rows), 100)]
+    got = [r for b in D._blocks(batches) for r in b.to_pylist()]
+    assert len(got) == (4 if chunk == 1 << 23 else len(rows) if chunk == 1 else len(got))
+    assert sum(r["documents"] for r in got) == len(rows)
+    assert {(r["lang"], s) for r in got for s in r["sources"]} == {(r["lang"], r["source"]) for r in rows}
+    assert all(len(set(r["terms"].split())) == len(r["terms"].split()) for r in got)
+
+    times = Counter()
+    for r in got:
+        terms, spread, which, n = D._counts_of(r)
+        for term, k, c in zip(np.repeat(terms.to_pylist(), spread), which, n):
+            times[r["lang"], r["sources"][k], bytes(term)] += int(c)
+    assert times == Counter((r["lang"], r["source"], t) for r in rows for t in D.terms_of(r["text"]))
+
+    table = np.zeros(D.BITS // 8, np.uint8)  # of the prefixes of four bytes, all but "abcd" survive
+    for lang in ("en", "de", "", "only"):
+        known = D.Known(lang, None, 4, None)
+        for piece in {p for r in rows for p in D.prefixes_of(r["text"].translate(D._FOLD), known)} - {b"abcd"}:
+            slot = D.zlib.crc32(piece, known.salt) & D.BITS - 1
+            table[slot >> 3] |= 1 << (slot & 7)
+    for args in ((None, 4, None), (table.tobytes(), 8, 4), (None, 32, 16)):
+        found, want = Counter(), Counter()
+        for r in got:
+            pieces, docs = D.prefix_counts(r, D.Known(r["lang"], *args))
+            found.update({(r["lang"], p): int(n) for p, n in zip(pieces.to_pylist(), docs)})
+        for r in rows:
+            want.update((r["lang"], p) for p in D.prefixes_of(r["text"].translate(D._FOLD), D.Known(r["lang"], *args)))
+        assert found == want and want
+
+
+@pytest.mark.parametrize("most", [1, 10**6])
+def test_packs_of_a_bucket_are_added_up(monkeypatch, most):
+    monkeypatch.setattr(D, "COUNTS", most)
+    rows = [D.block(lang, [(s, b"aa bb " * n) for s, n in found]) | {"bucket": 0} for lang, found in (
+        ("en", [("x", 1), ("y", 300)]), ("en", [("z", 2), ("y", 70000)]), ("de", [("x", 5)]), ("en", [("x", 4)]))]
+    got = [r for b in D._added([pa.RecordBatch.from_pylist(rows)]) for r in b.to_pylist()]
+    assert {(r["lang"], r["term"]): sorted((x["source"], x["n"]) for x in r["found"]) for r in got} == {
+        (lang, t): n for t in (b"aa", b"bb") for lang, n in (("en", [("x", 5), ("y", 70300), ("z", 2)]), ("de", [("x", 5)]))}
